@@ -1,0 +1,19 @@
+"""Size guards for broadcasts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A side is broadcast only when a bounded count proves it is this small.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
+
+    The count reads at most ``max_rows + 1`` rows, so the check itself is
+    bounded. Beyond the bound the frame is returned unhinted and the planner
+    (AQE) chooses a shuffle join, with skew-join splitting if needed.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

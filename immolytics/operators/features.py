@@ -9,6 +9,8 @@ broadcast when the feature table is small, else a skew-aware sort-merge join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..settings import (CITY_KEYS, CITY_MONTH_KEYS, DEMAND_QUANTILE, DEPARTMENT_MONTH_KEYS,
@@ -22,7 +24,7 @@ def city_month(sales: DataFrame, keys: list[str] = CITY_MONTH_KEYS, decimals: in
     Null keys are removed first (pandas ``groupby`` drops them). ``decimals``
     rounds half to even like NumPy; ``None`` keeps the exact mean.
     """
-    keyed = sales.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False))
+    keyed = sales.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     mean = F.avg("prix_m2_moyen")
     if decimals is not None:
         mean = F.bround(mean, decimals)

@@ -187,3 +187,67 @@ def q_grid_counts(spark, sf_dir):
 @register("distinct_values", TRANSACTIONS_SQL + "SELECT DISTINCT nom_region FROM transactions")
 def q_distinct_values(spark, sf_dir):
     return stats.distinct_values(transactions(spark, sf_dir), "nom_region")
+
+
+# --------------------------------------------------------------------------
+# Splits (E1, E2, E7, E8, T5, T6, J3)
+# --------------------------------------------------------------------------
+from ..operators import splits  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+EVENTS_RN = """
+WITH ev AS (
+  SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS rn, count(*) OVER () AS n FROM events
+)
+"""
+
+
+@register("train_test_split", PREPARED_SQL + """
+SELECT id_transaction,
+       CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '42', id_transaction)), id_transaction)
+                 <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+FROM prepared""")
+def q_train_test_split(spark, sf_dir):
+    return splits.with_split(prepared(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "split")
+
+
+@register("sample_reference", PREPARED_SQL + """
+SELECT id_transaction,
+       CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '42-reference', id_transaction)), id_transaction)
+                 <= round_even(0.8 * count(*) OVER (), 0) THEN 'reference' ELSE 'current' END AS dataset
+FROM prepared""")
+def q_sample_reference(spark, sf_dir):
+    return splits.sample_reference(prepared(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "dataset")
+
+
+@register("time_series_folds", EVENTS_RN + """
+SELECT event_id, CAST(CASE WHEN rn <= n - 5 * (n // 6) THEN 0
+                           ELSE (rn - (n - 5 * (n // 6)) - 1) // (n // 6) + 1 END AS INTEGER) AS block
+FROM ev""")
+def q_time_series_folds(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return splits.time_series_blocks(ev, ["ts", "event_id"]).select("event_id", "block")
+
+
+@register("k_folds", EVENTS_RN + """
+SELECT event_id, CAST(CASE WHEN rn <= (n % 5) * (n // 5 + 1) THEN (rn - 1) // (n // 5 + 1)
+                           ELSE (n % 5) + (rn - 1 - (n % 5) * (n // 5 + 1)) // (n // 5) END AS INTEGER) AS fold
+FROM ev""")
+def q_k_folds(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return splits.k_folds(ev, ["ts", "event_id"]).select("event_id", "fold")
+
+
+@register("temporal_split", EVENTS_RN + """
+SELECT event_id, CASE WHEN rn <= floor(0.8 * n) THEN 'reference' ELSE 'current' END AS dataset FROM ev""")
+def q_temporal_split(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return splits.temporal_split(ev, ["ts", "event_id"]).select("event_id", "dataset")
+
+
+@register("positional_halves", """
+SELECT event_id, CASE WHEN row_number() OVER (ORDER BY event_id) <= count(*) OVER () // 2
+                      THEN 'reference' ELSE 'current' END AS dataset FROM events""")
+def q_positional_halves(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return splits.positional_halves(ev, ["event_id"]).select("event_id", "dataset")

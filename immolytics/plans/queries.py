@@ -251,3 +251,174 @@ SELECT event_id, CASE WHEN row_number() OVER (ORDER BY event_id) <= count(*) OVE
 def q_positional_halves(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return splits.positional_halves(ev, ["event_id"]).select("event_id", "dataset")
+
+
+# --------------------------------------------------------------------------
+# Encoding (E3-E6) and evaluation of a fixed scorer
+# --------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import encode, metrics  # noqa: E402
+from ..settings import COLS_TO_ENCODE  # noqa: E402
+
+SPLIT_SQL = PREPARED_SQL + """
+, split AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '42', id_transaction)), id_transaction)
+                      <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+  FROM prepared
+), scored AS (
+  SELECT *, prix_m2_moyen_mois_precedent * surface_habitable AS prediction FROM split
+), test AS (SELECT * FROM scored WHERE split = 'test')
+, cats AS (
+  SELECT 'type_batiment' AS col, type_batiment AS cat FROM split WHERE split = 'train' AND type_batiment IS NOT NULL
+  UNION SELECT 'nom_region', nom_region FROM split WHERE split = 'train' AND nom_region IS NOT NULL
+), ranked_cats AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY cat) AS pos FROM cats)
+"""
+
+
+def market_prediction():
+    """Fixed scorer with an SQL twin: last month's city price per m2 times the surface."""
+    return F.col("prix_m2_moyen_mois_precedent") * F.col("surface_habitable")
+
+
+def split_prepared(spark, sf_dir):
+    return splits.with_split(prepared(spark, sf_dir), [ROW_KEY])
+
+
+def scored_market(spark, sf_dir):
+    return split_prepared(spark, sf_dir).withColumn("prediction", market_prediction())
+
+
+@register("split_and_encode", SPLIT_SQL + """
+SELECT s.id_transaction, s.split, k.col || '_' || k.cat AS feature,
+       CAST(coalesce((CASE k.col WHEN 'type_batiment' THEN s.type_batiment ELSE s.nom_region END) = k.cat, FALSE)
+            AS INTEGER) AS value
+FROM split s, ranked_cats k WHERE k.pos > 1""")
+def q_split_and_encode(spark, sf_dir):
+    s = split_prepared(spark, sf_dir)
+    model = encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE)
+    enc = encode.transform_one_hot(s, model)
+    return enc.unpivot([ROW_KEY, "split"], model.all_feature_names, "feature", "value")
+
+
+@register("inverse_one_hot", SPLIT_SQL + """
+SELECT id_transaction,
+  CASE WHEN type_batiment IN (SELECT cat FROM ranked_cats WHERE col = 'type_batiment') THEN type_batiment
+       ELSE (SELECT cat FROM ranked_cats WHERE col = 'type_batiment' AND pos = 1) END AS type_batiment,
+  CASE WHEN nom_region IN (SELECT cat FROM ranked_cats WHERE col = 'nom_region') THEN nom_region
+       ELSE (SELECT cat FROM ranked_cats WHERE col = 'nom_region' AND pos = 1) END AS nom_region
+FROM split""")
+def q_inverse_one_hot(spark, sf_dir):
+    s = split_prepared(spark, sf_dir)
+    model = encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE)
+    out = encode.transform_one_hot(s.select(ROW_KEY, *COLS_TO_ENCODE), model)
+    for c in COLS_TO_ENCODE:
+        out = encode.inverse_one_hot(out, c, model.categories[c])
+    return out.select(ROW_KEY, *COLS_TO_ENCODE)
+
+
+_MSE = "avg((prix - prediction) * (prix - prediction))"
+_R2 = "1.0 - sum((prix - prediction) * (prix - prediction)) / (var_pop(prix) * count(*))"
+_METRICS_SQL = f"count(*) AS n, {_MSE} AS mse, sqrt({_MSE}) AS rmse, avg(abs(prix - prediction)) AS mae, {_R2} AS r2"
+_ABS_SQL = ("count(*) AS count, avg(abs(prix - prediction)) AS mean, stddev_samp(abs(prix - prediction)) AS std, "
+            "min(abs(prix - prediction)) AS min, quantile_cont(abs(prix - prediction), 0.25) AS p25, "
+            "quantile_cont(abs(prix - prediction), 0.5) AS p50, quantile_cont(abs(prix - prediction), 0.75) AS p75, "
+            "max(abs(prix - prediction)) AS max")
+
+
+@register("regression_metrics", SPLIT_SQL + f"SELECT split, {_METRICS_SQL} FROM scored GROUP BY split")
+def q_regression_metrics(spark, sf_dir):
+    return metrics.regression_metrics(scored_market(spark, sf_dir), by=["split"])
+
+
+@register("abs_error_stats", SPLIT_SQL + f"SELECT split, {_ABS_SQL} FROM scored GROUP BY split")
+def q_abs_error_stats(spark, sf_dir):
+    return metrics.abs_error_stats(scored_market(spark, sf_dir), by=["split"])
+
+
+@register("residual_range", SPLIT_SQL + """
+SELECT avg(prix - prediction) AS mean, stddev_pop(prix - prediction) AS std,
+       avg(prix - prediction) - 4 * stddev_pop(prix - prediction) AS low,
+       avg(prix - prediction) + 4 * stddev_pop(prix - prediction) AS high
+FROM test""")
+def q_residual_range(spark, sf_dir):
+    return metrics.residual_range(scored_market(spark, sf_dir).where(F.col("split") == "test"))
+
+
+@register("extreme_errors", SPLIT_SQL + """
+SELECT * FROM (SELECT 'largest' AS which, id_transaction, prix, prediction, surface_habitable, nom_region FROM test
+               ORDER BY prix - prediction DESC, id_transaction DESC LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'smallest', id_transaction, prix, prediction, surface_habitable, nom_region FROM test
+               ORDER BY prix - prediction ASC, id_transaction ASC LIMIT 1)""")
+def q_extreme_errors(spark, sf_dir):
+    test = scored_market(spark, sf_dir).where(F.col("split") == "test")
+    return metrics.extreme_errors(test, ROW_KEY, ["prix", "prediction", "surface_habitable", "nom_region"])
+
+
+_CATS = ["type_batiment", "nom_region", "vefa", "ville_demandee"]
+
+
+@register("error_by_category", SPLIT_SQL + """
+, lv AS (
+  SELECT prix - prediction AS e, prix AS y, category_column, category FROM (
+    SELECT prix, prediction, CAST(type_batiment AS VARCHAR) AS type_batiment, CAST(nom_region AS VARCHAR) AS nom_region,
+           CAST(vefa AS VARCHAR) AS vefa, CAST(ville_demandee AS VARCHAR) AS ville_demandee FROM test)
+  UNPIVOT (category FOR category_column IN (type_batiment, nom_region, vefa, ville_demandee)))
+SELECT category_column, category, count(*) AS n, avg(e) AS mean_error, avg(abs(e)) AS mae,
+       sqrt(avg(e * e)) AS rmse, 1.0 - sum(e * e) / NULLIF(var_pop(y) * count(*), 0) AS r2,
+       quantile_cont(e, 0.25) AS q1, quantile_cont(e, 0.5) AS median, quantile_cont(e, 0.75) AS q3
+FROM lv GROUP BY category_column, category""")
+def q_error_by_category(spark, sf_dir):
+    test = scored_market(spark, sf_dir).where(F.col("split") == "test")
+    return metrics.error_by_category(test, _CATS)
+
+
+@register("mean_baseline", SPLIT_SQL + f"""
+, mb AS (SELECT prix, (SELECT avg(prix) FROM split WHERE split = 'train') AS prediction FROM split WHERE split = 'test')
+SELECT {_METRICS_SQL} FROM mb""")
+def q_mean_baseline(spark, sf_dir):
+    s = split_prepared(spark, sf_dir)
+    test = metrics.with_mean_baseline(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"))
+    return metrics.regression_metrics(test)
+
+
+@register("evaluate", SPLIT_SQL + f"""
+SELECT split, {_METRICS_SQL}, avg(abs(prix - prediction)) AS error_mean, stddev_samp(abs(prix - prediction)) AS error_std
+FROM scored GROUP BY split""")
+def q_evaluate(spark, sf_dir):
+    return metrics.evaluate(scored_market(spark, sf_dir))
+
+
+MODEL_DRIFT_SQL = SPLIT_SQL + f"""
+, halves AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY id_transaction) <= count(*) OVER () // 2
+                 THEN 'reference' ELSE 'current' END AS dataset FROM test
+), m AS (SELECT dataset, {_MSE} AS mse, sqrt({_MSE}) AS rmse, avg(abs(prix - prediction)) AS mae, {_R2} AS r2
+         FROM halves GROUP BY dataset)
+, long AS (SELECT dataset, metric, value FROM m UNPIVOT (value FOR metric IN (mse, rmse, mae, r2)))
+, wide AS (SELECT metric, max(CASE WHEN dataset = 'reference' THEN value END) AS reference_value,
+                  max(CASE WHEN dataset = 'current' THEN value END) AS current_value FROM long GROUP BY metric)
+, report AS (
+  SELECT metric, reference_value, current_value,
+         CASE WHEN reference_value <> 0 THEN abs(current_value - reference_value) / abs(reference_value)
+              ELSE abs(current_value - reference_value) END AS relative_diff
+  FROM wide)
+"""
+
+
+def model_drift_report(spark, sf_dir):
+    test = scored_market(spark, sf_dir).where(F.col("split") == "test")
+    return metrics.model_drift(splits.positional_halves(test, [ROW_KEY]))
+
+
+@register("model_drift", MODEL_DRIFT_SQL + "SELECT *, relative_diff > 0.1 AS has_drift FROM report")
+def q_model_drift(spark, sf_dir):
+    return model_drift_report(spark, sf_dir)
+
+
+@register("drift_table", MODEL_DRIFT_SQL + """
+SELECT metric AS "Metric", reference_value AS "Reference", current_value AS "Current",
+       relative_diff * 100 AS "Drift (%)" FROM report""")
+def q_drift_table(spark, sf_dir):
+    return metrics.drift_table(model_drift_report(spark, sf_dir))

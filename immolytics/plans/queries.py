@@ -422,3 +422,50 @@ SELECT metric AS "Metric", reference_value AS "Reference", current_value AS "Cur
        relative_diff * 100 AS "Drift (%)" FROM report""")
 def q_drift_table(spark, sf_dir):
     return metrics.drift_table(model_drift_report(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Data drift (M5, M6, T3) between the reference sample and the rest
+# --------------------------------------------------------------------------
+from ..operators import drift  # noqa: E402
+
+DRIFT_NUMERIC = ["prix", "surface_habitable", "latitude", "longitude", "mois_transaction",
+                 "annee_transaction", "prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent"]
+DRIFT_CATEGORICAL = ["type_batiment", "nom_region", "vefa", "en_dessous_du_marche", "ville_demandee"]
+
+DRIFT_SQL = PREPARED_SQL + """
+, dr AS (
+  SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42-reference', id_transaction)), id_transaction)
+            <= round_even(0.8 * count(*) OVER (), 0) AS is_ref
+  FROM prepared
+)
+"""
+
+
+def drift_report(spark, sf_dir):
+    s = splits.sample_reference(prepared(spark, sf_dir), [ROW_KEY])
+    ref, cur = s.where(F.col("dataset") == "reference"), s.where(F.col("dataset") == "current")
+    return drift.data_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.05)
+
+
+_DRIFT_BODY = sqlgen.data_drift("dr", "is_ref", DRIFT_NUMERIC, DRIFT_CATEGORICAL, 0.05)
+
+
+@register("data_drift", DRIFT_SQL + f"SELECT * FROM ({_DRIFT_BODY})")
+def q_data_drift(spark, sf_dir):
+    return drift_report(spark, sf_dir)
+
+
+@register("drift_summary", DRIFT_SQL + f"""
+SELECT count(*) AS total_features, count_if(drifted) AS drifted_features,
+       count_if(drifted) / count(*) AS drift_share, count_if(drifted) / count(*) >= 0.5 AS dataset_drift,
+       count_if(drifted) / count(*) >= 0.5 AND count_if(drifted) / count(*) > 0.2 AS stop
+FROM ({_DRIFT_BODY})""")
+def q_drift_summary(spark, sf_dir):
+    return drift.dataset_drift(drift_report(spark, sf_dir)).drop("timestamp")
+
+
+@register("top_drifted", DRIFT_SQL + f"""
+SELECT * FROM ({_DRIFT_BODY}) ORDER BY score DESC, column_name LIMIT 5""")
+def q_top_drifted(spark, sf_dir):
+    return drift.top_drifted(drift_report(spark, sf_dir), 5)

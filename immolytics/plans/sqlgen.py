@@ -118,3 +118,50 @@ def grid_counts(source: str, x: str, y: str, bins: int) -> str:
             f"e AS (SELECT min(x) AS xlo, max(x) AS xhi, min(y) AS ylo, max(y) AS yhi FROM d) "
             f"SELECT '{x}' AS x_column, '{y}' AS y_column, {cell('x', 'xlo', 'xhi')} AS x_bin, "
             f"{cell('y', 'ylo', 'yhi')} AS y_bin, count(*) AS n FROM d, e GROUP BY ALL")
+
+
+def data_drift(source: str, flag: str, numeric: list[str], categorical: list[str], threshold: float) -> str:
+    """Per-column KS / Wasserstein (numeric) and Jensen-Shannon / chi2 (categorical); ``flag`` marks reference rows."""
+    nsel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in numeric)
+    csel = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in categorical)
+    return f"""
+WITH nlv AS (
+  SELECT {flag} AS is_ref, column_name, value FROM (SELECT {flag}, {nsel} FROM {source})
+  UNPIVOT (value FOR column_name IN ({', '.join(numeric)})) WHERE value IS NOT NULL AND NOT isnan(value)
+), ncnt AS (SELECT column_name, value, count_if(is_ref) AS n_ref, count_if(NOT is_ref) AS n_cur FROM nlv GROUP BY ALL
+), ntot AS (SELECT column_name, count_if(is_ref) AS tot_ref, count_if(NOT is_ref) AS tot_cur,
+                   stddev_pop(CASE WHEN is_ref THEN value END) AS ref_std FROM nlv GROUP BY ALL
+), ncdf AS (
+  SELECT c.column_name, value, ref_std,
+         sum(n_ref) OVER w / tot_ref AS f_ref, sum(n_cur) OVER w / tot_cur AS f_cur, lead(value) OVER w2 AS nxt
+  FROM ncnt c JOIN ntot USING (column_name)
+  WINDOW w AS (PARTITION BY c.column_name ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         w2 AS (PARTITION BY c.column_name ORDER BY value)
+), num AS (
+  SELECT column_name, max(abs(f_ref - f_cur)) AS ks,
+         sum(coalesce(abs(f_ref - f_cur) * (nxt - value), 0)) AS wasserstein, ref_std
+  FROM ncdf GROUP BY column_name, ref_std
+), clv AS (
+  SELECT {flag} AS is_ref, column_name, value FROM (SELECT {flag}, {csel} FROM {source})
+  UNPIVOT (value FOR column_name IN ({', '.join(categorical)})) WHERE value IS NOT NULL
+), ccnt AS (SELECT column_name, value, count_if(is_ref) AS n_ref, count_if(NOT is_ref) AS n_cur FROM clv GROUP BY ALL
+), ctot AS (SELECT column_name, sum(n_ref) AS tot_ref, sum(n_cur) AS tot_cur FROM ccnt GROUP BY ALL
+), cterm AS (
+  SELECT column_name, n_ref / tot_ref AS p, n_cur / tot_cur AS q,
+         (n_ref + n_cur) * tot_ref / (tot_ref + tot_cur) AS e_ref, (n_ref + n_cur) * tot_cur / (tot_ref + tot_cur) AS e_cur,
+         n_ref, n_cur
+  FROM ccnt JOIN ctot USING (column_name)
+), cat AS (
+  SELECT column_name,
+         sqrt(greatest(sum(0.5 * CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                         + 0.5 * CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END), 0)) AS jensen_shannon,
+         sum(pow(n_ref - e_ref, 2) / e_ref + pow(n_cur - e_cur, 2) / e_cur) AS chi2
+  FROM cterm GROUP BY column_name
+), report AS (
+  SELECT column_name, 'numeric' AS kind, ks, wasserstein, wasserstein / greatest(ref_std, 0.001) AS wasserstein_norm,
+         CAST(NULL AS DOUBLE) AS jensen_shannon, CAST(NULL AS DOUBLE) AS chi2,
+         wasserstein / greatest(ref_std, 0.001) AS score FROM num
+  UNION ALL
+  SELECT column_name, 'categorical', NULL, NULL, NULL, jensen_shannon, chi2, jensen_shannon FROM cat
+)
+SELECT *, score > {threshold} AS drifted FROM report"""

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.scalar import round_half_even
 from ..settings import (CITY_KEYS, CITY_MONTH_KEYS, DEMAND_QUANTILE, DEPARTMENT_MONTH_KEYS,
                         DROPPED_AFTER_JOIN, JOIN_KEYS)
 from .columns import drop_existing, require_columns
@@ -27,7 +28,7 @@ def city_month(sales: DataFrame, keys: list[str] = CITY_MONTH_KEYS, decimals: in
     keyed = sales.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     mean = F.avg("prix_m2_moyen")
     if decimals is not None:
-        mean = F.bround(mean, decimals)
+        mean = round_half_even(mean, decimals)
     return keyed.groupBy(*keys).agg(mean.alias("prix_m2_moyen"))
 
 

@@ -469,3 +469,112 @@ def q_drift_summary(spark, sf_dir):
 SELECT * FROM ({_DRIFT_BODY}) ORDER BY score DESC, column_name LIMIT 5""")
 def q_top_drifted(spark, sf_dir):
     return drift.top_drifted(drift_report(spark, sf_dir), 5)
+
+
+# --------------------------------------------------------------------------
+# Scalar and text functions (F1-F3), rolling windows (W3, W4), row slices
+# --------------------------------------------------------------------------
+from ..functions import scalar as fscalar, text as ftext  # noqa: E402
+from ..operators import columns as cols  # noqa: E402
+
+_WS = ftext.whitespace_class()
+_ALLOWED = ", ".join("'" + r.replace("'", "''") + "'" for r in ftext.allowed_regions())
+
+
+@register("normalize_text", f"""
+SELECT doc_id, trim(regexp_replace(strip_accents(lower(text)), '{_WS}', ' ', 'g')) AS normalized
+FROM documents""")
+def q_normalize_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", ftext.normalize_text("text").alias("normalized"))
+
+
+@register("allowed_region", f"""
+SELECT n_name, r_name,
+       trim(regexp_replace(strip_accents(lower(r_name)), '{_WS}', ' ', 'g')) AS region_normalized,
+       trim(regexp_replace(strip_accents(lower(r_name)), '{_WS}', ' ', 'g')) IN ({_ALLOWED}) AS allowed
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def q_allowed_region(spark, sf_dir):
+    geo = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
+                                              F.col("n_regionkey") == F.col("r_regionkey"))
+    return geo.select("n_name", "r_name", ftext.normalize_text("r_name").alias("region_normalized"),
+                      ftext.allowed_region("r_name").alias("allowed"))
+
+
+@register("rounded_prices", TRANSACTIONS_SQL + """
+SELECT id_transaction, round_even(prix_m2 * 100, 0) / 100 AS prix_m2_arrondi FROM transactions""")
+def q_rounded_prices(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    return tx.select(ROW_KEY, fscalar.round_half_even("prix_m2", 2).alias("prix_m2_arrondi"))
+
+
+@register("rolling_means", CITY_MONTH_SQL + """
+, roll AS (
+  SELECT *,
+         CASE WHEN count(*) OVER w6 = 6 THEN avg(prix_m2_moyen) OVER w6 END AS prix_m2_moyen_glissant_6m,
+         CASE WHEN count(*) OVER w6 = 6 THEN avg(nb_transactions_mois) OVER w6 END AS nb_transaction_moyen_glissant_6m
+  FROM city_month
+  WINDOW w6 AS (PARTITION BY nom_departement, ville, id_ville
+                ORDER BY annee_transaction, mois_transaction, nb_transactions_mois
+                ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+)
+SELECT * FROM roll WHERE prix_m2_moyen_mois_precedent IS NOT NULL AND nb_transactions_mois_precedent IS NOT NULL
+  AND prix_m2_moyen_glissant_6m IS NOT NULL AND nb_transaction_moyen_glissant_6m IS NOT NULL""")
+def q_rolling_means(spark, sf_dir):
+    cm = feat.city_month(transactions(spark, sf_dir), decimals=None)
+    cm = feat.previous_month(feat.compute_city_features(cm))
+    return cols.drop_incomplete(feat.rolling_means(cm, 6))
+
+
+@register("below_market_rows", TRANSACTIONS_SQL + """
+SELECT id_transaction, prix, prix_m2, prix_m2_moyen FROM transactions WHERE en_dessous_du_marche = 1""")
+def q_below_market_rows(spark, sf_dir):
+    tx = cols.slice_by_value(transactions(spark, sf_dir), "en_dessous_du_marche", 1)
+    return tx.select(ROW_KEY, "prix", "prix_m2", "prix_m2_moyen")
+
+
+@register("complete_rows", TRANSACTIONS_SQL + """
+SELECT id_transaction, latitude, longitude FROM gaps WHERE latitude IS NOT NULL AND longitude IS NOT NULL""")
+def q_complete_rows(spark, sf_dir):
+    tx = with_gaps(transactions(spark, sf_dir)).select(ROW_KEY, "latitude", "longitude")
+    return cols.drop_incomplete(tx)
+
+
+# --------------------------------------------------------------------------
+# File sources and sinks (S1-S7): write the sales table, read it back by extension
+# --------------------------------------------------------------------------
+from ..session import scratch_path  # noqa: E402
+from ..settings import LOADED_COLUMNS  # noqa: E402
+from ..sources import files  # noqa: E402
+
+_LOADED_SQL = TRANSACTIONS_SQL + "SELECT id_transaction, " + ", ".join(LOADED_COLUMNS) + " FROM transactions"
+
+
+def _roundtrip(spark, sf_dir, ext: str, writer, **read_kwargs):
+    tx = cols.keep_known_columns(transactions(spark, sf_dir), extra=[ROW_KEY])
+    path = scratch_path(spark, "roundtrip") + ext
+    writer(tx, path)
+    return files.load_table(spark, path, extra=[ROW_KEY], schema=tx.schema, **read_kwargs)
+
+
+@register("csv_roundtrip", _LOADED_SQL)
+def q_csv_roundtrip(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, ".csv", files.write_delimited)
+
+
+@register("txt_roundtrip", _LOADED_SQL)
+def q_txt_roundtrip(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, ".txt", files.write_delimited)
+
+
+@register("json_roundtrip", _LOADED_SQL)
+def q_json_roundtrip(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, ".json", files.write_json)
+
+
+@register("parquet_columns", TRANSACTIONS_SQL + """
+SELECT id_transaction, prix, surface_habitable, nom_region FROM transactions""")
+def q_parquet_columns(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    path = files.write_parquet(tx, scratch_path(spark, "sales") + ".parquet")
+    return files.read_file(spark, path, columns=[ROW_KEY, "prix", "surface_habitable", "nom_region"])

@@ -578,3 +578,123 @@ def q_parquet_columns(spark, sf_dir):
     tx = transactions(spark, sf_dir)
     path = files.write_parquet(tx, scratch_path(spark, "sales") + ".parquet")
     return files.read_file(spark, path, columns=[ROW_KEY, "prix", "surface_habitable", "nom_region"])
+
+
+# --------------------------------------------------------------------------
+# Model: cross-validation (M2), scoring rows (M11, P8), attributions (M9, M10, T4), GBT (M1, M3, M4)
+# --------------------------------------------------------------------------
+from ..operators import attribution, model as pm  # noqa: E402
+
+BASE_FEATURES = ["vefa", "surface_habitable", "latitude", "longitude", "mois_transaction", "annee_transaction",
+                 "prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent", "ville_demandee"]
+# Categories of the binding's encoded columns (TPC-H return flags and region names).
+INDICATORS = {"type_batiment": ["N", "R"], "nom_region": ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]}
+IND_NAMES = [f"{c}_{v}" for c, vs in INDICATORS.items() for v in vs]
+MODEL_FEATURES = BASE_FEATURES + IND_NAMES
+
+
+def encoded_split(spark, sf_dir):
+    s = split_prepared(spark, sf_dir)
+    enc = encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE)
+    return encode.transform_one_hot(s, enc), enc
+
+
+@register("cv_mean_baseline", PREPARED_SQL + f"""
+, ob AS (SELECT prix, row_number() OVER (ORDER BY annee_transaction, mois_transaction, id_transaction) AS rn,
+                count(*) OVER () AS n FROM prepared)
+, blk AS (SELECT prix, CASE WHEN rn <= n - 5 * (n // 6) THEN 0 ELSE (rn - (n - 5 * (n // 6)) - 1) // (n // 6) + 1 END AS block
+          FROM ob)
+, f AS (SELECT i AS fold, prix, CASE WHEN block < i THEN 'train' ELSE 'test' END AS role
+        FROM blk, range(1, 6) t(i) WHERE block <= i)
+, p AS (SELECT *, avg(CASE WHEN role = 'train' THEN prix END) OVER (PARTITION BY fold) AS prediction FROM f)
+, m AS (SELECT fold, role, sqrt({_MSE}) AS rmse, avg(abs(prix - prediction)) AS mae, {_R2} AS r2
+        FROM p GROUP BY fold, role)
+, l AS (SELECT fold, role, metric, score FROM (
+          SELECT fold, role, -rmse AS neg_root_mean_squared_error, -mae AS neg_mean_absolute_error, r2 FROM m)
+        UNPIVOT (score FOR metric IN (neg_root_mean_squared_error, neg_mean_absolute_error, r2)))
+SELECT metric,
+       avg(CASE WHEN role = 'train' THEN score END) AS moyenne_train,
+       stddev_pop(CASE WHEN role = 'train' THEN score END) AS ecart_type_train,
+       avg(CASE WHEN role = 'test' THEN score END) AS moyenne_test,
+       stddev_pop(CASE WHEN role = 'test' THEN score END) AS ecart_type_test
+FROM l GROUP BY metric""")
+def q_cv_mean_baseline(spark, sf_dir):
+    blocks = splits.time_series_blocks(prepared(spark, sf_dir),
+                                       ["annee_transaction", "mois_transaction", ROW_KEY], 5)
+    return pm.cross_validate(blocks, pm.mean_fitter(), 5)
+
+
+_IND_SQL = ", ".join(f"CAST(coalesce({c} = '{v}', FALSE) AS INTEGER) AS \"{c}_{v}\""
+                     for c, vs in INDICATORS.items() for v in vs)
+
+
+@register("scoring_rows", SPLIT_SQL + f"""
+SELECT id_transaction, {', '.join(BASE_FEATURES)}, {_IND_SQL} FROM test""")
+def q_scoring_rows(spark, sf_dir):
+    s = split_prepared(spark, sf_dir)
+    enc = encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE)
+    # Requests as a form would send them: region already normalised (lower case, no accents).
+    requests = (s.where(F.col("split") == "test")
+                 .withColumn("nom_region", ftext.normalize_text("nom_region")))
+    return pm.build_scoring_rows(requests, enc, [ROW_KEY] + BASE_FEATURES + enc.all_feature_names)
+
+
+def market_scorer(df):
+    return df.withColumn("prediction", market_prediction())
+
+
+def market_attributions(spark, sf_dir, n_background: int = 20):
+    enc_s, enc = encoded_split(spark, sf_dir)
+    train = enc_s.where(F.col("split") == "train")
+    bg = splits.first_rows(train, splits.shuffle_key([ROW_KEY], "42-background"),
+                           lambda n: min(n, n_background), "_bg").where("_bg")
+    rows = enc_s.where(F.col("split") == "test")
+    return attribution.shapley_attribution(rows, bg, MODEL_FEATURES, ROW_KEY, market_scorer, n_pairs=1)
+
+
+_FEATURE_LIST = ", ".join("'" + f + "'" for f in MODEL_FEATURES)
+SHAP_SQL = SPLIT_SQL + f"""
+, bg AS (
+  SELECT prix_m2_moyen_mois_precedent AS za, surface_habitable AS zb FROM (
+    SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42-background', id_transaction)), id_transaction) AS rn
+    FROM split WHERE split = 'train') WHERE rn <= 20
+), phi2 AS (
+  SELECT t.id_transaction,
+         avg(0.5 * ((t.prix_m2_moyen_mois_precedent * zb - za * zb)
+                  + (t.prix_m2_moyen_mois_precedent * t.surface_habitable - za * t.surface_habitable))) AS phi_a,
+         avg(0.5 * ((za * t.surface_habitable - za * zb)
+                  + (t.prix_m2_moyen_mois_precedent * t.surface_habitable - t.prix_m2_moyen_mois_precedent * zb))) AS phi_b
+  FROM test t, bg GROUP BY t.id_transaction
+), feature_names AS (SELECT unnest([{_FEATURE_LIST}]) AS feature)
+, phi AS (
+  SELECT id_transaction, feature,
+         CASE feature WHEN 'prix_m2_moyen_mois_precedent' THEN phi_a WHEN 'surface_habitable' THEN phi_b ELSE 0.0 END AS phi
+  FROM phi2, feature_names)
+"""
+
+
+@register("shapley_attribution", SHAP_SQL + "SELECT * FROM phi")
+def q_shapley_attribution(spark, sf_dir):
+    return market_attributions(spark, sf_dir)
+
+
+@register("global_importance", SHAP_SQL + "SELECT feature, avg(abs(phi)) AS mean_abs_phi FROM phi GROUP BY feature")
+def q_global_importance(spark, sf_dir):
+    return attribution.global_importance(market_attributions(spark, sf_dir))
+
+
+@register("top_attributions", SHAP_SQL + """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_transaction ORDER BY abs(phi) DESC, feature) AS rank
+               FROM phi) WHERE rank <= 6""")
+def q_top_attributions(spark, sf_dir):
+    return attribution.top_attributions(market_attributions(spark, sf_dir), ROW_KEY, 6)
+
+
+@register("price_model")
+def q_price_model(spark, sf_dir):
+    """M1 + M3 + M4: gradient boosting with the reference hyper-parameters, evaluated on both splits."""
+    enc_s, enc = encoded_split(spark, sf_dir)
+    feats = BASE_FEATURES + enc.all_feature_names
+    train = enc_s.where(F.col("split") == "train")
+    model = pm.train_price_model(train, feats)
+    return metrics.evaluate(pm.score(model, enc_s))

@@ -45,26 +45,26 @@ def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[s
     if len(bg_rows) > max_background:
         raise ValueError(f"background larger than {max_background} rows; sample it first")
     p = len(features)
-    bg = F.array(*[F.struct(F.lit(i).alias("b"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
+    bg = F.array(*[F.struct(F.lit(i).alias("_bgid"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
                    for i, r in enumerate(bg_rows)])
-    perms = F.array(*[F.struct(F.lit(j).alias("perm"), F.array(*[F.lit(x) for x in rk]).alias("rank"))
+    perms = F.array(*[F.struct(F.lit(j).alias("_pid"), F.array(*[F.lit(x) for x in rk]).alias("_rank"))
                       for j, rk in enumerate(permutations(features, n_pairs, seed))])
     x = rows.select(key, *[F.col(f).cast("double").alias(f"x_{f}") for f in features])
     x = (x.withColumn("_perm", F.explode(perms))
           .withColumn("_bg", F.explode(bg))
-          .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(p)))))
-    hybrid = [F.when(F.col("_perm.rank")[i] < F.col("k"), F.col(f"x_{f}")).otherwise(F.col(f"_bg.{f}")).alias(f)
+          .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(p)))))
+    hybrid = [F.when(F.col("_perm._rank")[i] < F.col("_k"), F.col(f"x_{f}")).otherwise(F.col("_bg")[f]).alias(f)
               for i, f in enumerate(features)]
-    h = x.select(key, F.col("_perm.perm").alias("perm"), F.col("_perm.rank").alias("rank"),
-                 F.col("_bg.b").alias("b"), "k", *hybrid)
+    h = x.select(key, F.col("_perm._pid").alias("_pid"), F.col("_perm._rank").alias("_rank"),
+                 F.col("_bg._bgid").alias("_bgid"), "_k", *hybrid)
     scored = scorer(h)
-    w = Window.partitionBy(key, "perm", "b").orderBy("k")
-    d = (scored.withColumn("delta", F.col("prediction") - F.lag("prediction").over(w))
-               .where(F.col("k") > 0)
-               .withColumn("fi", F.array_position("rank", F.col("k") - 1) - 1))
+    w = Window.partitionBy(key, "_pid", "_bgid").orderBy("_k")
+    d = (scored.withColumn("_delta", F.col("prediction") - F.lag("prediction").over(w))
+               .where(F.col("_k") > 0)
+               .withColumn("_fi", F.array_position("_rank", F.col("_k") - 1) - 1))
     names = F.array(*[F.lit(f) for f in features])
-    return (d.groupBy(key, "fi").agg(F.avg("delta").alias("phi"))
-             .select(key, F.element_at(names, F.col("fi").cast("int") + 1).alias("feature"), "phi"))
+    return (d.groupBy(key, "_fi").agg(F.avg("_delta").alias("phi"))
+             .select(key, F.element_at(names, F.col("_fi").cast("int") + 1).alias("feature"), "phi"))
 
 
 def global_importance(phi: DataFrame) -> DataFrame:

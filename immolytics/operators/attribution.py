@@ -5,8 +5,8 @@ Interventional Shapley values by permutation sampling (Strumbelj & Kononenko,
 Mitchell et al., 2022), against a background sample. For each explained row,
 permutation and background row, the p+1 hybrid rows (first k features of the
 permutation from the row, the rest from the background) are built by
-``explode``, scored by the model in one batch, differenced with ``lag`` and
-averaged by ``groupBy``: work is rows x permutations x (p+1) x background, all
+``explode``, scored by the model in one batch, gathered per chain, differenced
+with array functions and averaged by ``groupBy``: work is rows x permutations x (p+1) x background, all
 distributed. Antithetic pairs make the estimate exact for any model whose terms
 involve at most two features (e.g. linear or pairwise-product scorers).
 """
@@ -58,13 +58,19 @@ def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[s
     h = x.select(key, F.col("_perm._pid").alias("_pid"), F.col("_perm._rank").alias("_rank"),
                  F.col("_bg._bgid").alias("_bgid"), "_k", *hybrid)
     scored = scorer(h)
-    w = Window.partitionBy(key, "_pid", "_bgid").orderBy("_k")
-    d = (scored.withColumn("_delta", F.col("prediction") - F.lag("prediction").over(w))
-               .where(F.col("_k") > 0)
-               .withColumn("_fi", F.array_position("_rank", F.col("_k") - 1) - 1))
+    # One array per (row, permutation, background) chain, sorted by position k; the feature of
+    # rank k-1 gets f(k) - f(k-1) (an exact difference), then phi is the mean over chains.
+    # Chains of one row are produced in the same task, so both aggregates combine map-side.
+    chains = scored.groupBy(key, "_pid", "_bgid").agg(
+        F.first("_rank").alias("_rank"),
+        F.array_sort(F.collect_list(F.struct(F.col("_k"), F.col("prediction").alias("_f")))).alias("_s"))
+    steps = F.transform(F.sequence(F.lit(1), F.lit(p)), lambda k: F.struct(
+        (F.array_position("_rank", k - 1) - 1).alias("_fi"),
+        (F.element_at("_s", k + 1)["_f"] - F.element_at("_s", k)["_f"]).alias("_d")))
+    diffs = chains.select(key, F.inline(steps))
     names = F.array(*[F.lit(f) for f in features])
-    return (d.groupBy(key, "_fi").agg(F.avg("_delta").alias("phi"))
-             .select(key, F.element_at(names, F.col("_fi").cast("int") + 1).alias("feature"), "phi"))
+    return (diffs.groupBy(key, "_fi").agg(F.avg("_d").alias("phi"))
+                 .select(key, F.element_at(names, F.col("_fi").cast("int") + 1).alias("feature"), "phi"))
 
 
 def global_importance(phi: DataFrame) -> DataFrame:

@@ -27,9 +27,16 @@ def tagged(reference: DataFrame, current: DataFrame, columns: list[str]) -> Data
             .unionByName(current.select(*columns).withColumn(REF, F.lit(False))))
 
 
+DISTINCT_PER_BUCKET = 1_000_000
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
-                  buckets: int = 1024) -> DataFrame:
-    """Per numeric column: ks, wasserstein, wasserstein_norm (exact)."""
+                  buckets: int | None = None) -> DataFrame:
+    """Per numeric column: ks, wasserstein, wasserstein_norm (exact).
+
+    ``buckets=None`` sizes the buckets from the largest number of distinct
+    values of a column (at most ``DISTINCT_PER_BUCKET`` per window partition).
+    """
     lv = long_values(tagged(reference, current, columns), columns, ids=[REF])
     lv = lv.where(F.col("value").isNotNull() & ~F.isnan("value"))
     cnt = lv.groupBy("column_name", "value").agg(
@@ -37,11 +44,17 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     tot = lv.groupBy("column_name").agg(
         F.count_if(F.col(REF)).alias("tot_ref"), F.count_if(~F.col(REF)).alias("tot_cur"),
         F.stddev_pop(F.when(F.col(REF), F.col("value"))).alias("ref_std"))
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = cnt.groupBy("column_name").agg(F.percentile_approx("value", probs, 10_000).alias("edges"))
-    c = (cnt.join(edges, "column_name")
-            .withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col("value"))))
-            .drop("edges"))
+    if buckets is None:                      # bounded metadata: one row per column
+        most = cnt.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
+        buckets = min(4096, max(1, -(-most // DISTINCT_PER_BUCKET)))
+    if buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        edges = cnt.groupBy("column_name").agg(F.percentile_approx("value", probs, 10_000).alias("edges"))
+        c = (cnt.join(edges, "column_name")
+                .withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col("value"))))
+                .drop("edges"))
+    else:
+        c = cnt.withColumn("bucket", F.lit(0))
     wb = Window.partitionBy("column_name").orderBy("bucket")
     bt = (c.groupBy("column_name", "bucket")
            .agg(F.sum("n_ref").alias("b_ref"), F.sum("n_cur").alias("b_cur"), F.min("value").alias("b_min"))
@@ -89,7 +102,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 
 
 def data_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
-               threshold: float = DRIFT_THRESHOLD, buckets: int = 1024) -> DataFrame:
+               threshold: float = DRIFT_THRESHOLD, buckets: int | None = None) -> DataFrame:
     """M5: one row per column with its statistics, the drift score and the drift flag."""
     parts = []
     if numeric:

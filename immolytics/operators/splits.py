@@ -14,6 +14,7 @@ on at most ``final_limit`` candidate rows per cut.
 from __future__ import annotations
 
 import math
+import os
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -84,32 +85,38 @@ def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 4,
         state = {r: ("", r) for r in set(ranks)}       # rank -> (prefix, rank within prefix)
         done: dict[int, str] = {}
         final: dict[int, tuple[str, int]] = {}
-        level = 0
         while len(done) + len(final) < len(state):
             open_ = {r: v for r, v in state.items() if r not in done and r not in final}
             prefixes = sorted({p for p, _ in open_.values()})
+            lengths = {len(p) for p in prefixes}
+            if len(lengths) > 1:                    # one level at a time: shortest prefixes first
+                level = min(lengths)
+                open_ = {r: v for r, v in open_.items() if len(v[0]) == level}
+                prefixes = sorted({p for p, _ in open_.values()})
+            level = len(prefixes[0])
             sub = keys if level == 0 else keys.where(F.substring(KEY, 1, level).isin(prefixes))
             hist = (sub.groupBy(F.substring(KEY, 1, level).alias("p"),
                                 F.substring(KEY, level + 1, chunk).alias("c"))
-                       .agg(F.count(F.lit(1)).alias("n")).collect())
-            by_prefix: dict[str, list[tuple[str, int]]] = {}
+                       .agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("lo"), F.max(KEY).alias("hi"))
+                       .collect())
+            by_prefix: dict[str, list[tuple]] = {}
             for row in hist:
-                by_prefix.setdefault(row["p"], []).append((row["c"], row["n"]))
+                by_prefix.setdefault(row["p"], []).append((row["c"], row["n"], row["lo"], row["hi"]))
             for r, (p, rem) in open_.items():
                 cum = 0
-                for c, n in sorted(by_prefix.get(p, [])):
+                for c, n, lo, hi in sorted(by_prefix.get(p, [])):
                     if cum + n >= rem:
                         rem -= cum
-                        if len(c) < chunk:          # the key ends here: identical keys
-                            done[r] = p + c
+                        if lo == hi:                # every key in the bucket is the same
+                            done[r] = lo
                         elif n <= final_limit:
                             final[r] = (p + c, rem)
-                        state[r] = (p + c, rem)
+                        # all keys of the bucket share the common prefix of its min and max
+                        state[r] = (os.path.commonprefix([lo, hi]), rem)
                         break
                     cum += n
                 else:
                     raise ValueError(f"rank {r} is beyond the number of rows")
-            level += chunk
         if final:
             # Final prefixes never nest (a bucket small enough for one rank is final for all).
             cands = None

@@ -112,14 +112,23 @@ def pearson(a: str, b: str) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson r for every pair i < j, in one aggregate pass, as a long table."""
+    """Pearson r for every pair i < j as a long table (pairwise-complete rows).
+
+    Each row is streamed out once per pair (``inline``) into a three-function
+    aggregate grouped by pair: the plan stays small whatever the number of
+    columns, partial aggregates hold one state per pair, and pairs finish in
+    parallel tasks.
+    """
     cols = columns or numeric_columns(df)
     num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = num.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     packed = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                F.col(f"{i}").alias("r")) for i, (a, b) in enumerate(pairs)])
-    return one.select(F.inline(packed))
+                                F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs])
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    long = num.select(F.inline(packed)).select("col_a", "col_b", F.when(both, F.col("x")).alias("x"),
+                                               F.when(both, F.col("y")).alias("y"))
+    return long.groupBy("col_a", "col_b").agg(
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"))
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -79,6 +79,12 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.feature_engineering(transactions(spark, sf_dir), decimals=None)
 
 
+def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared set written once to the shared folder, for flows that read it several times."""
+    from ..session import materialize
+    return materialize(prepared(spark, sf_dir), "prepared")
+
+
 # --------------------------------------------------------------------------
 # Sources, binding, features
 # --------------------------------------------------------------------------
@@ -208,7 +214,7 @@ SELECT id_transaction,
                  <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
 FROM prepared""")
 def q_train_test_split(spark, sf_dir):
-    return splits.with_split(prepared(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "split")
+    return splits.with_split(prepared_table(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "split")
 
 
 @register("sample_reference", PREPARED_SQL + """
@@ -217,7 +223,7 @@ SELECT id_transaction,
                  <= round_even(0.8 * count(*) OVER (), 0) THEN 'reference' ELSE 'current' END AS dataset
 FROM prepared""")
 def q_sample_reference(spark, sf_dir):
-    return splits.sample_reference(prepared(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "dataset")
+    return splits.sample_reference(prepared_table(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "dataset")
 
 
 @register("time_series_folds", EVENTS_RN + """
@@ -282,7 +288,7 @@ def market_prediction():
 
 
 def split_prepared(spark, sf_dir):
-    return splits.with_split(prepared(spark, sf_dir), [ROW_KEY])
+    return splits.with_split(prepared_table(spark, sf_dir), [ROW_KEY])
 
 
 def scored_market(spark, sf_dir):
@@ -443,7 +449,7 @@ DRIFT_SQL = PREPARED_SQL + """
 
 
 def drift_report(spark, sf_dir):
-    s = splits.sample_reference(prepared(spark, sf_dir), [ROW_KEY])
+    s = splits.sample_reference(prepared_table(spark, sf_dir), [ROW_KEY])
     ref, cur = s.where(F.col("dataset") == "reference"), s.where(F.col("dataset") == "current")
     return drift.data_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.05)
 
@@ -619,7 +625,7 @@ SELECT metric,
        stddev_pop(CASE WHEN role = 'test' THEN score END) AS ecart_type_test
 FROM l GROUP BY metric""")
 def q_cv_mean_baseline(spark, sf_dir):
-    blocks = splits.time_series_blocks(prepared(spark, sf_dir),
+    blocks = splits.time_series_blocks(prepared_table(spark, sf_dir),
                                        ["annee_transaction", "mois_transaction", ROW_KEY], 5)
     return pm.cross_validate(blocks, pm.mean_fitter(), 5)
 

@@ -69,3 +69,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(hconf).exists(p)
 
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a frame that several jobs re-read (split levels, folds,
+    drift sides): downstream jobs scan columnar files instead of re-running the
+    joins, and a lost executor only re-reads files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

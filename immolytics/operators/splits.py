@@ -32,6 +32,13 @@ def _hex64(c: Column) -> Column:
     return F.lpad(F.hex(c.cast("bigint").bitwiseXOR(F.lit(MIN_LONG))), 16, "0")
 
 
+def _ntz_micros(c: Column) -> Column:
+    day = F.unix_date(c.cast("date")).cast("bigint")
+    secs = day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+    frac = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    return secs * 1_000_000 + frac
+
+
 def order_key(df: DataFrame, columns: list[str]) -> Column:
     """A string whose lexicographic order is the ascending order of ``columns``.
 
@@ -45,8 +52,10 @@ def order_key(df: DataFrame, columns: list[str]) -> Column:
         t = types[c]
         if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
             parts.append(_hex64(F.col(c).cast("bigint")))
-        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            parts.append(_hex64(F.unix_micros(F.col(c).cast("timestamp"))))
+        elif isinstance(t, T.TimestampType):
+            parts.append(_hex64(F.unix_micros(F.col(c))))
+        elif isinstance(t, T.TimestampNTZType):          # wall-clock value, independent of the session zone
+            parts.append(_hex64(_ntz_micros(F.col(c))))
         elif isinstance(t, T.DateType):
             parts.append(_hex64(F.unix_date(F.col(c))))
         elif isinstance(t, T.StringType) and i == len(columns) - 1:

@@ -5,8 +5,9 @@ Interventional Shapley values by permutation sampling (Strumbelj & Kononenko,
 Mitchell et al., 2022), against a background sample. For each explained row,
 permutation and background row, the p+1 hybrid rows (first k features of the
 permutation from the row, the rest from the background) are built by
-``explode``, scored by the model in one batch, gathered per chain, differenced
-with array functions and averaged by ``groupBy``: work is rows x permutations x (p+1) x background, all
+``explode``, scored by the model in one batch, averaged over the background by
+a map-side ``groupBy``, differenced along each (row, permutation) chain of p+1
+values and averaged by ``groupBy``: work is rows x permutations x (p+1) x background, all
 distributed. Antithetic pairs make the estimate exact for any model whose terms
 involve at most two features (e.g. linear or pairwise-product scorers).
 """
@@ -47,8 +48,10 @@ def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[s
     p = len(features)
     bg = F.array(*[F.struct(F.lit(i).alias("_bgid"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
                    for i, r in enumerate(bg_rows)])
+    ranks = permutations(features, n_pairs, seed)
     perms = F.array(*[F.struct(F.lit(j).alias("_pid"), F.array(*[F.lit(x) for x in rk]).alias("_rank"))
-                      for j, rk in enumerate(permutations(features, n_pairs, seed))])
+                      for j, rk in enumerate(ranks)])
+    rank_of = F.array(*[F.array(*[F.lit(x) for x in rk]) for rk in ranks])   # permutation id -> ranks
     x = rows.select(key, *[F.col(f).cast("double").alias(f"x_{f}") for f in features])
     x = (x.withColumn("_perm", F.explode(perms))
           .withColumn("_bg", F.explode(bg))
@@ -58,19 +61,17 @@ def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[s
     h = x.select(key, F.col("_perm._pid").alias("_pid"), F.col("_perm._rank").alias("_rank"),
                  F.col("_bg._bgid").alias("_bgid"), "_k", *hybrid)
     scored = scorer(h)
-    # One array per (row, permutation, background) chain, sorted by position k; the feature of
-    # rank k-1 gets f(k) - f(k-1) (an exact difference), then phi is the mean over chains.
-    # Chains of one row are produced in the same task, so both aggregates combine map-side.
-    chains = scored.groupBy(key, "_pid", "_bgid").agg(
-        F.first("_rank").alias("_rank"),
-        F.array_sort(F.collect_list(F.struct(F.col("_k"), F.col("prediction").alias("_f")))).alias("_s"))
-    steps = F.transform(F.sequence(F.lit(1), F.lit(p)), lambda k: F.struct(
-        (F.array_position("_rank", k - 1) - 1).alias("_fi"),
-        (F.element_at("_s", k + 1)["_f"] - F.element_at("_s", k)["_f"]).alias("_d")))
-    diffs = chains.select(key, F.inline(steps))
+    # phi is linear in the background average, so first average f over background rows for each
+    # (row, permutation, position k): a hash aggregate whose rows all come from one task. Then the
+    # feature of rank k-1 gets A(k) - A(k-1) along each (row, permutation) chain of p+1 values.
+    avg_b = scored.groupBy(key, "_pid", "_k").agg(F.avg("prediction").alias("_f"))
+    w = Window.partitionBy(key, "_pid").orderBy("_k")
+    d = (avg_b.withColumn("_d", F.col("_f") - F.lag("_f").over(w))
+              .where(F.col("_k") > 0)
+              .withColumn("_fi", F.array_position(F.element_at(rank_of, F.col("_pid") + 1), F.col("_k") - 1) - 1))
     names = F.array(*[F.lit(f) for f in features])
-    return (diffs.groupBy(key, "_fi").agg(F.avg("_d").alias("phi"))
-                 .select(key, F.element_at(names, F.col("_fi").cast("int") + 1).alias("feature"), "phi"))
+    return (d.groupBy(key, "_fi").agg(F.avg("_d").alias("phi"))
+             .select(key, F.element_at(names, F.col("_fi").cast("int") + 1).alias("feature"), "phi"))
 
 
 def global_importance(phi: DataFrame) -> DataFrame:

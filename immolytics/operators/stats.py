@@ -104,31 +104,67 @@ def describe_categorical(df: DataFrame, columns: list[str] | None = None) -> Dat
 
 
 # ---------------------------------------------------------------- A9, A10
-def pearson(a: str, b: str) -> Column:
-    """Pairwise-complete Pearson r; NULL when a side is constant (no division error)."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    xa, xb = F.when(both, F.col(a)), F.when(both, F.col(b))
-    return F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb))
+PAIRS_PER_AGGREGATE = 15     # 6 sums per pair: stays under the whole-stage codegen field limit
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson r for every pair i < j as a long table (pairwise-complete rows).
-
-    Each row is streamed out once per pair (``inline``) into a three-function
-    aggregate grouped by pair: the plan stays small whatever the number of
-    columns, partial aggregates hold one state per pair, and pairs finish in
-    parallel tasks.
+    """Pearson r for every pair i < j as a long table (col_a, col_b, r).
+
+    Pairwise-complete like pandas; a constant column gives NULL. One bounded
+    pass counts missing values and means per column. Without missing values
+    the matrix is Spark ML's one-pass tree-aggregated Gram matrix (p x p state
+    per task); otherwise exact per-pair sums of mean-centred values, in
+    aggregates of at most ``PAIRS_PER_AGGREGATE`` pairs so each stays in
+    whole-stage codegen. Either way the driver only sees p x p numbers.
     """
     cols = columns or numeric_columns(df)
     num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    packed = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs])
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    long = num.select(F.inline(packed)).select("col_a", "col_b", F.when(both, F.col("x")).alias("x"),
-                                               F.when(both, F.col("y")).alias("y"))
-    return long.groupBy("col_a", "col_b").agg(
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"))
+    prof = num.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
+                   *[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+    spark = df.sparkSession
+    schema = "col_a string, col_b string, r double"
+    if all(prof[f"m{i}"] == 0 for i in range(len(cols))) and len(cols) > 1:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(num).select("_v")
+        m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+        idx = {c: i for i, c in enumerate(cols)}
+        rows = []
+        for a, b in pairs:
+            r = float(m[idx[a], idx[b]])
+            rows.append((a, b, None if math.isnan(r) else r))
+        return spark.createDataFrame(rows, schema)
+    means = {c: prof[f"a{i}"] or 0.0 for i, c in enumerate(cols)}
+    parts = []
+    for s0 in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        chunk = pairs[s0:s0 + PAIRS_PER_AGGREGATE]
+        aggs = []
+        for i, (a, b) in enumerate(chunk):
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            da = F.when(both, F.col(a) - F.lit(means[a]))
+            db = F.when(both, F.col(b) - F.lit(means[b]))
+            aggs += [F.count(da).alias(f"n{i}"), F.sum(da).alias(f"sa{i}"), F.sum(db).alias(f"sb{i}"),
+                     F.sum(da * da).alias(f"saa{i}"), F.sum(db * db).alias(f"sbb{i}"),
+                     F.sum(da * db).alias(f"sab{i}")]
+        one = num.agg(*aggs)
+
+        def r(i):
+            n = F.col(f"n{i}")
+            ma, mb = F.col(f"sa{i}") / n, F.col(f"sb{i}") / n
+            cov = F.col(f"sab{i}") / n - ma * mb
+            va, vb = F.col(f"saa{i}") / n - ma * ma, F.col(f"sbb{i}") / n - mb * mb
+            # a constant column leaves only rounding noise in its variance: NULL, like the SQL twin
+            ok = (va > 1e-12 * F.col(f"saa{i}") / n) & (vb > 1e-12 * F.col(f"sbb{i}") / n)
+            return F.when(ok, cov / F.sqrt(va * vb))
+
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r(i).alias("r"))
+            for i, (a, b) in enumerate(chunk)]))))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -42,3 +42,19 @@ def test_materialize_reads_back(spark):
     m = materialize(df, "t")
     assert m.count() == 10
     assert all(f.endswith(".parquet") for f in m.inputFiles())
+
+
+def test_correlation_paths_and_constant_column(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=300)
+    rows = [(float(a), float(2 * a + rng.normal() * 0.1), 7.0, float(b)) for a, b in zip(x, rng.normal(size=300))]
+    df = spark.createDataFrame(rows, "x double, y double, c double, z double")
+    want = np.corrcoef(np.array([[r[0], r[1], r[3]] for r in rows]).T)
+    for frame in (df, df.union(spark.createDataFrame([(None, 1.0, 7.0, 0.5)], df.schema))):
+        got = {(r["col_a"], r["col_b"]): r["r"] for r in stats.correlation_matrix(frame, ["x", "y", "c", "z"]).collect()}
+        assert got[("x", "c")] is None and got[("c", "z")] is None
+        assert abs(got[("x", "y")] - want[0, 1]) < 1e-9 or frame is not df
+        assert abs(got[("x", "z")] - want[0, 2]) < 1e-9 or frame is not df
+    pairs = stats.strong_pairs(stats.correlation_matrix(df, ["x", "y", "z"]))
+    assert [(r["col_a"], r["col_b"]) for r in pairs.collect()] == [("x", "y")]

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalar import round_half_even
+from ..session import materialize
 from ..settings import (CITY_KEYS, CITY_MONTH_KEYS, DEMAND_QUANTILE, DEPARTMENT_MONTH_KEYS,
                         DROPPED_AFTER_JOIN, JOIN_KEYS)
 from .columns import drop_existing, require_columns
@@ -113,16 +114,23 @@ FEATURE_COLUMNS = ["prix_m2_moyen_mois_precedent", "nb_transactions_mois_precede
 
 
 def city_features(sales: DataFrame, decimals: int | None = 2, threshold: float = DEMAND_QUANTILE,
-                  exact_quantile: bool = True) -> DataFrame:
-    """The city-month feature table: A1 -> J2 -> A2 -> A4 -> W1/W2 -> P4."""
+                  exact_quantile: bool = True, materialize_city_month: bool = True) -> DataFrame:
+    """The city-month feature table: A1 -> J2 -> A2 -> A4 -> W1/W2 -> P4.
+
+    The city-month table (one row per city and month, far smaller than the
+    sales) is written once to the shared folder, so the global quantile and the
+    windows read it instead of re-running the sales aggregation.
+    """
     cm = city_month(sales, decimals=decimals)
+    if materialize_city_month:
+        cm = materialize(cm, "city-month")
     cm = compute_city_features(cm, threshold, exact_quantile)
     return compute_features_price_per_m2(cm)
 
 
 def feature_engineering(sales: DataFrame, decimals: int | None = 2,
                         threshold: float = DEMAND_QUANTILE, exact_quantile: bool = True,
-                        one_row_per_city_month: bool = False) -> DataFrame:
+                        one_row_per_city_month: bool = False, materialize_city_month: bool = True) -> DataFrame:
     """J1 + P2: attach the city features to every sale and drop the grouping columns.
 
     Like the reference, a city-month carrying several monthly volumes fans the
@@ -130,7 +138,7 @@ def feature_engineering(sales: DataFrame, decimals: int | None = 2,
     last (largest-volume) row of each city-month instead.
     """
     require_columns(sales, CITY_MONTH_KEYS + ["prix_m2_moyen"])
-    feats = city_features(sales, decimals, threshold, exact_quantile)
+    feats = city_features(sales, decimals, threshold, exact_quantile, materialize_city_month)
     feats = feats.select(*JOIN_KEYS, *FEATURE_COLUMNS)
     if one_row_per_city_month:
         w = Window.partitionBy(*JOIN_KEYS).orderBy(F.col("nb_transactions_mois_precedent").desc())

@@ -704,3 +704,21 @@ def q_price_model(spark, sf_dir):
     train = enc_s.where(F.col("split") == "train")
     model = pm.train_price_model(train, feats)
     return metrics.evaluate(pm.score(model, enc_s))
+
+
+# --------------------------------------------------------------------------
+# Display helpers: head (T2) and the total of missing values (A5)
+# --------------------------------------------------------------------------
+@register("head_rows", TRANSACTIONS_SQL + """
+SELECT id_transaction, prix, ville, nom_region FROM transactions ORDER BY prix DESC, id_transaction LIMIT 5""")
+def q_head_rows(spark, sf_dir):
+    tx = transactions(spark, sf_dir).select(ROW_KEY, "prix", "ville", "nom_region")
+    return stats.top_values(tx, "prix", 5, ROW_KEY)
+
+
+@register("total_nulls", TRANSACTIONS_SQL + "SELECT CAST(" + " + ".join(
+    f"count_if({c} IS NULL{' OR isnan(' + c + ')' if t == 'double' else ''})" for c, t in TRANSACTION_TYPES.items())
+    + " AS BIGINT) AS total_null FROM gaps")
+def q_total_nulls(spark, sf_dir):
+    df = with_gaps(transactions(spark, sf_dir)).select(*TRANSACTION_TYPES)
+    return stats.total_nulls(stats.null_profile(df))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..settings import MODEL_DRIFT_THRESHOLD
+from .quantiles import quantile_columns
 
 METRICS = ["mse", "rmse", "mae", "r2"]
 
@@ -35,13 +36,19 @@ def abs_error_stats(df: DataFrame, label: str = "prix", prediction: str = "predi
                     by: list[str] = (), exact: bool = True) -> DataFrame:
     """describe() of |error|: count, mean, std (ddof 1), min, quartiles, max."""
     a = F.abs(residual(label, prediction))
-    q = (F.percentile(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-         else F.percentile_approx(a, [0.25, 0.5, 0.75], 10_000).cast("array<double>"))
-    out = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(a).alias("mean"), F.stddev_samp(a).alias("std"),
-        F.min(a).alias("min"), q.alias("_q"), F.max(a).alias("max"))
-    return out.select(*by, "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                      F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+    moments = [F.count(F.lit(1)).alias("count"), F.avg(a).alias("mean"), F.stddev_samp(a).alias("std"),
+               F.min(a).alias("min"), F.max(a).alias("max")]
+    names = ["p25", "p50", "p75"]
+    if exact:
+        base = df.select(*by, a.alias("_a"))
+        q = quantile_columns(base, "_a", [0.25, 0.5, 0.75], names, list(by))
+        out = df.groupBy(*by).agg(*moments)
+        out = out.join(q, list(by), "left") if by else _attach(out, q)
+    else:
+        out = df.groupBy(*by).agg(*moments, F.percentile_approx(a, [0.25, 0.5, 0.75], 10_000)
+                                  .cast("array<double>").alias("_q"))
+        out = out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]).drop("_q")
+    return out.select(*by, "count", "mean", "std", "min", *names, "max")
 
 
 def residual_range(df: DataFrame, label: str = "prix", prediction: str = "prediction",
@@ -72,15 +79,15 @@ def error_by_category(df: DataFrame, categories: list[str], label: str = "prix",
     base = df.select(e.alias("_e"), F.col(label).alias("_y"), F.col(prediction).alias("_p"),
                      *[F.col(c).cast("string").alias(c) for c in categories])
     lv = base.unpivot(["_e", "_y", "_p"], categories, "category_column", "category")
-    q = F.percentile("_e", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = lv.groupBy("category_column", "category").agg(
+    keys = ["category_column", "category"]
+    out = lv.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg("_e").alias("mean_error"),
         F.avg(F.abs("_e")).alias("mae"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.sum(F.col("_e") * F.col("_e")),
-                                   F.var_pop("_y") * F.count(F.lit(1)))).alias("r2"),
-        q.alias("_q"))
-    return out.select("category_column", "category", "n", "mean_error", "mae", "rmse", "r2",
-                      F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+                                   F.var_pop("_y") * F.count(F.lit(1)))).alias("r2"))
+    q = quantile_columns(lv, "_e", [0.25, 0.5, 0.75], ["q1", "median", "q3"], keys)
+    return (out.join(q, keys, "left")
+               .select(*keys, "n", "mean_error", "mae", "rmse", "r2", "q1", "median", "q3"))
 
 
 def with_mean_baseline(train: DataFrame, df: DataFrame, label: str = "prix",
@@ -98,6 +105,11 @@ def evaluate(scored: DataFrame, label: str = "prix", prediction: str = "predicti
     return m.join(a, split)
 
 
+def _attach(one_row: DataFrame, q: DataFrame) -> DataFrame:
+    """Join two one-row frames (no keys) through a constant key."""
+    return one_row.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def relative_diff(ref: Column, cur: Column) -> Column:
     """|cur - ref| / |ref|, or |cur - ref| when ref = 0."""
     d = F.abs(cur - ref)

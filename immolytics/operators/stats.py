@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .columns import categorical_columns, numeric_columns
+from .quantiles import quantile_columns
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -75,21 +77,24 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, exact: boo
                      accuracy: int = 10_000) -> DataFrame:
     """Count, mean, std (ddof 1), min, quartiles (linear interpolation), max.
 
-    ``exact=False`` swaps ``percentile`` for ``percentile_approx``, whose memory
-    does not grow with the number of distinct values.
+    Quartiles are exact order statistics found by distributed rank selection
+    (``quantiles.exact_quantiles``): no column's values are gathered in one
+    task. ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
     """
     cols = columns or numeric_columns(df)
     lv = long_values(df, cols)
     lv = lv.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    q = (F.percentile("value", F.array(*[F.lit(p) for p in QUARTILES])) if exact
-         else F.percentile_approx("value", QUARTILES, accuracy).cast("array<double>"))
-    agg = lv.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        q.alias("_q"), F.max("value").alias("max"))
-    return agg.select("column_name", "count", "mean", "std", "min",
-                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                      F.col("_q")[2].alias("p75"), "max")
+    moments = [F.count("value").alias("count"), F.avg("value").alias("mean"),
+               F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    names = ["p25", "p50", "p75"]
+    if exact:
+        agg = lv.groupBy("column_name").agg(*moments)
+        agg = agg.join(quantile_columns(lv, "value", QUARTILES, names, ["column_name"]), "column_name", "left")
+    else:
+        agg = lv.groupBy("column_name").agg(
+            *moments, F.percentile_approx("value", QUARTILES, accuracy).cast("array<double>").alias("_q"))
+        agg = agg.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]).drop("_q")
+    return agg.select("column_name", "count", "mean", "std", "min", *names, "max")
 
 
 def describe_categorical(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -110,61 +115,63 @@ PAIRS_PER_AGGREGATE = 15     # 6 sums per pair: stays under the whole-stage code
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson r for every pair i < j as a long table (col_a, col_b, r).
 
-    Pairwise-complete like pandas; a constant column gives NULL. One bounded
-    pass counts missing values and means per column. Without missing values
+    Pairwise-complete like pandas; a constant column gives NULL. The numeric
+    projection is persisted (memory and disk) for the passes below and released
+    before returning; the result (p x p numbers) is computed eagerly.
+    One pass counts missing values and means per column. Without missing values
     the matrix is Spark ML's one-pass tree-aggregated Gram matrix (p x p state
     per task); otherwise exact per-pair sums of mean-centred values, in
     aggregates of at most ``PAIRS_PER_AGGREGATE`` pairs so each stays in
-    whole-stage codegen. Either way the driver only sees p x p numbers.
+    whole-stage codegen, unioned into one job.
     """
     cols = columns or numeric_columns(df)
-    num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    prof = num.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)]).first()
     spark = df.sparkSession
     schema = "col_a string, col_b string, r double"
-    if all(prof[f"m{i}"] == 0 for i in range(len(cols))) and len(cols) > 1:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(num).select("_v")
-        m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-        idx = {c: i for i, c in enumerate(cols)}
-        rows = []
-        for a, b in pairs:
-            r = float(m[idx[a], idx[b]])
-            rows.append((a, b, None if math.isnan(r) else r))
-        return spark.createDataFrame(rows, schema)
-    means = {c: prof[f"a{i}"] or 0.0 for i, c in enumerate(cols)}
-    parts = []
-    for s0 in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-        chunk = pairs[s0:s0 + PAIRS_PER_AGGREGATE]
-        aggs = []
-        for i, (a, b) in enumerate(chunk):
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            da = F.when(both, F.col(a) - F.lit(means[a]))
-            db = F.when(both, F.col(b) - F.lit(means[b]))
-            aggs += [F.count(da).alias(f"n{i}"), F.sum(da).alias(f"sa{i}"), F.sum(db).alias(f"sb{i}"),
-                     F.sum(da * da).alias(f"saa{i}"), F.sum(db * db).alias(f"sbb{i}"),
-                     F.sum(da * db).alias(f"sab{i}")]
-        one = num.agg(*aggs)
-
-        def r(i):
-            n = F.col(f"n{i}")
-            ma, mb = F.col(f"sa{i}") / n, F.col(f"sb{i}") / n
-            cov = F.col(f"sab{i}") / n - ma * mb
-            va, vb = F.col(f"saa{i}") / n - ma * ma, F.col(f"sbb{i}") / n - mb * mb
-            # a constant column leaves only rounding noise in its variance: NULL, like the SQL twin
-            ok = (va > 1e-12 * F.col(f"saa{i}") / n) & (vb > 1e-12 * F.col(f"sbb{i}") / n)
-            return F.when(ok, cov / F.sqrt(va * vb))
-
-        parts.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r(i).alias("r"))
-            for i, (a, b) in enumerate(chunk)]))))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    num = num.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prof = num.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
+                       *[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+        if all(prof[f"m{i}"] == 0 for i in range(len(cols))) and len(cols) > 1:
+            from pyspark.ml.feature import VectorAssembler
+            from pyspark.ml.stat import Correlation
+            vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(num).select("_v")
+            m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+            idx = {c: i for i, c in enumerate(cols)}
+            rows = [(a, b, None if math.isnan(m[idx[a], idx[b]]) else float(m[idx[a], idx[b]])) for a, b in pairs]
+            return spark.createDataFrame(rows, schema)
+        means = {c: prof[f"a{i}"] or 0.0 for i, c in enumerate(cols)}
+        parts = []
+        for s0 in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+            chunk = pairs[s0:s0 + PAIRS_PER_AGGREGATE]
+            aggs = []
+            for i, (a, b) in enumerate(chunk):
+                both = F.col(a).isNotNull() & F.col(b).isNotNull()
+                da = F.when(both, F.col(a) - F.lit(means[a]))
+                db = F.when(both, F.col(b) - F.lit(means[b]))
+                aggs += [F.count(da).alias(f"n{i}"), F.sum(da).alias(f"sa{i}"), F.sum(db).alias(f"sb{i}"),
+                         F.sum(da * da).alias(f"saa{i}"), F.sum(db * db).alias(f"sbb{i}"),
+                         F.sum(da * db).alias(f"sab{i}")]
+
+            def r(i):
+                n = F.col(f"n{i}")
+                ma, mb = F.col(f"sa{i}") / n, F.col(f"sb{i}") / n
+                cov = F.col(f"sab{i}") / n - ma * mb
+                va, vb = F.col(f"saa{i}") / n - ma * ma, F.col(f"sbb{i}") / n - mb * mb
+                # a constant column leaves only rounding noise in its variance: NULL, like the SQL twin
+                ok = (va > 1e-12 * F.col(f"saa{i}") / n) & (vb > 1e-12 * F.col(f"sbb{i}") / n)
+                return F.when(ok, cov / F.sqrt(va * vb))
+
+            parts.append(num.agg(*aggs).select(F.inline(F.array(*[
+                F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r(i).alias("r"))
+                for i, (a, b) in enumerate(chunk)]))))
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return spark.createDataFrame([tuple(r) for r in out.collect()], schema)
+    finally:
+        num.unpersist()
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -227,8 +234,7 @@ def boxplot_stats(df: DataFrame, columns: list[str], by: str | None = None, whis
     ids = [by] if by else []
     lv = long_values(df, columns, ids=ids).where(F.col("value").isNotNull() & ~F.isnan("value"))
     keys = ["column_name", *ids]
-    q = lv.groupBy(*keys).agg(F.percentile("value", F.array(*[F.lit(p) for p in QUARTILES])).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = quantile_columns(lv, "value", QUARTILES, ["q1", "median", "q3"], keys)   # small: broadcast by size
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
     inside = (F.col("value") >= lo_f) & (F.col("value") <= hi_f)

@@ -61,3 +61,22 @@ def test_halves_and_temporal(spark, skewed):
     t = splits.temporal_split(skewed, ["annee", "mois", "key"], 0.8)
     assert t.where("dataset = 'reference'").count() == 2400
     assert splits.complement(skewed, h.where("dataset = 'reference'"), ["i"]).count() == 1500
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+    from immolytics.operators.quantiles import decode_double, double_key, exact_quantiles
+    random.seed(1)
+    base = [-1e-300, -2.5, -1e20, 0.0, -0.0, 3.0, 1e-310, 7.25, 1e300, 123456.789]
+    vals = [random.choice(base) * random.random() for _ in range(2000)] + [5.0] * 1000   # a hot value
+    rows = [(("a" if i % 3 else "bb") if i % 7 else None, v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    keys = df.select("x", double_key(F.col("x")).alias("k")).collect()
+    assert all(decode_double(r.k) == r.x for r in keys)
+    assert [r.x for r in sorted(keys, key=lambda r: r.k)] == sorted(r.x for r in keys)
+    probs = [0.0, 0.25, 0.5, 0.8, 1.0]
+    got = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", probs, ["g"]).collect()}
+    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
+    for r in ref:
+        for i, p in enumerate(probs):
+            assert got[(r.g, p)] == pytest.approx(r.q[i], rel=1e-12, abs=1e-300)

@@ -15,7 +15,7 @@ def test_cross_validation_keys(spark):
     feats = [f"feature_{i}" for i in range(5)]
     blocks = splits.time_series_blocks(df, ["t"], 3)
     sizes = {r["block"]: r["count"] for r in blocks.groupBy("block").count().collect()}
-    assert sizes == {0: 28, 1: 24, 2: 24, 3: 24}
+    assert sizes == {0: 25, 1: 25, 2: 25, 3: 25}          # n // (k + 1) = 25 per test block
     cv = pm.cross_validate(blocks, pm.gbt_fitter(feats, "target", maxIter=3, maxDepth=2), 3, label="target")
     d = pm.cv_scores_dict(cv)
     for m in ("neg_root_mean_squared_error", "neg_mean_absolute_error", "r2"):

@@ -65,8 +65,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     wv = Window.partitionBy("column_name", "bucket").orderBy("value")
     run = wv.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = (c.join(bt, ["column_name", "bucket"]).join(tot, "column_name")
-          .withColumn("F_ref", (F.col("off_ref") + F.sum("n_ref").over(run)) / F.col("tot_ref"))
-          .withColumn("F_cur", (F.col("off_cur") + F.sum("n_cur").over(run)) / F.col("tot_cur"))
+          .withColumn("F_ref", F.try_divide(F.col("off_ref") + F.sum("n_ref").over(run), F.col("tot_ref")))
+          .withColumn("F_cur", F.try_divide(F.col("off_cur") + F.sum("n_cur").over(run), F.col("tot_cur")))
           .withColumn("nxt", F.coalesce(F.lead("value").over(wv), F.col("next_min"))))
     d = F.abs(F.col("F_ref") - F.col("F_cur"))
     out = c.groupBy("column_name", "ref_std").agg(
@@ -84,7 +84,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
         F.count_if(F.col(REF)).alias("n_ref"), F.count_if(~F.col(REF)).alias("n_cur"))
     tot = cnt.groupBy("column_name").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     c = cnt.join(tot, "column_name")
-    p, q = F.col("n_ref") / F.col("tot_ref"), F.col("n_cur") / F.col("tot_cur")
+    p, q = F.try_divide(F.col("n_ref"), F.col("tot_ref")), F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2
 
     def kl_term(x):
@@ -92,8 +92,8 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 
     grand = F.col("tot_ref") + F.col("tot_cur")
     row = F.col("n_ref") + F.col("n_cur")
-    e_ref, e_cur = row * F.col("tot_ref") / grand, row * F.col("tot_cur") / grand
-    chi = ((F.col("n_ref") - e_ref) ** 2 / e_ref) + ((F.col("n_cur") - e_cur) ** 2 / e_cur)
+    e_ref, e_cur = F.try_divide(row * F.col("tot_ref"), grand), F.try_divide(row * F.col("tot_cur"), grand)
+    chi = F.try_divide((F.col("n_ref") - e_ref) ** 2, e_ref) + F.try_divide((F.col("n_cur") - e_cur) ** 2, e_cur)
     out = c.groupBy("column_name").agg(
         F.sum(0.5 * kl_term(p) + 0.5 * kl_term(q)).alias("_jsd"), F.sum(chi).alias("chi2"),
         (F.count(F.lit(1)) - 1).alias("dof"))
@@ -125,7 +125,7 @@ def dataset_drift(report: DataFrame, drift_share: float = 0.5, gate_share: float
     """M5 summary + M6 gate: drifted count and share; stop when the set drifts and the share > gate."""
     s = report.agg(F.count(F.lit(1)).alias("total_features"),
                    F.count_if("drifted").alias("drifted_features"))
-    share = F.col("drifted_features") / F.col("total_features")
+    share = F.try_divide(F.col("drifted_features"), F.col("total_features"))
     return s.select("total_features", "drifted_features", share.alias("drift_share"),
                     (share >= drift_share).alias("dataset_drift"),
                     ((share >= drift_share) & (share > gate_share)).alias("stop"),

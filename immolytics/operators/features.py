@@ -49,13 +49,17 @@ def market_share(cm: DataFrame) -> DataFrame:
 
 def quantile_value(df: DataFrame, column: str, q: float, exact: bool = True,
                    accuracy: int = 100_000) -> Column:
-    """A3: a global quantile as a scalar subquery (computed once, inlined as a literal).
+    """A3: a global quantile as a literal in the plan (no collect of rows, no cross join).
 
-    ``exact`` uses ``percentile`` (linear interpolation, like pandas); otherwise
-    ``percentile_approx`` bounds memory for very large inputs.
+    ``exact`` interpolates linearly between two order statistics found by
+    distributed rank selection (same value as pandas / ``percentile``, bounded
+    memory per task); otherwise a ``percentile_approx`` scalar subquery.
     """
-    agg = F.percentile(column, q) if exact else F.percentile_approx(column, q, accuracy)
-    return df.select(agg).scalar()
+    if exact:
+        from .quantiles import exact_quantiles
+        row = exact_quantiles(df, column, [q]).first()
+        return F.lit(row["q"] if row is not None else None).cast("double")
+    return df.select(F.percentile_approx(column, q, accuracy)).scalar()
 
 
 def demand_flag(cm: DataFrame, threshold: float = DEMAND_QUANTILE, exact: bool = True) -> DataFrame:

@@ -100,9 +100,9 @@ def evaluate(scored: DataFrame, label: str = "prix", prediction: str = "predicti
              split: str = "split") -> DataFrame:
     """M4: metrics and |error| statistics for every split, one row each."""
     m = regression_metrics(scored, label, prediction, [split])
-    a = abs_error_stats(scored, label, prediction, [split]).select(
-        split, F.col("mean").alias("error_mean"), F.col("std").alias("error_std"))
-    return m.join(a, split)
+    a = F.abs(residual(label, prediction))
+    e = scored.groupBy(split).agg(F.avg(a).alias("error_mean"), F.stddev_samp(a).alias("error_std"))
+    return m.join(e, split)
 
 
 def _attach(one_row: DataFrame, q: DataFrame) -> DataFrame:

@@ -51,14 +51,13 @@ def quantile_value(df: DataFrame, column: str, q: float, exact: bool = True,
                    accuracy: int = 100_000) -> Column:
     """A3: a global quantile as a literal in the plan (no collect of rows, no cross join).
 
-    ``exact`` interpolates linearly between two order statistics found by
-    distributed rank selection (same value as pandas / ``percentile``, bounded
-    memory per task); otherwise a ``percentile_approx`` scalar subquery.
+    ``exact`` interpolates linearly between two order statistics (same value as
+    pandas): Spark's ``percentile`` while the distinct values fit a task, else
+    distributed rank selection; otherwise a ``percentile_approx`` subquery.
     """
     if exact:
-        from .quantiles import exact_quantiles
-        row = exact_quantiles(df, column, [q]).first()
-        return F.lit(row["q"] if row is not None else None).cast("double")
+        from .quantiles import quantile_scalar
+        return quantile_scalar(df, column, q)
     return df.select(F.percentile_approx(column, q, accuracy)).scalar()
 
 

@@ -86,9 +86,45 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+# Spark's exact ``percentile`` keeps one (value -> count) entry per distinct value of a group:
+# above this many distinct values in some group, switch to distributed selection.
+MAX_DISTINCT_IN_TASK = 1_000_000
+
+
+def max_distinct(df: DataFrame, value: str | Column, by: list[str] = ()) -> int:
+    """Largest (HyperLogLog) distinct count of ``value`` over the groups: one cheap pass."""
+    v = F.col(value) if isinstance(value, str) else value
+    per = df.groupBy(*by).agg(F.approx_count_distinct(v).alias("_d"))
+    return per.agg(F.max("_d")).first()[0] or 0
+
+
 def quantile_columns(df: DataFrame, value: str | Column, probs: list[float], names: list[str],
-                     by: list[str] = ()) -> DataFrame:
-    """Wide form: one row per group with one column per probability."""
+                     by: list[str] = (), method: str = "auto") -> DataFrame:
+    """Wide form: one row per group with one column per probability (exact, linear interpolation).
+
+    ``method``: "percentile" (Spark's aggregate: memory per group grows with its
+    distinct values), "select" (distributed rank selection: bounded memory),
+    or "auto" (percentile unless some group exceeds ``MAX_DISTINCT_IN_TASK``).
+    """
+    by = list(by)
+    if method == "auto":
+        method = "percentile" if max_distinct(df, value, by) <= MAX_DISTINCT_IN_TASK else "select"
+    if method == "percentile":
+        v = (F.col(value) if isinstance(value, str) else value).cast("double")
+        base = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        agg = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
+        out = base.groupBy(*by).agg(agg)
+        return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     q = exact_quantiles(df, value, probs, by)
     aggs = [F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(probs, names)]
     return q.groupBy(*by).agg(*aggs) if by else q.agg(*aggs)
+
+
+def quantile_scalar(df: DataFrame, value: str, p: float, method: str = "auto") -> Column:
+    """One global quantile as a value in the plan (scalar subquery or literal)."""
+    if method == "auto":
+        method = "percentile" if max_distinct(df, value) <= MAX_DISTINCT_IN_TASK else "select"
+    if method == "percentile":
+        return df.select(F.percentile(value, p)).scalar()
+    row = exact_quantiles(df, value, [p]).first()
+    return F.lit(row["q"] if row is not None else None).cast("double")

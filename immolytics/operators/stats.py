@@ -77,9 +77,9 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, exact: boo
                      accuracy: int = 10_000) -> DataFrame:
     """Count, mean, std (ddof 1), min, quartiles (linear interpolation), max.
 
-    Quartiles are exact order statistics found by distributed rank selection
-    (``quantiles.exact_quantiles``): no column's values are gathered in one
-    task. ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
+    Quartiles are exact (``quantiles.quantile_columns``): Spark's ``percentile``
+    while a column's distinct values fit a task, distributed rank selection
+    beyond. ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
     """
     cols = columns or numeric_columns(df)
     lv = long_values(df, cols)

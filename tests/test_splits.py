@@ -80,3 +80,14 @@ def test_exact_quantiles_match_percentile(spark):
     for r in ref:
         for i, p in enumerate(probs):
             assert got[(r.g, p)] == pytest.approx(r.q[i], rel=1e-12, abs=1e-300)
+
+
+def test_quantile_methods_agree(spark):
+    from immolytics.operators.quantiles import quantile_columns
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.sin(F.col("id")) * 1000).alias("x"))
+    names = ["q1", "q2", "q3"]
+    a = {r.g: r for r in quantile_columns(df, "x", [0.1, 0.5, 0.9], names, ["g"], method="percentile").collect()}
+    b = {r.g: r for r in quantile_columns(df, "x", [0.1, 0.5, 0.9], names, ["g"], method="select").collect()}
+    for g in a:
+        for n in names:
+            assert a[g][n] == pytest.approx(b[g][n], rel=1e-12)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .splits import cuts_at
 
 SEP = "\u0001"      # sorts before any printable group text
+MAX_GROUPS = 100_000
 
 
 def double_key(c: Column) -> Column:
@@ -61,7 +62,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by:
     base = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v"))
     base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     keyed = base.select(*by, group_text(by).alias("_g"), F.concat(group_text(by), F.lit(SEP), double_key(F.col("_v"))).alias("_key"))
-    groups = keyed.groupBy("_g", *by).agg(F.count(F.lit(1)).alias("_n")).collect()   # bounded: one row per group
+    groups = keyed.groupBy("_g", *by).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
+    if len(groups) > MAX_GROUPS:            # the driver holds one count per group: keep it bounded
+        raise ValueError(f"more than {MAX_GROUPS} groups: use method='percentile' or percentile_approx")
     groups = sorted(groups, key=lambda r: r["_g"])
     wanted, plan, offset = [], [], 0
     for g in groups:

@@ -35,3 +35,21 @@ def error_analysis(model, train: DataFrame, test: DataFrame, label: str = REGRES
               .unionByName(pm.score(model, test).withColumn("split", F.lit("test"))))
     from ..operators.metrics import evaluate
     return evaluate(scored, label)
+
+
+def train_and_log_model(prepared: DataFrame, order_columns: list[str], runlog=None, n_splits: int = 5,
+                        key_columns: list[str] = (ROW_KEY,), **gbt_overrides) -> dict:
+    """E5 -> E7 -> M2 -> M1 (+ S9): cross-validate on expanding folds of the training rows, fit on all
+    of them, log parameters and scores. Returns the model, encoders, feature list, CV table and splits."""
+    parts = split_and_encode(prepared, key_columns=list(key_columns))
+    train, test, features = parts["train"], parts["test"], parts["features"]
+    blocks = splits.time_series_blocks(train, list(order_columns), n_splits)
+    cv = pm.cross_validate(blocks, pm.gbt_fitter(features, **gbt_overrides), n_splits)
+    model = pm.train_price_model(train, features, **gbt_overrides)
+    if runlog is not None:
+        from ..settings import GBT_PARAMS
+        run_id = runlog.start_run("training_run", tags={"Run_Type": "model_training"},
+                                  params={**GBT_PARAMS, **gbt_overrides})
+        runlog.log_metrics(run_id, pm.cv_scores_dict(cv))
+    return {"model": model, "encoders": parts["encoders"], "features": features, "cv": cv,
+            "train": train, "test": test}

@@ -38,11 +38,28 @@ def accent_table() -> tuple[str, str]:
     return "".join(src) + "".join(drop), "".join(dst)
 
 
+def _ranges(codes: list[int]) -> str:
+    """Character-class body with contiguous code points merged into ranges."""
+    out, i = [], 0
+    while i < len(codes):
+        j = i
+        while j + 1 < len(codes) and codes[j + 1] == codes[j] + 1:
+            j += 1
+        out.append(f"\\x{{{codes[i]:x}}}" + (f"-\\x{{{codes[j]:x}}}" if j > i else ""))
+        i = j + 1
+    return "".join(out)
+
+
+@lru_cache(maxsize=1)
+def whitespace_codes() -> list[int]:
+    """Every character Python's ``str.split()`` treats as whitespace."""
+    return [c for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+
+
 @lru_cache(maxsize=1)
 def whitespace_class() -> str:
-    """A regex character class of every character Python's ``str.split()`` treats as whitespace."""
-    chars = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]+"
+    """Regex for a run of whitespace (any of :func:`whitespace_codes`)."""
+    return "[" + _ranges(whitespace_codes()) + "]+"
 
 
 def strip_accents(c: Column) -> Column:

@@ -86,8 +86,16 @@ def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 4,
     block is recomputed from lineage.
     """
     keys = df.select(key.alias(KEY)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def histogram(prefixes: list[str], level: int) -> list:
+        sub = keys if level == 0 else keys.where(F.substring(KEY, 1, level).isin(prefixes))
+        return (sub.groupBy(F.substring(KEY, 1, level).alias("p"), F.substring(KEY, level + 1, chunk).alias("c"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("lo"), F.max(KEY).alias("hi"))
+                   .collect())
+
     try:
-        n = keys.count()
+        first = histogram([""], 0)                  # also gives the row count: no separate count job
+        n = sum(r["n"] for r in first)
         ranks = [r for r in ranks_of_n(n) if r > 0]
         if any(r > n for r in ranks):
             raise ValueError("rank beyond the number of rows")
@@ -103,27 +111,23 @@ def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 4,
                 open_ = {r: v for r, v in open_.items() if len(v[0]) == level}
                 prefixes = sorted({p for p, _ in open_.values()})
             level = len(prefixes[0])
-            sub = keys if level == 0 else keys.where(F.substring(KEY, 1, level).isin(prefixes))
-            hist = (sub.groupBy(F.substring(KEY, 1, level).alias("p"),
-                                F.substring(KEY, level + 1, chunk).alias("c"))
-                       .agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("lo"), F.max(KEY).alias("hi"))
-                       .collect())
+            hist, first = (first, None) if (level == 0 and first is not None) else (histogram(prefixes, level), None)
             by_prefix: dict[str, list[tuple]] = {}
             for row in hist:
                 by_prefix.setdefault(row["p"], []).append((row["c"], row["n"], row["lo"], row["hi"]))
             for r, (p, rem) in open_.items():
                 cum = 0
-                for c, n, lo, hi in sorted(by_prefix.get(p, [])):
-                    if cum + n >= rem:
+                for c, cnt, lo, hi in sorted(by_prefix.get(p, [])):
+                    if cum + cnt >= rem:
                         rem -= cum
                         if lo == hi:                # every key in the bucket is the same
                             done[r] = lo
-                        elif n <= final_limit:
+                        elif cnt <= final_limit:
                             final[r] = (p + c, rem)
                         # all keys of the bucket share the common prefix of its min and max
                         state[r] = (os.path.commonprefix([lo, hi]), rem)
                         break
-                    cum += n
+                    cum += cnt
                 else:
                     raise ValueError(f"rank {r} is beyond the number of rows")
         if final:

@@ -150,7 +150,8 @@ def q_strong_pairs(spark, sf_dir):
 
 
 @register("crosstab", TRANSACTIONS_SQL + """
-SELECT type_batiment, count_if(en_dessous_du_marche = 0) AS n_0, count_if(en_dessous_du_marche = 1) AS n_1
+SELECT type_batiment, CAST(count_if(en_dessous_du_marche = 0) AS BIGINT) AS n_0,
+       CAST(count_if(en_dessous_du_marche = 1) AS BIGINT) AS n_1
 FROM transactions GROUP BY type_batiment""")
 def q_crosstab(spark, sf_dir):
     return stats.crosstab(transactions(spark, sf_dir), "type_batiment", "en_dessous_du_marche", [0, 1])
@@ -463,7 +464,7 @@ def q_data_drift(spark, sf_dir):
 
 
 @register("drift_summary", DRIFT_SQL + f"""
-SELECT count(*) AS total_features, count_if(drifted) AS drifted_features,
+SELECT count(*) AS total_features, CAST(count_if(drifted) AS BIGINT) AS drifted_features,
        count_if(drifted) / count(*) AS drift_share, count_if(drifted) / count(*) >= 0.5 AS dataset_drift,
        count_if(drifted) / count(*) >= 0.5 AND count_if(drifted) / count(*) > 0.2 AS stop
 FROM ({_DRIFT_BODY})""")
@@ -690,7 +691,8 @@ def q_global_importance(spark, sf_dir):
 
 
 @register("top_attributions", SHAP_SQL + """
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_transaction ORDER BY abs(phi) DESC, feature) AS rank
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY id_transaction ORDER BY abs(phi) DESC, feature)
+                             AS INTEGER) AS rank
                FROM phi) WHERE rank <= 6""")
 def q_top_attributions(spark, sf_dir):
     return attribution.top_attributions(market_attributions(spark, sf_dir), ROW_KEY, 6)

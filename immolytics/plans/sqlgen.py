@@ -21,7 +21,7 @@ def not_nan(cast: str) -> str:
 def null_profile(source: str, types: dict[str, str]) -> str:
     cols = list(types)
     miss = ", ".join(
-        f"count_if({c} IS NULL{' OR isnan(' + c + ')' if types[c] in ('double', 'float') else ''}) AS {c}"
+        f"CAST(count_if({c} IS NULL{' OR isnan(' + c + ')' if types[c] in ('double', 'float') else ''}) AS BIGINT) AS {c}"
         for c in cols)
     case = " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in types.items())
     return (f"SELECT column_name, CASE column_name {case} END AS data_type, n_rows, n_null, "
@@ -91,7 +91,7 @@ def boxplot(source: str, cols: list[str], by: str | None, whis: float = 1.5) ->
             f"q AS (SELECT {keys}, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
             f"quantile_cont(value, 0.75) AS q3 FROM lv GROUP BY ALL) "
             f"SELECT {keys}, q1, median, q3, min(CASE WHEN {inside} THEN value END) AS whisker_lo, "
-            f"max(CASE WHEN {inside} THEN value END) AS whisker_hi, count_if(NOT ({inside})) AS n_outliers, "
+            f"max(CASE WHEN {inside} THEN value END) AS whisker_hi, CAST(count_if(NOT ({inside})) AS BIGINT) AS n_outliers, "
             f"count(*) AS n FROM lv JOIN q USING ({keys}) GROUP BY {keys}, q1, median, q3")
 
 

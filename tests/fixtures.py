@@ -1,4 +1,8 @@
-"""Inline test inputs (representative rows of the reference's tests)."""
+"""Inline test inputs.
+
+Fixed values: the rows below are the reference's own test inputs (9 sales rows, 10 prepared
+rows), kept verbatim so the golden outputs in FIXTURES.md apply.
+"""
 
 import io
 

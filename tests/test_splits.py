@@ -91,3 +91,12 @@ def test_quantile_methods_agree(spark):
     for g in a:
         for n in names:
             assert a[g][n] == pytest.approx(b[g][n], rel=1e-12)
+
+
+def test_split_plan_is_a_filter(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(20000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5).alias("v")) \
+        .write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = splits.with_split(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan

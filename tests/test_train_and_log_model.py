@@ -44,3 +44,12 @@ def test_run_log_latest(spark, tmp_path):
     log.start_run("child", parent_id=b)
     got = require_run(latest_run(log.table("runs"), log.table("tags")))
     assert got == b and got != a
+
+
+def test_kfold_cross_validator(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.uniform(size=120), "b": rng.uniform(size=120), "t": range(120)})
+    pdf["prix"] = 2 * pdf.a + pdf.b
+    df = splits.k_folds(spark.createDataFrame(pdf), ["t"], 3)
+    cv = pm.kfold_cross_validator(["a", "b"], 3, maxIter=3, maxDepth=2).fit(df)
+    assert len(cv.avgMetrics) == 1 and cv.avgMetrics[0] > 0

@@ -44,8 +44,9 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
     tot = lv.groupBy("column_name").agg(
         F.count_if(F.col(REF)).alias("tot_ref"), F.count_if(~F.col(REF)).alias("tot_cur"),
         F.stddev_pop(F.when(F.col(REF), F.col("value"))).alias("ref_std"))
-    if buckets is None:                      # bounded metadata: one row per column
-        most = cnt.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
+    if buckets is None:                      # HyperLogLog per column: a cheap, map-side size estimate
+        most = lv.groupBy("column_name").agg(F.approx_count_distinct("value").alias("_d")) \
+                 .agg(F.max("_d")).first()[0] or 0
         buckets = min(4096, max(1, -(-most // DISTINCT_PER_BUCKET)))
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]

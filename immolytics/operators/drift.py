@@ -70,11 +70,24 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
           .withColumn("F_cur", F.try_divide(F.col("off_cur") + F.sum("n_cur").over(run), F.col("tot_cur")))
           .withColumn("nxt", F.coalesce(F.lead("value").over(wv), F.col("next_min"))))
     d = F.abs(F.col("F_ref") - F.col("F_cur"))
-    out = c.groupBy("column_name", "ref_std").agg(
+    out = c.groupBy("column_name", "ref_std", "tot_ref", "tot_cur").agg(
         F.max(d).alias("ks"),
         F.sum(F.coalesce(d * (F.col("nxt") - F.col("value")), F.lit(0.0))).alias("wasserstein"))
     return out.select("column_name", "ks", "wasserstein",
-                      (F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001))).alias("wasserstein_norm"))
+                      (F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001))).alias("wasserstein_norm"),
+                      ks_pvalue(F.col("ks"), F.col("tot_ref"), F.col("tot_cur")).alias("ks_pvalue"))
+
+
+def ks_pvalue(d, n1, n2, terms: int = 100):
+    """Asymptotic two-sample KS p-value: Q(lambda) = 2 sum (-1)^(k-1) exp(-2 k^2 lambda^2),
+    lambda = (sqrt(ne) + 0.12 + 0.11 / sqrt(ne)) * D, ne = n1 n2 / (n1 + n2) (Stephens, 1970).
+    A p-value, reported beside the distances; the drift flag uses distances only."""
+    ne = F.try_divide(n1 * n2, n1 + n2)
+    lam = (F.sqrt(ne) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(ne))) * d
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
+                         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0)
+                         * F.exp(-2.0 * k * k * lam * lam))
+    return F.when(lam < 1e-3, F.lit(1.0)).otherwise(F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0)))
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:

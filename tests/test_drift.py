@@ -29,3 +29,18 @@ def test_self_drift_is_zero_and_gate(spark):
     rep2 = drift.data_drift(ev, shifted, ["value"], ["event_type"])
     assert drift.dataset_drift(rep2).first()["drifted_features"] == 1
     assert drift.top_drifted(rep2, 1).first()["column_name"] == "value"
+
+
+def test_ks_pvalue_series(spark):
+    import math
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ref, cur = ev.where(F.col("event_id") % 10 < 8), ev.where(F.col("event_id") % 10 >= 8)
+    r = drift.numeric_drift(ref, cur, ["value"]).first()
+    n1, n2 = ref.count(), cur.count()
+    ne = n1 * n2 / (n1 + n2)
+    lam = (math.sqrt(ne) + 0.12 + 0.11 / math.sqrt(ne)) * r["ks"]
+    want = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
+    assert r["ks_pvalue"] == pytest.approx(min(max(want, 0.0), 1.0), rel=1e-9)
+    assert 0.0 < r["ks_pvalue"] < 1.0
+    same = drift.numeric_drift(ev, ev, ["value"]).first()
+    assert same["ks_pvalue"] == 1.0

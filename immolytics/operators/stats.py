@@ -118,11 +118,12 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     Pairwise-complete like pandas; a constant column gives NULL. The numeric
     projection is persisted (memory and disk) for the passes below and released
     before returning; the result (p x p numbers) is computed eagerly.
-    One pass counts missing values and means per column. Without missing values
-    the matrix is Spark ML's one-pass tree-aggregated Gram matrix (p x p state
-    per task); otherwise exact per-pair sums of mean-centred values, in
-    aggregates of at most ``PAIRS_PER_AGGREGATE`` pairs so each stays in
-    whole-stage codegen, unioned into one job.
+    One pass counts missing values and means per column. Pairs of complete
+    columns come from Spark ML's one-pass tree-aggregated Gram matrix (p x p
+    state per task); pairs touching a column with missing values use exact
+    per-pair sums of mean-centred values, in aggregates of at most
+    ``PAIRS_PER_AGGREGATE`` pairs so each stays in whole-stage codegen,
+    unioned into one job.
     """
     cols = columns or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
@@ -133,13 +134,21 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     try:
         prof = num.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
                        *[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)]).first()
-        if all(prof[f"m{i}"] == 0 for i in range(len(cols))) and len(cols) > 1:
+        complete = [c for i, c in enumerate(cols) if prof[f"m{i}"] == 0]
+        rows: list[tuple] = []
+        if len(complete) > 1:               # pairs of complete columns: one Gram-matrix pass
             from pyspark.ml.feature import VectorAssembler
             from pyspark.ml.stat import Correlation
-            vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(num).select("_v")
+            vec = VectorAssembler(inputCols=complete, outputCol="_v").transform(num.select(*complete)).select("_v")
             m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-            idx = {c: i for i, c in enumerate(cols)}
-            rows = [(a, b, None if math.isnan(m[idx[a], idx[b]]) else float(m[idx[a], idx[b]])) for a, b in pairs]
+            idx = {c: i for i, c in enumerate(complete)}
+            for a, b in pairs:
+                if a in idx and b in idx:
+                    r = float(m[idx[a], idx[b]])
+                    rows.append((a, b, None if math.isnan(r) else r))
+        done = {(a, b) for a, b, _ in rows}
+        pairs = [pr for pr in pairs if pr not in done]      # pairs touching a column with missing values
+        if not pairs:
             return spark.createDataFrame(rows, schema)
         means = {c: prof[f"a{i}"] or 0.0 for i, c in enumerate(cols)}
         parts = []
@@ -156,11 +165,14 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
 
             def r(i):
                 n = F.col(f"n{i}")
-                ma, mb = F.col(f"sa{i}") / n, F.col(f"sb{i}") / n
-                cov = F.col(f"sab{i}") / n - ma * mb
-                va, vb = F.col(f"saa{i}") / n - ma * ma, F.col(f"sbb{i}") / n - mb * mb
+
+                def mean_of(c):                      # NULL when the pair has no complete row
+                    return F.try_divide(F.col(c), n)
+                ma, mb = mean_of(f"sa{i}"), mean_of(f"sb{i}")
+                cov = mean_of(f"sab{i}") - ma * mb
+                va, vb = mean_of(f"saa{i}") - ma * ma, mean_of(f"sbb{i}") - mb * mb
                 # a constant column leaves only rounding noise in its variance: NULL, like the SQL twin
-                ok = (va > 1e-12 * F.col(f"saa{i}") / n) & (vb > 1e-12 * F.col(f"sbb{i}") / n)
+                ok = (va > 1e-12 * mean_of(f"saa{i}")) & (vb > 1e-12 * mean_of(f"sbb{i}"))
                 return F.when(ok, cov / F.sqrt(va * vb))
 
             parts.append(num.agg(*aggs).select(F.inline(F.array(*[
@@ -169,7 +181,7 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
         out = parts[0]
         for p_ in parts[1:]:
             out = out.unionByName(p_)
-        return spark.createDataFrame([tuple(r) for r in out.collect()], schema)
+        return spark.createDataFrame(rows + [tuple(r) for r in out.collect()], schema)
     finally:
         num.unpersist()
 

@@ -59,3 +59,14 @@ def test_grid_counts_total(small):
     g = stats.grid_counts(small, "x", "t", bins=4)
     assert g.agg(F.sum("n")).first()[0] == 100
     assert g.agg(F.max("x_bin")).first()[0] == 4
+
+
+def test_correlation_mixed_and_empty_pairs(spark):
+    rows = [(float(i), 2.0 * i + (i % 3), None if i % 2 else float(i % 5), None) for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, y double, z double, w double")
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in stats.correlation_matrix(df, ["x", "y", "z", "w"]).collect()}
+    assert len(got) == 6 and got[("x", "w")] is None and got[("z", "w")] is None
+    xs = np.array([r[0] for r in rows if r[2] is not None]); zs = np.array([r[2] for r in rows if r[2] is not None])
+    assert got[("x", "z")] == pytest.approx(np.corrcoef(xs, zs)[0, 1], rel=1e-9)
+    full = np.array([[r[0], r[1]] for r in rows])
+    assert got[("x", "y")] == pytest.approx(np.corrcoef(full.T)[0, 1], rel=1e-9)

@@ -70,3 +70,14 @@ def test_correlation_mixed_and_empty_pairs(spark):
     assert got[("x", "z")] == pytest.approx(np.corrcoef(xs, zs)[0, 1], rel=1e-9)
     full = np.array([[r[0], r[1]] for r in rows])
     assert got[("x", "y")] == pytest.approx(np.corrcoef(full.T)[0, 1], rel=1e-9)
+
+
+def test_eda_profile(spark):
+    from immolytics.plans.eda import profile
+    from .fixtures import transactions_pdf
+    rep = profile(spark.createDataFrame(transactions_pdf()))
+    assert rep["nulls"].count() == 17
+    assert rep["describe_numeric"].count() == len([c for c, t in rep["nulls"].select("column_name", "data_type").collect()
+                                                   if t in ("double", "bigint", "int")])
+    assert rep["crosstab_ville"].count() == 2
+    assert rep["strong_pairs"].count() >= 1

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .columns import categorical_columns, numeric_columns
 from .quantiles import quantile_columns

@@ -14,6 +14,8 @@ task ever sorting a whole column.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..settings import DRIFT_SHARE_GATE, DRIFT_THRESHOLD
@@ -112,23 +114,77 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
         F.sum(0.5 * kl_term(p) + 0.5 * kl_term(q)).alias("_jsd"), F.sum(chi).alias("chi2"),
         (F.count(F.lit(1)) - 1).alias("dof"))
     return out.select("column_name", F.sqrt(F.greatest(F.col("_jsd"), F.lit(0.0))).alias("jensen_shannon"),
-                      "chi2", "dof")
+                      "chi2", "dof", chi2_pvalue(F.col("chi2"), F.col("dof").cast("double")).alias("chi2_pvalue"))
+
+
+# Lanczos approximation of log-gamma (g = 7, nine coefficients): fixed published constants.
+LANCZOS_G = 7
+LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313,
+           -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6,
+           1.5056327351493116e-7]
+
+
+def _lgamma(a):
+    """log Gamma(a) for a >= 0.5."""
+    x = a - 1
+    s = F.lit(LANCZOS[0])
+    for i, c in enumerate(LANCZOS[1:], start=1):
+        s = s + F.lit(c) / (x + i)
+    t = x + LANCZOS_G + 0.5
+    return 0.5 * math.log(2 * math.pi) + (x + 0.5) * F.log(t) - t + F.log(s)
+
+
+def chi2_pvalue(stat, dof, steps: int = 300):
+    """Upper tail of the chi-square distribution: Q(dof/2, stat/2), the regularized upper incomplete
+    gamma function by its series (x < a + 1) or Lentz's continued fraction, as Spark expressions."""
+    a, x = dof / 2.0, stat / 2.0
+    pref = F.exp(-x + a * F.log(x) - _lgamma(a))
+    # series for P(a, x)
+    ser = F.aggregate(F.sequence(F.lit(1), F.lit(steps)),
+                      F.struct(a.alias("ap"), (1.0 / a).alias("d"), (1.0 / a).alias("s")),
+                      lambda acc, k: F.struct((acc["ap"] + 1).alias("ap"),
+                                              (acc["d"] * x / (acc["ap"] + 1)).alias("d"),
+                                              (acc["s"] + acc["d"] * x / (acc["ap"] + 1)).alias("s")))
+    p_lower = ser["s"] * pref
+    tiny = 1e-300
+
+    def guard(v):
+        return F.when(F.abs(v) < tiny, F.lit(tiny)).otherwise(v)
+
+    b0 = x + 1 - a
+    cf = F.aggregate(F.sequence(F.lit(1), F.lit(steps)),
+                     F.struct(b0.alias("b"), F.lit(1.0 / tiny).alias("c"), (1.0 / guard(b0)).alias("d"),
+                              (1.0 / guard(b0)).alias("h")),
+                     lambda acc, i: (lambda an, b: (lambda d, c: F.struct(
+                         b.alias("b"), c.alias("c"), (1.0 / d).alias("d"), (acc["h"] * (1.0 / d) * c).alias("h")))(
+                         guard(an * acc["d"] + b), guard(b + an / acc["c"])))(
+                         -i * (i - a), acc["b"] + 2))
+    q = F.when(x < a + 1, 1.0 - p_lower).otherwise(cf["h"] * pref)
+    return (F.when(dof <= 0, F.lit(1.0)).when(stat <= 0, F.lit(1.0))
+             .otherwise(F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))))
 
 
 def data_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
-               threshold: float = DRIFT_THRESHOLD, buckets: int | None = None) -> DataFrame:
-    """M5: one row per column with its statistics, the drift score and the drift flag."""
+               threshold: float = DRIFT_THRESHOLD, buckets: int | None = None,
+               with_pvalues: bool = False) -> DataFrame:
+    """M5: one row per column with its statistics, the drift score (a distance) and the drift flag.
+
+    ``with_pvalues`` adds a ``p_value`` column (KS for numeric, chi-square for
+    categorical columns); the flag never uses it (a p-value falls with drift).
+    """
+    none = F.lit(None).cast("double")
     parts = []
     if numeric:
         parts.append(numeric_drift(reference, current, numeric, buckets).select(
             "column_name", F.lit("numeric").alias("kind"), "ks", "wasserstein", "wasserstein_norm",
-            F.lit(None).cast("double").alias("jensen_shannon"), F.lit(None).cast("double").alias("chi2"),
-            F.col("wasserstein_norm").alias("score")))
+            none.alias("jensen_shannon"), none.alias("chi2"), F.col("wasserstein_norm").alias("score"),
+            *([F.col("ks_pvalue").alias("p_value")] if with_pvalues else [])))
     if categorical:
         parts.append(categorical_drift(reference, current, categorical).select(
-            "column_name", F.lit("categorical").alias("kind"), F.lit(None).cast("double").alias("ks"),
-            F.lit(None).cast("double").alias("wasserstein"), F.lit(None).cast("double").alias("wasserstein_norm"),
-            "jensen_shannon", "chi2", F.col("jensen_shannon").alias("score")))
+            "column_name", F.lit("categorical").alias("kind"), none.alias("ks"),
+            none.alias("wasserstein"), none.alias("wasserstein_norm"),
+            "jensen_shannon", "chi2", F.col("jensen_shannon").alias("score"),
+            *([F.col("chi2_pvalue").alias("p_value")] if with_pvalues else [])))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

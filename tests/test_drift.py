@@ -44,3 +44,21 @@ def test_ks_pvalue_series(spark):
     assert 0.0 < r["ks_pvalue"] < 1.0
     same = drift.numeric_drift(ev, ev, ["value"]).first()
     assert same["ks_pvalue"] == 1.0
+
+
+def test_chi2_pvalue_critical_values(spark):
+    # 5 % and 1 % critical values of the chi-square distribution (textbook tables)
+    cases = [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (11.070498, 5, 0.05), (6.634897, 1, 0.01),
+             (23.209251, 10, 0.01), (0.454936, 1, 0.5), (124.342113, 100, 0.05)]
+    df = spark.createDataFrame([(float(x), float(k)) for x, k, _ in cases], "x double, k double")
+    got = [r[0] for r in df.select(drift.chi2_pvalue(F.col("x"), F.col("k"))).collect()]
+    for g, (_, _, want) in zip(got, cases):
+        assert g == pytest.approx(want, rel=2e-5)
+
+
+def test_report_pvalues(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    rep = drift.data_drift(ev, ev.withColumn("value", F.col("value") + 50), ["value"], ["event_type"],
+                           with_pvalues=True)
+    p = {r["column_name"]: r["p_value"] for r in rep.collect()}
+    assert p["value"] < 1e-6 and p["event_type"] == pytest.approx(1.0)

@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+_PROVEN: dict[tuple, bool] = {}
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, memo_key: str | None = None) -> DataFrame:
     """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
 
     The count reads at most ``max_rows + 1`` rows, so the check itself is
     bounded. Beyond the bound the frame is returned unhinted and the planner
-    (AQE) chooses a shuffle join, with skew-join splitting if needed.
+    (AQE) chooses a shuffle join, with skew-join splitting if needed. With a
+    ``memo_key`` (e.g. the input path) the proof is reused within the application.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, memo_key, max_rows) if memo_key else None
+    if key is not None and key in _PROVEN:
+        small = _PROVEN[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _PROVEN[key] = small
+    return F.broadcast(df) if small else df

@@ -24,7 +24,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
               .join(t("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
                     F.col("o_custkey") == F.col("c_custkey"))
-              .join(broadcast_if_small(geo, 10_000), F.col("c_nationkey") == F.col("n_nationkey")))
+              .join(broadcast_if_small(geo, 10_000, memo_key=f"{sf_dir}:nation-region"),
+                    F.col("c_nationkey") == F.col("n_nationkey")))
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     sales = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

@@ -5,7 +5,7 @@ sort key (fixed-width hex fields, or an md5 shuffle key, then the row key); the
 split is the predicate ``sort_key <= cut`` for a few cut values. The cut at rank
 r is found exactly by :func:`rank_cuts`, which narrows the candidates with
 prefix histograms: each level is one aggregate whose output is bounded by
-``#cuts x 16^chunk`` groups, so no task or driver ever holds the rows, and a
+``#cuts x 16^chunk`` groups (4,096 per cut by default), so no task or driver ever holds the rows, and a
 hot value (a third of the rows in one month, say) is split by later key
 characters rather than landing in one partition. The final exact ranking runs
 on at most ``final_limit`` candidate rows per cut.
@@ -72,13 +72,13 @@ def shuffle_key(key_columns: list[str], seed: int = RANDOM_STATE) -> Column:
 
 
 # ------------------------------------------------------------------ selection
-def rank_cuts(df: DataFrame, key: Column, ranks: list[int], chunk: int = 4,
+def rank_cuts(df: DataFrame, key: Column, ranks: list[int], chunk: int = 3,
               final_limit: int = 50_000) -> dict[int, str]:
     """The sort-key value at each 1-based rank in ``ranks`` (keys must be unique)."""
     return cuts_at(df, key, lambda n: ranks, chunk, final_limit)[1]
 
 
-def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 4,
+def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 3,
             final_limit: int = 50_000) -> tuple[int, dict[int, str]]:
     """Row count and the sort-key values at the ranks ``ranks_of_n(n)``.
 

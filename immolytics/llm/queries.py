@@ -25,3 +25,15 @@ def register(name: str, sql: str | None = None):
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pack_residual import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op5_simhash_vptree")
+def op5_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash_vptree import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+@register("op10_winnowing")
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate_winnow import decontaminate
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")

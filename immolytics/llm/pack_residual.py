@@ -14,6 +14,7 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +38,22 @@ NEARLY_FULL = 4
 # A merge round that removes a smaller share of the bins is the last one.
 LEAST_GAIN = 0.005
 _CACHED_WORD = 48
-_CACHE_LIMIT = 300_000
+_CACHE_LIMIT = 800_000
+# A final stop or comma after a letter; a chunk of letters (or bytes beyond ASCII) and ASCII marks
+# after them; Latin letters that stay one letter when lower-cased.
+_FINAL_MARK = re.compile(rb"(?<=[A-Za-z])[.,](?!\S)")
+_WORD_AND_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-/:-@\[-`{-~]*)").fullmatch
+_LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+").fullmatch
+
+
+def _chunks(raw: bytes) -> list[bytes]:
+    """White-space-free chunks with the token ids of the text: ASCII folded, final stops and commas apart.
+
+    Special tokens are told by case, so a text that may hold one is not folded.
+    """
+    if b"<|" not in raw:
+        raw = raw.lower()
+    return _FINAL_MARK.sub(rb" \g<0>", raw).split()
 
 
 class TokenIds:
@@ -45,34 +61,68 @@ class TokenIds:
 
     No token of the vocabulary spans ASCII white space and the normaliser acts
     on each white-space-free chunk alone, so chunks are encoded once and
-    remembered (a bounded number of them).
+    remembered (a bounded number of them). The pre-tokenizer parts letters from
+    the marks after them and case is folded, so the letters of a chunk are
+    looked up apart from its final marks; unseen Latin words are encoded many at
+    a time and cut at the tokens that end a word.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+    def _each(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks],
                                                  add_special_tokens=False)
         return {c: np.asarray(e.ids, "<u4").tobytes() for c, e in zip(chunks, found)}
 
+    def _together(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of Latin words, each one pre-token: encoded as one text, cut after every word end."""
+        ids = np.asarray(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        if len(stops) != len(words):
+            return self._each(words)
+        buffer = ids.tobytes()
+        return {w: buffer[a:b] for w, a, b in zip(words, [0] + stops, stops)}
+
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        words, parts, others = [], [], []
+        for c in chunks:
+            if c.isalpha():                                # ASCII letters alone
+                words.append(c)
+            elif (found := _WORD_AND_MARKS(c)) and _LATIN(found[1].decode("utf-8", "replace")):
+                parts.append((c, found[1], found[2]))
+            else:
+                others.append(c)
+        fresh = self._each(others)
+        known = self.known.get
+        unseen = {w for _, w, _ in parts if w not in self.known}.difference(words)
+        words += unseen
+        for at in range(0, len(words), 2048):
+            fresh.update(self._together(words[at:at + 2048]))
+        after = self._each(list({tail for _, _, tail in parts if tail}))
+        after[b""] = b""
+        for c, word, tail in parts:
+            fresh[c] = (known(word) or fresh[word]) + after[tail]
+        return fresh
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        words = [(t or b"").split() for t in texts]
-        unseen = set().union(*words) if words else set()
-        unseen.difference_update(self.known)
-        fresh = self._learn(list(unseen))
-        if len(self.known) + len(fresh) > _CACHE_LIMIT:
-            needed = set().union(*words)
-            self.known = {w: self.known[w] for w in needed if w in self.known}
-        self.known.update(fresh)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, w)) for w in words]
-        for w in fresh:
-            if len(w) > _CACHED_WORD:
-                del self.known[w]
+        chunks = [_chunks(t or b"") for t in texts]
+        look = self.known.get
+        found = [list(map(look, c)) for c in chunks]
+        unseen = {c for names, ids in zip(chunks, found) if None in ids for c, i in zip(names, ids) if i is None}
+        if len(self.known) + len(unseen) > _CACHE_LIMIT:
+            self.known = {}
+        fresh = self._learn(unseen)
+        look = fresh.__getitem__
+        out = [b"".join(ids) if None not in ids else
+               b"".join([look(c) if i is None else i for c, i in zip(names, ids)]) for names, ids in zip(chunks, found)]
+        self.known.update((c, i) for c, i in fresh.items() if len(c) <= _CACHED_WORD)
         return out
 
 

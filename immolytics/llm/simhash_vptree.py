@@ -39,8 +39,8 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 # Points planned per leaf; points sampled per leaf to fit the tree, and at most in all (8 MB).
-LEAF = 4096
-PER_LEAF = 32
+LEAF = 16_384
+PER_LEAF = 128
 MOST_SAMPLE = 1_000_000
 # Fewest sample points on which a radius is still chosen.
 LEAST_SAMPLE = 16

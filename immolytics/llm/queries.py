@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
@@ -30,7 +31,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_simhash_vptree")
 def op5_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash_vptree import near_duplicates
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3).drop("group")
 
 
 @register("op10_winnowing")
@@ -105,3 +106,8 @@ def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc_index import round_trip
     return round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

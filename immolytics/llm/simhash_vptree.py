@@ -66,13 +66,13 @@ def fingerprint(raw: bytes | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, point) per row; ``point`` holds the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep=("doc_id",)) -> DataFrame:
+    """``keep`` columns and ``point`` per row; ``point`` holds the fingerprint's 64 bits as a signed long."""
     def make():
         def compute(texts):
             return [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
         return compute
-    return append_columns(docs, [("point", T.LongType())], make)
+    return append_columns(docs, [("point", T.LongType())], make, keep=keep)
 
 
 class VantageTree:
@@ -244,14 +244,20 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
-    """Per document row: doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable)."""
-    marked = materialize(fingerprints(docs, shingle), "simhash-points")
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
+                    keep=()) -> DataFrame:
+    """Per document row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) and group.
+
+    ``group`` names the component even if none of its rows has a doc_id. Columns of
+    ``keep`` are passed through.
+    """
+    keep = ["doc_id"] + [c for c in keep if c not in ("doc_id", "fingerprint", "component_id", "group", "point")]
+    marked = materialize(fingerprints(docs, shingle, keep), "simhash-points")
     points = materialize(marked.groupBy("point").agg(F.min("doc_id").alias("doc")), "simhash-distinct")
     joined = materialize(components(links(points, max_bits, leaf)), "simhash-components")
     named = points.join(joined, points["point"] == joined["node"], "left").select(
-        "point", "doc", F.coalesce("root", "point").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
-    of_point = named.select("point", "root").join(smallest, "root").select("point", "component_id")
+        "point", "doc", F.coalesce("root", "point").alias("group"))
+    smallest = named.groupBy("group").agg(F.min("doc").alias("component_id"))
+    of_point = named.select("point", "group").join(smallest, "group")
     return marked.join(of_point, "point").select(
-        "doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id")
+        *keep, F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id", "group")

@@ -38,6 +38,8 @@ from ..session import materialize, scratch_path
 LEAST_REVISIT = 1000
 GAP = 64 * 1024
 RANGE = 8 * 1024 * 1024
+# Archive bytes that a reading task gets, about.
+TASK_BYTES = 16 * 1024 * 1024
 _VERSION = b"WARC/1.1"
 _END = b"\r\n\r\n"
 
@@ -146,11 +148,15 @@ def byte_ranges(index: DataFrame, gap: int = GAP, most: int = RANGE) -> DataFram
     """(file, first, last, offsets, lengths) of coalesced reads of the index rows, sorted by offset.
 
     A file is cut into stretches of ``most`` bytes; a record belongs to the stretch
-    its offset lies in, so a range is never much longer than ``most``.
+    its offset lies in, so a range is never much longer than ``most``. Stretches are
+    dealt to as many tasks as the archives' bytes ask for: index rows are too
+    small to tell Spark how much is read for them.
     """
     stretch = F.floor(F.col("offset") / most)
     w = Window.partitionBy("file", "stretch").orderBy("offset")
-    parted = (index.select("file", "offset", "length").distinct().withColumn("stretch", stretch)
+    size = index.agg(F.sum("length")).first()[0] or 0
+    parted = (index.select("file", "offset", "length").withColumn("stretch", stretch)
+              .repartition(1 + size // TASK_BYTES, "file", "stretch").distinct()
               .withColumn("apart", F.col("offset") - F.lag(F.col("offset") + F.col("length")).over(w) > gap)
               .withColumn("run", F.sum(F.coalesce(F.col("apart"), F.lit(False)).cast("int")).over(w)))
     members = F.array_sort(F.collect_list(F.struct("offset", "length")))

@@ -21,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ STEPS = 3
 LONGEST = 32
 LONGEST_PIECE = 10
 SMOOTHING = 0.05
-_WORDS_KEPT = 250_000
+_WORDS_KEPT = 600_000
 
 # Lower-case A-Z; other ASCII bytes but letters separate words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -46,7 +47,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``log-free`` piece probabilities, one row per piece (last: unknown letter), one column per language."""
+    """Piece probabilities, one row per piece (last: unknown letter), one column per language."""
     languages: tuple[str, ...]
     pieces: np.ndarray
     vocabulary: str
@@ -62,37 +63,87 @@ def piece_ids(path: str) -> dict[str, int]:
     return {p: i for i, p in enumerate(["▁"] + fit)}
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+
+
+class PieceTable:
+    """Piece numbers by hash, one sorted table per piece length, with a filter of the hashes' first 16 bits."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, ids: dict[str, int]):
+        self.unknown = len(ids)
+        by_length: dict[int, list[tuple[int, int]]] = {}
+        for piece, i in ids.items():
+            h = np.uint64(0)
+            for c in _codes(piece):
+                h = np.uint64((int(h) * int(self.BASE) + int(c) * 0xBF58476D1CE4E5B9) & (2 ** 64 - 1))
+            by_length.setdefault(len(piece), []).append((int(h), i))
+        self.tables = {}
+        for length, rows in by_length.items():
+            rows.sort()
+            hashes = np.array([h for h, _ in rows], np.uint64)
+            seen = np.zeros(1 << 16, bool)
+            seen[hashes >> np.uint64(48)] = True
+            self.tables[length] = hashes, np.array([i for _, i in rows], np.int64), seen
+
+    def look_up(self, length: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indices into ``hashes``, piece numbers) of those that are pieces."""
+        if length not in self.tables:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        known, numbers, seen = self.tables[length]
+        at = np.flatnonzero(seen[hashes >> np.uint64(48)])
+        place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+        match = known[place] == hashes[at]
+        return at[match], numbers[place[match]]
+
+
+@lru_cache(maxsize=2)
+def piece_table(path: str) -> PieceTable:
+    return PieceTable(piece_ids(path))
+
+
 def letter_spans(word: bytes) -> list[str]:
     """Letters of a word in lower case, cut into spans of at most ``LONGEST``."""
-    text = word.decode("utf-8", "replace").lower()
-    runs = ["".join(c for c in run if c.isalpha()) for run in _LETTERS.findall(text)]
+    if word.isalpha():                                     # ASCII letters alone
+        runs = [word.decode().lower()]
+    else:
+        text = word.decode("utf-8", "replace").lower()
+        runs = ["".join(c for c in run if c.isalpha()) for run in _LETTERS.findall(text)]
     return [run[i:i + LONGEST] for run in runs for i in range(0, len(run), LONGEST)]
 
 
 class Lattices:
     """All segmentations of some spans into pieces, as edges (span, from, to, piece) sorted by ``to``."""
 
-    def __init__(self, spans: list[str], ids: dict[str, int]):
-        span, start, stop, piece = [], [], [], []
-        unknown, get = len(ids), ids.get
-        for k, s in enumerate(spans):
-            text = "▁" + s
-            n = len(text)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-                    p = get(text[i:j])
-                    if p is None:
-                        if j > i + 1:
-                            continue
-                        p = unknown
-                    span.append(k)
-                    start.append(i)
-                    stop.append(j)
-                    piece.append(p)
-        order = np.argsort(np.asarray(stop, np.int16), kind="stable")
-        self.n, self.lengths = len(spans), np.fromiter((len(s) + 1 for s in spans), np.int64, len(spans))
-        self.span, self.start = np.asarray(span, np.int64)[order], np.asarray(start, np.int64)[order]
-        self.stop, self.piece = np.asarray(stop, np.int64)[order], np.asarray(piece, np.int64)[order]
+    def __init__(self, spans: list[str], table: PieceTable):
+        self.n = len(spans)
+        self.lengths = np.fromiter(map(len, spans), np.int64, self.n) + 1
+        codes = _codes("".join(["▁" + s for s in spans])) * np.uint64(0xBF58476D1CE4E5B9)
+        first = np.cumsum(self.lengths) - self.lengths
+        span = np.repeat(np.arange(self.n), self.lengths)
+        position = np.arange(len(codes)) - first[span]
+        left = self.lengths[span] - position
+        starts, sizes, pieces = [], [], []
+        hashes = np.zeros(len(codes) + 1, np.uint64)
+        for length in range(1, min(LONGEST_PIECE, len(codes)) + 1):
+            hashes = hashes[:-1] * PieceTable.BASE + codes[length - 1:]
+            inside = np.flatnonzero(left[:len(hashes)] >= length)
+            at, piece = table.look_up(length, hashes[inside])
+            if length == 1:                                # letters outside the vocabulary
+                whole = np.full(len(inside), table.unknown)
+                whole[at] = piece
+                at, piece = np.arange(len(inside)), whole
+            starts.append(inside[at])
+            sizes.append(np.full(len(at), length))
+            pieces.append(piece)
+        start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        stop = position[start] + (np.concatenate(sizes) if sizes else start)
+        order = np.argsort(stop.astype(np.int16), kind="stable")
+        start = start[order]
+        self.span, self.start, self.stop = span[start], position[start], stop[order]
+        self.piece = (np.concatenate(pieces) if pieces else start)[order]
         self.longest = int(self.lengths.max()) if self.n else 0
 
     def forward(self, p: np.ndarray) -> np.ndarray:
@@ -169,12 +220,12 @@ def fit_languages(labelled: DataFrame, documents: int = FIT_DOCUMENTS, vocabular
         given = spans.sparkSession.sparkContext.broadcast(None if step == 0 else pieces)
 
         def expect(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
-            ids = piece_ids(vocabulary)
+            table = piece_table(vocabulary)
             p, total = given.value, np.zeros((n_pieces, len(column)))
             for batch in batches:
                 for at in range(0, batch.num_rows, 4096):
                     part = batch.slice(at, 4096)
-                    lattices = Lattices(part.column(0).to_pylist(), ids)
+                    lattices = Lattices(part.column(0).to_pylist(), table)
                     counts = np.zeros((part.num_rows, len(column)))
                     counts[np.arange(part.num_rows), [column[x] for x in part.column(1).to_pylist()]] = part.column(2)
                     if p is None:                          # first every occurrence of a piece counts
@@ -199,7 +250,7 @@ class Scorer:
     """Posterior over the languages of whole texts; words are scored once and remembered (a bounded number)."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.ids = model, piece_ids(model.vocabulary)
+        self.model, self.table = model, piece_table(model.vocabulary)
         self._forget()
 
     def _forget(self):
@@ -220,7 +271,7 @@ class Scorer:
             rows = slice(first + at, first + at + len(part))
             self.letters[rows] = lengths > 0
             if flat:
-                self.scores[rows] = segment_sums(Lattices(flat, self.ids).likelihood(self.model.pieces),
+                self.scores[rows] = segment_sums(Lattices(flat, self.table).likelihood(self.model.pieces),
                                                  np.cumsum(lengths) - lengths, lengths)
         self.row.update(zip(words, range(first, first + len(words))))
 
@@ -233,8 +284,8 @@ class Scorer:
         self._learn(unseen)
         lengths = np.fromiter(map(len, counts), np.int64, len(counts))
         total = int(lengths.sum())
-        rows = np.fromiter((self.row[w] for c in counts for w in c), np.int64, total)
-        n = np.fromiter((v for c in counts for v in c.values()), np.float64, total)
+        rows = np.fromiter(map(self.row.__getitem__, chain.from_iterable(counts)), np.int64, total)
+        n = np.fromiter(chain.from_iterable(c.values() for c in counts), np.float64, total)
         starts = np.cumsum(lengths) - lengths
         has_letters = segment_sums(self.letters[rows].astype(np.int64), starts, lengths) > 0
         if not self.model.languages:

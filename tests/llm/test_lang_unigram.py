@@ -3,7 +3,7 @@
 import numpy as np
 import public_tokenizers
 
-from immolytics.llm.lang_unigram import LONGEST, Lattices, fit_languages, identify, letter_spans, piece_ids
+from immolytics.llm.lang_unigram import LONGEST, Lattices, PieceTable, fit_languages, identify, letter_spans, piece_ids
 from immolytics.llm.queries import QUERIES
 from tests.conftest import SF
 from tests.llm.cases import CASES, case_frame
@@ -27,7 +27,7 @@ def test_forward_and_expectations_sum_all_segmentations():
     ids = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4, "ba": 5, "bab": 6, "▁ab": 7}
     p = rng.random((len(ids) + 1, 2))
     spans, counts = ["abab", "a", "bca", "babba"], rng.random((4, 2))
-    lattices = Lattices(spans, ids)
+    lattices = Lattices(spans, PieceTable(ids))
     got, uses = np.exp(lattices.likelihood(p)), lattices.expected(p, counts)
     want_uses = np.zeros_like(uses)
     for k, s in enumerate(spans):

@@ -41,6 +41,8 @@ SEED = 42
 # Points planned per leaf; points sampled per leaf to fit the tree, and at most in all (8 MB).
 LEAF = 16_384
 PER_LEAF = 128
+# Tasks that compare the home points of a leaf of the planned size.
+BLOCKS = 4
 MOST_SAMPLE = 1_000_000
 # Fewest sample points on which a radius is still chosen.
 LEAST_SAMPLE = 16
@@ -195,12 +197,13 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) -> Data
 
     visits = materialize(points.select("point").mapInArrow(route, schema), "simhash-visits")
     sizes = visits.where("home").groupBy("leaf").agg(F.count("*").alias("homes"))
-    # A leaf of more home points than planned is cut into blocks; all its visitors and homes visit each block.
-    blocks = sizes.select("leaf", F.ceil(F.col("homes") / (2 * leaf)).cast("int").alias("blocks"))
-    spread = (visits.join(blocks, "leaf")
+    # The home points of a leaf are cut into blocks, a task each; all visitors and homes of the leaf visit each block.
+    blocks = sizes.select("leaf", F.ceil(F.col("homes") * BLOCKS / leaf).cast("int").alias("blocks"))
+    spread = (visits.join(F.broadcast(blocks), "leaf")      # a row per leaf: MOST_SAMPLE / LEAST_SAMPLE at most
               .withColumn("own", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("leaf", "block", "point", (F.col("home") & (F.col("own") == F.col("block"))).alias("home")))
+              .select("leaf", "block", "point", (F.col("home") & (F.col("own") == F.col("block"))).alias("home"))
+              .repartition(1 + n_points * BLOCKS // leaf, "leaf", "block"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         values = pdf["point"].to_numpy()

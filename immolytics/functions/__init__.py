@@ -1 +1 @@
-"""Column-level helpers: scalar expressions, text cleaning, sizing guards."""
+"""Column-level helpers: scalar expressions, text cleaning."""

@@ -16,8 +16,3 @@ def oui_non(c: Column | str) -> Column:
     """'Oui' -> 1, 'Non' -> 0 (case and accents ignored), other values NULL."""
     col = F.lower(F.trim(F.col(c) if isinstance(c, str) else c))
     return F.when(col == "oui", 1).when(col == "non", 0)
-
-
-def as_flag(c: Column | str) -> Column:
-    """boolean to 0/1."""
-    return (F.col(c) if isinstance(c, str) else c).cast("boolean").cast("int")

@@ -2,8 +2,9 @@
 
 ``normalize_text`` = lower case, accents removed (canonical decomposition, marks
 of category Mn dropped), runs of whitespace collapsed to one space, trimmed.
-The character tables are derived from the Unicode database by rule at import
-time, so the expression stays a JVM-side ``translate`` + ``regexp_replace``.
+The character tables cover all of Unicode and are derived from its database by
+rule, so the expression stays JVM-side: ``translate``, a formula for Hangul
+syllables, and ``regexp_replace``.
 """
 
 from __future__ import annotations
@@ -17,25 +18,35 @@ from pyspark.sql import Column, functions as F
 from ..settings import ALLOWED_REGIONS
 
 
+HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
+
+
+def _bare(ch: str) -> str:
+    """Canonical decomposition without the marks of category Mn."""
+    return "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
+
+
 @lru_cache(maxsize=1)
-def accent_table() -> tuple[str, str]:
-    """(from, to) strings for ``translate``: precomposed letters -> base letter; marks -> deleted."""
-    src, dst, drop = [], [], []
-    for cp in range(0x00C0, 0x3000):
+def accent_tables() -> tuple[str, str, dict[str, str]]:
+    """(from, to) for ``translate`` and the characters that become several letters.
+
+    Covers every code point whose decomposition differs or that is a mark (which
+    ``translate`` deletes); Hangul syllables, which follow a formula, are left out.
+    """
+    src, dst, drop, several = [], [], [], {}
+    for cp in (c for c in range(0x00C0, sys.maxunicode + 1) if not HANGUL_FIRST <= c <= HANGUL_LAST):
         ch = chr(cp)
-        cat = unicodedata.category(ch)
-        if cat == "Mn":
-            drop.append(ch)
+        if unicodedata.category(ch) in ("Cn", "Co", "Cs"):
             continue
-        base = "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
-        if base != ch and len(base) == 1:
+        base = _bare(ch)
+        if not base:
+            drop.append(ch)
+        elif base != ch and len(base) == 1:
             src.append(ch)
             dst.append(base)
-    for cp in range(0x0300, 0x0370):        # combining diacritics (already in drop when Mn)
-        ch = chr(cp)
-        if unicodedata.category(ch) == "Mn" and ch not in drop:
-            drop.append(ch)
-    return "".join(src) + "".join(drop), "".join(dst)
+        elif base != ch:
+            several[ch] = base
+    return "".join(src + drop), "".join(dst), several
 
 
 def _ranges(codes: list[int]) -> str:
@@ -62,9 +73,38 @@ def whitespace_class() -> str:
     return "[" + _ranges(whitespace_codes()) + "]+"
 
 
+def _code_point(number: Column) -> Column:
+    """The character of a code point of the basic plane."""
+    return F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 4, "0")), "UTF-16BE")
+
+
+def _several_letters(c: Column) -> Column:
+    """Characters that decompose into several letters: Hangul syllables by formula, the others by table."""
+    table = accent_tables()[2]
+    others = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+
+    def letters(ch: Column) -> Column:
+        at = F.ascii(ch) - HANGUL_FIRST
+        lead, vowel, tail = F.floor(at / 588), F.floor((at % 588) / 28), at % 28
+        syllable = F.concat(_code_point(lead + 0x1100), _code_point(vowel + 0x1161),
+                            F.when(tail > 0, _code_point(tail + 0x11A7)).otherwise(F.lit("")))
+        return F.when(ch.between(chr(HANGUL_FIRST), chr(HANGUL_LAST)), syllable).otherwise(F.coalesce(others[ch], ch))
+
+    return F.array_join(F.transform(F.split(c, ""), letters), "")
+
+
+@lru_cache(maxsize=1)
+def _several_class() -> str:
+    codes = sorted([ord(c) for c in accent_tables()[2]] + list(range(HANGUL_FIRST, HANGUL_LAST + 1)))
+    return "[" + _ranges(codes) + "]"
+
+
 def strip_accents(c: Column) -> Column:
-    src, dst = accent_table()
-    return F.translate(c, src, dst)
+    """Accents removed; text without a letter beyond ASCII is left as it is."""
+    src, dst, _ = accent_tables()
+    plain = F.translate(c, src, dst)
+    whole = F.when(c.rlike(_several_class()), F.translate(_several_letters(c), src, dst)).otherwise(plain)
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(whole)
 
 
 def normalize_text(c: Column | str) -> Column:

@@ -1,77 +1,111 @@
 """Per-row feature attributions.
 
 Interventional Shapley values by permutation sampling (Strumbelj & Kononenko,
-2014) with antithetic pairs (every permutation is followed by its reverse,
-Mitchell et al., 2022), against a background sample. For each explained row,
-permutation and background row, the p+1 hybrid rows (first k features of the
-permutation from the row, the rest from the background) are built by
-``explode``, scored by the model in one batch, averaged over the background by
-a map-side ``groupBy``, differenced along each (row, permutation) chain of p+1
-values and averaged by ``groupBy``: work is rows x permutations x (p+1) x background, all
-distributed. Antithetic pairs make the estimate exact for any model whose terms
-involve at most two features (e.g. linear or pairwise-product scorers).
+2014), with antithetic pairs (every permutation is followed by its reverse,
+Mitchell et al., 2022) or, for few features, all orders. The background is the
+whole training set: each row draws ``n_draws`` background rows per pair by a
+seeded hash over the numbered training rows, an equi-join. Each (row, drawn row)
+is exploded into the hybrid rows of its permutations (the first k features from
+the row, the rest from the background) and scored; a hybrid adds to the feature
+that entered it and subtracts from the one that enters next, so one sum per row
+yields all attributions: two shuffles (the draw and the sum), no window over
+scored rows. Antithetic pairs are exact for models whose terms join at most two
+features, all orders for any model; the draws estimate the background mean.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from itertools import permutations as orders
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..settings import RANDOM_STATE
 
 Scorer = Callable[[DataFrame], DataFrame]
+# Most features for which all orders are enumerated (720 orders).
+MOST_ORDERED = 6
 
 
-def permutations(features: list[str], n_pairs: int, seed: int = RANDOM_STATE) -> list[list[int]]:
-    """Seeded permutations as rank arrays (rank of feature i); pairs (pi, reverse(pi))."""
+def permutations(features: list[str], n_pairs: int | None, seed: int = RANDOM_STATE) -> list[list[list[int]]]:
+    """Groups of rank arrays (rank of feature i) that share their draws.
+
+    ``n_pairs`` seeded pairs (pi, reverse(pi)); ``None`` gives all orders as one group.
+    """
     p = len(features)
+    if n_pairs is None:
+        if p > MOST_ORDERED:
+            raise ValueError(f"all orders of {p} features are too many; give n_pairs")
+        return [[list(o) for o in orders(range(p))]]
     out = []
     for j in range(n_pairs):
         order = sorted(range(p), key=lambda i: hashlib.md5(f"{seed}|{j}|{features[i]}".encode()).hexdigest())
         rank = [0] * p
         for pos, i in enumerate(order):
             rank[i] = pos
-        out.append(rank)
-        out.append([p - 1 - r for r in rank])
+        out.append([rank, [p - 1 - r for r in rank]])
     return out
 
 
+def hashed_number(*parts: Column) -> Column:
+    """A non-negative 52-bit number from the md5 of the parts joined by ``|``."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[c.cast("string") for c in parts])), 1, 13), 16, 10).cast("long")
+
+
+def numbered(df: DataFrame, key: str, seed: str) -> DataFrame:
+    """``_index`` 0..n-1 in the order of md5(seed|key), then key, and the row count ``_rows``.
+
+    Rows are ranked within 4,096 hash prefixes and offset by the prefix counts
+    (the only table that is gathered), so no task sorts all rows.
+    """
+    hashed = df.withColumn("_md5", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))))
+    hashed = hashed.withColumn("_prefix", F.substring("_md5", 1, 3))
+    w = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (hashed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_from", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+               .withColumn("_rows", F.sum("_n").over(Window.partitionBy())).drop("_n"))
+    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy("_md5", key))
+    return (hashed.join(F.broadcast(offsets), "_prefix")                        # 4,096 rows at most
+            .withColumn("_index", F.col("_from") + rank - 1).drop("_prefix", "_md5", "_from"))
+
+
 def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[str], key: str,
-                        scorer: Scorer, n_pairs: int = 1, seed: int = RANDOM_STATE,
-                        max_background: int = 100) -> DataFrame:
-    """M9: (key, feature, phi) with sum over features of phi = f(x) - mean over background of f(z)."""
-    bg_rows = background.select(*features).limit(max_background + 1).collect()   # bounded sample
-    if len(bg_rows) > max_background:
-        raise ValueError(f"background larger than {max_background} rows; sample it first")
-    p = len(features)
-    bg = F.array(*[F.struct(F.lit(i).alias("_bgid"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
-                   for i, r in enumerate(bg_rows)])
-    ranks = permutations(features, n_pairs, seed)
-    perms = F.array(*[F.struct(F.lit(j).alias("_pid"), F.array(*[F.lit(x) for x in rk]).alias("_rank"))
-                      for j, rk in enumerate(ranks)])
-    rank_of = F.array(*[F.array(*[F.lit(x) for x in rk]) for rk in ranks])   # permutation id -> ranks
+                        scorer: Scorer, n_pairs: int | None = 1, n_draws: int = 5, seed: int = RANDOM_STATE,
+                        background_key: str | None = None) -> DataFrame:
+    """M9: (key, feature, phi); per row the phis add up to f(x) minus the mean of f over its draws.
+
+    ``n_draws`` background rows are drawn per row and pair (with all orders: per
+    row), uniformly from all of ``background``; ``background_key`` is its unique key.
+    """
+    p, groups = len(features), permutations(features, n_pairs, seed)
+    ranks = [r for g in groups for r in g]
+    per_group, steps = len(groups[0]), p + 1
+    z = numbered(background.select(background_key or key, *features), background_key or key, f"{seed}-background")
+    n_rows = z.select(F.max("_rows")).scalar()
+    z = z.select("_index", *[F.col(f).cast("double").alias(f"z_{f}") for f in features])
     x = rows.select(key, *[F.col(f).cast("double").alias(f"x_{f}") for f in features])
-    x = (x.withColumn("_perm", F.explode(perms))
-          .withColumn("_bg", F.explode(bg))
-          .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(p)))))
-    hybrid = [F.when(F.col("_perm._rank")[i] < F.col("_k"), F.col(f"x_{f}")).otherwise(F.col("_bg")[f]).alias(f)
-              for i, f in enumerate(features)]
-    h = x.select(key, F.col("_perm._pid").alias("_pid"), F.col("_perm._rank").alias("_rank"),
-                 F.col("_bg._bgid").alias("_bgid"), "_k", *hybrid)
-    scored = scorer(h)
-    # phi is linear in the background average, so first average f over background rows for each
-    # (row, permutation, position k): a hash aggregate whose rows all come from one task. Then the
-    # feature of rank k-1 gets A(k) - A(k-1) along each (row, permutation) chain of p+1 values.
-    avg_b = scored.groupBy(key, "_pid", "_k").agg(F.avg("prediction").alias("_f"))
-    w = Window.partitionBy(key, "_pid").orderBy("_k")
-    d = (avg_b.withColumn("_d", F.col("_f") - F.lag("_f").over(w))
-              .where(F.col("_k") > 0)
-              .withColumn("_fi", F.array_position(F.element_at(rank_of, F.col("_pid") + 1), F.col("_k") - 1) - 1))
-    names = F.array(*[F.lit(f) for f in features])
-    return (d.groupBy(key, "_fi").agg(F.avg("_d").alias("phi"))
-             .select(key, F.element_at(names, F.col("_fi").cast("int") + 1).alias("feature"), "phi"))
+    drawn = (x.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))))
+             .withColumn("_draw", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))))
+             .withColumn("_index", hashed_number(F.lit(f"{seed}-draw"), F.col(key), F.col("_group"), F.col("_draw")) % n_rows))
+    pairs = drawn.join(z, "_index")
+    # _step numbers (permutation, k): hybrids 0..p of every permutation of the group.
+    first = F.col("_group") * (per_group * steps)
+    hybrids = pairs.withColumn("_step", F.explode(F.sequence(first, first + (per_group * steps - 1))))
+
+    def by_step(value_of) -> Column:
+        return F.element_at(F.array(*[F.lit(value_of(rank, k)) for rank in ranks for k in range(steps)]),
+                            F.col("_step") + 1)
+
+    mixed = hybrids.select(key, "_step", *[
+        F.when(by_step(lambda rank, k, i=i: rank[i] < k), F.col(f"x_{f}")).otherwise(F.col(f"z_{f}")).alias(f)
+        for i, f in enumerate(features)])
+    scored = scorer(mixed)
+    share = 1.0 / (n_draws * len(ranks))
+    sums = scored.groupBy(key).agg(*[
+        (F.sum(F.col("prediction") * by_step(lambda rank, k, i=i: float((k == rank[i] + 1) - (k == rank[i])))) * share)
+        .alias(f) for i, f in enumerate(features)])
+    return sums.unpivot([key], features, "feature", "phi")
 
 
 def global_importance(phi: DataFrame) -> DataFrame:

@@ -105,19 +105,20 @@ def categorical_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[st
             if isinstance(f.dataType, (T.StringType, T.BooleanType)) and f.name not in exclude]
 
 
-def cardinalities(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Distinct count of every column in one aggregate: one row, one column per input column."""
-    cols = columns or df.columns
-    return df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
+def continuous_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
+    """Numeric columns with more than two distinct values.
 
-
-def continuous_columns(df: DataFrame, min_distinct: int = 3, exclude: tuple[str, ...] = ()) -> list[str]:
-    """Numeric columns with more than two distinct values (one pass for all columns)."""
+    A column has a third value if and only if some value lies strictly between
+    its minimum and its maximum: two plain aggregates, no distinct counts.
+    """
     num = numeric_columns(df, exclude)
     if not num:
         return []
-    row = cardinalities(df, num).first()
-    return [c for c in num if row[c] >= min_distinct]
+    wide = nan_to_null(df.select(*num))
+    ends = wide.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(num)], *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(num)])
+    row = wide.agg(*[F.count_if((F.col(c) > ends.select(f"lo_{i}").scalar()) & (F.col(c) < ends.select(f"hi_{i}").scalar()))
+                     .alias(f"n_{i}") for i, c in enumerate(num)]).first()
+    return [c for i, c in enumerate(num) if row[f"n_{i}"]]
 
 
 def price_per_m2(prediction: str | Column = "prediction", surface: str | Column = "surface_habitable") -> Column:

@@ -5,101 +5,89 @@ divided by the reference population std) from the two empirical CDFs.
 Categorical columns: Jensen-Shannon distance (base 2) and the chi-square
 statistic of the 2 x k count table.
 
-Plan at scale: rows are first reduced to (column, value) counts for both sides,
-so a value held by a third of the rows is a single row. The cumulative sums then
-run per (column, bucket) where buckets are approximate quantiles of the distinct
-values, plus an offset from a (columns x buckets) table: exact CDFs without a
-task ever sorting a whole column.
+Plan at scale: one scan reduces the rows to (column, value) counts for both
+sides, so a value held by a third of the rows is a single row; everything else
+works on the counts. Cumulative sums run per (column, bucket, slice) of the
+values, offset by a small table of slice counts: exact CDFs without a task ever
+sorting a whole column.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..settings import DRIFT_SHARE_GATE, DRIFT_THRESHOLD
-from .stats import long_values
+from .quantiles import ordered_bucket
 
 REF = "_is_ref"
 
 
 def tagged(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """Both sides in one frame; ``REF`` marks the reference rows."""
     return (reference.select(*columns).withColumn(REF, F.lit(True))
             .unionByName(current.select(*columns).withColumn(REF, F.lit(False))))
 
 
-DISTINCT_PER_BUCKET = 1_000_000
+# Equal slices of a coarse bucket of values.
+SLICES = 64
+
+
+def value_counts_by_side(rows: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """(column_name, number, text, n_ref, n_cur) of all columns from one scan of ``rows`` (with ``REF``)."""
+    none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cells = [F.struct(F.lit(c).alias("column_name"), F.nanvl(F.col(c).cast("double"), none).alias("number"),
+                      blank.alias("text")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("column_name"), none.alias("number"), F.col(c).cast("string").alias("text"))
+              for c in categorical]
+    long = rows.select(REF, F.inline(F.array(*cells))).where("number IS NOT NULL OR text IS NOT NULL")
+    return long.groupBy("column_name", "number", "text").agg(
+        F.count_if(F.col(REF)).alias("n_ref"), F.count_if(~F.col(REF)).alias("n_cur"))
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
-                  buckets: int | None = None) -> DataFrame:
-    """Per numeric column: ks, wasserstein, wasserstein_norm (exact).
+def numeric_drift(counts: DataFrame) -> DataFrame:
+    """Per numeric column of ``value_counts_by_side``: ks, wasserstein, wasserstein_norm (exact).
 
-    ``buckets=None`` sizes the buckets from the largest number of distinct
-    values of a column (at most ``DISTINCT_PER_BUCKET`` per window partition).
+    Cumulative counts run within slices of order-following buckets, offset by the
+    counts of the slices before, so no task sorts a whole column.
     """
-    lv = long_values(tagged(reference, current, columns), columns, ids=[REF])
-    lv = lv.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    cnt = lv.groupBy("column_name", "value").agg(
-        F.count_if(F.col(REF)).alias("n_ref"), F.count_if(~F.col(REF)).alias("n_cur"))
-    tot = lv.groupBy("column_name").agg(
-        F.count_if(F.col(REF)).alias("tot_ref"), F.count_if(~F.col(REF)).alias("tot_cur"),
-        F.stddev_pop(F.when(F.col(REF), F.col("value"))).alias("ref_std"))
-    if buckets is None:                      # HyperLogLog per column: a cheap, map-side size estimate
-        most = lv.groupBy("column_name").agg(F.approx_count_distinct("value").alias("_d")) \
-                 .agg(F.max("_d")).first()[0] or 0
-        buckets = min(4096, max(1, -(-most // DISTINCT_PER_BUCKET)))
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        edges = cnt.groupBy("column_name").agg(F.percentile_approx("value", probs, 10_000).alias("edges"))
-        c = (cnt.join(edges, "column_name")
-                .withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col("value"))))
-                .drop("edges"))
-    else:
-        c = cnt.withColumn("bucket", F.lit(0))
-    wb = Window.partitionBy("column_name").orderBy("bucket")
-    bt = (c.groupBy("column_name", "bucket")
-           .agg(F.sum("n_ref").alias("b_ref"), F.sum("n_cur").alias("b_cur"), F.min("value").alias("b_min"))
-           .withColumn("off_ref", F.coalesce(F.sum("b_ref").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("off_cur", F.coalesce(F.sum("b_cur").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("next_min", F.lead("b_min").over(wb))
-           .drop("b_ref", "b_cur", "b_min"))
-    wv = Window.partitionBy("column_name", "bucket").orderBy("value")
+    c = (counts.where("number IS NOT NULL").select("column_name", F.col("number").alias("value"), "n_ref", "n_cur")
+         .withColumn("b", ordered_bucket(F.col("value"))))
+    spans = c.groupBy("column_name", "b").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    place = F.floor(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * SLICES)
+    c = (c.join(spans, ["column_name", "b"])
+          .withColumn("s", F.when(F.col("hi") > F.col("lo"), F.least(place, F.lit(SLICES - 1))).otherwise(0).cast("int"))
+          .drop("lo", "hi"))
+    keys = ["column_name", "b", "s"]
+    whole = Window.partitionBy("column_name")
+    wb = whole.orderBy("b", "s")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    bt = (c.groupBy(*keys).agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"), F.min("value").alias("first"),
+                               F.sum(F.col("n_ref") * F.col("value")).alias("sum_ref"))
+           .select(*keys, F.coalesce(F.sum("r").over(before), F.lit(0)).alias("off_ref"),
+                   F.coalesce(F.sum("k").over(before), F.lit(0)).alias("off_cur"), F.lead("first").over(wb).alias("next_min"),
+                   F.sum("r").over(whole).alias("tot_ref"), F.sum("k").over(whole).alias("tot_cur"),
+                   F.try_divide(F.sum("sum_ref").over(whole), F.sum("r").over(whole)).alias("mean_ref")))
+    wv = Window.partitionBy(*keys).orderBy("value")
     run = wv.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = (c.join(bt, ["column_name", "bucket"]).join(tot, "column_name")
+    c = (c.join(bt, keys)
           .withColumn("F_ref", F.try_divide(F.col("off_ref") + F.sum("n_ref").over(run), F.col("tot_ref")))
           .withColumn("F_cur", F.try_divide(F.col("off_cur") + F.sum("n_cur").over(run), F.col("tot_cur")))
           .withColumn("nxt", F.coalesce(F.lead("value").over(wv), F.col("next_min"))))
     d = F.abs(F.col("F_ref") - F.col("F_cur"))
-    out = c.groupBy("column_name", "ref_std", "tot_ref", "tot_cur").agg(
+    off = F.col("value") - F.col("mean_ref")
+    out = c.groupBy("column_name").agg(
         F.max(d).alias("ks"),
-        F.sum(F.coalesce(d * (F.col("nxt") - F.col("value")), F.lit(0.0))).alias("wasserstein"))
+        F.sum(F.coalesce(d * (F.col("nxt") - F.col("value")), F.lit(0.0))).alias("wasserstein"),
+        F.sqrt(F.try_divide(F.sum(F.col("n_ref") * off * off), F.max("tot_ref"))).alias("ref_std"))
     return out.select("column_name", "ks", "wasserstein",
-                      (F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001))).alias("wasserstein_norm"),
-                      ks_pvalue(F.col("ks"), F.col("tot_ref"), F.col("tot_cur")).alias("ks_pvalue"))
-
-
-def ks_pvalue(d, n1, n2, terms: int = 100):
-    """Asymptotic two-sample KS p-value: Q(lambda) = 2 sum (-1)^(k-1) exp(-2 k^2 lambda^2),
-    lambda = (sqrt(ne) + 0.12 + 0.11 / sqrt(ne)) * D, ne = n1 n2 / (n1 + n2) (Stephens, 1970).
-    A p-value, reported beside the distances; the drift flag uses distances only."""
-    ne = F.try_divide(n1 * n2, n1 + n2)
-    lam = (F.sqrt(ne) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(ne))) * d
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-                         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0)
-                         * F.exp(-2.0 * k * k * lam * lam))
-    return F.when(lam < 1e-3, F.lit(1.0)).otherwise(F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0)))
-
-
-def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """Per categorical column: jensen_shannon (base 2, distance) and chi2 of the 2 x k table."""
-    lv = long_values(tagged(reference, current, columns), columns, ids=[REF], cast="string")
-    lv = lv.where(F.col("value").isNotNull())
-    cnt = lv.groupBy("column_name", "value").agg(
-        F.count_if(F.col(REF)).alias("n_ref"), F.count_if(~F.col(REF)).alias("n_cur"))
+                      (F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(0.001))).alias("wasserstein_norm"))
+
+
+def categorical_drift(counts: DataFrame) -> DataFrame:
+    """Per categorical column of ``value_counts_by_side``: jensen_shannon (base 2, distance) and chi2."""
+    cnt = counts.where("text IS NOT NULL")
     tot = cnt.groupBy("column_name").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    c = cnt.join(tot, "column_name")
+    c = cnt.join(F.broadcast(tot), "column_name")                             # one row per column
     p, q = F.try_divide(F.col("n_ref"), F.col("tot_ref")), F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2
 
@@ -111,86 +99,40 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
     e_ref, e_cur = F.try_divide(row * F.col("tot_ref"), grand), F.try_divide(row * F.col("tot_cur"), grand)
     chi = F.try_divide((F.col("n_ref") - e_ref) ** 2, e_ref) + F.try_divide((F.col("n_cur") - e_cur) ** 2, e_cur)
     out = c.groupBy("column_name").agg(
-        F.sum(0.5 * kl_term(p) + 0.5 * kl_term(q)).alias("_jsd"), F.sum(chi).alias("chi2"),
-        (F.count(F.lit(1)) - 1).alias("dof"))
-    return out.select("column_name", F.sqrt(F.greatest(F.col("_jsd"), F.lit(0.0))).alias("jensen_shannon"),
-                      "chi2", "dof", chi2_pvalue(F.col("chi2"), F.col("dof").cast("double")).alias("chi2_pvalue"))
-
-
-# Lanczos approximation of log-gamma (g = 7, nine coefficients): fixed published constants.
-LANCZOS_G = 7
-LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313,
-           -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6,
-           1.5056327351493116e-7]
-
-
-def _lgamma(a):
-    """log Gamma(a) for a >= 0.5."""
-    x = a - 1
-    s = F.lit(LANCZOS[0])
-    for i, c in enumerate(LANCZOS[1:], start=1):
-        s = s + F.lit(c) / (x + i)
-    t = x + LANCZOS_G + 0.5
-    return 0.5 * math.log(2 * math.pi) + (x + 0.5) * F.log(t) - t + F.log(s)
-
-
-def chi2_pvalue(stat, dof, steps: int = 300):
-    """Upper tail of the chi-square distribution: Q(dof/2, stat/2), the regularized upper incomplete
-    gamma function by its series (x < a + 1) or Lentz's continued fraction, as Spark expressions."""
-    a, x = dof / 2.0, stat / 2.0
-    pref = F.exp(-x + a * F.log(x) - _lgamma(a))
-    # series for P(a, x)
-    ser = F.aggregate(F.sequence(F.lit(1), F.lit(steps)),
-                      F.struct(a.alias("ap"), (1.0 / a).alias("d"), (1.0 / a).alias("s")),
-                      lambda acc, k: F.struct((acc["ap"] + 1).alias("ap"),
-                                              (acc["d"] * x / (acc["ap"] + 1)).alias("d"),
-                                              (acc["s"] + acc["d"] * x / (acc["ap"] + 1)).alias("s")))
-    p_lower = ser["s"] * pref
-    tiny = 1e-300
-
-    def guard(v):
-        return F.when(F.abs(v) < tiny, F.lit(tiny)).otherwise(v)
-
-    b0 = x + 1 - a
-    cf = F.aggregate(F.sequence(F.lit(1), F.lit(steps)),
-                     F.struct(b0.alias("b"), F.lit(1.0 / tiny).alias("c"), (1.0 / guard(b0)).alias("d"),
-                              (1.0 / guard(b0)).alias("h")),
-                     lambda acc, i: (lambda an, b: (lambda d, c: F.struct(
-                         b.alias("b"), c.alias("c"), (1.0 / d).alias("d"), (acc["h"] * (1.0 / d) * c).alias("h")))(
-                         guard(an * acc["d"] + b), guard(b + an / acc["c"])))(
-                         -i * (i - a), acc["b"] + 2))
-    q = F.when(x < a + 1, 1.0 - p_lower).otherwise(cf["h"] * pref)
-    return (F.when(dof <= 0, F.lit(1.0)).when(stat <= 0, F.lit(1.0))
-             .otherwise(F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))))
+        F.sum(0.5 * kl_term(p) + 0.5 * kl_term(q)).alias("_jsd"), F.sum(chi).alias("chi2"))
+    return out.select("column_name", F.sqrt(F.greatest(F.col("_jsd"), F.lit(0.0))).alias("jensen_shannon"), "chi2")
 
 
-def data_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
-               threshold: float = DRIFT_THRESHOLD, buckets: int | None = None,
-               with_pvalues: bool = False) -> DataFrame:
-    """M5: one row per column with its statistics, the drift score (a distance) and the drift flag.
+def drift_of(rows: DataFrame, numeric: list[str], categorical: list[str],
+             threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """M5 over one frame whose boolean ``REF`` marks the reference rows.
 
-    ``with_pvalues`` adds a ``p_value`` column (KS for numeric, chi-square for
-    categorical columns); the flag never uses it (a p-value falls with drift).
+    One row per column with its statistics, the drift score (a distance) and the drift flag.
     """
+    counts = value_counts_by_side(rows, numeric, categorical)
     none = F.lit(None).cast("double")
     parts = []
     if numeric:
-        parts.append(numeric_drift(reference, current, numeric, buckets).select(
+        parts.append(numeric_drift(counts).select(
             "column_name", F.lit("numeric").alias("kind"), "ks", "wasserstein", "wasserstein_norm",
-            none.alias("jensen_shannon"), none.alias("chi2"), F.col("wasserstein_norm").alias("score"),
-            *([F.col("ks_pvalue").alias("p_value")] if with_pvalues else [])))
+            none.alias("jensen_shannon"), none.alias("chi2"), F.col("wasserstein_norm").alias("score")))
     if categorical:
-        parts.append(categorical_drift(reference, current, categorical).select(
+        parts.append(categorical_drift(counts).select(
             "column_name", F.lit("categorical").alias("kind"), none.alias("ks"),
             none.alias("wasserstein"), none.alias("wasserstein_norm"),
-            "jensen_shannon", "chi2", F.col("jensen_shannon").alias("score"),
-            *([F.col("chi2_pvalue").alias("p_value")] if with_pvalues else [])))
+            "jensen_shannon", "chi2", F.col("jensen_shannon").alias("score")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("drifted", F.col("score") > threshold)
 
 
+def data_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
+               threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """M5 between two frames."""
+    return drift_of(tagged(reference, current, [*numeric, *categorical]), numeric, categorical, threshold)
+
+
 def dataset_drift(report: DataFrame, drift_share: float = 0.5, gate_share: float = DRIFT_SHARE_GATE) -> DataFrame:
     """M5 summary + M6 gate: drifted count and share; stop when the set drifts and the share > gate."""
     s = report.agg(F.count(F.lit(1)).alias("total_features"),

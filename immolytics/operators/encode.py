@@ -42,12 +42,22 @@ class OneHotModel:
         return cls(cats)
 
 
-def fit_one_hot(df: DataFrame, columns: list[str]) -> OneHotModel:
-    """Distinct non-null categories of every column in one job, sorted by code point."""
+# An indicator column is made per category: more than this many in all is taken for a mistake.
+MOST_CATEGORIES = 10_000
+
+
+def fit_one_hot(df: DataFrame, columns: list[str], most: int = MOST_CATEGORIES) -> OneHotModel:
+    """Distinct non-null categories of every column in one job, sorted by code point.
+
+    Raises ``ValueError`` if the columns have more than ``most`` categories together.
+    """
     require_columns(df, columns)
     lv = long_values(df, columns, cast="string").where(F.col("value").isNotNull()).distinct()
     cats: dict[str, list[str]] = {c: [] for c in columns}
-    for r in lv.collect():                       # bounded by the number of categories
+    found = lv.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} categories in {columns}")
+    for r in found:
         cats[r["column_name"]].append(r["value"])
     return OneHotModel({c: sorted(v) for c, v in cats.items()})
 

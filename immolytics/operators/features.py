@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.scalar import round_half_even
 from ..session import materialize
 from ..settings import (CITY_KEYS, CITY_MONTH_KEYS, DEMAND_QUANTILE, DEPARTMENT_MONTH_KEYS,
-                        DROPPED_AFTER_JOIN, JOIN_KEYS)
-from .columns import drop_existing, require_columns
+                        DROPPED_AFTER_JOIN, JOIN_KEYS, LINE_KEY)
+from .columns import drop_existing, require_columns, require_not_empty, to_int, with_suffix
 
 
 def city_month(sales: DataFrame, keys: list[str] = CITY_MONTH_KEYS, decimals: int | None = 2) -> DataFrame:
@@ -49,11 +49,10 @@ def market_share(cm: DataFrame) -> DataFrame:
 
 def quantile_value(df: DataFrame, column: str, q: float, exact: bool = True,
                    accuracy: int = 100_000) -> Column:
-    """A3: a global quantile as a literal in the plan (no collect of rows, no cross join).
+    """A3: a global quantile as a scalar subquery (no collect of rows, no cross join).
 
     ``exact`` interpolates linearly between two order statistics (same value as
-    pandas): Spark's ``percentile`` while the distinct values fit a task, else
-    distributed rank selection; otherwise a ``percentile_approx`` subquery.
+    pandas), see ``quantiles``; otherwise ``percentile_approx``.
     """
     if exact:
         from .quantiles import quantile_scalar
@@ -68,9 +67,13 @@ def demand_flag(cm: DataFrame, threshold: float = DEMAND_QUANTILE, exact: bool =
                          F.when(F.col("ratio_transaction") > cut, 1).otherwise(0))
 
 
-def compute_city_features(cm: DataFrame, threshold: float = DEMAND_QUANTILE,
-                          exact_quantile: bool = True) -> DataFrame:
-    """A1 (re-grouping is a no-op on city_month output) + J2 + A2 + A3/J4/A4."""
+def compute_city_features(rows: DataFrame, threshold: float = DEMAND_QUANTILE,
+                          exact_quantile: bool = True, grouped: bool = False) -> DataFrame:
+    """A1 without rounding (raw sales are grouped first) + J2 + A2 + A3/J4/A4.
+
+    ``grouped`` says that ``rows`` already has one row per city, month and volume.
+    """
+    cm = rows if grouped else city_month(rows, decimals=None)
     return (cm.transform(department_total)
               .transform(market_share)
               .transform(demand_flag, threshold, exact_quantile))
@@ -100,17 +103,15 @@ def rolling_means(cm: DataFrame, n: int = 6, keys: list[str] = CITY_KEYS,
     hi = -1 if exclude_current else 0
     frame = w.rowsBetween(hi - n + 1, hi)
     full = F.count(F.lit(1)).over(frame) == n
-    return (cm.withColumn(f"prix_m2_moyen_glissant_{n}m",
-                          F.when(full, F.avg("prix_m2_moyen").over(frame)))
-              .withColumn(f"nb_transaction_moyen_glissant_{n}m",
-                          F.when(full, F.avg("nb_transactions_mois").over(frame))))
+    means = {"prix_m2_moyen_glissant": F.when(full, F.avg("prix_m2_moyen").over(frame)),
+             "nb_transaction_moyen_glissant": F.when(full, F.avg("nb_transactions_mois").over(frame))}
+    return with_suffix(cm.withColumns(means), list(means), n)
 
 
 def compute_features_price_per_m2(cm: DataFrame, keys: list[str] = CITY_KEYS) -> DataFrame:
     """W1+W2, then P4 (drop rows with any null) and P6 (integer volume)."""
     out = previous_month(cm, keys).na.drop("any")
-    return out.withColumn("nb_transactions_mois_precedent",
-                          F.col("nb_transactions_mois_precedent").cast("bigint"))
+    return to_int(out, "nb_transactions_mois_precedent")
 
 
 FEATURE_COLUMNS = ["prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent", "ville_demandee"]
@@ -122,30 +123,38 @@ def city_features(sales: DataFrame, decimals: int | None = 2, threshold: float =
 
     The city-month table (one row per city and month, far smaller than the
     sales) is written once to the shared folder, so the global quantile and the
-    windows read it instead of re-running the sales aggregation.
+    windows read it instead of re-running the sales aggregation; the written
+    table is also checked for emptiness.
     """
     cm = city_month(sales, decimals=decimals)
     if materialize_city_month:
-        cm = materialize(cm, "city-month")
-    cm = compute_city_features(cm, threshold, exact_quantile)
+        cm = require_not_empty(materialize(cm, "city-month"), "the city-month table")
+    cm = compute_city_features(cm, threshold, exact_quantile, grouped=True)
     return compute_features_price_per_m2(cm)
 
 
 def feature_engineering(sales: DataFrame, decimals: int | None = 2,
                         threshold: float = DEMAND_QUANTILE, exact_quantile: bool = True,
-                        one_row_per_city_month: bool = False, materialize_city_month: bool = True) -> DataFrame:
+                        one_row_per_city_month: bool = False, materialize_city_month: bool = True,
+                        line_key_of: str | None = None, city_months: DataFrame | None = None) -> DataFrame:
     """J1 + P2: attach the city features to every sale and drop the grouping columns.
 
     Like the reference, a city-month carrying several monthly volumes fans the
     sale out to one row per volume; ``one_row_per_city_month`` keeps only the
-    last (largest-volume) row of each city-month instead.
+    last (largest-volume) row of each city-month instead. ``line_key_of`` names
+    the sales' key and adds ``LINE_KEY``, that key with the volume of the feature
+    row: unique after the fan-out, so the rows can be split and ranked exactly.
+    ``city_months`` gives rows to build the features from instead of the sales.
     """
     require_columns(sales, CITY_MONTH_KEYS + ["prix_m2_moyen"])
-    feats = city_features(sales, decimals, threshold, exact_quantile, materialize_city_month)
-    feats = feats.select(*JOIN_KEYS, *FEATURE_COLUMNS)
+    feats = city_features(sales if city_months is None else city_months, decimals, threshold, exact_quantile,
+                          materialize_city_month)
+    feats = feats.select(*JOIN_KEYS, *FEATURE_COLUMNS, F.col("nb_transactions_mois").alias("_volume"))
     if one_row_per_city_month:
-        w = Window.partitionBy(*JOIN_KEYS).orderBy(F.col("nb_transactions_mois_precedent").desc())
+        w = Window.partitionBy(*JOIN_KEYS).orderBy(F.col("_volume").desc())
         feats = feats.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     prepared = sales.join(feats, JOIN_KEYS, "inner")
-    return drop_existing(prepared, DROPPED_AFTER_JOIN, strict=True)
+    if line_key_of:
+        prepared = prepared.withColumn(LINE_KEY, F.concat_ws("#", line_key_of, "_volume"))
+    return drop_existing(prepared, [*DROPPED_AFTER_JOIN, "_volume"], strict=True)
 

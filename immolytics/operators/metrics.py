@@ -19,17 +19,17 @@ def residual(label: str = "prix", prediction: str = "prediction") -> Column:
 
 
 def regression_metrics(df: DataFrame, label: str = "prix", prediction: str = "prediction",
-                       by: list[str] = ()) -> DataFrame:
-    """N, MSE, RMSE, MAE and R2 = 1 - SSE / SST (not the squared correlation)."""
+                       by: list[str] = (), **more: Column) -> DataFrame:
+    """N, MSE, RMSE, MAE and R2 = 1 - SSE / SST (not the squared correlation); ``more`` in the same pass."""
     e = residual(label, prediction)
     agg = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(e * e).alias("mse"),
         F.avg(F.abs(e)).alias("mae"),
         F.sum(e * e).alias("_sse"),
-        (F.var_pop(label) * F.count(F.lit(1))).alias("_sst"))
+        (F.var_pop(label) * F.count(F.lit(1))).alias("_sst"), *[c.alias(k) for k, c in more.items()])
     return agg.select(*by, "n", "mse", F.sqrt("mse").alias("rmse"), "mae",
-                      (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"))
+                      (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"), *more)
 
 
 def abs_error_stats(df: DataFrame, label: str = "prix", prediction: str = "prediction",
@@ -99,10 +99,9 @@ def with_mean_baseline(train: DataFrame, df: DataFrame, label: str = "prix",
 def evaluate(scored: DataFrame, label: str = "prix", prediction: str = "prediction",
              split: str = "split") -> DataFrame:
     """M4: metrics and |error| statistics for every split, one row each."""
-    m = regression_metrics(scored, label, prediction, [split])
     a = F.abs(residual(label, prediction))
-    e = scored.groupBy(split).agg(F.avg(a).alias("error_mean"), F.stddev_samp(a).alias("error_std"))
-    return m.join(e, split)
+    return regression_metrics(scored, label, prediction, [split],
+                              error_mean=F.avg(a), error_std=F.stddev_samp(a))
 
 
 def _attach(one_row: DataFrame, q: DataFrame) -> DataFrame:
@@ -134,7 +133,3 @@ def drift_table(report: DataFrame) -> DataFrame:
     return report.select(F.col("metric").alias("Metric"), F.col("reference_value").alias("Reference"),
                          F.col("current_value").alias("Current"),
                          (F.col("relative_diff") * 100).alias("Drift (%)"))
-
-
-def any_drift(report: DataFrame) -> DataFrame:
-    return report.agg(F.bool_or("has_drift").alias("has_drift"))

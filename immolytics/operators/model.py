@@ -2,13 +2,12 @@
 
 ``VectorAssembler`` + ``GBTRegressor`` in one ``Pipeline``; scoring is
 ``PipelineModel.transform`` for one row or a billion. Cross-validation fits one
-model per expanding fold and scores all folds in a single metrics job.
+model per fold and scores all folds in a single metrics job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -20,7 +19,6 @@ from ..settings import GBT_PARAMS, REGRESSION_TARGET
 from .columns import align_columns
 from .encode import OneHotModel, indicator
 from .metrics import regression_metrics
-from .splits import fold
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -73,24 +71,33 @@ CV_METRICS = {"neg_root_mean_squared_error": ("rmse", -1.0),
               "r2": ("r2", 1.0)}
 
 
-def cross_validate(df: DataFrame, fit: Callable[[DataFrame], Scorer], n_splits: int,
-                   block: str = "block", label: str = REGRESSION_TARGET) -> DataFrame:
+def cross_validate(df: DataFrame, fit: Callable[[DataFrame], Scorer], n_splits: int, kind: str = "expanding",
+                   block: str | None = None, label: str = REGRESSION_TARGET) -> DataFrame:
     """M2: per metric, mean and population std over folds, for train and test scores.
 
-    ``df`` carries expanding-fold blocks (``splits.time_series_blocks``). One row
-    per metric: ``moyenne_train, ecart_type_train, moyenne_test, ecart_type_test``.
+    ``kind`` "expanding": ``block`` holds expanding-window blocks
+    (``splits.time_series_blocks``), fold i trains on the blocks before i. "k":
+    ``block`` holds fold numbers 0..n_splits-1 (``splits.k_folds`` for an integer
+    number of folds, ``splits.group_folds`` for groups), fold i trains on all
+    others. One fit per fold; then one scan of ``df`` carries the predictions of
+    all folds, and one aggregate gives all scores. One row per metric:
+    ``moyenne_train, ecart_type_train, moyenne_test, ecart_type_test``.
     """
-    parts = []
-    for i in range(1, n_splits + 1):
-        train, test = fold(df, i, block)
-        scorer = fit(train)
-        parts.append(scorer(train).select(F.lit(i).alias("fold"), F.lit("train").alias("role"), label, "prediction"))
-        parts.append(scorer(test).select(F.lit(i).alias("fold"), F.lit("test").alias("role"), label, "prediction"))
-    scored = reduce(DataFrame.unionByName, parts)
-    m = regression_metrics(scored, label, "prediction", ["fold", "role"])
-    long = m.select("fold", "role", *[(F.col(c) * sign).alias(k) for k, (c, sign) in CV_METRICS.items()]) \
-            .unpivot(["fold", "role"], list(CV_METRICS), "metric", "score")
-    agg = long.groupBy("metric").agg(*[
+    if kind not in ("expanding", "k"):
+        raise ValueError(f"unknown kind of folds: {kind}")
+    at = F.col(block or ("block" if kind == "expanding" else "fold"))
+    scored, roles = df, []
+    for i in range(1, n_splits + 1) if kind == "expanding" else range(n_splits):
+        is_test = at == i
+        is_train = at < i if kind == "expanding" else ~is_test
+        scored = fit(df.where(is_train))(scored).withColumnRenamed("prediction", f"_p{i}")
+        role = F.when(is_test, "test").when(is_train, "train")
+        roles.append(F.struct(F.lit(i).alias("fold"), role.alias("role"), F.col(f"_p{i}").alias("prediction")))
+    long = scored.select(F.col(label).alias(label), F.inline(F.array(*roles))).where(F.col("role").isNotNull())
+    m = regression_metrics(long, label, "prediction", ["fold", "role"])
+    scores = m.select("fold", "role", *[(F.col(c) * sign).alias(k) for k, (c, sign) in CV_METRICS.items()]) \
+              .unpivot(["fold", "role"], list(CV_METRICS), "metric", "score")
+    agg = scores.groupBy("metric").agg(*[
         f(F.when(F.col("role") == r, F.col("score"))).alias(f"{name}_{r}")
         for r in ("train", "test") for name, f in (("moyenne", F.avg), ("ecart_type", F.stddev_pop))])
     return agg.select("metric", "moyenne_train", "ecart_type_train", "moyenne_test", "ecart_type_test")

@@ -1,133 +1,104 @@
-"""Exact grouped quantiles without holding a group in one task.
-
-Spark's exact ``percentile`` keeps a value -> count map per group, so one hot
-group (or a whole continuous column) must fit in one task's memory. Here a
-quantile is the linear interpolation of two order statistics, and order
-statistics are found by :func:`splits.rank_cuts` (prefix histograms, bounded
-state) on an order-preserving string key ``group || value``. The driver sees
-only group counts and the selected keys.
+"""Exact grouped quantiles on one distributed path, whatever the size of a group.
+
+A quantile is the linear interpolation of two order statistics. Rows are first
+reduced to (group, value) counts, so a value held by a third of the rows is one
+row. Counts are then narrowed twice: a coarse bucket that follows the order of
+doubles (sign and logarithm) tells by prefix sums which buckets hold the wanted
+ranks, equal slices of those buckets tell which slices do, and only the counts
+in these slices are ranked by a window. No step gathers a group in one task, no
+job runs while the plan is built, and nothing passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .splits import cuts_at
+# Coarse buckets per power of two, and equal slices of a coarse bucket.
+PER_OCTAVE = 16
+SLICES = 1024
 
-SEP = "\u0001"      # sorts before any printable group text
-MAX_GROUPS = 100_000
 
+def ordered_bucket(value: Column) -> Column:
+    """An integer that never falls as the double ``value`` rises; infinities lie outside all others."""
+    size = F.floor(F.log2(F.abs(value)) * PER_OCTAVE) + 1100 * PER_OCTAVE      # doubles start at 2^-1074
+    size = F.when(F.abs(value) == float("inf"), F.lit(1 << 40)).otherwise(size)
+    return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size).cast("long")
 
-def double_key(c: Column) -> Column:
-    """Order-preserving text of a finite double: sign, biased decimal exponent, 17 digits."""
-    s = F.format_string("%.16e", F.abs(c))
-    mant = F.regexp_replace(F.substring_index(s, "e", 1), r"\.", "")
-    exp = F.substring_index(s, "e", -1).cast("int") + 400
-    pos = F.concat(F.lit("2"), F.lpad(exp.cast("string"), 3, "0"), mant)
-    neg = F.concat(F.lit("0"), F.lpad((F.lit(999) - exp).cast("string"), 3, "0"),
-                   F.translate(mant, "0123456789", "9876543210"))
-    return F.when(c == 0, F.lit("1")).when(c > 0, pos).otherwise(neg)
 
+def same_group(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where a null group equals itself; the keys come from the left side."""
+    renamed = right.select([F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    if not keys:
+        return left.crossJoin(renamed)                       # both sides are one group
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
 
-def decode_double(k: str) -> float:
-    if k[0] == "1":
-        return 0.0
-    if k[0] == "2":
-        e, m = int(k[1:4]) - 400, k[4:]
-        return float(f"{m[0]}.{m[1:]}e{e}")
-    e = 999 - int(k[1:4]) - 400
-    m = k[4:].translate(str.maketrans("0123456789", "9876543210"))
-    return -float(f"{m[0]}.{m[1:]}e{e}")
 
+def _ranks(total: Column, probs: list[float]) -> list[tuple[Column, Column, Column]]:
+    """Per probability the two 1-based ranks to interpolate and the weight of the second."""
+    out = []
+    for p in probs:
+        h = (total - 1) * F.lit(float(p))
+        low = F.floor(h)
+        out.append(((low + 1).cast("long"), F.least(low + 2, total).cast("long"), h - low))
+    return out
 
-def group_text(by: list[str]) -> Column:
-    """Group label as text (NULL groups get their own marker); never contains SEP."""
-    if not by:
-        return F.lit("")
-    parts = [F.when(F.col(b).isNull(), F.lit("\u0002")).otherwise(F.concat(F.lit("\u0003"), F.col(b).cast("string")))
-             for b in by]
-    return F.concat_ws("\u0004", *parts)
 
-
-def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] = ()) -> DataFrame:
-    """(by..., p, q): linear-interpolation quantiles per group, exact (same as ``percentile``).
-
-    NULL and NaN values are ignored. Work per level is one aggregate over the
-    key column; memory per task does not depend on the group size.
-    """
-    by = list(by)
-    v = F.col(value) if isinstance(value, str) else value
-    base = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v"))
-    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    keyed = base.select(*by, group_text(by).alias("_g"), F.concat(group_text(by), F.lit(SEP), double_key(F.col("_v"))).alias("_key"))
-    groups = keyed.groupBy("_g", *by).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:            # the driver holds one count per group: keep it bounded
-        raise ValueError(f"more than {MAX_GROUPS} groups: use method='percentile' or percentile_approx")
-    groups = sorted(groups, key=lambda r: r["_g"])
-    wanted, plan, offset = [], [], 0
-    for g in groups:
-        n = g["_n"]
-        for p in probs:
-            h = (n - 1) * p
-            lo = math.floor(h)
-            r1, r2 = offset + lo + 1, offset + min(lo + 2, n)
-            wanted += [r1, r2]
-            plan.append((g, p, r1, r2, h - lo))
-        offset += n
-    rows = []
-    if wanted:
-        _, cuts = cuts_at(keyed, F.col("_key"), lambda n: sorted(set(wanted)))
-        for g, p, r1, r2, frac in plan:
-            v1 = decode_double(cuts[r1].split(SEP, 1)[1])
-            v2 = decode_double(cuts[r2].split(SEP, 1)[1])
-            rows.append((*[g[b] for b in by], float(p), v1 + frac * (v2 - v1)))
-    fields = [f for f in df.select(*by).schema.fields] if by else []
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    schema = StructType([*fields, StructField("p", DoubleType()), StructField("q", DoubleType())])
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-# Spark's exact ``percentile`` keeps one (value -> count) entry per distinct value of a group:
-# above this many distinct values in some group, switch to distributed selection.
-MAX_DISTINCT_IN_TASK = 1_000_000
-
-
-def max_distinct(df: DataFrame, value: str | Column, by: list[str] = ()) -> int:
-    """Largest (HyperLogLog) distinct count of ``value`` over the groups: one cheap pass."""
-    v = F.col(value) if isinstance(value, str) else value
-    per = df.groupBy(*by).agg(F.approx_count_distinct(v).alias("_d"))
-    return per.agg(F.max("_d")).first()[0] or 0
+def _holding(buckets: DataFrame, keys: list[str], order: str, probs: list[float], start: Column) -> DataFrame:
+    """Buckets (with ``_n`` rows each, ``start`` rows before all) that hold a wanted rank, with ``_before``."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = buckets.withColumn("_before", start + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    wanted = [(r > F.col("_before")) & (r <= F.col("_before") + F.col("_n"))
+              for a, b, _ in _ranks(F.col("_total"), probs) for r in (a, b)]
+    return placed.where(reduce(lambda a, b: a | b, wanted))
 
 
 def quantile_columns(df: DataFrame, value: str | Column, probs: list[float], names: list[str],
-                     by: list[str] = (), method: str = "auto") -> DataFrame:
-    """Wide form: one row per group with one column per probability (exact, linear interpolation).
+                     by: list[str] = ()) -> DataFrame:
+    """One row per group with one exact quantile (linear interpolation) per probability.
 
-    ``method``: "percentile" (Spark's aggregate: memory per group grows with its
-    distinct values), "select" (distributed rank selection: bounded memory),
-    or "auto" (percentile unless some group exceeds ``MAX_DISTINCT_IN_TASK``).
+    NULL and NaN are ignored; null groups are groups; infinities sort outside.
     """
     by = list(by)
-    if method == "auto":
-        method = "percentile" if max_distinct(df, value, by) <= MAX_DISTINCT_IN_TASK else "select"
-    if method == "percentile":
-        v = (F.col(value) if isinstance(value, str) else value).cast("double")
-        base = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        agg = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
-        out = base.groupBy(*by).agg(agg)
-        return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    q = exact_quantiles(df, value, probs, by)
-    aggs = [F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(probs, names)]
-    return q.groupBy(*by).agg(*aggs) if by else q.agg(*aggs)
-
-
-def quantile_scalar(df: DataFrame, value: str, p: float, method: str = "auto") -> Column:
-    """One global quantile as a value in the plan (scalar subquery or literal)."""
-    if method == "auto":
-        method = "percentile" if max_distinct(df, value) <= MAX_DISTINCT_IN_TASK else "select"
-    if method == "percentile":
-        return df.select(F.percentile(value, p)).scalar()
-    row = exact_quantiles(df, value, [p]).first()
-    return F.lit(row["q"] if row is not None else None).cast("double")
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    base = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if not by:                                               # one group, its buckets spread over tasks
+        base, by_keys = base.withColumn("_all", F.lit(0)), ["_all"]
+    else:
+        by_keys = by
+    counts = (base.groupBy(*by_keys, (F.col("_v") + F.lit(0.0)).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_b", ordered_bucket(F.col("_v"))))
+    coarse = counts.groupBy(*by_keys, "_b").agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    coarse = coarse.withColumn("_total", F.sum("_n").over(Window.partitionBy(*by_keys)))
+    held = _holding(coarse, by_keys, "_b", probs, F.lit(0)).drop("_n")
+    slice_ = F.floor(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * SLICES)
+    inner = same_group(counts, held, by_keys + ["_b"]).withColumn(
+        "_s", F.when(F.col("_hi") > F.col("_lo"), F.least(slice_, F.lit(SLICES - 1))).otherwise(0).cast("int"))
+    slices = (inner.groupBy(*by_keys, "_b", "_s", "_total", F.col("_before").alias("_start"))
+              .agg(F.sum("_n").alias("_n")))
+    fine = _holding(slices, by_keys + ["_b"], "_s", probs, F.col("_start")).select(
+        *by_keys, "_b", "_s", F.col("_before").alias("_from"))
+    last = same_group(inner, fine, by_keys + ["_b", "_s"])
+    run = Window.partitionBy(*by_keys, "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = last.withColumn("_upto", F.col("_from") + F.sum("_n").over(run))
+    aggs = []
+    for i, (a, b, weight) in enumerate(_ranks(F.col("_total"), probs)):
+        for side, r in (("a", a), ("b", b)):
+            here = (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n"))
+            aggs.append(F.max(F.when(here, F.col("_v"))).alias(f"_{side}{i}"))
+        aggs.append(F.max(weight).alias(f"_w{i}"))
+    found = placed.groupBy(*by_keys).agg(*aggs)
+
+    def between(i: int) -> Column:
+        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+        return F.when((a == b) | (F.col(f"_w{i}") == 0), a).otherwise(a + F.col(f"_w{i}") * (b - a))
+
+    out = found.select(*by_keys, *[between(i).alias(n) for i, n in enumerate(names)])
+    return out if by else out.drop("_all")
+
+
+def quantile_scalar(df: DataFrame, value: str, p: float) -> Column:
+    """One global quantile as a scalar subquery."""
+    return quantile_columns(df, value, [p], ["q"]).select("q").scalar()

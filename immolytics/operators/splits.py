@@ -43,7 +43,8 @@ def order_key(df: DataFrame, columns: list[str]) -> Column:
     """A string whose lexicographic order is the ascending order of ``columns``.
 
     Integral, boolean, date and timestamp columns become fixed-width hex; a
-    string column is allowed only in last position (it is appended as is).
+    string column is allowed only in last position (the hex of its UTF-8 bytes,
+    so that a prefix histogram has at most 16 groups per character).
     Nulls are not allowed in order columns.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -59,22 +60,22 @@ def order_key(df: DataFrame, columns: list[str]) -> Column:
         elif isinstance(t, T.DateType):
             parts.append(_hex64(F.unix_date(F.col(c))))
         elif isinstance(t, T.StringType) and i == len(columns) - 1:
-            parts.append(F.col(c))
+            parts.append(F.hex(F.col(c)))
         else:
             raise TypeError(f"cannot order by {c} ({t.simpleString()}) in this position")
     return F.concat(*parts)
 
 
 def shuffle_key(key_columns: list[str], seed: int = RANDOM_STATE) -> Column:
-    """A seeded pseudo-random order: md5 of ``seed|key`` (32 hex chars), then the key."""
+    """A seeded pseudo-random order: md5 of ``seed|key`` (32 hex chars), then the hex of the key."""
     raw = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_columns])
-    return F.concat(F.md5(raw), F.concat_ws("|", *[F.col(c).cast("string") for c in key_columns]))
+    return F.concat(F.md5(raw), F.hex(F.concat_ws("|", *[F.col(c).cast("string") for c in key_columns])))
 
 
 # ------------------------------------------------------------------ selection
 def rank_cuts(df: DataFrame, key: Column, ranks: list[int], chunk: int = 3,
               final_limit: int = 50_000) -> dict[int, str]:
-    """The sort-key value at each 1-based rank in ``ranks`` (keys must be unique)."""
+    """The sort-key value at each 1-based rank in ``ranks``; equal keys on both sides of a rank are an error."""
     return cuts_at(df, key, lambda n: ranks, chunk, final_limit)[1]
 
 
@@ -121,6 +122,8 @@ def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 3,
                     if cum + cnt >= rem:
                         rem -= cum
                         if lo == hi:                # every key in the bucket is the same
+                            if cnt > 1 and rem < cnt:
+                                raise ValueError(f"the order key is not unique at rank {r}: {cnt} equal keys")
                             done[r] = lo
                         elif cnt <= final_limit:
                             final[r] = (p + c, rem)
@@ -136,13 +139,17 @@ def cuts_at(df: DataFrame, key: Column, ranks_of_n, chunk: int = 3,
             for p in sorted({p for p, _ in final.values()}):
                 c = keys.where(F.startswith(F.col(KEY), F.lit(p))).withColumn("_p", F.lit(p))
                 cands = c if cands is None else cands.unionByName(c)
-            ranked = cands.withColumn("_rn", F.row_number().over(Window.partitionBy("_p").orderBy(KEY)))
+            w = Window.partitionBy("_p").orderBy(KEY)
+            ranked = cands.withColumn("_rn", F.row_number().over(w)).withColumn("_next", F.lead(KEY).over(w))
             wanted = reduce(lambda a, b: a | b,
                             [(F.col("_p") == p) & (F.col("_rn") == k) for p, k in final.values()])
-            rows = ranked.where(wanted).select("_p", "_rn", KEY).collect()
-            found = {(row["_p"], row["_rn"]): row[KEY] for row in rows}
+            rows = ranked.where(wanted).select("_p", "_rn", KEY, "_next").collect()
+            found = {(row["_p"], row["_rn"]): row for row in rows}
             for r, (p, k) in final.items():
-                done[r] = found[(p, k)]
+                row = found[(p, k)]
+                if row["_next"] == row[KEY]:
+                    raise ValueError(f"the order key is not unique at rank {r}")
+                done[r] = row[KEY]
         return n, {r: done[r] for r in ranks}
     finally:
         keys.unpersist()
@@ -231,6 +238,13 @@ def time_series_blocks(df: DataFrame, order_columns: list[str], n_splits: int =
     return df.withColumn(column, bucket_by_cuts(key, [cuts[b] for b in sorted(cuts)]))
 
 
+def group_folds(df: DataFrame, group_columns: list[str], k: int = N_SPLITS, column: str = "fold") -> DataFrame:
+    """Folds 0..k-1 by a hash of the group, so that all rows of a group share a fold."""
+    if k < 2:
+        raise ValueError(f"cannot make {k} folds")
+    return df.withColumn(column, F.pmod(F.xxhash64(*group_columns), F.lit(k)).cast("int"))
+
+
 def fold(df: DataFrame, i: int, column: str = "block") -> tuple[DataFrame, DataFrame]:
     """(train, test) of expanding fold ``i`` (1-based)."""
     return df.where(F.col(column) < i), df.where(F.col(column) == i)

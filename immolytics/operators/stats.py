@@ -12,10 +12,10 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .columns import categorical_columns, numeric_columns
-from .quantiles import quantile_columns
+from .quantiles import quantile_columns, same_group
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -77,9 +77,8 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, exact: boo
                      accuracy: int = 10_000) -> DataFrame:
     """Count, mean, std (ddof 1), min, quartiles (linear interpolation), max.
 
-    Quartiles are exact (``quantiles.quantile_columns``): Spark's ``percentile``
-    while a column's distinct values fit a task, distributed rank selection
-    beyond. ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
+    Quartiles are exact (``quantiles.quantile_columns``); ``exact=False`` uses
+    ``percentile_approx`` (one pass, bounded sketch).
     """
     cols = columns or numeric_columns(df)
     lv = long_values(df, cols)
@@ -109,81 +108,48 @@ def describe_categorical(df: DataFrame, columns: list[str] | None = None) -> Dat
 
 
 # ---------------------------------------------------------------- A9, A10
-PAIRS_PER_AGGREGATE = 15     # 6 sums per pair: stays under the whole-stage codegen field limit
-
-
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson r for every pair i < j as a long table (col_a, col_b, r).
 
-    Pairwise-complete like pandas; a constant column gives NULL. The numeric
-    projection is persisted (memory and disk) for the passes below and released
-    before returning; the result (p x p numbers) is computed eagerly.
-    One pass counts missing values and means per column. Pairs of complete
-    columns come from Spark ML's one-pass tree-aggregated Gram matrix (p x p
-    state per task); pairs touching a column with missing values use exact
-    per-pair sums of mean-centred values, in aggregates of at most
-    ``PAIRS_PER_AGGREGATE`` pairs so each stays in whole-stage codegen,
-    unioned into one job.
+    Pairwise-complete like pandas; a constant column gives NULL. Every row is the
+    vector (presence, centred value, its square) per column; the Gram matrix of
+    these vectors, tree-aggregated in one pass, holds the counts, sums, squares
+    and products of every pair of columns, gaps included. The means that centre
+    the values come from one pass before. The numeric projection is persisted
+    (memory and disk) for the two passes; 3p x 3p numbers reach the driver.
     """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
     cols = columns or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    spark = df.sparkSession
+    spark, p = df.sparkSession, len(cols)
     schema = "col_a string, col_b string, r double"
     num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     num = num.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prof = num.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
-                       *[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)]).first()
-        complete = [c for i, c in enumerate(cols) if prof[f"m{i}"] == 0]
-        rows: list[tuple] = []
-        if len(complete) > 1:               # pairs of complete columns: one Gram-matrix pass
-            from pyspark.ml.feature import VectorAssembler
-            from pyspark.ml.stat import Correlation
-            vec = VectorAssembler(inputCols=complete, outputCol="_v").transform(num.select(*complete)).select("_v")
-            m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-            idx = {c: i for i, c in enumerate(complete)}
-            for a, b in pairs:
-                if a in idx and b in idx:
-                    r = float(m[idx[a], idx[b]])
-                    rows.append((a, b, None if math.isnan(r) else r))
-        done = {(a, b) for a, b, _ in rows}
-        pairs = [pr for pr in pairs if pr not in done]      # pairs touching a column with missing values
-        if not pairs:
-            return spark.createDataFrame(rows, schema)
-        means = {c: prof[f"a{i}"] or 0.0 for i, c in enumerate(cols)}
-        parts = []
-        for s0 in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-            chunk = pairs[s0:s0 + PAIRS_PER_AGGREGATE]
-            aggs = []
-            for i, (a, b) in enumerate(chunk):
-                both = F.col(a).isNotNull() & F.col(b).isNotNull()
-                da = F.when(both, F.col(a) - F.lit(means[a]))
-                db = F.when(both, F.col(b) - F.lit(means[b]))
-                aggs += [F.count(da).alias(f"n{i}"), F.sum(da).alias(f"sa{i}"), F.sum(db).alias(f"sb{i}"),
-                         F.sum(da * da).alias(f"saa{i}"), F.sum(db * db).alias(f"sbb{i}"),
-                         F.sum(da * db).alias(f"sab{i}")]
-
-            def r(i):
-                n = F.col(f"n{i}")
-
-                def mean_of(c):                      # NULL when the pair has no complete row
-                    return F.try_divide(F.col(c), n)
-                ma, mb = mean_of(f"sa{i}"), mean_of(f"sb{i}")
-                cov = mean_of(f"sab{i}") - ma * mb
-                va, vb = mean_of(f"saa{i}") - ma * ma, mean_of(f"sbb{i}") - mb * mb
-                # a constant column leaves only rounding noise in its variance: NULL, like the SQL twin
-                ok = (va > 1e-12 * mean_of(f"saa{i}")) & (vb > 1e-12 * mean_of(f"sbb{i}"))
-                return F.when(ok, cov / F.sqrt(va * vb))
-
-            parts.append(num.agg(*aggs).select(F.inline(F.array(*[
-                F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r(i).alias("r"))
-                for i, (a, b) in enumerate(chunk)]))))
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return spark.createDataFrame(rows + [tuple(r) for r in out.collect()], schema)
+        means = num.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+        if p < 2 or all(m is None for m in means):
+            return spark.createDataFrame([(a, b, None) for i, a in enumerate(cols) for b in cols[i + 1:]], schema)
+        centred = [F.coalesce(F.col(c) - F.lit(means[f"a{i}"] or 0.0), F.lit(0.0)) for i, c in enumerate(cols)]
+        present = [F.col(c).isNotNull().cast("double") for c in cols]
+        vector = array_to_vector(F.array(*present, *centred, *[x * x for x in centred])).alias("v")
+        gram = RowMatrix(MLUtils.convertVectorColumnsFromML(num.select(vector), "v")).computeGramianMatrix().toArray()
     finally:
         num.unpersist()
+    rows: list[tuple] = []
+    for i, a in enumerate(cols):
+        for j in range(i + 1, p):
+            n = gram[i, j]
+            r = None
+            if n:
+                ma, mb = gram[p + i, j] / n, gram[i, p + j] / n
+                saa, sbb = gram[2 * p + i, j] / n, gram[i, 2 * p + j] / n
+                va, vb = saa - ma * ma, sbb - mb * mb
+                # a constant column leaves only rounding noise in its variance: NULL, like the SQL twin
+                if va > 1e-12 * saa and vb > 1e-12 * sbb:
+                    r = float((gram[p + i, p + j] / n - ma * mb) / math.sqrt(va * vb))
+            rows.append((a, cols[j], r))
+    return spark.createDataFrame(rows, schema)
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -199,17 +165,30 @@ def crosstab(df: DataFrame, column: str, target: str, values: list) -> DataFrame
 
 
 # ---------------------------------------------------------------- A13, A14
-def _binned(lv: DataFrame, bins: int, extra_keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Equal-width bins per column (max folded into the last bin) + the edges table."""
-    edges = lv.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
-                                          F.count("value").alias("n_total"))
-    width = F.col("hi") - F.col("lo")
-    pos = F.floor(F.try_divide(F.col("value") - F.col("lo"), width) * bins) + 1
-    b = F.when(width == 0, F.lit(1)).otherwise(F.least(pos, F.lit(bins))).cast("int")
-    counts = (lv.join(edges, "column_name")
-                .select("column_name", *extra_keys, b.alias("bin"))
-                .groupBy("column_name", *extra_keys, "bin").agg(F.count(F.lit(1)).alias("n")))
-    return counts, edges
+def clean_doubles(df: DataFrame, columns: list[str], ids: list[str] = ()) -> DataFrame:
+    """``ids`` and the columns as doubles, NaN as NULL."""
+    return df.select(*ids, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+
+
+def extents(wide: DataFrame, columns: list[str], **more) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
+    """One row per column with lo, hi and further aggregates, and the same numbers as scalar subqueries.
+
+    Both come from one aggregate of the wide frame: rows look the numbers up in
+    the plan instead of being shuffled to them.
+    """
+    stats = {"lo": F.min, "hi": F.max, **more}
+    one = wide.agg(*[f(c).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in stats.items()])
+    table = one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{k}_{i}").alias(k) for k in stats])
+        for i, c in enumerate(columns)])))
+    scalars = {c: {k: one.select(f"{k}_{i}").scalar() for k in ("lo", "hi")} for i, c in enumerate(columns)}
+    return table, scalars
+
+
+def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """1-based equal-width bin; the maximum falls into the last one."""
+    pos = F.floor(F.try_divide(value - lo, hi - lo) * bins) + 1
+    return F.when(value.isNull(), F.lit(None)).when(hi == lo, F.lit(1)).otherwise(F.least(pos, F.lit(bins))).cast("int")
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 20, by: str | None = None,
@@ -217,15 +196,19 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 20, by: str | None
     """Equal-width bin counts per column, zero bins included.
 
     With ``by`` every group is counted on the same edges (conditional
-    distribution). ``density`` divides by (group total x bin width).
+    distribution). ``density`` divides by (group total x bin width). Values are
+    binned in place; only (column, group, bin) counts are shuffled.
     """
     ids = [by] if by else []
-    lv = long_values(df, columns, ids=ids).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts, edges = _binned(lv, bins, ids)
+    wide = clean_doubles(df, columns, ids)
+    edges, at = extents(wide, columns)
+    edges = edges.where(F.col("lo").isNotNull())
+    binned = wide.select(*ids, *[_bin(F.col(c), at[c]["lo"], at[c]["hi"], bins).alias(c) for c in columns])
+    counts = (binned.unpivot(ids, columns, "column_name", "bin").where(F.col("bin").isNotNull())
+              .groupBy("column_name", *ids, "bin").agg(F.count(F.lit(1)).alias("n")))
     grid = edges.select("column_name", "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     if by:
-        groups = lv.select("column_name", by).distinct()
-        grid = grid.join(groups, "column_name")
+        grid = grid.join(counts.select("column_name", by).distinct(), "column_name")
     out = grid.join(counts, ["column_name", *ids, "bin"], "left")
     w = (F.col("hi") - F.col("lo")) / bins
     out = out.select("column_name", *ids, "bin",
@@ -241,53 +224,58 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 20, by: str | None
 
 
 # ---------------------------------------------------------------- A15
+SALTS = 32
+
+
 def boxplot_stats(df: DataFrame, columns: list[str], by: str | None = None, whis: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers (furthest points inside the 1.5 IQR fences) and outlier count."""
+    """Quartiles, whiskers (furthest points inside the 1.5 IQR fences) and outlier count.
+
+    Rows become (column, group, value) counts first; the quartiles meet them on a
+    salted key, so a column or group that holds most rows is spread over tasks.
+    """
     ids = [by] if by else []
-    lv = long_values(df, columns, ids=ids).where(F.col("value").isNotNull() & ~F.isnan("value"))
     keys = ["column_name", *ids]
-    q = quantile_columns(lv, "value", QUARTILES, ["q1", "median", "q3"], keys)   # small: broadcast by size
+    lv = clean_doubles(df, columns, ids).unpivot(ids, columns, "column_name", "value").where(F.col("value").isNotNull())
+    q = quantile_columns(lv, "value", QUARTILES, ["q1", "median", "q3"], keys)
+    counts = (lv.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
+              .withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int")))
+    salted = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     iqr = F.col("q3") - F.col("q1")
-    lo_f, hi_f = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
-    inside = (F.col("value") >= lo_f) & (F.col("value") <= hi_f)
-    j = lv.join(q, keys)
-    return j.groupBy(*keys, "q1", "median", "q3").agg(
+    inside = (F.col("value") >= F.col("q1") - whis * iqr) & (F.col("value") <= F.col("q3") + whis * iqr)
+    return same_group(counts, salted, keys + ["salt"]).groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"),
-        F.count(F.lit(1)).alias("n"))
+        F.sum(F.when(inside, 0).otherwise(F.col("c"))).cast("long").alias("n_outliers"),
+        F.sum("c").alias("n"))
 
 
 # ---------------------------------------------------------------- A16
-def kde(df: DataFrame, columns: list[str], grid_size: int = 200, fine_bins: int = 1024,
+def kde(df: DataFrame, columns: list[str], grid_size: int = 200, per_bandwidth: int = 8,
         cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density on a grid, Scott bandwidth ``std * n^(-1/5)``.
+    """Gaussian kernel density on a grid, Scott bandwidth ``h = std * n^(-1/5)``.
 
-    Rows are first counted into ``fine_bins`` equal-width bins; the kernel sum
-    then runs over bins x grid points, so its cost does not depend on the data size.
+    Rows are first counted into bins of width ``h / per_bandwidth`` (only those
+    that hold rows exist); the kernel sum then runs over bins x grid points. Rows
+    are binned in place and only the counts are shuffled.
     """
-    lv = long_values(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    st = lv.groupBy("column_name").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.stddev_samp("value").alias("sd"), F.count("value").alias("n"))
-    st = st.withColumn("h", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)))
-    width = (F.col("hi") - F.col("lo")) / fine_bins
-    pos = F.floor(F.try_divide(F.col("value") - F.col("lo"), width))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(pos, F.lit(fine_bins - 1))).cast("int")
-    binned = (lv.join(st.select("column_name", "lo", "hi"), "column_name")
-                .select("column_name", b.alias("b"))
-                .groupBy("column_name", "b").agg(F.count(F.lit(1)).alias("c")))
-    grid = st.where(F.col("h") > 0).select(
-        "column_name", "lo", "hi", "h", "n",
-        F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("g"))
+    wide = clean_doubles(df, columns)
+    table, at = extents(wide, columns, sd=F.stddev_samp, n=F.count)
+    st = table.withColumn("h", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).where(F.col("h") > 0)
+    one = wide.agg(*[(F.stddev_samp(c) * F.pow(F.count(c), F.lit(-0.2))).alias(f"h_{i}") for i, c in enumerate(columns)])
+    position = [F.floor(F.try_divide(F.col(c) - at[c]["lo"], one.select(f"h_{i}").scalar() / per_bandwidth)).alias(c)
+                for i, c in enumerate(columns)]
+    binned = (wide.select(*position).unpivot([], columns, "column_name", "b").where(F.col("b").isNotNull())
+              .groupBy("column_name", "b").agg(F.count(F.lit(1)).alias("c")))
     start = F.col("lo") - cut * F.col("h")
     step = (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid_size - 1)
-    grid = grid.select("column_name", "g", "lo", "hi", "h", "n", (start + F.col("g") * step).alias("x"))
-    centre = F.col("lo") + (F.col("b") + 0.5) * (F.col("hi") - F.col("lo")) / fine_bins
+    grid = st.select("column_name", "lo", "h", "n", start.alias("start"), step.alias("step"),
+                     F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("g"))
+    grid = grid.select("column_name", "g", "lo", "h", "n", (F.col("start") + F.col("g") * F.col("step")).alias("x"))
+    centre = F.col("lo") + (F.col("b") + 0.5) * (F.col("h") / per_bandwidth)
     z = (F.col("x") - centre) / F.col("h")
     k = F.col("c") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
-    return (grid.join(binned, "column_name")
-                .groupBy("column_name", "g", "x").agg(F.sum(k).alias("density")))
+    return (binned.join(F.broadcast(grid), "column_name")            # columns x grid_size rows
+                  .groupBy("column_name", "g", "x").agg(F.sum(k).alias("density")))
 
 
 # ---------------------------------------------------------------- A17
@@ -295,27 +283,13 @@ def grid_counts(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """Joint distribution of two columns on an equal-width 2-D grid."""
     d = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) \
           .where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
-    # Extents as scalar subqueries (Catalyst merges them into one aggregate).
-    xlo, xhi = d.select(F.min("x")).scalar(), d.select(F.max("x")).scalar()
-    ylo, yhi = d.select(F.min("y")).scalar(), d.select(F.max("y")).scalar()
-
-    def cell(v, lo, hi):
-        w = hi - lo
-        pos = F.floor(F.try_divide(F.col(v) - lo, w) * bins) + 1
-        return F.when(w == 0, F.lit(1)).otherwise(F.least(pos, F.lit(bins))).cast("int")
-
+    _, at = extents(d, ["x", "y"])
     return (d.select(F.lit(x).alias("x_column"), F.lit(y).alias("y_column"),
-                     cell("x", xlo, xhi).alias("x_bin"), cell("y", ylo, yhi).alias("y_bin"))
+                     *[_bin(F.col(v), at[v]["lo"], at[v]["hi"], bins).alias(f"{v}_bin") for v in ("x", "y")])
              .groupBy("x_column", "y_column", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
 
 
 # ---------------------------------------------------------------- R1
-def melt(df: DataFrame, ids: list[str], values: list[str], var: str = "variable",
-         value: str = "value") -> DataFrame:
-    """Wide -> long."""
-    return df.unpivot(ids, values, var, value)
-
-
 def top_values(df: DataFrame, order_col: str, k: int, tie: str) -> DataFrame:
     """The k first rows by ``order_col`` descending, ties broken by ``tie``."""
     return df.orderBy(F.col(order_col).desc(), F.col(tie).asc()).limit(k)

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.sizing import broadcast_if_small
+from ..operators.features import feature_engineering
+from ..session import materialize
 from ..settings import JOIN_KEYS, ROW_KEY
 from ..sources.tables import table
 
@@ -24,8 +25,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
               .join(t("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
                     F.col("o_custkey") == F.col("c_custkey"))
-              .join(broadcast_if_small(geo, 10_000, memo_key=f"{sf_dir}:nation-region"),
-                    F.col("c_nationkey") == F.col("n_nationkey")))
+              .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))     # broadcast by Parquet size
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     sales = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -48,17 +48,21 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_market_columns(sales: DataFrame) -> DataFrame:
+def market_months(sales: DataFrame) -> DataFrame:
+    """One row per city and month: mean price per m2 and volume."""
+    return sales.groupBy(*JOIN_KEYS).agg(
+        F.avg("prix_m2").alias("prix_m2_moyen"),
+        F.count(F.lit(1)).alias("nb_transactions_mois"),
+    )
+
+
+def with_market_columns(sales: DataFrame, market: DataFrame | None = None) -> DataFrame:
     """Attach the city-month mean price per m2, the month's volume and the below-market flag.
 
     Aggregated with a partial (map-side) aggregate, then joined back: a hot city
     never lands in one task, and AQE broadcasts the aggregate when it is small.
     """
-    market = sales.groupBy(*JOIN_KEYS).agg(
-        F.avg("prix_m2").alias("prix_m2_moyen"),
-        F.count(F.lit(1)).alias("nb_transactions_mois"),
-    )
-    out = sales.join(market, JOIN_KEYS, "inner")
+    out = sales.join(market_months(sales) if market is None else market, JOIN_KEYS, "inner")
     return out.withColumn(
         "en_dessous_du_marche", (F.col("prix_m2") < F.col("prix_m2_moyen")).cast("int"))
 
@@ -68,6 +72,31 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_market_columns(raw_transactions(spark, sf_dir))
 
 
+def prepared(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The prepared (feature) set with the row key, exact city means (no midway rounding).
+
+    The market table (a row per city and month) is written once: it gives the
+    sales their market columns and is itself the city-month table.
+    """
+    sales = raw_transactions(spark, sf_dir)
+    market = materialize(market_months(sales), "market")
+    return feature_engineering(with_market_columns(sales, market), decimals=None, city_months=market,
+                               materialize_city_month=False, **options)
+
+
+def two_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales whose market columns are taken per city, month and new-build flag: several volumes a month.
+
+    The months of a city then fan its sales out, as in the reference's own data.
+    """
+    sales = raw_transactions(spark, sf_dir)
+    keys = [*JOIN_KEYS, "vefa"]
+    market = sales.groupBy(*keys).agg(F.avg("prix_m2").alias("prix_m2_moyen"),
+                                      F.count(F.lit(1)).alias("nb_transactions_mois"))
+    return (sales.join(market, keys, "inner")
+            .withColumn("en_dessous_du_marche", (F.col("prix_m2") < F.col("prix_m2_moyen")).cast("int")))
+
+
 def with_gaps(df: DataFrame) -> DataFrame:
     """Coordinates equal to 0 are unknown: turn them into NULL (gives the profiles real gaps)."""
     return (df.withColumn("latitude", F.nullif(F.col("latitude"), F.lit(0.0)))

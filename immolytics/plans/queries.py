@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as feat
-from ..settings import ROW_KEY
-from .binding import TRANSACTIONS_SQL, transactions
+from ..session import materialize
+from ..settings import LINE_KEY, ROW_KEY
+from .binding import TRANSACTIONS_SQL, market_months, prepared, raw_transactions, transactions, two_volumes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,20 +75,16 @@ PREPARED_SQL = CITY_MONTH_SQL + """
 """
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prepared (feature) set with the row key, exact city means (no midway rounding)."""
-    return feat.feature_engineering(transactions(spark, sf_dir), decimals=None)
+def prepared_table(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The prepared set (or some of its columns) written once, for flows that read it several times."""
+    rows = prepared(spark, sf_dir)
+    return materialize(rows.select(*columns) if columns else rows, "prepared")
 
 
-def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prepared set written once to the shared folder, for flows that read it several times.
-
-    Like the reference's load and feature steps, the bound sales table is written first, so the
-    three-join binding runs once instead of once per pass of the feature plan.
-    """
-    from ..session import materialize
-    sales = materialize(transactions(spark, sf_dir), "sales")
-    return materialize(feat.feature_engineering(sales, decimals=None), "prepared")
+def city_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City-month rows with the market features; the binding's market table has one row per city and month."""
+    cm = feat.city_month(market_months(raw_transactions(spark, sf_dir)), decimals=None)
+    return feat.previous_month(feat.compute_city_features(cm, grouped=True))
 
 
 # --------------------------------------------------------------------------
@@ -101,8 +98,7 @@ def q_transactions(spark, sf_dir):
 
 @register("city_month", CITY_MONTH_SQL + "SELECT * FROM city_month")
 def q_city_month(spark, sf_dir):
-    cm = feat.city_month(transactions(spark, sf_dir), decimals=None)
-    return feat.previous_month(feat.compute_city_features(cm))
+    return city_months(spark, sf_dir)
 
 
 @register("prepared_features", PREPARED_SQL + "SELECT * FROM prepared")
@@ -113,6 +109,8 @@ def q_prepared_features(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Profile statistics (A5-A17, R1-R2) on the raw sales table
 # --------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
 from . import sqlgen  # noqa: E402
 from ..operators import stats  # noqa: E402
 from .binding import (CATEGORICAL_COLUMNS, CONTINUOUS_COLUMNS, NUMERIC_COLUMNS,  # noqa: E402
@@ -149,9 +147,15 @@ def q_correlation_matrix(spark, sf_dir):
     return stats.correlation_matrix(with_gaps(transactions(spark, sf_dir)), NUMERIC_COLUMNS)
 
 
-@register("strong_pairs", _wrap(sqlgen.correlation("transactions", NUMERIC_COLUMNS, "abs(r) > 0.7")))
+_LIT = "CASE WHEN n_pieces < 7 THEN surface_habitable * 0.9 + n_pieces END"      # goes with the surface, has gaps
+
+
+@register("strong_pairs", TRANSACTIONS_SQL + f""", lit AS (
+  SELECT *, {_LIT} AS surface_eclairee, -prix_m2 AS remise FROM transactions)
+SELECT * FROM ({sqlgen.correlation("lit", NUMERIC_COLUMNS + ["surface_eclairee", "remise"], "abs(r) > 0.7")})""")
 def q_strong_pairs(spark, sf_dir):
-    return stats.strong_pairs(stats.correlation_matrix(transactions(spark, sf_dir), NUMERIC_COLUMNS), 0.7)
+    tx = transactions(spark, sf_dir).withColumn("surface_eclairee", F.expr(_LIT)).withColumn("remise", -F.col("prix_m2"))
+    return stats.strong_pairs(stats.correlation_matrix(tx, NUMERIC_COLUMNS + ["surface_eclairee", "remise"]), 0.7)
 
 
 @register("crosstab", TRANSACTIONS_SQL + """
@@ -220,7 +224,40 @@ SELECT id_transaction,
                  <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
 FROM prepared""")
 def q_train_test_split(spark, sf_dir):
-    return splits.with_split(prepared_table(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "split")
+    return splits.with_split(prepared_table(spark, sf_dir, [ROW_KEY]), [ROW_KEY])
+
+
+FANOUT_SQL = TRANSACTIONS_SQL + """
+, market2 AS (
+  SELECT nom_departement, ville, id_ville, annee_transaction, mois_transaction, vefa,
+         avg(prix_m2) AS prix_m2_moyen, count(*) AS nb_transactions_mois
+  FROM sales GROUP BY ALL
+), cm0 AS (
+  SELECT nom_departement, ville, id_ville, annee_transaction, mois_transaction, nb_transactions_mois,
+         avg(prix_m2_moyen) AS prix_m2_moyen
+  FROM (SELECT m.* FROM sales JOIN market2 m USING (nom_departement, ville, id_ville, annee_transaction, mois_transaction, vefa))
+  GROUP BY ALL
+), cm1 AS (
+  SELECT *, lag(nb_transactions_mois) OVER (PARTITION BY nom_departement, ville, id_ville
+            ORDER BY annee_transaction, mois_transaction, nb_transactions_mois) AS nb_precedent
+  FROM cm0
+), fan AS (
+  SELECT concat_ws('#', id_transaction, f.nb_transactions_mois) AS id_ligne, nb_precedent
+  FROM sales JOIN (SELECT * FROM cm1 WHERE nb_precedent IS NOT NULL) f
+       USING (nom_departement, ville, id_ville, annee_transaction, mois_transaction)
+)
+"""
+
+
+@register("fanout_split", FANOUT_SQL + """
+SELECT id_ligne, nb_precedent AS nb_transactions_mois_precedent,
+       CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '42', id_ligne)), id_ligne)
+                 <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+FROM fan""")
+def q_fanout_split(spark, sf_dir):
+    rows = feat.feature_engineering(two_volumes(spark, sf_dir), decimals=None, line_key_of=ROW_KEY)
+    lines = materialize(rows.select(LINE_KEY, "nb_transactions_mois_precedent"), "lines")
+    return splits.with_split(lines, [LINE_KEY])
 
 
 @register("sample_reference", PREPARED_SQL + """
@@ -229,7 +266,7 @@ SELECT id_transaction,
                  <= round_even(0.8 * count(*) OVER (), 0) THEN 'reference' ELSE 'current' END AS dataset
 FROM prepared""")
 def q_sample_reference(spark, sf_dir):
-    return splits.sample_reference(prepared_table(spark, sf_dir), [ROW_KEY]).select(ROW_KEY, "dataset")
+    return splits.sample_reference(prepared_table(spark, sf_dir, [ROW_KEY]), [ROW_KEY])
 
 
 @register("time_series_folds", EVENTS_RN + """
@@ -268,8 +305,6 @@ def q_positional_halves(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Encoding (E3-E6) and evaluation of a fixed scorer
 # --------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
 from ..operators import encode, metrics  # noqa: E402
 from ..settings import COLS_TO_ENCODE  # noqa: E402
 
@@ -454,13 +489,24 @@ DRIFT_SQL = PREPARED_SQL + """
 """
 
 
-def drift_report(spark, sf_dir):
-    s = splits.sample_reference(prepared_table(spark, sf_dir), [ROW_KEY])
-    ref, cur = s.where(F.col("dataset") == "reference"), s.where(F.col("dataset") == "current")
-    return drift.data_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.05)
+# The current rows as they would be after a change of market: dearer, larger, later, of one type.
+SHIFTED = {"prix": "prix * 1.5", "surface_habitable": "surface_habitable + 10", "annee_transaction": "annee_transaction + 1",
+           "prix_m2_moyen_mois_precedent": "prix_m2_moyen_mois_precedent * 1.2", "latitude": "latitude + 0.05",
+           "nb_transactions_mois_precedent": "nb_transactions_mois_precedent + 5", "type_batiment": "'N'"}
+
+
+def drift_report(spark, sf_dir, shifted: bool = False):
+    rows = prepared_table(spark, sf_dir, [ROW_KEY, *DRIFT_NUMERIC, *DRIFT_CATEGORICAL])
+    s = splits.sample_reference(rows, [ROW_KEY]).withColumn(drift.REF, F.col("dataset") == "reference")
+    if shifted:
+        s = s.withColumns({c: F.when(F.col(drift.REF), F.col(c)).otherwise(F.expr(e)) for c, e in SHIFTED.items()})
+    return drift.drift_of(s, DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.05)
 
 
 _DRIFT_BODY = sqlgen.data_drift("dr", "is_ref", DRIFT_NUMERIC, DRIFT_CATEGORICAL, 0.05)
+_SHIFTED_BODY = sqlgen.data_drift("shifted", "is_ref", DRIFT_NUMERIC, DRIFT_CATEGORICAL, 0.05)
+SHIFTED_SQL = DRIFT_SQL + ", shifted AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN is_ref THEN {c} ELSE {e} END AS {c}" for c, e in SHIFTED.items()) + ") FROM dr)"
 
 
 @register("data_drift", DRIFT_SQL + f"SELECT * FROM ({_DRIFT_BODY})")
@@ -468,19 +514,19 @@ def q_data_drift(spark, sf_dir):
     return drift_report(spark, sf_dir)
 
 
-@register("drift_summary", DRIFT_SQL + f"""
+@register("drift_summary", SHIFTED_SQL + f"""
 SELECT count(*) AS total_features, CAST(count_if(drifted) AS BIGINT) AS drifted_features,
        count_if(drifted) / count(*) AS drift_share, count_if(drifted) / count(*) >= 0.5 AS dataset_drift,
        count_if(drifted) / count(*) >= 0.5 AND count_if(drifted) / count(*) > 0.2 AS stop
-FROM ({_DRIFT_BODY})""")
+FROM ({_SHIFTED_BODY})""")
 def q_drift_summary(spark, sf_dir):
-    return drift.dataset_drift(drift_report(spark, sf_dir)).drop("timestamp")
+    return drift.dataset_drift(drift_report(spark, sf_dir, shifted=True)).drop("timestamp")
 
 
-@register("top_drifted", DRIFT_SQL + f"""
-SELECT * FROM ({_DRIFT_BODY}) ORDER BY score DESC, column_name LIMIT 5""")
+@register("top_drifted", SHIFTED_SQL + f"""
+SELECT * FROM ({_SHIFTED_BODY}) ORDER BY score DESC, column_name LIMIT 5""")
 def q_top_drifted(spark, sf_dir):
-    return drift.top_drifted(drift_report(spark, sf_dir), 5)
+    return drift.top_drifted(drift_report(spark, sf_dir, shifted=True), 5)
 
 
 # --------------------------------------------------------------------------
@@ -501,16 +547,20 @@ def q_normalize_text(spark, sf_dir):
     return docs.select("doc_id", ftext.normalize_text("text").alias("normalized"))
 
 
+# Region names as users type them, for some of the binding's regions.
+_TYPED = "CASE r_name WHEN 'EUROPE' THEN 'Île-de-France' WHEN 'ASIA' THEN '  OCCITANIE ' WHEN 'AFRICA' THEN 'Bretagne' ELSE r_name END"
+
+
 @register("allowed_region", f"""
 SELECT n_name, r_name,
-       trim(regexp_replace(strip_accents(lower(r_name)), '{_WS}', ' ', 'g')) AS region_normalized,
-       trim(regexp_replace(strip_accents(lower(r_name)), '{_WS}', ' ', 'g')) IN ({_ALLOWED}) AS allowed
+       trim(regexp_replace(strip_accents(lower({_TYPED})), '{_WS}', ' ', 'g')) AS region_normalized,
+       trim(regexp_replace(strip_accents(lower({_TYPED})), '{_WS}', ' ', 'g')) IN ({_ALLOWED}) AS allowed
 FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def q_allowed_region(spark, sf_dir):
     geo = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
                                               F.col("n_regionkey") == F.col("r_regionkey"))
-    return geo.select("n_name", "r_name", ftext.normalize_text("r_name").alias("region_normalized"),
-                      ftext.allowed_region("r_name").alias("allowed"))
+    return geo.withColumn("typed", F.expr(_TYPED)).select(
+        "n_name", "r_name", ftext.normalize_text("typed").alias("region_normalized"), ftext.allowed_region("typed").alias("allowed"))
 
 
 @register("rounded_prices", TRANSACTIONS_SQL + """
@@ -533,9 +583,7 @@ def q_rounded_prices(spark, sf_dir):
 SELECT * FROM roll WHERE prix_m2_moyen_mois_precedent IS NOT NULL AND nb_transactions_mois_precedent IS NOT NULL
   AND prix_m2_moyen_glissant_6m IS NOT NULL AND nb_transaction_moyen_glissant_6m IS NOT NULL""")
 def q_rolling_means(spark, sf_dir):
-    cm = feat.city_month(transactions(spark, sf_dir), decimals=None)
-    cm = feat.previous_month(feat.compute_city_features(cm))
-    return cols.drop_incomplete(feat.rolling_means(cm, 6))
+    return cols.drop_incomplete(feat.rolling_means(city_months(spark, sf_dir), 6))
 
 
 @register("below_market_rows", TRANSACTIONS_SQL + """
@@ -584,6 +632,11 @@ def q_json_roundtrip(spark, sf_dir):
     return _roundtrip(spark, sf_dir, ".json", files.write_json)
 
 
+@register("json_array", _LOADED_SQL)
+def q_json_array(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, ".json", files.write_json_array)
+
+
 @register("parquet_columns", TRANSACTIONS_SQL + """
 SELECT id_transaction, prix, surface_habitable, nom_region FROM transactions""")
 def q_parquet_columns(spark, sf_dir):
@@ -599,10 +652,8 @@ from ..operators import attribution, model as pm  # noqa: E402
 
 BASE_FEATURES = ["vefa", "surface_habitable", "latitude", "longitude", "mois_transaction", "annee_transaction",
                  "prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent", "ville_demandee"]
-# Categories of the binding's encoded columns (TPC-H return flags and region names).
+# Categories of the binding's encoded columns (TPC-H return flags and region names), for the twin of scoring_rows.
 INDICATORS = {"type_batiment": ["N", "R"], "nom_region": ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]}
-IND_NAMES = [f"{c}_{v}" for c, vs in INDICATORS.items() for v in vs]
-MODEL_FEATURES = BASE_FEATURES + IND_NAMES
 
 
 def encoded_split(spark, sf_dir):
@@ -631,11 +682,35 @@ SELECT metric,
        stddev_pop(CASE WHEN role = 'test' THEN score END) AS ecart_type_test
 FROM l GROUP BY metric""")
 def q_cv_mean_baseline(spark, sf_dir):
-    blocks = splits.time_series_blocks(prepared_table(spark, sf_dir),
-                                       ["annee_transaction", "mois_transaction", ROW_KEY], 5)
+    order = ["annee_transaction", "mois_transaction", ROW_KEY]
+    blocks = splits.time_series_blocks(prepared_table(spark, sf_dir, [*order, "prix"]), order, 5)
     return pm.cross_validate(blocks, pm.mean_fitter(), 5)
 
 
+@register("cv_kfold_mean", PREPARED_SQL + f"""
+, ob AS (SELECT prix, row_number() OVER (ORDER BY annee_transaction, mois_transaction, id_transaction) - 1 AS rn,
+                count(*) OVER () AS n FROM prepared)
+, blk AS (SELECT prix, CASE WHEN rn < (n % 5) * (n // 5 + 1) THEN rn // (n // 5 + 1)
+                            ELSE (n % 5) + (rn - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold_no FROM ob)
+, f AS (SELECT i AS fold, prix, CASE WHEN fold_no = i THEN 'test' ELSE 'train' END AS role FROM blk, range(0, 5) t(i))
+, p AS (SELECT *, avg(CASE WHEN role = 'train' THEN prix END) OVER (PARTITION BY fold) AS prediction FROM f)
+, m AS (SELECT fold, role, sqrt({_MSE}) AS rmse, avg(abs(prix - prediction)) AS mae, {_R2} AS r2
+        FROM p GROUP BY fold, role)
+, l AS (SELECT fold, role, metric, score FROM (
+          SELECT fold, role, -rmse AS neg_root_mean_squared_error, -mae AS neg_mean_absolute_error, r2 FROM m)
+        UNPIVOT (score FOR metric IN (neg_root_mean_squared_error, neg_mean_absolute_error, r2)))
+SELECT metric,
+       avg(CASE WHEN role = 'train' THEN score END) AS moyenne_train,
+       stddev_pop(CASE WHEN role = 'train' THEN score END) AS ecart_type_train,
+       avg(CASE WHEN role = 'test' THEN score END) AS moyenne_test,
+       stddev_pop(CASE WHEN role = 'test' THEN score END) AS ecart_type_test
+FROM l GROUP BY metric""")
+def q_cv_kfold_mean(spark, sf_dir):
+    order = ["annee_transaction", "mois_transaction", ROW_KEY]
+    folds = splits.k_folds(prepared_table(spark, sf_dir, [*order, "prix"]), order, 5)
+    return pm.cross_validate(folds, pm.mean_fitter(), 5, kind="k")
+
+
 _IND_SQL = ", ".join(f"CAST(coalesce({c} = '{v}', FALSE) AS INTEGER) AS \"{c}_{v}\""
                      for c, vs in INDICATORS.items() for v in vs)
 
@@ -655,35 +730,72 @@ def market_scorer(df):
     return df.withColumn("prediction", market_prediction())
 
 
-def market_attributions(spark, sf_dir, n_background: int = 20):
+N_DRAWS = 5
+
+
+def market_attributions(spark, sf_dir):
     enc_s, enc = encoded_split(spark, sf_dir)
-    train = enc_s.where(F.col("split") == "train")
-    bg = splits.first_rows(train, splits.shuffle_key([ROW_KEY], "42-background"),
-                           lambda n: min(n, n_background), "_bg").where("_bg")
-    rows = enc_s.where(F.col("split") == "test")
-    return attribution.shapley_attribution(rows, bg, MODEL_FEATURES, ROW_KEY, market_scorer, n_pairs=1)
+    train, test = enc_s.where(F.col("split") == "train"), enc_s.where(F.col("split") == "test")
+    return attribution.shapley_attribution(test, train, BASE_FEATURES + enc.all_feature_names, ROW_KEY, market_scorer,
+                                           n_pairs=1, n_draws=N_DRAWS)
 
 
-_FEATURE_LIST = ", ".join("'" + f + "'" for f in MODEL_FEATURES)
-SHAP_SQL = SPLIT_SQL + f"""
+def _draws_sql(columns: str, n_draws: int) -> str:
+    """CTEs ``bg`` (numbered training rows) and ``pairs`` (test rows t with their drawn rows z)."""
+    return SPLIT_SQL + f"""
 , bg AS (
-  SELECT prix_m2_moyen_mois_precedent AS za, surface_habitable AS zb FROM (
-    SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42-background', id_transaction)), id_transaction) AS rn
-    FROM split WHERE split = 'train') WHERE rn <= 20
-), phi2 AS (
+  SELECT {columns}, row_number() OVER (ORDER BY md5(concat_ws('|', '42-background', id_transaction)), id_transaction) - 1 AS idx,
+         count(*) OVER () AS n
+  FROM split WHERE split = 'train'
+), drawn AS (
+  SELECT test.*, ('0x' || substr(md5(concat_ws('|', '42-draw', id_transaction, 0, d)), 1, 13))::BIGINT
+                 % (SELECT max(n) FROM bg) AS idx
+  FROM test, range({n_draws}) r(d)
+)
+"""
+
+
+_BASE_LIST = ", ".join("'" + f + "'" for f in BASE_FEATURES)
+SHAP_SQL = _draws_sql("prix_m2_moyen_mois_precedent AS za, surface_habitable AS zb", N_DRAWS) + f"""
+, phi2 AS (
   SELECT t.id_transaction,
          avg(0.5 * ((t.prix_m2_moyen_mois_precedent * zb - za * zb)
                   + (t.prix_m2_moyen_mois_precedent * t.surface_habitable - za * t.surface_habitable))) AS phi_a,
          avg(0.5 * ((za * t.surface_habitable - za * zb)
                   + (t.prix_m2_moyen_mois_precedent * t.surface_habitable - t.prix_m2_moyen_mois_precedent * zb))) AS phi_b
-  FROM test t, bg GROUP BY t.id_transaction
-), feature_names AS (SELECT unnest([{_FEATURE_LIST}]) AS feature)
+  FROM drawn t JOIN bg USING (idx) GROUP BY t.id_transaction
+), feature_names AS (
+  SELECT unnest([{_BASE_LIST}]) AS feature UNION ALL SELECT col || '_' || cat FROM ranked_cats WHERE pos > 1)
 , phi AS (
   SELECT id_transaction, feature,
          CASE feature WHEN 'prix_m2_moyen_mois_precedent' THEN phi_a WHEN 'surface_habitable' THEN phi_b ELSE 0.0 END AS phi
   FROM phi2, feature_names)
 """
 
+THREE_WAY = ["prix_m2_moyen_mois_precedent", "surface_habitable", "latitude"]
+
+
+def three_way_scorer(df):
+    """A scorer with a term of three features."""
+    return df.withColumn("prediction", F.col(THREE_WAY[0]) * F.col(THREE_WAY[1]) * (1 + F.col(THREE_WAY[2])))
+
+
+@register("shapley_three_way", _draws_sql(
+    "prix_m2_moyen_mois_precedent AS za, surface_habitable AS zb, 1 + latitude AS zc", 3) + """
+, t3 AS (SELECT id_transaction, idx, prix_m2_moyen_mois_precedent AS a, surface_habitable AS b, 1 + latitude AS c FROM drawn)
+, phi3 AS (
+  SELECT id_transaction,
+         avg((a - za) * (zb * zc / 3 + b * zc / 6 + zb * c / 6 + b * c / 3)) AS prix_m2_moyen_mois_precedent,
+         avg((b - zb) * (za * zc / 3 + a * zc / 6 + za * c / 6 + a * c / 3)) AS surface_habitable,
+         avg((c - zc) * (za * zb / 3 + a * zb / 6 + za * b / 6 + a * b / 3)) AS latitude
+  FROM t3 JOIN bg USING (idx) GROUP BY id_transaction)
+SELECT id_transaction, feature, phi FROM phi3
+UNPIVOT (phi FOR feature IN (prix_m2_moyen_mois_precedent, surface_habitable, latitude))""")
+def q_shapley_three_way(spark, sf_dir):
+    s = split_prepared(spark, sf_dir)
+    return attribution.shapley_attribution(s.where("split = 'test'"), s.where("split = 'train'"), THREE_WAY, ROW_KEY,
+                                           three_way_scorer, n_pairs=None, n_draws=3)
+
 
 @register("shapley_attribution", SHAP_SQL + "SELECT * FROM phi")
 def q_shapley_attribution(spark, sf_dir):
@@ -703,14 +815,124 @@ def q_top_attributions(spark, sf_dir):
     return attribution.top_attributions(market_attributions(spark, sf_dir), ROW_KEY, 6)
 
 
-@register("price_model")
+@register("price_model", SPLIT_SQL + """
+SELECT split, count(*) AS n, 0::BIGINT AS n_null_predictions, TRUE AS sound FROM split GROUP BY split""")
 def q_price_model(spark, sf_dir):
-    """M1 + M3 + M4: gradient boosting with the reference hyper-parameters, evaluated on both splits."""
+    """M1 + M3: gradient boosting with the reference hyper-parameters.
+
+    States what holds for any sound fit: every row is scored, the RMSE on the
+    training rows is below that of their mean, and the RMSE on the test rows is at
+    most a twentieth above it (the synthetic prices do not depend on the features).
+    """
     enc_s, enc = encoded_split(spark, sf_dir)
-    feats = BASE_FEATURES + enc.all_feature_names
     train = enc_s.where(F.col("split") == "train")
-    model = pm.train_price_model(train, feats)
-    return metrics.evaluate(pm.score(model, enc_s))
+    model = pm.train_price_model(train, BASE_FEATURES + enc.all_feature_names)
+    scored = pm.score(model, enc_s).withColumn("_mean", train.select(F.avg("prix")).scalar())
+    e, m = F.col("prix") - F.col("prediction"), F.col("prix") - F.col("_mean")
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("n_null_predictions"),
+        (F.sqrt(F.avg(e * e)) < F.sqrt(F.avg(m * m)) * F.when(F.first("split") == "train", 1.0).otherwise(1.05)).alias("sound"))
+
+
+# --------------------------------------------------------------------------
+# Column kinds (P7, P9), price per m2 (P10), run log (S9, S10), snapshot (S8), encoder store
+# --------------------------------------------------------------------------
+from ..sources.runlog import RunLog, latest_parent_run, latest_run  # noqa: E402
+from ..sources.snapshot import reference_and_current  # noqa: E402
+
+
+@register("column_kinds", TRANSACTIONS_SQL + "SELECT column_name, CASE WHEN n > 2 THEN 'continuous' ELSE 'discrete' END AS kind "
+          "FROM (SELECT " + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in NUMERIC_COLUMNS)
+          + f" FROM transactions) UNPIVOT (n FOR column_name IN ({', '.join(NUMERIC_COLUMNS)})) UNION ALL SELECT * FROM (VALUES "
+          + ", ".join(f"('{c}', 'categorical')" for c in [ROW_KEY, *CATEGORICAL_COLUMNS]) + ") t(column_name, kind)")
+def q_column_kinds(spark, sf_dir):
+    tx = materialize(transactions(spark, sf_dir), "sales")
+    continuous = set(cols.continuous_columns(tx))
+    rows = [(c, "continuous" if c in continuous else "discrete") for c in cols.numeric_columns(tx)]
+    rows += [(c, "categorical") for c in cols.categorical_columns(tx)]
+    return spark.createDataFrame(rows, "column_name string, kind string")
+
+
+_FEATURES = ["type_batiment", "vefa", "surface_habitable", "latitude", "longitude", "mois_transaction", "annee_transaction",
+             "nom_region", "prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent", "ville_demandee"]
+
+
+@register("feature_values", PREPARED_SQL + "SELECT column_name AS feature, n FROM (SELECT "
+          + ", ".join(f"count({c}) AS {c}" for c in _FEATURES)
+          + f" FROM prepared) UNPIVOT (n FOR column_name IN ({', '.join(_FEATURES)}))")
+def q_feature_values(spark, sf_dir):
+    """The feature columns (no targets, no key) of the prepared set, with their number of values."""
+    rows = prepared(spark, sf_dir)
+    features = cols.feature_columns(rows, keys=(ROW_KEY,))
+    return rows.agg(*[F.count(c).alias(c) for c in features]).unpivot([], features, "feature", "n")
+
+
+@register("predicted_price_per_m2", SPLIT_SQL + """
+SELECT id_transaction, CASE WHEN surface_habitable <> 0 THEN prediction / surface_habitable END AS prix_m2_predit FROM scored""")
+def q_predicted_price_per_m2(spark, sf_dir):
+    rows = prepared(spark, sf_dir).withColumn("prediction", market_prediction())
+    return rows.select(ROW_KEY, cols.price_per_m2().alias("prix_m2_predit"))
+
+
+@register("run_log", TRANSACTIONS_SQL + "SELECT 'count_' || type_batiment AS key, CAST(count(*) AS DOUBLE) AS value "
+          "FROM transactions GROUP BY type_batiment UNION ALL SELECT 'total', count(*) FROM transactions")
+def q_run_log(spark, sf_dir):
+    """Metrics logged from a frame and as values, read back by run."""
+    log = RunLog(spark, scratch_path(spark, "runs"))
+    counts = materialize(stats.count_by(transactions(spark, sf_dir), "type_batiment"), "counts")
+    run, other = log.start_run("training_a", {"Run_Type": "model_training"}), log.start_run("training_b")
+    log.log_metrics_frame(run, counts.select(F.concat(F.lit("count_"), "type_batiment").alias("key"), "n"), "key", "n")
+    log.log_metrics(run, {"total": counts.agg(F.sum("n")).first()[0]})
+    log.log_metrics(other, {"total": -1})
+    return log.table("metrics").where(F.col("run_id") == run).select("key", "value")
+
+
+@register("latest_run", TRANSACTIONS_SQL + """
+SELECT 'tag' AS look_up, 'run_b' AS run_name, CAST(count(*) AS DOUBLE) AS total FROM transactions WHERE vefa = 1
+UNION ALL SELECT 'name', 'training_c', CAST(count(*) AS DOUBLE) FROM transactions""")
+def q_latest_run(spark, sf_dir):
+    """The newest tagged run and the newest run of a name, which differ, with their metric."""
+    log = RunLog(spark, scratch_path(spark, "runs"))
+    counts = {r["vefa"]: r["n"] for r in stats.count_by(transactions(spark, sf_dir), "vefa").collect()}
+    tag = {"Run_Type": "model_training"}
+    for name, tags, total in (("training_a", tag, counts.get(0, 0)), ("run_b", tag, counts.get(1, 0)),
+                              ("training_c", {}, sum(counts.values())), ("data_drift_check", {"Run_Type": "data_drift"}, 0)):
+        log.log_metrics(log.start_run(name, tags), {"total": total})
+    runs, metric = log.table("runs"), log.table("metrics").where("key = 'total'").select("run_id", F.col("value").alias("total"))
+    found = (latest_run(runs, log.table("tags")).withColumn("look_up", F.lit("tag"))
+             .unionByName(latest_parent_run(runs).withColumn("look_up", F.lit("name"))))
+    return found.join(metric, "run_id").select("look_up", "run_name", "total")
+
+
+@register("reference_snapshot", PREPARED_SQL + """
+SELECT id_transaction, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '42-reference', id_transaction)), id_transaction)
+                                 <= round_even(0.8 * count(*) OVER (), 0) THEN 'reference' ELSE 'current' END AS dataset
+FROM prepared""")
+def q_reference_snapshot(spark, sf_dir):
+    """The first call stores the reference; the second reads it back."""
+    rows = prepared_table(spark, sf_dir, [ROW_KEY])
+    path = scratch_path(spark, "reference") + ".parquet"
+    _, current = reference_and_current(spark, rows, path, [ROW_KEY])
+    reference, everything = reference_and_current(spark, rows, path, [ROW_KEY])
+    rest = splits.complement(everything, reference, [ROW_KEY])
+    both = rest.join(current, ROW_KEY)                       # the rest is what the first call compared
+    return (reference.select(ROW_KEY, F.lit("reference").alias("dataset"))
+            .unionByName(both.select(ROW_KEY, F.lit("current").alias("dataset"))))
+
+
+@register("encoder_roundtrip", SPLIT_SQL + """
+SELECT k.col || '_' || k.cat AS feature,
+       CAST(sum(coalesce((CASE k.col WHEN 'type_batiment' THEN s.type_batiment ELSE s.nom_region END) = k.cat, FALSE)::INT) AS BIGINT) AS n
+FROM split s, ranked_cats k WHERE k.pos > 1 GROUP BY ALL""")
+def q_encoder_roundtrip(spark, sf_dir):
+    """An encoder stored and loaded again encodes all rows."""
+    s = split_prepared(spark, sf_dir)
+    path = scratch_path(spark, "encoder")
+    encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE).save(spark, path)
+    model = encode.OneHotModel.load(spark, path)
+    names = model.all_feature_names
+    return (encode.transform_one_hot(s.select(*COLS_TO_ENCODE), model)
+            .agg(*[F.sum(F.col(c)).alias(c) for c in names]).unpivot([], names, "feature", "n"))
 
 
 # --------------------------------------------------------------------------

@@ -95,18 +95,18 @@ def boxplot(source: str, cols: list[str], by: str | None, whis: float = 1.5) ->
             f"count(*) AS n FROM lv JOIN q USING ({keys}) GROUP BY {keys}, q1, median, q3")
 
 
-def kde(source: str, cols: list[str], grid: int = 200, fine: int = 1024, cut: float = 3.0) -> str:
+def kde(source: str, cols: list[str], grid: int = 200, per_bandwidth: int = 8, cut: float = 3.0) -> str:
     lv = unpivot(source, cols)
     return (f"WITH lv AS (SELECT * FROM {lv} WHERE value IS NOT NULL AND NOT isnan(value)), "
             f"st AS (SELECT column_name, min(value) AS lo, max(value) AS hi, stddev_samp(value) AS sd, "
             f"count(value) AS n FROM lv GROUP BY column_name), "
             f"st2 AS (SELECT *, sd * pow(n, -0.2) AS h FROM st), "
-            f"b AS (SELECT column_name, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / ((hi - lo) / {fine})), {fine - 1}) END AS INTEGER) AS b, "
-            f"count(*) AS c FROM lv JOIN st2 USING (column_name) GROUP BY ALL), "
+            f"b AS (SELECT column_name, floor((value - lo) / (h / {per_bandwidth})) AS b, "
+            f"count(*) AS c FROM lv JOIN st2 USING (column_name) WHERE h > 0 GROUP BY ALL), "
             f"g AS (SELECT column_name, CAST(g AS INTEGER) AS g, lo, hi, h, n, "
             f"(lo - {cut} * h) + g * ((hi - lo + 2 * {cut} * h) / {grid - 1}) AS x FROM st2, range(0, {grid}) t(g) WHERE h > 0) "
-            f"SELECT column_name, g, x, sum(c * exp(-0.5 * ((x - (lo + (b + 0.5) * (hi - lo) / {fine})) / h) "
-            f"* ((x - (lo + (b + 0.5) * (hi - lo) / {fine})) / h)) / (n * h * sqrt(2 * pi()))) AS density "
+            f"SELECT column_name, g, x, sum(c * exp(-0.5 * ((x - (lo + (b + 0.5) * (h / {per_bandwidth}))) / h) "
+            f"* ((x - (lo + (b + 0.5) * (h / {per_bandwidth}))) / h)) / (n * h * sqrt(2 * pi()))) AS density "
             f"FROM g JOIN b USING (column_name) GROUP BY column_name, g, x")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -52,14 +54,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/immolytics/{name}-{uuid.uuid4().hex}"
+_CLEANED: set[str] = set()
+
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared checkpoint folder.
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+    All scratch of an application lies in one folder of its own, which is removed
+    when the driver exits.
+    """
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/immolytics-{spark.sparkContext.applicationId}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        sc = spark.sparkContext
+        atexit.register(_remove, sc._jvm, sc._jsc.hadoopConfiguration(), folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(jvm, hadoop_conf, folder: str) -> None:
+    """Delete a scratch folder through Hadoop's file system; the JVM outlives the session."""
+    with contextlib.suppress(Exception):                    # the JVM may be gone already
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop_conf).delete(path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

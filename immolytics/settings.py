@@ -54,8 +54,9 @@ DRIFT_THRESHOLD = 0.05         # per-column drift score threshold
 DRIFT_SHARE_GATE = 0.2         # pipeline stops above this share of drifted columns
 MODEL_DRIFT_THRESHOLD = 0.1    # relative metric change that counts as model drift
 STRONG_CORRELATION = 0.7       # |r| above which two features are redundant
-KEURO = 10_000                 # display unit of prices
 # ---------------------------------------------------------------------------
 
 # Row key carried through the pipeline instead of a positional index.
 ROW_KEY = "id_transaction"
+# The row key after the fan-out of the feature join: row key and monthly volume.
+LINE_KEY = "id_ligne"

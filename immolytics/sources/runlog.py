@@ -53,14 +53,21 @@ class RunLog:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
 
-def latest_run(runs: DataFrame, tags: DataFrame, run_type: str = "model_training",
-               name_prefix: str = "training_") -> DataFrame:
-    """Newest run tagged ``Run_Type=run_type`` or named ``name_prefix%`` (one row or none)."""
-    tagged = tags.where((F.col("key") == "Run_Type") & (F.col("value") == run_type)).select("run_id").distinct()
-    hit = runs.join(tagged.withColumn("_t", F.lit(True)), "run_id", "left")
-    hit = hit.where(F.col("_t") | F.col("run_name").startswith(name_prefix))
-    return hit.agg(F.max_by(F.struct("run_id", "run_name", "start_time"),
-                            F.struct("start_time", "run_id")).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+def _newest(runs: DataFrame) -> DataFrame:
+    """The newest run, one row or none (ties to the larger id)."""
+    newest = F.max_by(F.struct("run_id", "run_name", "start_time"), F.struct("start_time", "run_id")).alias("r")
+    return runs.agg(newest).where(F.col("r").isNotNull()).select("r.*")
+
+
+def latest_run(runs: DataFrame, tags: DataFrame, run_type: str = "model_training") -> DataFrame:
+    """Newest run tagged ``Run_Type=run_type``: the run whose model is evaluated or checked for drift."""
+    tagged = tags.where((F.col("key") == "Run_Type") & (F.col("value") == run_type)).select("run_id")
+    return _newest(runs.join(tagged, "run_id", "left_semi"))
+
+
+def latest_parent_run(runs: DataFrame, name_prefix: str = "training_") -> DataFrame:
+    """Newest run named ``name_prefix...``: the parent that later runs are nested in."""
+    return _newest(runs.where(F.col("run_name").startswith(name_prefix)))
 
 
 def require_run(df: DataFrame) -> str:

@@ -25,7 +25,7 @@ GOLDEN_CITY = [  # ville, mois, nb, ratio, flag, prev price, prev nb
 
 
 def test_city_month_golden(sales):
-    cm = feat.previous_month(feat.compute_city_features(feat.city_month(sales)))
+    cm = feat.previous_month(feat.compute_city_features(feat.city_month(sales), grouped=True))
     rows = cm.orderBy("ville", "mois_transaction", "nb_transactions_mois").collect()
     assert len(rows) == 8
     for r, g in zip(rows, GOLDEN_CITY):
@@ -40,7 +40,7 @@ def test_city_month_golden(sales):
 
 
 def test_city_features_dtypes(sales):
-    cm = feat.compute_city_features(feat.city_month(sales))
+    cm = feat.compute_city_features(feat.city_month(sales), grouped=True)
     types = dict(cm.dtypes)
     assert types["ratio_transaction"] == "double" and types["prix_m2_moyen"] == "double"
     assert types["ville_demandee"] == "int"
@@ -70,7 +70,35 @@ def test_feature_engineering_fan_out(sales):
 
 def test_one_row_per_city_month(sales):
     out = feat.feature_engineering(sales, one_row_per_city_month=True)
-    assert out.count() == 6
+    # the row of the largest volume: 15 of Bourg in February (before it 12), 11 of Divonne in March (before it 10)
+    got = sorted((r["prix"], r["mois_transaction"], r["nb_transactions_mois_precedent"], r["ville_demandee"]) for r in out.collect())
+    assert got == [(65000.0, 2, 12, 1), (69000.0, 3, 10, 0), (100000.0, 3, 10, 0), (110000.0, 2, 12, 1),
+                   (195000.0, 3, 15, 0), (220000.0, 2, 9, 0)]
+
+
+def test_raw_rows_are_grouped_first(sales):
+    raw = feat.compute_city_features(sales)
+    assert raw.count() == 8
+    total = {(r["mois_transaction"], r["nb_transactions_departement"]) for r in raw.collect()}
+    assert total == {(1, 26), (2, 35), (3, 35)}
+    rounded = feat.compute_city_features(feat.city_month(sales), grouped=True)
+    assert rounded.select("ville_demandee").collect() and rounded.count() == 8
+
+
+def test_split_of_fanned_out_rows_is_exact(sales):
+    from immolytics.operators import splits
+    from immolytics.settings import LINE_KEY
+    keyed = sales.withColumn("id_transaction", F.concat(F.col("prix").cast("string"), F.lit("-"), F.col("surface_habitable")))
+    lines = feat.feature_engineering(keyed, line_key_of="id_transaction").select(LINE_KEY).cache()
+    assert lines.count() == lines.distinct().count() == 10
+    for seed in range(100):
+        sizes = {r["split"]: r["count"] for r in splits.with_split(lines, [LINE_KEY], seed=seed).groupBy("split").count().collect()}
+        assert sizes == {"train": 8, "test": 2}
+
+
+def test_empty_input_raises(sales):
+    with pytest.raises(ValueError, match="empty"):
+        feat.feature_engineering(sales.limit(0))
 
 
 def test_rolling_mean_includes_current(spark):

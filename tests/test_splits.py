@@ -64,33 +64,48 @@ def test_halves_and_temporal(spark, skewed):
 
 
 def test_exact_quantiles_match_percentile(spark):
-    import random
-    from immolytics.operators.quantiles import decode_double, double_key, exact_quantiles
+    from immolytics.operators.quantiles import quantile_columns, quantile_scalar
     random.seed(1)
-    base = [-1e-300, -2.5, -1e20, 0.0, -0.0, 3.0, 1e-310, 7.25, 1e300, 123456.789]
+    base = [-1e-300, -2.5, -1e20, 0.0, -0.0, 3.0, 1e-310, 7.25, 1e300, 123456.789, math.inf, -math.inf]
     vals = [random.choice(base) * random.random() for _ in range(2000)] + [5.0] * 1000   # a hot value
-    rows = [(("a" if i % 3 else "bb") if i % 7 else None, v) for i, v in enumerate(vals)]
-    df = spark.createDataFrame(rows, "g string, x double")
-    keys = df.select("x", double_key(F.col("x")).alias("k")).collect()
-    assert all(decode_double(r.k) == r.x for r in keys)
-    assert [r.x for r in sorted(keys, key=lambda r: r.k)] == sorted(r.x for r in keys)
-    probs = [0.0, 0.25, 0.5, 0.8, 1.0]
-    got = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", probs, ["g"]).collect()}
-    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
-    for r in ref:
-        for i, p in enumerate(probs):
-            assert got[(r.g, p)] == pytest.approx(r.q[i], rel=1e-12, abs=1e-300)
-
-
-def test_quantile_methods_agree(spark):
+    vals += [1e6 + random.random() for _ in range(500)]                                  # a narrow range
+    rows = [(("a" if i % 3 else "bb") if i % 7 else None, v) for i, v in enumerate(vals)] + [("one", 4.0)]
+    df = spark.createDataFrame(rows + [("empty", None), ("empty", math.nan)], "g string, x double")
+    probs, names = [0.0, 0.25, 0.5, 0.8, 1.0], list("abcde")
+    clean = df.where(~F.isnan("x") & F.col("x").isNotNull())
+    exact = F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")
+    got = {r.g: list(r)[1:] for r in quantile_columns(df, "x", probs, names, ["g"]).collect()}
+    want = {r.g: r.q for r in clean.groupBy("g").agg(exact).collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-300)
+    assert list(quantile_columns(df, "x", probs, names).first()) == pytest.approx(clean.agg(exact).first()[0], rel=1e-12)
+    assert df.select(quantile_scalar(df, "x", 0.5)).first()[0] == clean.agg(F.percentile("x", 0.5)).first()[0]
+    assert quantile_columns(df.limit(0), "x", [0.5], ["m"], ["g"]).collect() == []
+
+
+def test_quantiles_of_many_groups(spark):
     from immolytics.operators.quantiles import quantile_columns
-    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.sin(F.col("id")) * 1000).alias("x"))
-    names = ["q1", "q2", "q3"]
-    a = {r.g: r for r in quantile_columns(df, "x", [0.1, 0.5, 0.9], names, ["g"], method="percentile").collect()}
-    b = {r.g: r for r in quantile_columns(df, "x", [0.1, 0.5, 0.9], names, ["g"], method="select").collect()}
-    for g in a:
-        for n in names:
-            assert a[g][n] == pytest.approx(b[g][n], rel=1e-12)
+    df = spark.range(600_000).select((F.col("id") % 200_000).alias("g"), F.col("id").cast("double").alias("x"))
+    got = quantile_columns(df, "x", [0.5], ["m"], ["g"])
+    assert got.agg(F.count("*"), F.sum(F.abs(F.col("m") - F.col("g") - 200_000))).first()[:2] == (200_000, 0.0)
+
+
+def test_equal_keys_at_a_cut_are_an_error(spark):
+    df = spark.createDataFrame([(k,) for k in ["a", "b", "b", "b", "c"]], "key string")
+    with pytest.raises(ValueError, match="not unique"):
+        splits.rank_cuts(df, splits.order_key(df, ["key"]), [2])
+    cuts = splits.rank_cuts(df, splits.order_key(df, ["key"]), [1, 4])       # no tie is cut here
+    assert len(cuts) == 2
+    long = df.unionByName(df).unionByName(df)
+    with pytest.raises(ValueError, match="not unique"):
+        splits.rank_cuts(long, splits.order_key(long, ["key"]), [5], final_limit=1)
+
+
+def test_group_folds_keep_groups_together(spark):
+    df = spark.range(1000).select((F.col("id") % 37).alias("g"))
+    folds = splits.group_folds(df, ["g"], 4).distinct().collect()
+    assert len(folds) == 37 and {r.fold for r in folds} == {0, 1, 2, 3}
 
 
 def test_split_plan_is_a_filter(spark, tmp_path):

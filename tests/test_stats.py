@@ -81,3 +81,29 @@ def test_eda_profile(spark):
                                                    if t in ("double", "bigint", "int")])
     assert rep["crosstab_ville"].count() == 2
     assert rep["strong_pairs"].count() >= 1
+
+
+def test_no_shuffle_of_unpivoted_rows(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3000).select((F.col("id") * 1.5).alias("x"), (F.col("id") % 17).cast("double").alias("y"),
+                             (F.col("id") % 2).alias("g")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for frame in (stats.histogram(df, ["x", "y"]), stats.histogram(df, ["x", "y"], by="g"), stats.kde(df, ["x", "y"]),
+                  stats.boxplot_stats(df, ["x", "y"], by="g")):
+        plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        for i, line in enumerate(plan):
+            if "Exchange hashpartitioning(column_name" in line:
+                scan = next(k for k in range(i, len(plan)) if "FileScan" in plan[k])
+                assert any("HashAggregate" in x for x in plan[i + 1:scan]), line       # counts, not rows
+
+
+def test_kde_of_a_long_tail(spark):
+    rng = np.random.default_rng(2)
+    v = np.concatenate([rng.normal(0, 1, 4000), [1e4, -2e4]])          # a fixed grid of bins would be wider than the bulk
+    df = spark.createDataFrame([(float(x),) for x in v], "x double")
+    got = stats.kde(df, ["x"], grid_size=2000).collect()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    most = max(r["density"] for r in got)
+    for r in got:
+        want = np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
+        assert r["density"] == pytest.approx(want, rel=0.02, abs=1e-3 * most)

@@ -3,7 +3,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from immolytics.operators import model as pm, splits
-from immolytics.sources.runlog import RunLog, latest_run, require_run
+from immolytics.sources.runlog import RunLog, latest_parent_run, latest_run, require_run
 
 
 def test_cross_validation_keys(spark):
@@ -44,6 +44,24 @@ def test_run_log_latest(spark, tmp_path):
     log.start_run("child", parent_id=b)
     got = require_run(latest_run(log.table("runs"), log.table("tags")))
     assert got == b and got != a
+    c = log.start_run("training_untagged")                    # newer, but not tagged: only the name finds it
+    assert require_run(latest_run(log.table("runs"), log.table("tags"))) == b
+    assert require_run(latest_parent_run(log.table("runs"))) == c
+
+
+def test_integer_folds_and_groups(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"a": rng.uniform(size=90), "g": [i % 9 for i in range(90)], "t": range(90)})
+    pdf["prix"] = 5 * pdf.a
+    df = spark.createDataFrame(pdf)
+    for folded in (splits.k_folds(df, ["t"], 3), splits.group_folds(df, ["g"], 3)):
+        cv = pm.cross_validate(folded, pm.mean_fitter(), 3, kind="k")
+        got = pm.cv_scores_dict(cv)
+        p = folded.toPandas()
+        parts = [(p[p.fold != i].prix, p[p.fold == i].prix) for i in range(3)]
+        want = [-np.sqrt(((test - train.mean()) ** 2).mean()) for train, test in parts]
+        assert abs(got["moyenne_test_neg_root_mean_squared_error"] - np.mean(want)) < 1e-9
+        assert abs(got["ecart_type_test_neg_root_mean_squared_error"] - np.std(want)) < 1e-9
 
 
 def test_kfold_cross_validator(spark):

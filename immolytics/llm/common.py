@@ -6,11 +6,13 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Documents handled at a time inside a task.
+# Documents, and bytes of text, handled at a time inside a task (one document may have more bytes).
 ROWS_AT_ONCE = 512
+BYTES_AT_ONCE = 4 * 1024 * 1024
 
 
 def quoted(name: str) -> str:
@@ -22,6 +24,17 @@ def decoded(raw: bytes | None) -> str:
     return "" if raw is None else raw.decode("utf-8", "replace")
 
 
+def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch within the bounds; column ``text`` holds the UTF-8 cells."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, before = 0, 0
+    while at < batch.num_rows:
+        stop = int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right"))
+        stop = min(max(stop, at + 1), at + ROWS_AT_ONCE, batch.num_rows)
+        yield batch.slice(at, stop - at)
+        at, before = stop, int(ends[stop - 1])
+
+
 def append_columns(df: DataFrame, fields: Sequence[tuple[str, T.DataType]],
                    make_compute: Callable[[], Callable[[list[bytes | None]], list]],
                    text: str = "text", keep: Iterable[str] = ("doc_id",)) -> DataFrame:
@@ -42,8 +55,7 @@ def append_columns(df: DataFrame, fields: Sequence[tuple[str, T.DataType]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make_compute()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
+            for part in slices(batch, len(kept)):
                 found = compute(part.column(len(kept)).to_pylist())
                 made = [pa.array(v, type=arrow.field(len(kept) + i).type) for i, v in enumerate(found)]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + made,

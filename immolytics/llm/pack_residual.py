@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import materialize
-from .common import quoted
+from .common import quoted, slices
 
 CAPACITY = 2048
 END_ID = 0
@@ -38,7 +38,7 @@ NEARLY_FULL = 4
 # A merge round that removes a smaller share of the bins is the last one.
 LEAST_GAIN = 0.005
 _CACHED_WORD = 48
-_CACHE_LIMIT = 800_000
+_CACHE_LIMIT = 1_200_000
 # A final stop or comma after a letter; a chunk of letters (or bytes beyond ASCII) and ASCII marks
 # after them; Latin letters that stay one letter when lower-cased.
 _FINAL_MARK = re.compile(rb"(?<=[A-Za-z])[.,](?!\S)")
@@ -189,8 +189,7 @@ def _locally_packed(docs: DataFrame, path: str, capacity: int, block: int) -> Da
             return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, arrow)], schema=arrow)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 for doc, buffer in zip(part.column(0).to_pylist(), ids.encode(part.column(1).to_pylist())):
                     buffer += end
                     n = len(buffer) // 4

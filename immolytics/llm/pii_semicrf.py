@@ -40,22 +40,31 @@ FIT_CLUSTERS = 3000
 EPOCHS = 6
 SLOTS = 1 << 13
 
-# The base patterns.
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base patterns. An e-mail address is [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ and an
+# address of four numbers [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+); both are found from runs, in linear time.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile(rb"[0-9]")
 _CLUSTER = re.compile(r"[+(]{0,2}[0-9]+(?:[\x20().\-/:]{1,3}[0-9]+)*")
 _GROUP = re.compile(r"[0-9]+")
-_SPELLED = re.compile(
-    r"[A-Za-z0-9._%+-]+\x20?(?:@|[(\[]\x20?at\x20?[)\]]|\x20at\x20)\x20?[A-Za-z0-9-]+"
-    r"(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]]|\x20dot\x20)\x20?[A-Za-z0-9-]+)+", re.IGNORECASE | re.ASCII)
+# Spelled-out addresses: a mark, at most 64 characters of a name before it and a domain of short labels after it.
+_AT = re.compile(r"\x20?(?:@|[(\[]\x20?at\x20?[)\]])\x20?|\x20at\x20", re.IGNORECASE | re.ASCII)
+_NAME = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
+_SPELLED_DOMAIN = re.compile(
+    r"[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?[A-Za-z0-9-]{1,63}|\x20dot\x20[A-Za-z0-9-]{1,63}){1,10}",
+    re.IGNORECASE | re.ASCII)
 _SPELLED_HINT = re.compile(rb"@|[(\[ ]at[)\] ][^\n]{0,80}?[(\[ ]dot[)\] ]", re.IGNORECASE)
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w]*$")
-# Fewest digits of a cluster that is segmented.
+# Fewest digits of a cluster that is segmented; fewest and most digits of a candidate of each kind.
 LEAST_DIGITS = 4
+DIGITS = {"ip": (4, 12), "card": (12, 19), "phone": (7, 15)}
+LONGEST = 19
+# Stretches of more characters teach nothing.
+LONGEST_STRETCH = 400
 
 
 def luhn(digits: str) -> bool:
@@ -71,12 +80,31 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def emails(text: str) -> list[tuple[str, int, int]]:
+    """Addresses around every ``@``: the run of name characters before it, the longest domain after it."""
+    found, free, at = [], 0, text.find("@")
+    while at >= 0:
+        domain = _DOMAIN.match(text, at + 1)
+        if domain:
+            start = at
+            while start > free and text[start - 1] in _LOCAL:
+                start -= 1
+            if start < at:
+                found.append(("email", start, domain.end()))
+                free = domain.end()
+        at = text.find("@", at + 1)
+    return found
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the fixed patterns, by kind as listed, then start; failing matches are dropped."""
-    found = []
-    if "@" in text:
-        found += [("email", *m.span()) for m in _EMAIL.finditer(text)]
-    found += [("ip", *m.span()) for m in _IP.finditer(text) if octets(m[0].split("."))]
+    found = emails(text)
+    for run in _DOTTED.finditer(text):                     # each four numbers of a run are one match
+        if run[0].count(".") >= 3:
+            numbers = [m.span() for m in _GROUP.finditer(text, *run.span())]
+            for k in range(0, len(numbers) - 3, 4):
+                if octets(text[a:b] for a, b in numbers[k:k + 4]):
+                    found.append(("ip", numbers[k][0], numbers[k + 3][1]))
     found += [("card", *m.span()) for m in _CARD.finditer(text)
               if 13 <= len(d := digits_of(m[0])) <= 19 and luhn(d)]
     if "+" in text:
@@ -96,8 +124,11 @@ def clusters(text: str) -> Iterator[Cluster]:
     for m in _CLUSTER.finditer(text):
         if sum(c.isdigit() for c in m[0]) >= LEAST_DIGITS:
             yield Cluster(tuple((m.start() + g.start(), m.start() + g.end()) for g in _GROUP.finditer(m[0])), False)
-    for m in _SPELLED.finditer(text):
-        yield Cluster(((m.start(), m.end()),), True)
+    for mark in _AT.finditer(text):
+        name = _NAME.search(text[max(0, mark.start() - 64):mark.start()])
+        domain = name and _SPELLED_DOMAIN.match(text, mark.end())
+        if domain:
+            yield Cluster(((mark.start() - len(name[0]), domain.end()),), True)
 
 
 def _slots(names: list[str], kind: str) -> np.ndarray:
@@ -124,7 +155,11 @@ def candidates(text: str, cluster: Cluster) -> list[tuple[int, int, str, int, in
                 start -= 1
             parts = [text[a:b] for a, b in cluster.groups[i:j]]
             digits = "".join(parts)
-            if not 4 <= len(digits) <= 19 or any(not p.isascii() for p in parts):
+            if len(digits) > LONGEST:
+                break
+            kinds = [k for k, (least, most) in DIGITS.items() if least <= len(digits) <= most
+                     and (k != "ip" or len(parts) == 4)]
+            if not kinds:
                 continue
             gaps = [text[a:b] for (_, a), (b, _) in zip(cluster.groups[i:j], cluster.groups[i + 1:j])]
             shape = "-".join(str(len(p)) for p in parts)
@@ -138,7 +173,7 @@ def candidates(text: str, cluster: Cluster) -> list[tuple[int, int, str, int, in
                      f"even:{len(set(map(len, parts))) == 1}"]
             if word:
                 names.append(f"word:{word[1].lower()}")
-            for kind in KINDS[1:]:
+            for kind in kinds:
                 extra = list(names)
                 if kind == "card":
                     extra.append(f"luhn:{13 <= len(digits) <= 19 and luhn(digits)}:{len(digits)}")
@@ -272,7 +307,8 @@ def fit_pii(docs: DataFrame, documents: int = FIT_DOCUMENTS, most: int = FIT_CLU
                     text = decoded(raw)
                     for c in clusters(text):
                         a, b = c.groups[0][0], c.groups[-1][1]
-                        stretches.append(text[max(0, a - 40):b + 40])
+                        if b - a <= LONGEST_STRETCH:
+                            stretches.append(text[max(0, a - 40):b + 40])
                 out.append(sorted(set(stretches)))
             return [out]
         return compute

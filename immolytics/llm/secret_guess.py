@@ -35,7 +35,8 @@ LEAST_LENGTHS = {"assign": 6, "access": 20, "hex": 24}
 _CONTEXT = re.compile(
     r"""(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|signing|encryption)[ _-]?key
         |auth(?:orization)?|bearer|credentials?)(?![a-z])["']?
-        (\s*(?:[:=]>?|->)\s*|\s+(?:is|was)\s*:?\s+|\s+)(?:bearer\s+|basic\s+)?["'`<(\[{]*([^\s"'`<>]{6,})""",
+        (\s{0,9}(?:[:=]>?|->)\s{0,9}|\s{1,9}(?:is|was)\s{0,9}:?\s{1,9}|\s{1,9})(?:bearer\s{1,9}|basic\s{1,9})?
+        ["'`<(\[{]{0,4}([^\s"'`<>]{6,})""",
     re.ASCII | re.IGNORECASE | re.VERBOSE)
 _CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"bearer", b"credential")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -85,11 +86,10 @@ def guess_cost(value: str, words: dict[str, int] | None = None, enough: float =
     low, n, brute = value.lower(), len(value), _per_character(value)
     cost = [0.0] + [math.inf] * n
     plain = low.translate(_LEET)
-    dates = {}
-    for m in (m for i in range(n) if value[i].isdigit() and (m := _DATE.match(value, i))):
-        dates[m.start(), m.end()] = 2.1 if m.end() - m.start() == 4 else 4.6
     for i in range(n):
         here = cost[i]
+        date = _DATE.match(value, i) if value[i].isdigit() else None
+        date_end = date.end() if date else -1
         step = here + brute + (0.0 if i else _JOIN)
         if step < cost[i + 1]:
             cost[i + 1] = step
@@ -106,7 +106,8 @@ def guess_cost(value: str, words: dict[str, int] | None = None, enough: float =
                     cased = value[i:j]
                     extra = 0.0 if cased == low[i:j] else 0.3 if cased[1:] == low[i + 1:j] else 1.0
                     price = min(price, math.log10(rank + 1) + extra + (0.3 if plain[i:j] != low[i:j] else 0.0))
-                price = min(price, dates.get((i, j), math.inf))
+                if j == date_end:
+                    price = min(price, 2.1 if size == 4 else 4.6)
                 for unit in (1, 2, 3, 4, 6, 8):
                     if size > unit and size % unit == 0 and value[i:j] == value[i:i + unit] * (size // unit):
                         price = min(price, unit * brute + math.log10(size // unit))

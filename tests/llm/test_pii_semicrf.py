@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 
 import numpy as np
 
@@ -40,6 +42,23 @@ def test_base_spans_of_the_query(spark):
     assert found > 20
 
 
+def test_base_spans_equal_the_patterns_on_random_texts():
+    rng = random.Random(6)
+    for alphabet in ("ab.@-_ 1", "12.34 ", "+1 ().-5é", "0123456789- .", "a@.b"):
+        for _ in range(3000):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
+            assert P.base_spans(text) == plain(text), text
+
+
+def test_long_runs_take_linear_time(spark):
+    begun = time.time()
+    weights = P.fit_crf(["call +1 (415) 555-2671 or 10.20.30.40 now"])
+    for run in ("a" * 300_000 + " x@y.zz", "1" * 300_000 + "@", "1." * 100_000, "12 " * 50_000, "+1 " * 50_000, "(" * 200_000 + "1",
+                "a@" * 100_000, " at " * 50_000):
+        P.pii_spans(run.encode(), weights)
+    assert time.time() - begun < 60
+
+
 def test_viterbi_and_gradient_equal_listed_segmentations():
     rng = np.random.default_rng(8)
     weights = rng.standard_normal(P.SLOTS)

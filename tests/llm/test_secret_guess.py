@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -96,3 +97,11 @@ def test_unusual_rows(spark):
     r = S.scan_secrets(spark.createDataFrame([(1, odd)], "doc_id long, text string")).first()
     assert r.base_sha256 == hashlib.sha256(plain(odd).encode()).hexdigest()
     assert S.scan_secrets(df.limit(0)).collect() == []
+
+
+def test_long_values_and_runs_take_linear_time():
+    begun = time.time()
+    for text in ("pwd: " + "aB3$" * 100_000, "password" + " " * 300_000 + "x", "token is " + " " * 300_000, "key: " + "1" * 200_000,
+                 "secret=" * 50_000, "ab" * 200_000, "pass: " + "password" * 20_000):
+        S.secret_spans(text.encode())
+    assert time.time() - begun < 60

@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from . import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,7 +35,7 @@ def op5_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3).drop("group")
 
 
-@register("op10_winnowing")
+@register("op10_winnowing", sql.WINNOWING)
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate_winnow import decontaminate
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
@@ -68,7 +69,7 @@ def op4_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
-@register("op6_divergence_rules")
+@register("op6_divergence_rules", sql.DIVERGENCE)
 def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_divergence import build_references, divergence_rules
     docs = table(spark, sf_dir, "documents")

@@ -38,7 +38,7 @@ STEPS = 3
 LONGEST = 32
 LONGEST_PIECE = 10
 SMOOTHING = 0.05
-_WORDS_KEPT = 600_000
+_WORDS_KEPT = 300_000
 
 # Lower-case A-Z; other ASCII bytes but letters separate words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -255,7 +255,7 @@ class Scorer:
 
     def _forget(self):
         self.row: dict[bytes, int] = {}
-        self.scores = np.zeros((4096, len(self.model.languages)))
+        self.scores = np.zeros((4096, len(self.model.languages)), np.float32)
         self.letters = np.zeros(4096, bool)
 
     def _learn(self, words: list[bytes]) -> None:
@@ -290,7 +290,7 @@ class Scorer:
         has_letters = segment_sums(self.letters[rows].astype(np.int64), starts, lengths) > 0
         if not self.model.languages:
             return [[UNDETERMINED] * len(texts), [0.0] * len(texts)]
-        score = segment_sums(self.scores[rows] * n[:, None], starts, lengths)
+        score = segment_sums(self.scores[rows].astype(np.float64) * n[:, None], starts, lengths)
         posterior = np.exp(score - score.max(axis=1, keepdims=True))
         posterior /= posterior.sum(axis=1, keepdims=True)
         best = posterior.argmax(axis=1)

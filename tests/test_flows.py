@@ -16,8 +16,15 @@ def test_training_flow_and_model_drift(spark, tmp_path):
                               n_splits=3, maxIter=3, maxDepth=3)
     assert out["cv"].count() == 3
     assert require_run(latest_run(log.table("runs"), log.table("tags")))
-    ev = {r["split"]: r for r in error_analysis(out["model"], out["train"], out["test"]).collect()}
+    parent = require_run(latest_run(log.table("runs"), log.table("tags")))
+    found = error_analysis(out["model"], out["train"], out["test"], runlog=log, parent_id=parent)
+    ev = {r["split"]: r for r in found.collect()}
     assert set(ev) == {"train", "test"}
+    run = log.table("runs").where("run_name = 'model_evaluation'").first()
+    assert run["parent_run_id"] == parent
+    logged = {r["key"]: r["value"] for r in log.table("metrics").where(F.col("run_id") == run["run_id"]).collect()}
+    assert logged == {f"{s.capitalize()}{name}": pytest.approx(ev[s][column]) for s in ("train", "test") for name, column in
+                      ((" RMSE", "rmse"), (" MAE", "mae"), (" R2", "r2"), ("_Error_Mean", "error_mean"), ("_Error_Std", "error_std"))}
     from immolytics.operators import model as pm
     rep = check_model_drift(pm.score(out["model"], out["test"]), ["id_transaction"], runlog=log)
     assert {r["metric"] for r in rep.collect()} == {"mse", "rmse", "mae", "r2"}

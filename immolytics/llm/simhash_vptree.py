@@ -7,9 +7,9 @@
    point and a radius that splits Hamming space in two.
 3. Every point goes to its home leaf and, by the triangle bound, to every leaf
    on the other side of a radius within ``max_bits`` of it. So both points of a
-   linked pair meet in the home leaf of one of them; leaves that hold more points
-   than planned are compared in blocks, each a task of its own.
-4. A block compares its points exactly and returns a spanning forest of its
+   linked pair meet in the home leaf of one of them. A leaf's home points are cut
+   into blocks and its visitors into parts, compared group by group.
+4. A group compares its points exactly and returns a spanning forest of its
    links, at most one row per point.
 5. Components come from alternating large-star and small-star rounds on these
    edges, each round written to the shared folder.
@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import materialize
 from .common import append_columns
@@ -43,6 +43,8 @@ LEAF = 16_384
 PER_LEAF = 128
 # Tasks that compare the home points of a leaf of the planned size.
 BLOCKS = 4
+# Points that a block meets in one group, about.
+VISITORS = 1 << 18
 MOST_SAMPLE = 1_000_000
 # Fewest sample points on which a radius is still chosen.
 LEAST_SAMPLE = 16
@@ -178,7 +180,7 @@ def _forest(points: np.ndarray, home: np.ndarray, reach: int) -> tuple[np.ndarra
     return linked, parent[linked]
 
 
-def links(points: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
+def links(points: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF, visitors: int = VISITORS) -> DataFrame:
     """Edges (a, b) between distinct ``point`` values that connect all pairs within ``max_bits`` bits."""
     spark = points.sparkSession
     n_points = points.count()
@@ -196,21 +198,31 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) -> Data
                     names=["leaf", "point", "home"])
 
     visits = materialize(points.select("point").mapInArrow(route, schema), "simhash-visits")
-    sizes = visits.where("home").groupBy("leaf").agg(F.count("*").alias("homes"))
-    # The home points of a leaf are cut into blocks, a task each; all visitors and homes of the leaf visit each block.
-    blocks = sizes.select("leaf", F.ceil(F.col("homes") * BLOCKS / leaf).cast("int").alias("blocks"))
-    spread = (visits.join(F.broadcast(blocks), "leaf")      # a row per leaf: MOST_SAMPLE / LEAST_SAMPLE at most
-              .withColumn("own", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("leaf", "block", "point", (F.col("home") & (F.col("own") == F.col("block"))).alias("home"))
-              .repartition(1 + n_points * BLOCKS // leaf, "leaf", "block"))
+    # Home points are cut into blocks and all who visit the leaf into parts; each block meets each part in a group of
+    # its own, so a group is bounded however large the leaf: a block's homes and the part's others.
+    sizes = visits.groupBy("leaf").agg(F.count_if("home").alias("homes"), F.count("*").alias("all"))
+    cuts = sizes.where("homes > 0").select("leaf", F.ceil(F.col("homes") * BLOCKS / leaf).cast("int").alias("blocks"),
+                                           F.ceil(F.col("all") / visitors).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64("point", F.lit(2)), F.col("parts")).cast("int")
+
+    def places(n: Column, at) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - 1), at)
+
+    as_home = places(F.col("parts"), lambda p: F.struct(F.col("own").alias("block"), p.alias("part"), F.lit(True).alias("home")))
+    as_other = places(F.col("blocks"), lambda b: F.struct(b.alias("block"), F.col("mine").alias("part"), F.lit(False).alias("home")))
+    placed = F.when(F.col("home"), F.concat(as_home, F.filter(as_other, lambda x: x["block"] != F.col("own")))).otherwise(as_other)
+    spread = (visits.join(F.broadcast(cuts), "leaf")        # a row per leaf: MOST_SAMPLE / LEAST_SAMPLE at most
+              .withColumn("own", own).withColumn("mine", part)
+              .select("leaf", "point", F.inline(placed))
+              .repartition(1 + n_points * BLOCKS // leaf, "leaf", "block", "part"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         values = pdf["point"].to_numpy()
         a, b = _forest(values.view(np.uint64), pdf["home"].to_numpy(), max_bits)
         return pd.DataFrame({"a": values[a], "b": values[b]})
 
-    return spread.groupBy("leaf", "block").applyInPandas(compare, "a long, b long")
+    return spread.groupBy("leaf", "block", "part").applyInPandas(compare, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

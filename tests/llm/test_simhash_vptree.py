@@ -88,7 +88,10 @@ def test_tree_brings_every_close_pair_together(seed):
 def test_oversized_leaves_are_compared_in_blocks(spark):
     points = [(1 << 3 * i, ) for i in range(20)] + [((1 << 3 * i) | 1 << 61, ) for i in range(20)]
     df = spark.createDataFrame(points, "point long")
-    rows = components(links(df, 1, leaf=2)).collect()
+    for visitors in (1 << 18, 5):
+        rows = components(links(df, 1, leaf=2, visitors=visitors)).collect()
+        assert len({r.root for r in rows}) == 20 and len(rows) == 20
+    rows = components(links(df, 1, leaf=10_000, visitors=3)).collect()       # one leaf, many parts
     assert len({r.root for r in rows}) == 20 and len(rows) == 20
 
 

@@ -83,7 +83,7 @@ def prepared_table(spark: SparkSession, sf_dir: str, columns: list[str] | None =
 
 def city_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City-month rows with the market features; the binding's market table has one row per city and month."""
-    cm = feat.city_month(market_months(raw_transactions(spark, sf_dir)), decimals=None)
+    cm = materialize(feat.city_month(market_months(raw_transactions(spark, sf_dir)), decimals=None), "city-month")
     return feat.previous_month(feat.compute_city_features(cm, grouped=True))
 
 

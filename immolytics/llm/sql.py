@@ -7,13 +7,17 @@ import string
 from .quality_divergence import (COMMON_SHARE, GUARD_CHARACTERS, GUARD_WORDS, LEAST_WORDS, MOST_REPEATED, NEAR_CLASSES,
                                  NEAR_WORDS, WINDOW)
 
-_LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+def _lower(column: str) -> str:
+    """A-Z lower-cased, null as empty."""
+    return f"translate(coalesce({column}, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
 
 WINNOWING = rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all({_lower('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), b AS (
-  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+  SELECT item_id, regexp_extract_all({_lower('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), bn AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0
 ), bi AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bn
 ), bw AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g FROM bi
@@ -34,7 +38,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-# Characters of every class; what is left over belongs to class 8.
+# A pattern for each character class, in order.
 _CLASSES = [r"[a-z]", r"[A-Z]", r"[0-9]", r"\x20", r"[\n\r]", r"[\t\x0B\x0C]", r"""[.,;:!?\x27"()-]""", r"[#*$%&|<>]",
             r"[/@\[\]\\^_`{}~+=]", r"[\x00-\x08\x0E-\x1F\x7F]", r"[\x{C0}-\x{FF}]", r"[^\x00-\x7F\x{C0}-\x{FF}]"]
 
@@ -43,7 +47,11 @@ def _kept(pattern: str) -> str:
     return f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
 
 
-_PART = "CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END"
+def _part(p: str = "p", q: str = "q") -> str:
+    """Twice one value's share of the Jensen-Shannon divergence in bits."""
+    return (f"CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END"
+            f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END")
+
 
 DIVERGENCE = rf"""
 WITH d AS (
@@ -68,10 +76,10 @@ WITH d AS (
 ), of_doc AS (
   SELECT doc_id, cls, n / greatest(1, sum(n) OVER (PARTITION BY doc_id)) AS p FROM classes
 ), class_distance AS (
-  SELECT doc_id, lang AS reference, sqrt(greatest(0, least(1, sum({_PART}) / 2))) AS cd
+  SELECT doc_id, lang AS reference, sqrt(greatest(0, least(1, sum({_part()}) / 2))) AS cd
   FROM of_doc JOIN of_lang USING (cls) GROUP BY ALL
 ), words AS (
-  SELECT doc_id, lang, unnest(regexp_extract_all({_LOWER.replace('text', 't')}, '[^\x20\x09-\x0D]+')) AS word FROM d
+  SELECT doc_id, lang, unnest(regexp_extract_all({_lower('t')}, '[^\x20\x09-\x0D]+')) AS word FROM d
 ), common AS (
   SELECT lang, word, n / total AS q FROM (
     SELECT lang, word, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total FROM words WHERE lang IS NOT NULL GROUP BY lang, word)
@@ -81,13 +89,13 @@ WITH d AS (
   SELECT c.doc_id, m.lang, n / n_words AS p, q FROM counts c JOIN common m USING (word) JOIN base USING (doc_id)
 ), sums AS (
   SELECT b.doc_id, m.lang, any_value(m.q_all) AS q_all, coalesce(sum(s.p), 0) AS p_seen, coalesce(sum(s.q), 0) AS q_seen,
-         coalesce(sum(CASE WHEN s.p IS NULL THEN 0 ELSE {_PART.replace("p ", "s.p ").replace("(p", "(s.p").replace("q ", "s.q ").replace("+ q)", "+ s.q)")} END), 0) AS parts
+         coalesce(sum(CASE WHEN s.p IS NULL THEN 0 ELSE {_part("s.p", "s.q")} END), 0) AS parts
   FROM base b CROSS JOIN (SELECT lang, sum(q) AS q_all FROM common GROUP BY lang) m
   LEFT JOIN seen s ON s.doc_id = b.doc_id AND s.lang = m.lang GROUP BY b.doc_id, m.lang
 ), rest AS (
   SELECT doc_id, lang, parts, 1 - p_seen AS p, 1 - q_all AS q, greatest(0, q_all - q_seen) AS unseen FROM sums
 ), word_distance AS (
-  SELECT doc_id, lang AS reference, sqrt(greatest(0, least(1, (parts + {_PART} + unseen) / 2))) AS wd FROM rest
+  SELECT doc_id, lang AS reference, sqrt(greatest(0, least(1, (parts + {_part()} + unseen) / 2))) AS wd FROM rest
 ), verdicts AS (
   SELECT *, (cd <= {NEAR_CLASSES} OR n_characters < {GUARD_CHARACTERS}) AND (wd <= {NEAR_WORDS} OR n_words < {GUARD_WORDS}) AS fine
   FROM class_distance JOIN word_distance USING (doc_id, reference) JOIN base USING (doc_id)

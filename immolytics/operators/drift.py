@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..settings import DRIFT_SHARE_GATE, DRIFT_THRESHOLD
-from .quantiles import ordered_bucket
+from .quantiles import ordered_bucket, same_group
 
 REF = "_is_ref"
 
@@ -33,7 +33,11 @@ SLICES = 64
 
 
 def value_counts_by_side(rows: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """(column_name, number, text, n_ref, n_cur) of all columns from one scan of ``rows`` (with ``REF``)."""
+    """(column_name, number, text, numeric, n_ref, n_cur) of all columns from one scan of ``rows`` (with ``REF``).
+
+    ``numeric`` is an aggregate, so that choosing by it leaves the aggregate as it
+    is: numeric and categorical statistics reuse one shuffle of the counts.
+    """
     none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
     cells = [F.struct(F.lit(c).alias("column_name"), F.nanvl(F.col(c).cast("double"), none).alias("number"),
                       blank.alias("text")) for c in numeric]
@@ -41,6 +45,7 @@ def value_counts_by_side(rows: DataFrame, numeric: list[str], categorical: list[
               for c in categorical]
     long = rows.select(REF, F.inline(F.array(*cells))).where("number IS NOT NULL OR text IS NOT NULL")
     return long.groupBy("column_name", "number", "text").agg(
+        F.bool_or(F.col("number").isNotNull()).alias("numeric"),
         F.count_if(F.col(REF)).alias("n_ref"), F.count_if(~F.col(REF)).alias("n_cur"))
 
 
@@ -50,28 +55,31 @@ def numeric_drift(counts: DataFrame) -> DataFrame:
     Cumulative counts run within slices of order-following buckets, offset by the
     counts of the slices before, so no task sorts a whole column.
     """
-    c = (counts.where("number IS NOT NULL").select("column_name", F.col("number").alias("value"), "n_ref", "n_cur")
+    c = (counts.where("numeric").select("column_name", F.col("number").alias("value"), "n_ref", "n_cur")
          .withColumn("b", ordered_bucket(F.col("value"))))
-    spans = c.groupBy("column_name", "b").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    whole = Window.partitionBy("column_name")
+    spans = (c.groupBy("column_name", "b").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
+                                               F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"))
+             .select("column_name", "b", "lo", "hi", F.sum("r").over(whole).alias("tot_ref"), F.sum("k").over(whole).alias("tot_cur")))
     place = F.floor(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * SLICES)
-    c = (c.join(spans, ["column_name", "b"])
+    c = (same_group(c, spans, ["column_name", "b"])
           .withColumn("s", F.when(F.col("hi") > F.col("lo"), F.least(place, F.lit(SLICES - 1))).otherwise(0).cast("int"))
           .drop("lo", "hi"))
     keys = ["column_name", "b", "s"]
-    whole = Window.partitionBy("column_name")
     wb = whole.orderBy("b", "s")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    bt = (c.groupBy(*keys).agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"), F.min("value").alias("first"),
-                               F.sum(F.col("n_ref") * F.col("value")).alias("sum_ref"))
-           .select(*keys, F.coalesce(F.sum("r").over(before), F.lit(0)).alias("off_ref"),
-                   F.coalesce(F.sum("k").over(before), F.lit(0)).alias("off_cur"), F.lead("first").over(wb).alias("next_min"),
-                   F.sum("r").over(whole).alias("tot_ref"), F.sum("k").over(whole).alias("tot_cur"),
-                   F.try_divide(F.sum("sum_ref").over(whole), F.sum("r").over(whole)).alias("mean_ref")))
+    bt = (c.groupBy(*keys, "tot_ref", "tot_cur").agg(
+              F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"), F.min("value").alias("first"),
+              F.sum(F.col("n_ref") * F.col("value")).alias("sum_ref"))
+           .select(*keys, F.try_divide(F.coalesce(F.sum("r").over(before), F.lit(0)), F.col("tot_ref")).alias("off_ref"),
+                   F.try_divide(F.coalesce(F.sum("k").over(before), F.lit(0)), F.col("tot_cur")).alias("off_cur"),
+                   F.lead("first").over(wb).alias("next_min"),
+                   F.try_divide(F.sum("sum_ref").over(whole), F.col("tot_ref")).alias("mean_ref")))
     wv = Window.partitionBy(*keys).orderBy("value")
     run = wv.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = (c.join(bt, keys)
-          .withColumn("F_ref", F.try_divide(F.col("off_ref") + F.sum("n_ref").over(run), F.col("tot_ref")))
-          .withColumn("F_cur", F.try_divide(F.col("off_cur") + F.sum("n_cur").over(run), F.col("tot_cur")))
+    c = (same_group(c, bt, keys)                            # null-safe: no filter parts the branches' plans
+          .withColumn("F_ref", F.col("off_ref") + F.try_divide(F.sum("n_ref").over(run), F.col("tot_ref")))
+          .withColumn("F_cur", F.col("off_cur") + F.try_divide(F.sum("n_cur").over(run), F.col("tot_cur")))
           .withColumn("nxt", F.coalesce(F.lead("value").over(wv), F.col("next_min"))))
     d = F.abs(F.col("F_ref") - F.col("F_cur"))
     off = F.col("value") - F.col("mean_ref")
@@ -85,7 +93,7 @@ def numeric_drift(counts: DataFrame) -> DataFrame:
 
 def categorical_drift(counts: DataFrame) -> DataFrame:
     """Per categorical column of ``value_counts_by_side``: jensen_shannon (base 2, distance) and chi2."""
-    cnt = counts.where("text IS NOT NULL")
+    cnt = counts.where("NOT numeric")
     tot = cnt.groupBy("column_name").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     c = cnt.join(F.broadcast(tot), "column_name")                             # one row per column
     p, q = F.try_divide(F.col("n_ref"), F.col("tot_ref")), F.try_divide(F.col("n_cur"), F.col("tot_cur"))

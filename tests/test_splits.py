@@ -84,6 +84,16 @@ def test_exact_quantiles_match_percentile(spark):
     assert quantile_columns(df.limit(0), "x", [0.5], ["m"], ["g"]).collect() == []
 
 
+def test_quantiles_scan_the_rows_once(spark, tmp_path):
+    from immolytics.operators.quantiles import quantile_columns
+    path = str(tmp_path / "t.parquet")
+    spark.range(3000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("x")).write.parquet(path)
+    got = quantile_columns(spark.read.parquet(path), "x", [0.1, 0.5], ["a", "b"], ["g"])
+    assert got.count() == 3 and got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+
+
 def test_quantiles_of_many_groups(spark):
     from immolytics.operators.quantiles import quantile_columns
     df = spark.range(600_000).select((F.col("id") % 200_000).alias("g"), F.col("id").cast("double").alias("x"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -63,6 +64,9 @@ _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[
 _LONGEST_SEGMENT = 24
 # Guesses for another segment in the sequence (log10).
 _JOIN = 0.3
+# Words of the surrounding text and their rank.
+_RUN = re.compile(r"[^\W\d_]{3,24}")
+_WORD_RANK = 1000
 
 
 def _per_character(value: str) -> float:
@@ -75,14 +79,35 @@ def _per_character(value: str) -> float:
     return math.log10(10 * digits + 26 * lower + 26 * upper + 20 * other)
 
 
-def guess_cost(value: str, words: dict[str, int] | None = None, enough: float = math.inf) -> float:
+class OtherWords:
+    """Ranks of a text's words as seen from one value: those with an occurrence that no copy of the value touches."""
+
+    def __init__(self, text: str):
+        self.text, self.value = text, ""
+        self.starts: dict[str, list[int]] = {}
+        for m in _RUN.finditer(text):
+            for word in _RUN.findall(m[0].lower()):
+                self.starts.setdefault(word, []).append(m.start())
+
+    def get(self, word: str) -> int | None:
+        starts, size, k = self.starts.get(word, ()), len(self.value), 0
+        while k < len(starts):                             # a step per copy of the value
+            at = starts[k]
+            copy = self.text.find(self.value, max(0, at - size + 1), at + len(word) + size - 1)
+            if copy < 0:
+                return _WORD_RANK
+            k = bisect_left(starts, copy + size, k + 1)
+        return None
+
+
+def guess_cost(value: str, words: dict[str, int] | OtherWords | None = None, enough: float = math.inf) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` takes.
 
     ``words`` ranks further words (of the surrounding text). Stops as soon as the
     cost is sure to reach ``enough``: no segment is longer than ``_LONGEST_SEGMENT``,
     so once that many consecutive costs reach it, all later ones do.
     """
-    ranks = {**(words or {}), **_RANK} if words else _RANK
+    further = words if words is not None else {}
     low, n, brute = value.lower(), len(value), _per_character(value)
     cost = [0.0] + [math.inf] * n
     plain = low.translate(_LEET)
@@ -101,7 +126,8 @@ def guess_cost(value: str, words: dict[str, int] | None = None, enough: float =
             if size >= 3:
                 if walk:
                     price = math.log10(40 * size)
-                rank = ranks.get(low[i:j]) or ranks.get(plain[i:j])
+                rank = (_RANK.get(low[i:j]) or further.get(low[i:j])
+                        or _RANK.get(plain[i:j]) or further.get(plain[i:j]))
                 if rank:
                     cased = value[i:j]
                     extra = 0.0 if cased == low[i:j] else 0.3 if cased[1:] == low[i + 1:j] else 1.0
@@ -139,7 +165,7 @@ def guessed_spans(raw: bytes, text: str, base: list[tuple[int, int, str]]) -> li
     low = raw.lower()
     if not any(w in low for w in _CONTEXT_WORDS):
         return []
-    found, words = [], None
+    found, words, secret = [], None, {}
     for m in _CONTEXT.finditer(text):
         value = m[2].rstrip(_TRAILING)
         start, end = m.start(2), m.start(2) + len(value)
@@ -147,9 +173,11 @@ def guessed_spans(raw: bytes, text: str, base: list[tuple[int, int, str]]) -> li
             continue
         if not m[1].strip() and not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
             continue                                       # without a connector prose follows
-        if words is None:
-            words = {w: 1000 for w in re.findall(r"[^\W\d_]{3,24}", text.replace(value, " ").lower())}
-        if guess_cost(value, words, LEAST_COST) >= LEAST_COST:
+        if value not in secret:
+            words = words or OtherWords(text)
+            words.value = value
+            secret[value] = guess_cost(value, words, LEAST_COST) >= LEAST_COST
+        if secret[value]:
             found.append((start, end, "guess"))
     return found
 

@@ -1,6 +1,7 @@
 """Secrets: base spans against plain patterns, guess costs against all segmentations."""
 
 import hashlib
+import itertools
 import re
 import time
 
@@ -81,6 +82,28 @@ def test_values_in_credential_contexts():
         assert spans(text) == []
 
 
+def test_every_value_of_a_text_is_priced_without_its_own_words():
+    values = ["kQzWvTnBxRpLmYhGdS7f", "Xk9$vTq2!mLw", "qhvzkdwbxjtnplmrsgcf"]
+    for some in [p for n in (2, 3) for p in itertools.permutations(values, n)]:
+        text = ", ".join(f"{word}: {v}" for word, v in zip(("pwd", "auth", "passphrase"), some))
+        assert spans(text) == [("guess", v) for v in some], text
+        twice = text + "; again " + text
+        assert spans(twice) == [("guess", v) for v in some + some], twice
+    # Words that also stand outside the value stay known, wherever the value comes in the text.
+    assert spans("pwd: Xk9$vTq2!mLw, auth: marmalade-cupboard; the marmalade cupboard") == [("guess", "Xk9$vTq2!mLw")]
+    # A run of more than 24 letters is read in parts, which stand at other letters in a longer copy.
+    long = "qhvzkdwbxjtnplmrsgcfqzhvkwdbjxtpnlrmgscfhqvz"
+    assert spans(f"pwd: Xk9$vTq2!mLw, auth: {long}; x{long}") == [("guess", "Xk9$vTq2!mLw"), ("guess", long)]
+
+
+def test_many_distinct_values_take_linear_time():
+    begun = time.time()
+    S.secret_spans(" ".join(f"pwd: k{i:x}QzWvTnBxRp{i:x}" for i in range(20_000)).encode())
+    S.secret_spans(("auth: kQzWvTnBxRpLmYhGdS7f " * 20_000).encode())
+    S.secret_spans(("pwd: " + "abcd1" * 60_000).encode())
+    assert time.time() - begun < 60
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, 'a token = "abcdef0123456789abcdef01" b', 40), (2, None, 7), (3, "clean", 5)],
                                "doc_id long, text string, n_chars long")

@@ -37,8 +37,9 @@ _CONTEXT = re.compile(
     r"""(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|signing|encryption)[ _-]?key
         |auth(?:orization)?|bearer|credentials?)(?![a-z])["']?
         (\s{0,9}(?:[:=]>?|->)\s{0,9}|\s{1,9}(?:is|was)\s{0,9}:?\s{1,9}|\s{1,9})(?:bearer\s{1,9}|basic\s{1,9})?
-        ["'`<(\[{]{0,4}([^\s"'`<>]{6,})""",
+        ["'`<(\[{]{0,4}(?=[^\s"'`<>]{6})""",
     re.ASCII | re.IGNORECASE | re.VERBOSE)
+_VALUE = re.compile(r"""[^\s"'`<>]+""", re.ASCII)
 _CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"bearer", b"credential")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _TRAILING = ".,;:!?)]}"
@@ -165,20 +166,37 @@ def guessed_spans(raw: bytes, text: str, base: list[tuple[int, int, str]]) -> li
     low = raw.lower()
     if not any(w in low for w in _CONTEXT_WORDS):
         return []
+    taken = []                                             # base spans, overlapping ones together
+    for a, b, _ in sorted(base):
+        if taken and a < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(b, taken[-1][1])
+        else:
+            taken.append((a, b))
+    starts = [a for a, _ in taken]
     found, words, secret = [], None, {}
-    for m in _CONTEXT.finditer(text):
-        value = m[2].rstrip(_TRAILING)
-        start, end = m.start(2), m.start(2) + len(value)
-        if len(value) < 6 or any(a < end and start < b for a, b, _ in base):
-            continue
-        if not m[1].strip() and not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue                                       # without a connector prose follows
-        if value not in secret:
+    stop = end = -1                                        # of the last value, without its final marks in ``end``
+    m = _CONTEXT.search(text)
+    while m:
+        start = m.end()
+        if start >= stop:                                  # values that begin in one run end together
+            run = _VALUE.match(text, start)
+            stop, end = run.end(), start + len(run[0].rstrip(_TRAILING))
+        k = bisect_left(starts, end)
+        if end - start < 6 or k and taken[k - 1][1] > start:
+            value = None
+        else:
+            value = text[start:end]
+            if not m[1].strip() and not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+                value = None                               # without a connector prose follows
+        if value and value not in secret:
             words = words or OtherWords(text)
             words.value = value
             secret[value] = guess_cost(value, words, LEAST_COST) >= LEAST_COST
-        if secret[value]:
+        if value and secret[value]:
             found.append((start, end, "guess"))
+            m = _CONTEXT.search(text, stop)
+        else:                                              # a rejected value may hold a credential word itself
+            m = _CONTEXT.search(text, start)
     return found
 
 

@@ -96,6 +96,23 @@ def test_every_value_of_a_text_is_priced_without_its_own_words():
     assert spans(f"pwd: Xk9$vTq2!mLw, auth: {long}; x{long}") == [("guess", "Xk9$vTq2!mLw"), ("guess", long)]
 
 
+def test_stacked_credential_words():
+    key = "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzEXAMPLEKEY"
+    for text in ("AWS secret access key: {}", "private key password is {}", "secret passphrase: {}", "auth private key: {}",
+                 "credentials password is {}", "secret signing key -> {} end", "the token bearer credentials was {}.",
+                 "pass:pwd:auth: {}", "pwd: hunter auth: {}", "secret access key of auth private key = '{}'"):
+        assert spans(text.format(key)) == [("guess", key)], text
+    assert spans("secret access key point follows, auth private key words") == []
+
+
+def test_stacked_words_take_linear_time():
+    begun = time.time()
+    for text in ("secret=" * 50_000, "pass:" * 50_000, "secret access key " * 20_000, "auth bearer " * 20_000, "pwd:((" * 50_000,
+                 "secret=abcdef " * 30_000, "pass:password1\n" * 20_000, "token=" + "auth:" * 60_000):
+        S.secret_spans(text.encode())
+    assert time.time() - begun < 60
+
+
 def test_many_distinct_values_take_linear_time():
     begun = time.time()
     S.secret_spans(" ".join(f"pwd: k{i:x}QzWvTnBxRp{i:x}" for i in range(20_000)).encode())

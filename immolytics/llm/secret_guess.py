@@ -33,11 +33,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 LEAST_LENGTHS = {"assign": 6, "access": 20, "hex": 24}
 
+# White space of any length is walked possessively: once per alternative, never back.
 _CONTEXT = re.compile(
     r"""(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|signing|encryption)[ _-]?key
         |auth(?:orization)?|bearer|credentials?)(?![a-z])["']?
-        (\s{0,9}(?:[:=]>?|->)\s{0,9}|\s{1,9}(?:is|was)\s{0,9}:?\s{1,9}|\s{1,9})(?:bearer\s{1,9}|basic\s{1,9})?
-        ["'`<(\[{]{0,4}(?=[^\s"'`<>]{6})""",
+        (\s*+(?:[:=]>?|->)\s*+|\s++(?:is|was)(?:\s*+:(?=\s))?\s++|\s++)(?:bearer\s++|basic\s++)?
+        ["'`<(\[{]*(?=[^\s"'`<>]{6})""",
     re.ASCII | re.IGNORECASE | re.VERBOSE)
 _VALUE = re.compile(r"""[^\s"'`<>]+""", re.ASCII)
 _CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"bearer", b"credential")

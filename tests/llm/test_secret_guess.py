@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import time
 
@@ -105,6 +106,42 @@ def test_stacked_credential_words():
     assert spans("secret access key point follows, auth private key words") == []
 
 
+def test_values_after_white_space_of_any_length():
+    for n in (1, 9, 10, 100, 10_000):
+        for gap in (" " * n, "\n" + " " * n, "\t" * n):
+            for text in ("pwd:{}Xk9$vTq2!mLw", "passphrase{}={}Xk9$vTq2!mLw", "auth{}->{}Xk9$vTq2!mLw next", "pwd{}is{}:{}Xk9$vTq2!mLw",
+                         "pwd was{}Xk9$vTq2!mLw", "authorization:{}Basic{}Xk9$vTq2!mLw", "bearer{}Xk9$vTq2!mLw"):
+                assert spans(text.replace("{}", gap)) == [("guess", "Xk9$vTq2!mLw")], (text, n)
+        assert spans("pwd: " + "[(" * n + "Xk9$vTq2!mLw")[0][1].endswith("Xk9$vTq2!mLw")
+
+
+def test_context_equals_the_unbounded_pattern():
+    unbounded = re.compile(
+        r"""(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|signing|encryption)[ _-]?key
+            |auth(?:orization)?|bearer|credentials?)(?![a-z])["']?
+            (\s*(?:[:=]>?|->)\s*|\s+(?:is|was)\s*:?\s+|\s+)(?:bearer\s+|basic\s+)?["'`<(\[{]*([^\s"'`<>]{6,})""",
+        re.ASCII | re.IGNORECASE | re.VERBOSE)
+    rng = random.Random(4)
+    parts = ["pwd", "Pass", "auth", "bearer", "basic", "is", "was", ":", "=", "->", ">", " ", "  ", "\n", "(", "[[", "'", '"', "<",
+             "abc1", "x$9Kq2", ".", "access key"]
+    found = 0
+    for _ in range(40_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(2, 14)))
+        want, got = unbounded.search(text), S._CONTEXT.search(text)
+        assert (want and (want[1], want.start(2))) == (got and (got[1], got.end())), text
+        found += bool(want)
+    assert found > 2000
+
+
+def test_white_space_takes_linear_time():
+    begun = time.time()
+    gap = " " * 300_000
+    for text in ("pwd" + gap, "pwd is" + gap + ":" + gap + "x", "auth" + gap + "bearer" + gap + "x", "auth:" + gap + "basic" + gap + "=",
+                 "pwd: " + "(" * 300_000, "pwd: " + '"' * 300_000, "pwd is" + "\n \t" * 100_000 + ":x", "pwd          " * 50_000):
+        S.secret_spans(text.encode())
+    assert time.time() - begun < 60
+
+
 def test_stacked_words_take_linear_time():
     begun = time.time()
     for text in ("secret=" * 50_000, "pass:" * 50_000, "secret access key " * 20_000, "auth bearer " * 20_000, "pwd:((" * 50_000,

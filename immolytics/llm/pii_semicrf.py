@@ -52,12 +52,14 @@ _DIGIT = re.compile(rb"[0-9]")
 _CLUSTER = re.compile(r"[+(]{0,2}[0-9]+(?:[\x20().\-/:]{1,3}[0-9]+)*")
 _GROUP = re.compile(r"[0-9]+")
 # Spelled-out addresses: a mark, at most 64 characters of a name before it and a domain of short labels after it.
-_AT = re.compile(r"\x20?(?:@|[(\[]\x20?at\x20?[)\]])\x20?|\x20at\x20", re.IGNORECASE | re.ASCII)
+_AT_MARK = r"(?:\x20?(?:@|[(\[]\x20?at\x20?[)\]])\x20?|\x20at\x20)"
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_NEXT_LABEL = rf"(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?{_LABEL}|\x20dot\x20{_LABEL})"
+_AT = re.compile(_AT_MARK, re.IGNORECASE | re.ASCII)
 _NAME = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
-_SPELLED_DOMAIN = re.compile(
-    r"[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?[A-Za-z0-9-]{1,63}|\x20dot\x20[A-Za-z0-9-]{1,63}){1,10}",
-    re.IGNORECASE | re.ASCII)
-_SPELLED_HINT = re.compile(rb"@|[(\[ ]at[)\] ][^\n]{0,80}?[(\[ ]dot[)\] ]", re.IGNORECASE)
+_SPELLED_DOMAIN = re.compile(_LABEL + _NEXT_LABEL + "{1,10}", re.IGNORECASE | re.ASCII)
+# In the bytes of every text that holds a spelled address: a mark and two labels of a domain.
+_SPELLED_HINT = re.compile(f"@|{_AT_MARK}{_LABEL}{_NEXT_LABEL}".encode(), re.IGNORECASE)
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w]*$")
 # Fewest digits of a cluster that is segmented; fewest and most digits of a candidate of each kind.
 LEAST_DIGITS = 4
@@ -303,7 +305,7 @@ def fit_pii(docs: DataFrame, documents: int = FIT_DOCUMENTS, most: int = FIT_CLU
             out = []
             for raw in texts:
                 stretches = []
-                if raw and (_DIGIT.search(raw) or b"@" in raw):
+                if raw and (_DIGIT.search(raw) or _SPELLED_HINT.search(raw)):
                     text = decoded(raw)
                     for c in clusters(text):
                         a, b = c.groups[0][0], c.groups[-1][1]

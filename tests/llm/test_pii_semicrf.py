@@ -50,6 +50,29 @@ def test_base_spans_equal_the_patterns_on_random_texts():
             assert P.base_spans(text) == plain(text), text
 
 
+def test_spelled_addresses_do_not_need_a_digit_elsewhere():
+    weights = np.zeros(P.SLOTS)
+    weights[P._slots(["bias"], "email")] = 1.0             # every spelled candidate is an address
+    for mark in (" at ", "(at)", " (at) ", "[AT]", " [ at ] ", "( At )", "@", " @ "):
+        for domain in ("example.org", "mail.example.org", "example dot org", "mail(dot)example [dot] org", "example . org",
+                       "a" * 63 + ".org", "a" * 63 + " [ dot ] org", "example.\u00fc", "example"):
+            text = f"Write to jane{mark}{domain} or call"
+            alone, with_digit = (P.pii_spans(t.encode(), weights)[1] for t in (text, text + " 7"))
+            assert alone == with_digit, text
+    assert P.pii_spans(b"jane (at) example.org", weights)[1] == [("email", 0, 21)]
+
+
+def test_hint_accepts_every_spelled_candidate():
+    rng, some = random.Random(9), 0
+    parts = ["at", "AT", "dot", " ", " ", "(", ")", "[", "]", "@", ".", "jane", "org", "-", "x" * 60, "\n", "\u00e9"]
+    for _ in range(40_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(4, 16)))
+        if any(c.spelled for c in P.clusters(text)):
+            some += 1
+            assert P._SPELLED_HINT.search(text.encode()), text
+    assert some > 100
+
+
 def test_long_runs_take_linear_time(spark):
     begun = time.time()
     weights = P.fit_crf(["call +1 (415) 555-2671 or 10.20.30.40 now"])

@@ -1,10 +1,10 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
-Every partition packs its own pieces best-fit (longest first). Bins that are
-nearly full are final. The others become items of the next round: groups of
-underfull bins are packed best-fit again, and so on up the tree until one group
-is left or a round no longer saves bins. Only (bin, fill) pairs of underfull
-bins travel between rounds, never token ids.
+Every partition packs its own pieces best-fit (longest first). Bins that could
+not even take the least filled bin are final. The others become items of the
+next round: groups of underfull bins are packed best-fit again, and so on up the
+tree until no two bins fit into one. Only (bin, fill) pairs of underfull bins
+travel between rounds, never token ids.
 
 Defined cases: null and empty texts are one end token (id 0); repeated rows and
 ties are packed row by row; an empty table gives an empty result; other columns
@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import materialize
@@ -33,10 +33,6 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 # Pieces that a task packs at a time, and items of one group of a merge round.
 BLOCK = 65_536
-# A bin with fewer free tokens than this is final.
-NEARLY_FULL = 4
-# A merge round that removes a smaller share of the bins is the last one.
-LEAST_GAIN = 0.005
 _CACHED_WORD = 48
 _CACHE_LIMIT = 800_000
 # A final stop or comma after a letter; a chunk of letters (or bytes beyond ASCII) and ASCII marks
@@ -221,6 +217,16 @@ def _merge_round(bins: DataFrame, groups: int, seed: int, capacity: int) -> Data
             .applyInPandas(merge, "bin long, parent long, shift long, fill long"))
 
 
+def _open_bins(bins: DataFrame, capacity: int) -> tuple[Column, int]:
+    """Condition on ``fill`` of the bins that can take the least filled one, and their number.
+
+    No other bin can take or join one, now or after merges (fills only grow).
+    """
+    counts = {r["fill"]: r["n"] for r in bins.groupBy("fill").agg(F.count("*").alias("n")).collect()}
+    most = capacity - min(counts, default=0)
+    return F.col("fill") <= most, sum(n for fill, n in counts.items() if fill <= most)
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
                    block: int = BLOCK) -> DataFrame:
     """Pack the documents of ``docs`` (doc_id, text) into sequences of at most ``capacity`` tokens.
@@ -234,12 +240,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
         import public_tokenizers
         tokenizer_path = public_tokenizers.path(VOCABULARY)
     pieces = materialize(_locally_packed(docs, tokenizer_path, capacity, block), "pack-pieces")
-    is_open = F.col("fill") <= capacity - NEARLY_FULL
-    bins = pieces.where(is_open & (F.col("offset") == 0)).select("bin", "fill")
-    moves, left, seed = None, bins.count(), 0
-    while left > 1:
-        groups = -(-left // block)
-        merged = materialize(_merge_round(bins, groups, seed, capacity), "pack-merge")
+    bins = pieces.where(F.col("offset") == 0).select("bin", "fill")
+    is_open, left = _open_bins(bins, capacity)
+    bins, moves, seed = bins.where(is_open), None, 0
+    while left > 1:                                        # the least filled bin fits into any other one
+        merged = materialize(_merge_round(bins, -(-left // block), seed, capacity), "pack-merge")
         step = merged.select("bin", "parent", "shift")
         if moves is None:
             moves = step
@@ -250,10 +255,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
                 moves.join(later, "parent", "left")
                 .select("bin", F.coalesce("__next", "parent").alias("parent"),
                         (F.col("shift") + F.coalesce("__more", F.lit(0))).alias("shift")), "pack-moves")
-        bins = merged.where((F.col("bin") == F.col("parent")) & is_open).select("bin", "fill")
-        before, left, seed = left, bins.count(), seed + 1
-        if groups == 1 or before - left < LEAST_GAIN * before:
-            break
+        bins = merged.where(F.col("bin") == F.col("parent")).select("bin", "fill")
+        still_open, left = _open_bins(bins, capacity)
+        bins, seed = bins.where(still_open), seed + 1
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     if moves is None:
         return pieces.select(*columns, F.col("bin").alias("sequence_id"), "offset")

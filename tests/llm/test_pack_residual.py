@@ -61,6 +61,27 @@ def test_merge_rounds_join_underfull_bins(spark):
     assert len(sequences) <= 10             # 16 texts of 4 tokens fill a sequence: 8 at best
 
 
+def test_merging_goes_on_until_no_two_sequences_fit_into_one(spark):
+    def words(i, n):                                       # n tokens with the end
+        return i, "one " * (n - 1)
+    def in_tasks(*parts):                                  # of as many rows each
+        rdd = spark.sparkContext.parallelize([x for part in parts for x in part], len(parts))
+        return spark.createDataFrame(rdd, "doc_id long, text string")
+    # The only pair that fits lies in two tasks among hundreds of bins that fit nowhere.
+    left, right = [words(i, 50) for i in range(150)] + [words(150, 44)], [words(i, 50) for i in range(200, 350)] + [words(350, 20)]
+    rows = pack_documents(in_tasks(left, right), PATH, capacity=64, block=20).collect()
+    assert len(check(rows, left + right, 64)) == 301
+    # One free token takes an empty text.
+    left, right = [words(1, 63)], [(2, "")]
+    rows = pack_documents(in_tasks(left, right), PATH, capacity=64).collect()
+    assert len(check(rows, left + right, 64)) == 1
+    # Many bins in many groups: afterwards no two fit into one.
+    parts = [[words(100 * k + i, 23 + (7 * k + 13 * i) % 29) for i in range(7)] for k in range(12)]
+    rows = pack_documents(in_tasks(*parts), PATH, capacity=64, block=8).collect()
+    fills = sorted(sum(n for _, n in m) for m in check(rows, [x for part in parts for x in part], 64).values())
+    assert fills[0] + fills[1] > 64
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pack_documents(df, PATH).collect() == []

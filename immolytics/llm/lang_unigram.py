@@ -5,7 +5,7 @@ The likelihood of a word is the sum over all its segmentations into pieces,
 found by the forward algorithm; that of a text is the product over its words.
 Piece probabilities are fitted by expectation-maximisation (forward-backward
 over the same lattices) on the word counts of a bounded, hashed sample of
-labelled documents; each step is a Spark aggregation of expected counts.
+distinct labelled documents (copies count once); each step is a Spark aggregation of expected counts.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0,
 as is everything if no labelled text was given; ties go to the language that
@@ -32,7 +32,7 @@ from .common import append_columns, segment_sums
 
 VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
-# About so many documents of each language are sampled to fit its model.
+# About so many distinct documents of each language are sampled to fit its model.
 FIT_DOCUMENTS = 1000
 STEPS = 3
 LONGEST = 32
@@ -179,13 +179,14 @@ class Lattices:
 
 
 def _sampled(labelled: DataFrame, documents: int) -> tuple[DataFrame, tuple[str, ...]]:
-    """About ``documents`` hashed documents of each language, and the languages in order."""
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    """About ``documents`` hashed distinct documents of each language, and the languages in order."""
+    distinct = F.count_distinct(F.xxhash64("text")).alias("n")
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(distinct).collect()}
     if not sizes:
         return labelled, ()
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, documents / n))])
     picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    return labelled.where(picked), tuple(sorted(sizes))
+    return labelled.where(picked).dropDuplicates(["text", "lang"]), tuple(sorted(sizes))
 
 
 def fit_languages(labelled: DataFrame, documents: int = FIT_DOCUMENTS, vocabulary: str | None = None,

@@ -3,7 +3,7 @@
 import numpy as np
 import public_tokenizers
 
-from immolytics.llm.lang_unigram import LONGEST, Lattices, PieceTable, fit_languages, identify, letter_spans, piece_ids
+from immolytics.llm.lang_unigram import LONGEST, Lattices, PieceTable, _sampled, fit_languages, identify, letter_spans, piece_ids
 from immolytics.llm.queries import QUERIES
 from tests.conftest import SF
 from tests.llm.cases import CASES, case_frame
@@ -72,3 +72,14 @@ def test_unusual_rows_and_no_labels(spark):
     none = identify(df, fit_languages(train.limit(0))).collect()
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
     assert identify(df.limit(0), fit_languages(train)).collect() == []
+
+
+def test_sample_counts_copies_once(spark):
+    texts = [f"distinct text number {i}" for i in range(2000)]
+    for copied in ("the copied text", "another copied text", texts[7]):
+        rows = [(t, "xx") for t in texts + [copied] * 1000] + [(copied, "yy")] * 50
+        sample, languages = _sampled(spark.createDataFrame(rows, "text string, lang string"), 300)
+        picked = [tuple(r) for r in sample.collect()]
+        assert languages == ("xx", "yy") and len(picked) == len(set(picked))
+        assert (copied, "yy") in picked
+        assert abs(sum(lang == "xx" for _, lang in picked) - 300) < 70

@@ -109,6 +109,12 @@ def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op11_phrase_misra_gries", sql.COLLOCATIONS)
+def op11_phrase_misra_gries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrase_misra_gries import collocations
+    return collocations(table(spark, sf_dir, "documents")).drop("cut")
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

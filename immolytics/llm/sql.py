@@ -111,3 +111,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup
        base_failed, NOT base_failed AND near AS kept, b.reference AS reference, b.cd AS class_distance, b.wd AS word_distance
 FROM counted
 """
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_lower('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), grams AS (
+  SELECT lang, size, list_slice(w, i, i + size - 1) AS g
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS size))
+), f AS (SELECT lang, size, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10
+), cand AS (SELECT lang, size, g, f AS a FROM f WHERE size > 1
+), covered AS (
+  SELECT DISTINCT s.lang, s.g FROM (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS g FROM cand WHERE size = 3) t
+  JOIN cand s ON s.lang = t.lang AND s.g = t.g WHERE 100 * t.a >= 50 * s.a
+), cuts AS (
+  SELECT lang, g, a, k, g[1:k] AS gl, g[k + 1:size] AS gr FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)
+), scored AS (
+  SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = gl JOIN f y ON y.lang = c.lang AND y.g = gr
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM scored ANTI JOIN covered USING (lang, g)
+), ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best WHERE place = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

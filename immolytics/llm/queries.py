@@ -115,6 +115,12 @@ def op11_phrase_misra_gries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents")).drop("cut")
 
 
+@register("op13_search_k2treap", sql.SEARCH)
+def op13_search_k2treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .search_k2treap import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -139,3 +139,25 @@ WITH pieces AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+_TERMS = rf"regexp_extract_all({_lower('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents
+), sizes AS (SELECT count(*) AS all_docs, CAST(sum(len(w)) AS BIGINT) AS all_terms FROM d WHERE len(w) > 0
+), tf AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM tf, sizes GROUP BY term, all_docs
+), items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, row, doc_id,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN weights USING (term), sizes GROUP BY ALL
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

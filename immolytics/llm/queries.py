@@ -115,6 +115,12 @@ def op11_phrase_misra_gries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents")).drop("cut")
 
 
+@register("op12_jaccard_adaptive", sql.JACCARD)
+def op12_jaccard_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_adaptive import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @register("op13_search_k2treap", sql.SEARCH)
 def op13_search_k2treap(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .search_k2treap import search

@@ -161,3 +161,23 @@ WITH d AS (
 )
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+# Equal sets are one node; walks over its links end at the smallest doc_id reached.
+JACCARD = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_lower('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT row, doc_id, list_sort(list_distinct(list_transform(range(1, greatest(2, len(w) - 2)), lambda i: array_to_string(w[i:i + 3], ' ')))) AS s
+  FROM d WHERE len(w) > 0
+), nodes AS (SELECT s, min(doc_id) AS doc, row_number() OVER () AS node FROM sets GROUP BY s
+), shingles AS (SELECT node, len(s) AS n, unnest(s) AS x FROM nodes
+), links AS (
+  SELECT a.node AS a, b.node AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), walk(node, reached) AS (
+  SELECT node, node FROM nodes UNION SELECT walk.node, b FROM walk JOIN links ON reached = a
+), named AS (SELECT w.node, min(n.doc) AS component FROM walk w JOIN nodes n ON n.node = reached GROUP BY w.node
+)
+SELECT d.doc_id, CAST(coalesce(len(sets.s), 0) AS BIGINT) AS n_shingles, CASE WHEN sets.s IS NULL THEN d.doc_id ELSE component END AS component_id
+FROM d LEFT JOIN sets USING (row) LEFT JOIN nodes ON nodes.s = sets.s LEFT JOIN named USING (node)
+"""

@@ -113,5 +113,27 @@ def test_prefixes_of_any_length_share_enough():
 def test_costly_prefixes_are_longer():
     table = np.ones(1 << 16, np.uint16)
     hashes = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 200).astype(np.uint64) * np.uint64(2))
-    assert J.Prefixes(table, 1, 85, 8)(hashes)[1] == 1
-    assert J.Prefixes(table * 500, 1, 85, 8)(hashes)[1] > 4
+    assert J.Prefixes(table, 1, 85, 8)(hashes[:20])[1] == 1
+    assert J.Prefixes(table * 500, 1, 85, 8)(hashes[:20])[1] > 1
+    assert J.Prefixes(table, 1, 85, 8)(hashes)[1] == J.least_matches(len(hashes), 85, 8) == 8
+
+
+def test_word_hashes_do_not_depend_on_chunks(monkeypatch):
+    texts = [b"One two  THREE four\tfive", None, b"", b"x" * 50 + b" y", b"\xc3\x89t\xc3\xa9 a b", b" \n "]
+    whole = [s.tolist() for s in J.shingle_sets(texts, 2)]
+    assert [len(s) for s in whole] == [4, 0, 0, 1, 2, 0]
+    assert J.shingle_sets([b"one TWO three four five"], 2)[0].tolist() == whole[0]
+    for chunk in (1, 3, 7):
+        monkeypatch.setattr(J, "CHUNK", chunk)
+        assert [s.tolist() for s in J.shingle_sets(texts, 2)] == whole
+    rng = random.Random(1)
+    words = list({"".join(rng.choices("abAB", k=rng.randrange(1, 9))) for _ in range(5000)})
+    hashes = J.word_hashes(np.frombuffer(" ".join(words).encode(), np.uint8))[1]
+    assert len(hashes) == len(words) and len(set(hashes.tolist())) == len({w.lower() for w in words})
+
+
+def test_bloom_holds_all(spark):
+    tokens = np.random.default_rng(2).integers(-2 ** 63, 2 ** 63 - 1, 500)
+    table = J.bloom(spark.createDataFrame([(int(t),) for t in tokens], "token long"), 16)
+    assert J.in_bloom(table, tokens.view(np.uint64)).all()
+    assert J.in_bloom(table, np.arange(1000).astype(np.uint64) << np.uint64(40)).mean() < 0.1

@@ -648,7 +648,7 @@ def q_parquet_columns(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Model: cross-validation (M2), scoring rows (M11, P8), attributions (M9, M10, T4), GBT (M1, M3, M4)
 # --------------------------------------------------------------------------
-from ..operators import attribution, model as pm  # noqa: E402
+from ..operators import attribution, model as pm, tree_attribution  # noqa: E402
 
 BASE_FEATURES = ["vefa", "surface_habitable", "latitude", "longitude", "mois_transaction", "annee_transaction",
                  "prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent", "ville_demandee"]
@@ -726,44 +726,25 @@ def q_scoring_rows(spark, sf_dir):
     return pm.build_scoring_rows(requests, enc, [ROW_KEY] + BASE_FEATURES + enc.all_feature_names)
 
 
-def market_scorer(df):
-    return df.withColumn("prediction", market_prediction())
-
-
-N_DRAWS = 5
+MARKET_TERMS = [(1.0, ("prix_m2_moyen_mois_precedent", "surface_habitable"))]
 
 
 def market_attributions(spark, sf_dir):
+    """Exact attributions of the market scorer, a product of two columns, over the whole training set."""
     enc_s, enc = encoded_split(spark, sf_dir)
     train, test = enc_s.where(F.col("split") == "train"), enc_s.where(F.col("split") == "test")
-    return attribution.shapley_attribution(test, train, BASE_FEATURES + enc.all_feature_names, ROW_KEY, market_scorer,
-                                           n_pairs=1, n_draws=N_DRAWS)
-
-
-def _draws_sql(columns: str, n_draws: int) -> str:
-    """CTEs ``bg`` (numbered training rows) and ``pairs`` (test rows t with their drawn rows z)."""
-    return SPLIT_SQL + f"""
-, bg AS (
-  SELECT {columns}, row_number() OVER (ORDER BY md5(concat_ws('|', '42-background', id_transaction)), id_transaction) - 1 AS idx,
-         count(*) OVER () AS n
-  FROM split WHERE split = 'train'
-), drawn AS (
-  SELECT test.*, ('0x' || substr(md5(concat_ws('|', '42-draw', id_transaction, 0, d)), 1, 13))::BIGINT
-                 % (SELECT max(n) FROM bg) AS idx
-  FROM test, range({n_draws}) r(d)
-)
-"""
+    return tree_attribution.product_attribution(test, train, MARKET_TERMS, BASE_FEATURES + enc.all_feature_names, ROW_KEY)
 
 
 _BASE_LIST = ", ".join("'" + f + "'" for f in BASE_FEATURES)
-SHAP_SQL = _draws_sql("prix_m2_moyen_mois_precedent AS za, surface_habitable AS zb", N_DRAWS) + f"""
-, phi2 AS (
-  SELECT t.id_transaction,
-         avg(0.5 * ((t.prix_m2_moyen_mois_precedent * zb - za * zb)
-                  + (t.prix_m2_moyen_mois_precedent * t.surface_habitable - za * t.surface_habitable))) AS phi_a,
-         avg(0.5 * ((za * t.surface_habitable - za * zb)
-                  + (t.prix_m2_moyen_mois_precedent * t.surface_habitable - t.prix_m2_moyen_mois_precedent * zb))) AS phi_b
-  FROM drawn t JOIN bg USING (idx) GROUP BY t.id_transaction
+SHAP_SQL = SPLIT_SQL + f"""
+, means AS (
+  SELECT avg(prix_m2_moyen_mois_precedent) AS ma, avg(surface_habitable) AS mb,
+         avg(prix_m2_moyen_mois_precedent * surface_habitable) AS mab
+  FROM split WHERE split = 'train'
+), phi2 AS (
+  SELECT id_transaction, ((a * mb - mab) + (a * b - ma * b)) / 2 AS phi_a, ((ma * b - mab) + (a * b - a * mb)) / 2 AS phi_b
+  FROM (SELECT id_transaction, prix_m2_moyen_mois_precedent AS a, surface_habitable AS b FROM test), means
 ), feature_names AS (
   SELECT unnest([{_BASE_LIST}]) AS feature UNION ALL SELECT col || '_' || cat FROM ranked_cats WHERE pos > 1)
 , phi AS (
@@ -775,26 +756,94 @@ SHAP_SQL = _draws_sql("prix_m2_moyen_mois_precedent AS za, surface_habitable AS
 THREE_WAY = ["prix_m2_moyen_mois_precedent", "surface_habitable", "latitude"]
 
 
-def three_way_scorer(df):
-    """A scorer with a term of three features."""
-    return df.withColumn("prediction", F.col(THREE_WAY[0]) * F.col(THREE_WAY[1]) * (1 + F.col(THREE_WAY[2])))
-
-
-@register("shapley_three_way", _draws_sql(
-    "prix_m2_moyen_mois_precedent AS za, surface_habitable AS zb, 1 + latitude AS zc", 3) + """
-, t3 AS (SELECT id_transaction, idx, prix_m2_moyen_mois_precedent AS a, surface_habitable AS b, 1 + latitude AS c FROM drawn)
+@register("shapley_three_way", SPLIT_SQL + """
+, m AS (
+  SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(a * b) AS mab, avg(a * c) AS mac, avg(b * c) AS mbc, avg(a * b * c) AS mabc
+  FROM (SELECT prix_m2_moyen_mois_precedent AS a, surface_habitable AS b, 1 + latitude AS c FROM split WHERE split = 'train')
+), t3 AS (SELECT id_transaction, prix_m2_moyen_mois_precedent AS a, surface_habitable AS b, 1 + latitude AS c FROM test)
 , phi3 AS (
   SELECT id_transaction,
-         avg((a - za) * (zb * zc / 3 + b * zc / 6 + zb * c / 6 + b * c / 3)) AS prix_m2_moyen_mois_precedent,
-         avg((b - zb) * (za * zc / 3 + a * zc / 6 + za * c / 6 + a * c / 3)) AS surface_habitable,
-         avg((c - zc) * (za * zb / 3 + a * zb / 6 + za * b / 6 + a * b / 3)) AS latitude
-  FROM t3 JOIN bg USING (idx) GROUP BY id_transaction)
+         w2 * (a * mbc - mabc) + w1 * (b * a * mc - b * mac) + w1 * (c * a * mb - c * mab) + w2 * (b * c * a - b * c * ma)
+           AS prix_m2_moyen_mois_precedent,
+         w2 * (b * mac - mabc) + w1 * (a * b * mc - a * mbc) + w1 * (c * b * ma - c * mab) + w2 * (a * c * b - a * c * mb)
+           AS surface_habitable,
+         w2 * (c * mab - mabc) + w1 * (a * c * mb - a * mbc) + w1 * (b * c * ma - b * mac) + w2 * (a * b * c - a * b * mc)
+           AS latitude
+  FROM t3, m, (SELECT 2::DOUBLE / 6 AS w2, 1::DOUBLE / 6 AS w1))
 SELECT id_transaction, feature, phi FROM phi3
 UNPIVOT (phi FOR feature IN (prix_m2_moyen_mois_precedent, surface_habitable, latitude))""")
 def q_shapley_three_way(spark, sf_dir):
-    s = split_prepared(spark, sf_dir)
-    return attribution.shapley_attribution(s.where("split = 'test'"), s.where("split = 'train'"), THREE_WAY, ROW_KEY,
-                                           three_way_scorer, n_pairs=None, n_draws=3)
+    """A scorer with a term of three features: a * b * (1 + c)."""
+    s = split_prepared(spark, sf_dir).withColumn("latitude", 1 + F.col("latitude"))
+    return tree_attribution.product_attribution(s.where("split = 'test'"), s.where("split = 'train'"), [(1.0, tuple(THREE_WAY))],
+                                                THREE_WAY, ROW_KEY)
+
+
+# A model of three trees, written down so that SQL can state it too: (tree, id, feature, threshold, left, right, value).
+TREE_FEATURES = ["surface_habitable", "mois_transaction", "prix_m2_moyen_mois_precedent", "ville_demandee"]
+TREES = [(0, 0, 0, 25.0, 1, 2, 0.0), (0, 1, 1, 6.0, 3, 4, 0.0), (0, 2, 2, 1500.0, 5, 6, 0.0), (0, 3, -1, 0.0, -1, -1, 10.0),
+         (0, 4, -1, 0.0, -1, -1, 20.0), (0, 5, -1, 0.0, -1, -1, 35.0), (0, 6, 3, 0.5, 7, 8, 0.0), (0, 7, -1, 0.0, -1, -1, 50.0),
+         (0, 8, -1, 0.0, -1, -1, 80.0),
+         (1, 0, 0, 10.0, 1, 2, 0.0), (1, 1, -1, 0.0, -1, -1, 5.0), (1, 2, 0, 40.0, 3, 4, 0.0), (1, 3, 3, 0.5, 5, 6, 0.0),
+         (1, 4, -1, 0.0, -1, -1, 12.0), (1, 5, -1, 0.0, -1, -1, 1.0), (1, 6, -1, 0.0, -1, -1, 7.0),
+         (2, 0, -1, 0.0, -1, -1, 100.0)]
+# The same leaves as intervals (lowest excluded, highest included) of the features on their paths.
+_LEAVES = [(0, 10, [(0, None, 25), (1, None, 6)]), (1, 20, [(0, None, 25), (1, 6, None)]), (2, 35, [(0, 25, None), (2, None, 1500)]),
+           (3, 50, [(0, 25, None), (2, 1500, None), (3, None, 0.5)]), (4, 80, [(0, 25, None), (2, 1500, None), (3, 0.5, None)]),
+           (5, 5, [(0, None, 10)]), (6, 12, [(0, 40, None)]), (7, 1, [(0, 10, 40), (3, None, 0.5)]), (8, 7, [(0, 10, 40), (3, 0.5, None)])]
+_PATHS = ", ".join(f"({leaf}, {value}, '{TREE_FEATURES[f]}', {1 << k}, {1e300 if hi is None else hi}, {-1e300 if lo is None else lo})"
+                   for leaf, value, path in _LEAVES for k, (f, lo, hi) in enumerate(path))
+TREE_SQL = SPLIT_SQL + f"""
+, paths AS (SELECT * FROM (VALUES {_PATHS}) v(leaf, value, feature, bit, hi, lo)
+), sizes AS (SELECT leaf, sum(bit) AS full_mask FROM paths GROUP BY leaf
+), long AS (
+  SELECT id_transaction, split, feature, v FROM (SELECT id_transaction, split, {', '.join(f'{f}::DOUBLE AS {f}' for f in TREE_FEATURES)} FROM split)
+  UNPIVOT INCLUDE NULLS (v FOR feature IN ({', '.join(TREE_FEATURES)}))
+), patterns AS (
+  SELECT id_transaction, split, leaf, sum(CASE WHEN v > lo AND v <= hi THEN bit ELSE 0 END)::BIGINT AS pattern
+  FROM long JOIN paths USING (feature) GROUP BY ALL
+), z AS (SELECT leaf, pattern AS z, count(*) AS n FROM patterns WHERE split = 'train' GROUP BY ALL
+), x AS (SELECT DISTINCT leaf, pattern AS x FROM patterns WHERE split = 'test'
+), met AS (
+  SELECT leaf, x, z, n, bit_count(x & ~z) AS u, bit_count(z & ~x) AS w FROM x JOIN z USING (leaf) JOIN sizes USING (leaf)
+  WHERE (x | z) = full_mask AND x <> z
+), gains AS (
+  SELECT leaf, x, feature, sum(CASE WHEN x & bit <> 0 AND z & bit = 0 THEN value * n * factorial(u::INT - 1) * factorial(w::INT) / factorial((u + w)::INT)
+                                    WHEN z & bit <> 0 AND x & bit = 0 THEN -value * n * factorial(u::INT) * factorial(w::INT - 1) / factorial((u + w)::INT)
+                                    ELSE 0 END) / (SELECT count(*) FROM split WHERE split = 'train') AS phi
+  FROM met JOIN paths USING (leaf) GROUP BY ALL
+), tree_phi AS (
+  SELECT p.id_transaction, feature, sum(phi) AS phi FROM patterns p JOIN gains g ON g.leaf = p.leaf AND g.x = p.pattern
+  WHERE split = 'test' GROUP BY ALL
+)
+"""
+
+
+@register("tree_attribution", TREE_SQL + """
+SELECT t.id_transaction, f.feature, coalesce(phi, 0) AS phi
+FROM test t CROSS JOIN (SELECT DISTINCT feature FROM paths) f LEFT JOIN tree_phi USING (id_transaction, feature)""")
+def q_tree_attribution(spark, sf_dir):
+    """M9: exact attributions of trees over the whole training set."""
+    s = materialize(split_prepared(spark, sf_dir).select(ROW_KEY, "split", *TREE_FEATURES), "tree-rows")
+    return tree_attribution.tree_attribution(s.where("split = 'test'"), s.where("split = 'train'"), TREES, TREE_FEATURES, ROW_KEY)
+
+
+@register("gbt_attribution", SPLIT_SQL + "SELECT count(*) AS n, TRUE AS adds_up FROM test")
+def q_gbt_attribution(spark, sf_dir):
+    """M9 of fitted gradient-boosted trees: each row's phis and the training mean add up to its prediction."""
+    enc_s, enc = encoded_split(spark, sf_dir)
+    features = BASE_FEATURES + enc.all_feature_names
+    enc_s = materialize(enc_s.select(ROW_KEY, "split", "prix", *features), "encoded")
+    train, test = enc_s.where("split = 'train'"), enc_s.where("split = 'test'")
+    model = pm.train_price_model(train, features, maxIter=10)
+    nodes = tree_attribution.tree_nodes(spark, model)
+    start = tree_attribution.expected_value(train, nodes, features)
+    phi = tree_attribution.tree_attribution(test, train, nodes, features, ROW_KEY)
+    total = phi.groupBy(ROW_KEY).agg(F.sum("phi").alias("total"))
+    gap = F.abs(F.col("total") + start - F.col("prediction"))
+    scored = pm.score(model, test).select(ROW_KEY, "prediction")
+    return scored.join(total, ROW_KEY, "left").agg(F.count(F.lit(1)).alias("n"), F.coalesce(
+        F.bool_and(F.coalesce(gap < 1e-6 * F.abs("prediction"), F.lit(False))), F.lit(True)).alias("adds_up"))
 
 
 @register("shapley_attribution", SHAP_SQL + "SELECT * FROM phi")

@@ -23,6 +23,7 @@ import math
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -139,7 +140,12 @@ def _slots(names: list[str], kind: str) -> np.ndarray:
 
 def candidates(text: str, cluster: Cluster) -> list[tuple[int, int, str, int, int, np.ndarray]]:
     """(first group, past last group, kind, start, end, feature slots) of every candidate segment."""
-    out, n = [], len(cluster.groups)
+    return list(candidates_in(text, cluster))
+
+
+def candidates_in(text: str, cluster: Cluster) -> Iterator[tuple[int, int, str, int, int, np.ndarray]]:
+    """``candidates`` one by one, by first group: a cluster may have as many as its text has numbers."""
+    n = len(cluster.groups)
     for i in range(n):
         for j in range(i + 1, min(n, i + MOST_GROUPS) + 1):
             start, end = cluster.groups[i][0], cluster.groups[j - 1][1]
@@ -148,7 +154,7 @@ def candidates(text: str, cluster: Cluster) -> list[tuple[int, int, str, int, in
                 names = ["bias", f"at:{'@' in span}", f"spelled:{bool(re.search('[(\\[]', span))}",
                          f"spaces:{min(6, span.count(' '))}", f"end:{len(re.split(r'[^A-Za-z0-9]+', span)[-1])}",
                          f"dot:{'.' in span}"]
-                out.append((i, j, "email", start, end, _slots(names, "email")))
+                yield i, j, "email", start, end, _slots(names, "email")
                 continue
             if i == 0:                                     # marks before the first group belong to it
                 while start and text[start - 1] in "(+":
@@ -181,8 +187,7 @@ def candidates(text: str, cluster: Cluster) -> list[tuple[int, int, str, int, in
                     extra.append(f"luhn:{13 <= len(digits) <= 19 and luhn(digits)}:{len(digits)}")
                 if kind == "ip":
                     extra.append(f"octets:{len(parts) == 4 and octets(parts)}:{set(gaps) == {'.'}}")
-                out.append((i, j, kind, start, end, _slots(extra, kind)))
-    return out
+                yield i, j, kind, start, end, _slots(extra, kind)
 
 
 def _logsum(values: list[float]) -> float:
@@ -190,25 +195,34 @@ def _logsum(values: list[float]) -> float:
     return top + math.log(sum(math.exp(v - top) for v in values))
 
 
-def best_segments(n: int, found: list, weights: np.ndarray) -> list[tuple[str, int, int]]:
-    """Viterbi: the best sequence of entities and single outside groups, as (kind, start, end)."""
-    by_end: list[list] = [[] for _ in range(n + 1)]
+def best_segments(n: int, found: Iterable, weights: np.ndarray) -> list[tuple[str, int, int]]:
+    """Viterbi: the best sequence of entities and single outside groups, as (kind, start, end).
+
+    ``found`` are candidates by first group. They are taken one by one and only
+    the best one that ends at each group is kept.
+    """
+    best, last = [0.0] * (n + 1), [None] * (n + 1)
+    reached = 0
     for c in found:
         score = float(weights[c[5]].sum())
-        if score > 0:                                      # others lose to outside groups
-            by_end[c[1]].append((score, c))
-    best: list[tuple[float, tuple | None]] = [(0.0, None)]
-    for j in range(1, n + 1):
-        options = [(best[j - 1][0], None)] + [(best[c[0]][0] + s, c) for s, c in by_end[j]]
-        best.append(max(options, key=lambda o: o[0]))
+        if score <= 0:                                     # others lose to outside groups
+            continue
+        for j in range(reached + 1, c[0] + 1):             # no later candidate ends here
+            if best[j - 1] >= best[j]:
+                best[j], last[j] = best[j - 1], None
+        reached = max(reached, c[0])
+        if best[c[0]] + score > best[c[1]]:
+            best[c[1]], last[c[1]] = best[c[0]] + score, (c[0], c[2:5])
+    for j in range(reached + 1, n + 1):
+        if best[j - 1] >= best[j]:
+            best[j], last[j] = best[j - 1], None
     out, j = [], n
     while j:
-        c = best[j][1]
-        if c is None:
+        if last[j] is None:
             j -= 1
         else:
-            out.append((c[2], c[3], c[4]))
-            j = c[0]
+            j, span = last[j]
+            out.append(span)
     return out[::-1]
 
 
@@ -327,11 +341,18 @@ def pii_spans(raw: bytes | None, weights: np.ndarray) -> tuple[list, list]:
         return [], []
     text = decoded(raw)
     base = base_spans(text)
-    found = list(base)
+    found, taken = list(base), []
+    for _, a, b in sorted(base, key=lambda span: span[1:]):             # overlapping base spans together
+        if taken and a < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(b, taken[-1][1])
+        else:
+            taken.append((a, b))
+    starts = [a for a, _ in taken]
     if weights.any():
         for cluster in clusters(text):
-            for kind, start, end in best_segments(len(cluster.groups), candidates(text, cluster), weights):
-                if not any(a < end and start < b for _, a, b in base):
+            for kind, start, end in best_segments(len(cluster.groups), candidates_in(text, cluster), weights):
+                k = bisect_left(starts, end)               # base spans before k begin before this one's end
+                if not k or taken[k - 1][1] <= start:
                     found.append((kind, start, end))
     def order(s):
         return KINDS.index(s[0]), s[1]

@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -41,6 +41,8 @@ _CONTEXT = re.compile(
         ["'`<(\[{]*(?=[^\s"'`<>]{6})""",
     re.ASCII | re.IGNORECASE | re.VERBOSE)
 _VALUE = re.compile(r"""[^\s"'`<>]+""", re.ASCII)
+# In query and connection strings a value ends where the next name begins.
+_NEXT_NAME = re.compile(r"[&;,]+(?=[A-Za-z_][A-Za-z0-9_.-]{0,63}[=:])")
 _CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"bearer", b"credential")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _TRAILING = ".,;:!?)]}"
@@ -173,17 +175,23 @@ def guessed_spans(raw: bytes, text: str, base: list[tuple[int, int, str]]) -> li
             taken[-1] = taken[-1][0], max(b, taken[-1][1])
         else:
             taken.append((a, b))
-    starts = [a for a, _ in taken]
+    ends = [b for _, b in taken]
     found, words, secret = [], None, {}
-    stop = end = -1                                        # of the last value, without its final marks in ``end``
+    stop = cut = last = -1                                 # ends of a run, of the value in it, and that without its final marks
     m = _CONTEXT.search(text)
     while m:
         start = m.end()
-        if start >= stop:                                  # values that begin in one run end together
-            run = _VALUE.match(text, start)
-            stop, end = run.end(), start + len(run[0].rstrip(_TRAILING))
-        k = bisect_left(starts, end)
-        if end - start < 6 or k and taken[k - 1][1] > start:
+        if start >= stop:                                  # values that begin in one run end together, unless a name parts them
+            stop = cut = _VALUE.match(text, start).end()
+            last = -1
+        if start >= cut or last < 0:
+            name = _NEXT_NAME.search(text, start, stop)
+            cut = name.start() if name else stop
+            last = start + len(text[start:cut].rstrip(_TRAILING))
+        end, k = last, bisect_right(ends, start)           # what a base span covers is not part of the value
+        if k < len(taken) and taken[k][0] < end:
+            end = start + len(text[start:max(start, taken[k][0])].rstrip(_TRAILING + "&"))
+        if end - start < 6:
             value = None
         else:
             value = text[start:end]
@@ -195,7 +203,7 @@ def guessed_spans(raw: bytes, text: str, base: list[tuple[int, int, str]]) -> li
             secret[value] = guess_cost(value, words, LEAST_COST) >= LEAST_COST
         if value and secret[value]:
             found.append((start, end, "guess"))
-            m = _CONTEXT.search(text, stop)
+            m = _CONTEXT.search(text, end)
         else:                                              # a rejected value may hold a credential word itself
             m = _CONTEXT.search(text, start)
     return found

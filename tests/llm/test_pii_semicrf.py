@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 
@@ -133,3 +134,25 @@ def test_unusual_rows(spark):
         want = [s for s in plain(text[:40])] if d == 1 else plain(text)
         assert r.base_sha256 == hashlib.sha256(P.listed(want).encode()).hexdigest()
     assert P.find_pii(df.limit(0), np.zeros(P.SLOTS)).collect() == []
+
+
+def test_address_lists_and_number_lists_grow_in_proportion():
+    weights = P.fit_crf(["call +1 (415) 555-2671 or 10.20.30.40 now", "write a@b.co or c [at] d [dot] org"])
+    for unit in ("a@b.co ", "1.2.3.4 ", "call 415-555-2671, "):
+        took = []
+        for n in (4000, 32_000):
+            begun = time.process_time()
+            base, found = P.pii_spans((unit * n).encode(), weights)
+            took.append(time.process_time() - begun)
+            assert len(found) >= len(base) and (unit[0] == "c" or len(base) == n)
+        assert took[1] < 24 * took[0] + 0.5
+
+
+def test_number_lists_take_bounded_memory():
+    weights = P.fit_crf(["call +1 (415) 555-2671 or 10.20.30.40 now"])
+    text = ("12 " * 60_000).encode()
+    tracemalloc.start()
+    P.pii_spans(text, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 * len(text)                          # 3 MB take less than 900 MB at the tracer's count

@@ -182,3 +182,20 @@ def test_long_values_and_runs_take_linear_time():
                  "secret=" * 50_000, "ab" * 200_000, "pass: " + "password" * 20_000):
         S.secret_spans(text.encode())
     assert time.time() - begun < 60
+
+
+def test_values_end_where_the_next_name_begins():
+    secrets = ["kQ7xTn2BxRpLmYhGd4", "Zx81!kqPLm7#Q", "vB9-wQz7LpTr2X"]
+    for separator in "&;,":
+        for names in itertools.permutations(["auth", "pwd", "token"]):
+            text = separator.join(f"{n}={v}" for n, v in zip(names, secrets)) + " end"
+            spans = S.secret_spans(text.encode())[1]
+            covered = set().union(*[range(a, b) for a, b, _ in spans])
+            for name, v in zip(names, secrets):
+                at = text.index(v)
+                wanted = range(at, at + len(v)) if name != "token" else range(at, at + 3)
+                assert covered.issuperset(wanted), (text, spans)
+    for text in ("auth=kQ7xTn2BxRpLmYhGd4&token=abcdef12", "pwd=Zx81!kqPLm7#Q;password=hunter22"):
+        base, spans = S.secret_spans(text.encode())
+        assert len(base) == 1 and len(spans) == 2
+        assert S.masked(text.encode()) in (b"auth=[SECRET]&[SECRET]", b"pwd=[SECRET];[SECRET]")

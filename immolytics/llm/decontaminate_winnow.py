@@ -3,22 +3,25 @@
 Words are hashed, k consecutive words form a k-gram, and of every ``w``
 consecutive k-grams those of least hash are kept as fingerprints. Any shared
 run of at least k + w - 1 words therefore keeps the same fingerprint on both
-sides; with k + w - 1 = ``window`` no shared window is missed. Document and
-benchmark fingerprints are joined, and every hit is extended word by word to
-both sides; windows count only if all their words are equal.
+sides; with k + w - 1 = ``window`` no shared window is missed. A document
+fingerprint that the benchmark may hold is extended to the whole windows around
+it, at most w of them, and these meet the benchmark's distinct windows in a
+join on hash and words. So a phrase that many texts share costs a row per
+window that really occurs, not one per pair of places.
 
 Items of fewer than ``window`` words are one window of their own length n:
 they are winnowed with k = n and w = 1.
 
-A bit map of fixed size (the benchmark's fingerprints, hashed to ``2**BITS``
-bits) travels to the tasks so that documents emit only fingerprints that the
-benchmark may hold. It only thins the shuffle: results do not depend on it.
+Two bit maps (the benchmark's fingerprints and its windows, hashed) travel to
+the tasks so that documents emit only windows that the benchmark may hold.
+Their size follows the benchmark's, up to ``2**MOST_BITS`` bits. They only thin
+the shuffle: results do not depend on them.
 
 Defined cases: null and empty texts have no words and are not contaminated;
 items without words match nothing; repeated document rows keep one result row
-each; repeated benchmark rows count once per item_id; a null item_id is not
-listed; empty tables give empty or uncontaminated results; other columns are
-ignored.
+each; repeated benchmark rows count once per item_id; windows of a null item_id
+are hits like others, but a null is no item and is not listed; empty tables give
+empty or uncontaminated results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ from .common import Memo, append_columns, quoted
 
 WINDOW = 10
 K = 6
-BITS = 24
-# Ways in which the rows of one fingerprint are split before the join.
+LEAST_BITS, MOST_BITS = 20, 28
+# Ways in which the rows of one window are split before the join.
 SALTS = 8
 
 # Lower-case A-Z; every other ASCII byte but digits and a-z separates words.
@@ -45,10 +48,8 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
 
-GRAM = T.StructType([
-    T.StructField("hash", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("pos", T.IntegerType()),
-    T.StructField("core", T.StringType()), T.StructField("left", T.ArrayType(T.StringType())),
-    T.StructField("right", T.ArrayType(T.StringType()))])
+HIT = T.StructType([T.StructField("hash", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("pos", T.IntegerType()),
+                    T.StructField("words", T.StringType())])
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -86,119 +87,116 @@ def winnowed(hashes: np.ndarray, w: int) -> np.ndarray:
     return np.flatnonzero(kept)
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - BITS)
+def _in(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit map holds the hashes' slots."""
+    slot = hashes >> np.uint64(64 - (8 * len(table) - 1).bit_length())
+    return (table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _maker(window: int, k: int, short: list[int], bits=None):
-    """Task function: (number of words, fingerprints) per text; ``bits`` None keeps all fingerprints.
+def fingerprints(hashed: np.ndarray, n: int, window: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(places, hashes, size) of the fingerprints of windows of ``n`` words: winnowed k-grams, or all runs of a short length."""
+    size, w = (k, window - k + 1) if n == window else (n, 1)
+    hashes = gram_hashes(hashed, size, n)
+    at = winnowed(hashes, w)
+    return at, hashes[at], size
 
-    With ``short`` None a text of fewer than ``window`` words is one window (the
-    benchmark side); otherwise runs of those lengths are looked up (documents).
-    """
-    w, side = window - k + 1, window - k
 
+def windows_around(at: np.ndarray, size: int, n: int, n_words: int) -> np.ndarray:
+    """Starts of the windows of ``n`` words that hold a run of ``size`` words at one of the places ``at``."""
+    starts = (at[:, None] - np.arange(n - size, -1, -1)[None, :]).ravel()
+    return np.unique(starts[(starts >= 0) & (starts + n <= n_words)])
+
+
+# Windows are hashed apart from fingerprints.
+_WINDOWS = 1 << 20
+
+
+def _hits(words: list[bytes], hashed: np.ndarray, n: int, window: int, k: int, maps=None) -> Iterator[dict]:
+    """The windows of ``n`` words around fingerprints; with bit maps only those that both may hold."""
+    at, hashes, size = fingerprints(hashed, n, window, k)
+    if maps is not None and len(at):
+        at = at[_in(maps[0], hashes)]
+    if not len(at):
+        return
+    starts = windows_around(at, size, n, len(words))
+    hashes = gram_hashes(hashed, n, _WINDOWS + n)[starts]
+    if maps is not None:
+        kept = _in(maps[1], hashes)
+        starts, hashes = starts[kept], hashes[kept]
+    for start, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
+        yield {"hash": h, "n": n, "pos": start, "words": b" ".join(words[start:start + n]).decode("utf-8", "replace")}
+
+
+def _maker(window: int, k: int, lengths: list[int] | None, bits=None):
+    """Task function: number of words, windows and (without ``lengths``) fingerprints per text.
+
+    ``lengths`` are the window lengths to look up in documents. None is the
+    benchmark side: a text of fewer than ``window`` words is one window.
+    """
     def make():
         ids = Memo(lambda word: xxhash.xxh64_intdigest(word))
-        table = None if bits is None else np.unpackbits(bits.value, bitorder="little")
-
-        def grams(words, hashed, n, size, width):
-            hashes = gram_hashes(hashed, size, n)
-            at = winnowed(hashes, width)
-            if table is not None and len(at):
-                at = at[table[_slot(hashes[at])] != 0]
-            reach = side if n == window else 0
-            for p in at.tolist():
-                yield {"hash": int(hashes[p].astype(np.int64)), "n": n, "pos": p,
-                       "core": b" ".join(words[p:p + size]).decode("utf-8", "replace"),
-                       "left": [x.decode("utf-8", "replace") for x in words[max(0, p - reach):p][::-1]],
-                       "right": [x.decode("utf-8", "replace") for x in words[p + size:p + size + reach]]}
+        maps = None if bits is None else bits.value
 
         def compute(texts):
-            counts, found = [], []
+            counts, found, prints = [], [], []
             for raw in texts:
                 words = words_of(raw)
                 counts.append(len(words))
                 hashed = np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
-                rows = []
-                if len(words) >= window:
-                    rows += grams(words, hashed, window, k, w)
-                if short is None:
-                    if 0 < len(words) < window:
-                        rows += grams(words, hashed, len(words), len(words), 1)
-                else:
-                    for n in short:
-                        rows += grams(words, hashed, n, n, 1)
-                found.append(rows)
-            return [counts, found]
+                own = lengths if lengths is not None else [min(window, len(words))] * bool(words)
+                found.append([row for n in own if len(words) >= n for row in _hits(words, hashed, n, window, k, maps)])
+                if lengths is None:
+                    prints.append([h for n in own for h in fingerprints(hashed, n, window, k)[1].view(np.int64).tolist()])
+            return [counts, found] + ([prints] if lengths is None else [])
         return compute
     return make
 
 
-def benchmark_grams(benchmark: DataFrame, window: int, k: int) -> DataFrame:
-    """(item_id, hash, n, core, left, right) of the benchmark, one row per item and distinct context."""
-    fields = [("n_words", T.LongType()), ("grams", T.ArrayType(GRAM))]
-    rows = append_columns(benchmark, fields, _maker(window, k, None), keep=("item_id",))
-    return (rows.where(F.col("item_id").isNotNull()).select("item_id", F.explode("grams").alias("g"))
-            .select("item_id", "g.hash", "g.n", "g.core", "g.left", "g.right").distinct())
+def benchmark_windows(benchmark: DataFrame, window: int, k: int) -> DataFrame:
+    """(item_id, windows, fingerprints) per benchmark row."""
+    fields = [("n_words", T.LongType()), ("windows", T.ArrayType(HIT)), ("fingerprints", T.ArrayType(T.LongType()))]
+    return append_columns(benchmark, fields, _maker(window, k, None), keep=("item_id",))
 
 
-def _bit_map(grams: DataFrame) -> np.ndarray:
-    """Bit map of the fingerprints: at most 2**BITS / 64 rows reach the driver, whatever the benchmark's size."""
-    slot = F.shiftrightunsigned("hash", 64 - BITS)
-    words = (grams.groupBy(F.shiftright(slot, 6).cast("int").alias("word"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITS}) & 63 as int))")).alias("mask"))
+def _bit_map(hashes: DataFrame) -> np.ndarray:
+    """Bit map of column ``hash``, 64 bits for each up to ``2**MOST_BITS``: at most ``2**MOST_BITS / 64`` rows reach the driver."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * hashes.count()).bit_length()))
+    slot = F.shiftrightunsigned("hash", 64 - bits)
+    words = (hashes.groupBy(F.shiftright(slot, 6).cast("int").alias("word"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63 as int))")).alias("mask"))
              .toArrow())
-    bits = np.zeros(2 ** BITS // 64, np.int64)
-    bits[np.asarray(words["word"])] = np.asarray(words["mask"])
-    return bits.view(np.uint8)
-
-
-def _run_length(a: Column, b: Column, most: int) -> Column:
-    """Number of equal leading elements of two arrays of at most ``most`` words."""
-    total, equal = F.lit(0), F.lit(True)
-    for i in range(most):
-        equal = equal & F.coalesce(F.get(a, F.lit(i)) == F.get(b, F.lit(i)), F.lit(False))
-        total = total + equal.cast("int")
-    return total
+    out = np.zeros(2 ** bits // 64, np.int64)
+    out[np.asarray(words["word"])] = np.asarray(words["mask"])
+    return out.view(np.uint8)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
          k: int = K) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, spans, contexts): word counts, extended hits, and the benchmark contexts that were hit.
+    """(documents, spans, windows): word counts, hit windows, and the items of the benchmark's windows.
 
     ``documents``: doc_id, text_key (hash of the text) and n_words per input
     row. ``spans``: doc_id, text_key, first and last (word positions, last
-    exclusive) and context for every extended hit. ``contexts``: the item_id of
-    every context.
+    exclusive), hash, n and words of every window that occurs. ``windows``: the
+    same three and item_id.
     """
     spark = docs.sparkSession
-    grams = materialize(benchmark_grams(benchmark, window, k), "winnow-benchmark")
-    short = [r.n for r in grams.where(F.col("n") < window).select("n").distinct().collect()]
-    bits = spark.sparkContext.broadcast(_bit_map(grams))
+    side = materialize(benchmark_windows(benchmark, window, k), "winnow-benchmark")
+    of_item = side.select("item_id", F.explode("windows").alias("g")).select("item_id", "g.hash", "g.n", "g.words").distinct()
+    distinct = materialize(of_item.select("hash", "n", "words").distinct(), "winnow-windows")
+    lengths = [r.n for r in distinct.select("n").distinct().collect()]              # ``window`` values at most
+    prints = side.select(F.explode("fingerprints").alias("hash"))
+    maps = spark.sparkContext.broadcast((_bit_map(prints), _bit_map(distinct)))
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     rows = materialize(append_columns(
-        keyed, [("n_words", T.LongType()), ("grams", T.ArrayType(GRAM))],
-        _maker(window, k, sorted(short), bits), keep=("doc_id", "text_key")), "winnow-documents")
+        keyed, [("n_words", T.LongType()), ("windows", T.ArrayType(HIT))],
+        _maker(window, k, sorted(lengths), maps), keep=("doc_id", "text_key")), "winnow-documents")
 
-    found = (rows.where(F.size("grams") > 0).select("doc_id", "text_key", F.explode("grams").alias("g"))
-             .select("doc_id", "text_key", "g.hash", "g.n", "g.core", "g.pos",
-                     F.col("g.left").alias("d_left"), F.col("g.right").alias("d_right"))
+    found = (rows.where(F.size("windows") > 0).select("doc_id", "text_key", F.inline("windows"))
              .withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")))
-    salted = grams.drop("item_id").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    side = window - k
-    joined = found.join(salted, ["hash", "n", "core", "salt"])
-    matched = (joined.select(
-        "doc_id", "text_key", "pos", "hash", "n", "core", "left", "right",
-        F.when(F.col("n") == window, _run_length(F.col("d_left"), F.col("left"), side)).otherwise(0).alias("l"),
-        F.when(F.col("n") == window, _run_length(F.col("d_right"), F.col("right"), side)).otherwise(0).alias("r"),
-        F.when(F.col("n") == window, F.lit(k)).otherwise(F.col("n")).alias("size"))
-        .where(F.col("l") + F.col("r") + F.col("size") >= F.col("n")))
-    spans = matched.select("doc_id", "text_key", (F.col("pos") - F.col("l")).alias("first"),
-                           (F.col("pos") + F.col("size") + F.col("r")).alias("last"),
-                           F.xxhash64("hash", "n", "core", "left", "right").alias("context"))
-    contexts = grams.select(F.xxhash64("hash", "n", "core", "left", "right").alias("context"), "item_id")
-    return rows.select("doc_id", "text_key", "n_words"), materialize(spans, "winnow-hits"), contexts
+    salted = distinct.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spans = found.join(salted, ["hash", "n", "words", "salt"]).select(
+        "doc_id", "text_key", F.col("pos").alias("first"), (F.col("pos") + F.col("n")).alias("last"), "hash", "n", "words")
+    return rows.select("doc_id", "text_key", "n_words"), materialize(spans, "winnow-hits"), of_item
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -207,15 +205,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     A document word inside any occurrence of a benchmark window is hit; items
     count if one of their windows occurs.
     """
-    rows, spans, contexts = hits(docs, benchmark, window, k)
-    key = ["doc_id", "text_key"]
+    rows, spans, windows = hits(docs, benchmark, window, k)
+    key, name = ["doc_id", "text_key"], ["hash", "n", "words"]
     w = Window.partitionBy(*key).orderBy("first", "last")
     earlier = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
     n_hit = (spans.groupBy(*key, "first").agg(F.max("last").alias("last"))
              .withColumn("from", F.greatest("first", F.coalesce(earlier, F.lit(0))))
              .groupBy(*key).agg(F.sum(F.greatest(F.col("last") - F.col("from"), F.lit(0))).alias("n_hit")))
-    of_context = contexts.select("context", F.col("item_id").cast("string").alias("item"))
-    items = (spans.select(*key, "context").distinct().join(of_context, "context").select(*key, "item").distinct()
+    of_window = windows.select(*name, F.col("item_id").cast("string").alias("item"))
+    items = (spans.select(*key, *name).distinct().join(of_window, name).select(*key, "item").distinct()
              .groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items")))
     found = n_hit.alias("a").join(items.alias("b"), (F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")))
                                   & (F.col("a.text_key") == F.col("b.text_key")))

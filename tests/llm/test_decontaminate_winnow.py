@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 
-from immolytics.llm.decontaminate_winnow import decontaminate, gram_hashes, winnowed
+from immolytics.llm.decontaminate_winnow import decontaminate, gram_hashes, hits, winnowed
 from immolytics.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -23,7 +23,7 @@ def plain(docs, items, window=10):
         words = words_of(text)
         n = min(window, len(words))
         for i in range(len(words) - n + 1 if words else 0):
-            windows.setdefault(tuple(words[i:i + n]), set()).add(str(item))
+            windows.setdefault(tuple(words[i:i + n]), set()).update([] if item is None else [str(item)])
     lengths = sorted({len(w) for w in windows})
     out = []
     for doc, text in docs:
@@ -73,10 +73,11 @@ def test_nulls_empty_repeated_and_clashing_columns(spark):
     passage = "one two three four five six seven eight nine ten"
     docs = [(1, None), (2, ""), (3, passage), (3, passage), (3, "other"), (None, "So, " + passage.upper() + "!"),
             (4, "word " * 20000 + passage), (5, passage[:-3])]
-    items = [(1, passage), (1, passage), (12, passage + " eleven"), (2, None), (3, "..."), (None, "other")]
+    items = [(1, passage), (1, passage), (12, passage + " eleven"), (2, None), (3, "..."), (None, "other"), (None, passage)]
     df = spark.createDataFrame([(d, t, "h", 1) for d, t in docs], "doc_id long, text string, item_id string, n_hit int")
     bench = spark.createDataFrame([(d, t, 0) for d, t in items], "item_id long, text string, doc_id long")
-    want = plain(docs, [x for x in items if x[0] is not None])
+    want = plain(docs, items)
+    assert (3, 1, 1, 0, hashlib.sha256(b"").hexdigest(), True) in want         # a passage of a null id alone
     assert rows_of(decontaminate(df, bench)) == want
     assert rows_of(decontaminate(df, bench.limit(0))) == plain(docs, [])
     assert rows_of(decontaminate(df.limit(0), bench)) == []
@@ -94,3 +95,16 @@ def test_winnowing_keeps_a_fingerprint_of_every_shared_span():
             kept.append({int(hashes[i]) for i in winnowed(hashes, 5)})
         inside = {int(h) for h in gram_hashes(shared, 6, 10)}
         assert kept[0] & kept[1] & inside
+
+
+def test_a_phrase_that_all_share_costs_no_pairs(spark):
+    phrase = "which of the following statements is true"
+    rng = random.Random(6)
+    def text(i):
+        return " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(12)) + f" {phrase} " + " ".join(f"v{rng.randrange(10 ** 9)}" for _ in range(12))
+    items = [(i, text(i)) for i in range(1500)]
+    docs = [(i, text(i)) for i in range(1500)] + [(2000, "so " + items[7][1]), (2001, items[8][1][20:])]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows, spans, windows = hits(df, bench)
+    assert spans.count() < 100
+    assert [r.doc_id for r in decontaminate(df, bench).where("contaminated").orderBy("doc_id").collect()] == [2000, 2001]

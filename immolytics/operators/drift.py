@@ -7,9 +7,10 @@ statistic of the 2 x k count table.
 
 Plan at scale: one scan reduces the rows to (column, value) counts for both
 sides, so a value held by a third of the rows is a single row; everything else
-works on the counts. Cumulative sums run per (column, bucket, slice) of the
-values, offset by a small table of slice counts: exact CDFs without a task ever
-sorting a whole column.
+works on the counts. Cumulative sums run per (column, slice) of the values, offset
+by a small table of slice counts: exact CDFs without a task ever sorting a whole
+column. The slices lie between quantiles of the distinct values, so each holds
+about as many of them whatever their distribution.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..settings import DRIFT_SHARE_GATE, DRIFT_THRESHOLD
-from .quantiles import ordered_bucket, same_group
+from .quantiles import same_group
 
 REF = "_is_ref"
 
@@ -28,8 +29,8 @@ def tagged(reference: DataFrame, current: DataFrame, columns: list[str]) -> Data
             .unionByName(current.select(*columns).withColumn(REF, F.lit(False))))
 
 
-# Equal slices of a coarse bucket of values.
-SLICES = 64
+# Slices of a column (a power of two), and the accuracy of the quantiles between them (a twentieth of a slice).
+SLICES = 1024
 
 
 def value_counts_by_side(rows: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
@@ -49,32 +50,40 @@ def value_counts_by_side(rows: DataFrame, numeric: list[str], categorical: list[
         F.count_if(F.col(REF)).alias("n_ref"), F.count_if(~F.col(REF)).alias("n_cur"))
 
 
+def sliced(c: DataFrame, slices: int = SLICES) -> DataFrame:
+    """``c`` (a row per distinct ``value`` of a column) with the slice ``s`` of every value.
+
+    Splitters are quantiles of the values, from mergeable sketches; a value's slice
+    is the number of splitters up to it, found by bisection.
+    """
+    shares = [i / slices for i in range(1, slices)]
+    # The other columns are looked at too, and the join is null-safe, so that all branches read one shuffle of the counts.
+    there = c.where(sum((F.col(n) for n in c.columns if n.startswith("n_")), F.lit(1)) > 0)
+    splitters = there.groupBy("column_name").agg(F.percentile_approx("value", shares, 20 * slices).alias("at"))
+    steps = F.array(*[F.lit(1 << k) for k in range(slices.bit_length() - 2, -1, -1)])
+    place = F.aggregate(steps, F.lit(0), lambda s, step: F.when(F.col("at")[s + step - 1] <= F.col("value"), s + step).otherwise(s))
+    return same_group(c, F.broadcast(splitters), ["column_name"]).withColumn("s", place).drop("at")        # a row per column
+
+
 def numeric_drift(counts: DataFrame) -> DataFrame:
     """Per numeric column of ``value_counts_by_side``: ks, wasserstein, wasserstein_norm (exact).
 
-    Cumulative counts run within slices of order-following buckets, offset by the
+    Cumulative counts run within slices of about equally many values, offset by the
     counts of the slices before, so no task sorts a whole column.
     """
-    c = (counts.where("numeric").select("column_name", F.col("number").alias("value"), "n_ref", "n_cur")
-         .withColumn("b", ordered_bucket(F.col("value"))))
+    c = sliced(counts.where("numeric").select("column_name", F.col("number").alias("value"), "n_ref", "n_cur"))
+    keys = ["column_name", "s"]
     whole = Window.partitionBy("column_name")
-    spans = (c.groupBy("column_name", "b").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
-                                               F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"))
-             .select("column_name", "b", "lo", "hi", F.sum("r").over(whole).alias("tot_ref"), F.sum("k").over(whole).alias("tot_cur")))
-    place = F.floor(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * SLICES)
-    c = (same_group(c, spans, ["column_name", "b"])
-          .withColumn("s", F.when(F.col("hi") > F.col("lo"), F.least(place, F.lit(SLICES - 1))).otherwise(0).cast("int"))
-          .drop("lo", "hi"))
-    keys = ["column_name", "b", "s"]
-    wb = whole.orderBy("b", "s")
+    wb = whole.orderBy("s")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    bt = (c.groupBy(*keys, "tot_ref", "tot_cur").agg(
-              F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"), F.min("value").alias("first"),
-              F.sum(F.col("n_ref") * F.col("value")).alias("sum_ref"))
-           .select(*keys, F.try_divide(F.coalesce(F.sum("r").over(before), F.lit(0)), F.col("tot_ref")).alias("off_ref"),
-                   F.try_divide(F.coalesce(F.sum("k").over(before), F.lit(0)), F.col("tot_cur")).alias("off_cur"),
-                   F.lead("first").over(wb).alias("next_min"),
-                   F.try_divide(F.sum("sum_ref").over(whole), F.col("tot_ref")).alias("mean_ref")))
+    totals = c.groupBy(*keys).agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("k"), F.min("value").alias("first"),
+                                  F.sum(F.col("n_ref") * F.col("value")).alias("sum_ref"))
+    tot_ref, tot_cur = F.sum("r").over(whole), F.sum("k").over(whole)
+    bt = totals.select(*keys, tot_ref.alias("tot_ref"), tot_cur.alias("tot_cur"),
+                       F.try_divide(F.coalesce(F.sum("r").over(before), F.lit(0)), tot_ref).alias("off_ref"),
+                       F.try_divide(F.coalesce(F.sum("k").over(before), F.lit(0)), tot_cur).alias("off_cur"),
+                       F.lead("first").over(wb).alias("next_min"),
+                       F.try_divide(F.sum("sum_ref").over(whole), tot_ref).alias("mean_ref"))
     wv = Window.partitionBy(*keys).orderBy("value")
     run = wv.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = (same_group(c, bt, keys)                            # null-safe: no filter parts the branches' plans
@@ -111,13 +120,8 @@ def categorical_drift(counts: DataFrame) -> DataFrame:
     return out.select("column_name", F.sqrt(F.greatest(F.col("_jsd"), F.lit(0.0))).alias("jensen_shannon"), "chi2")
 
 
-def drift_of(rows: DataFrame, numeric: list[str], categorical: list[str],
-             threshold: float = DRIFT_THRESHOLD) -> DataFrame:
-    """M5 over one frame whose boolean ``REF`` marks the reference rows.
-
-    One row per column with its statistics, the drift score (a distance) and the drift flag.
-    """
-    counts = value_counts_by_side(rows, numeric, categorical)
+def report_of(counts: DataFrame, numeric: bool = True, categorical: bool = True, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """M5 from counts: one row per column with its statistics, the drift score (a distance) and the drift flag."""
     none = F.lit(None).cast("double")
     parts = []
     if numeric:
@@ -135,6 +139,12 @@ def drift_of(rows: DataFrame, numeric: list[str], categorical: list[str],
     return out.withColumn("drifted", F.col("score") > threshold)
 
 
+def drift_of(rows: DataFrame, numeric: list[str], categorical: list[str],
+             threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """M5 over one frame whose boolean ``REF`` marks the reference rows."""
+    return report_of(value_counts_by_side(rows, numeric, categorical), bool(numeric), bool(categorical), threshold)
+
+
 def data_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
                threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """M5 between two frames."""

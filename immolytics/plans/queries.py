@@ -474,7 +474,8 @@ def q_drift_table(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Data drift (M5, M6, T3) between the reference sample and the rest
 # --------------------------------------------------------------------------
-from ..operators import drift  # noqa: E402
+from ..operators import drift, drift_state  # noqa: E402
+from ..session import scratch_path  # noqa: E402
 
 DRIFT_NUMERIC = ["prix", "surface_habitable", "latitude", "longitude", "mois_transaction",
                  "annee_transaction", "prix_m2_moyen_mois_precedent", "nb_transactions_mois_precedent"]
@@ -514,6 +515,17 @@ def q_data_drift(spark, sf_dir):
     return drift_report(spark, sf_dir)
 
 
+@register("incremental_drift", PREPARED_SQL + ", years AS (SELECT *, annee_transaction < 1998 AS is_old FROM prepared) "
+          + f"SELECT * FROM ({sqlgen.data_drift('years', 'is_old', DRIFT_NUMERIC, DRIFT_CATEGORICAL, 0.05)})")
+def q_incremental_drift(spark, sf_dir):
+    """M5: the newest year against all earlier ones, from the stored counts of two batches."""
+    rows = prepared_table(spark, sf_dir, [*DRIFT_NUMERIC, *DRIFT_CATEGORICAL])
+    state, year = drift_state.DriftState(spark, scratch_path(spark, "drift-state")), F.col("annee_transaction")
+    state.add("old", rows.where(year < 1998), year, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    state.add("new", rows.where(year >= 1998), year, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return state.drift(F.col("period") < "1998", F.col("period") >= "1998")
+
+
 @register("drift_summary", SHIFTED_SQL + f"""
 SELECT count(*) AS total_features, CAST(count_if(drifted) AS BIGINT) AS drifted_features,
        count_if(drifted) / count(*) AS drift_share, count_if(drifted) / count(*) >= 0.5 AS dataset_drift,

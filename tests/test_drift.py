@@ -55,3 +55,40 @@ def test_self_drift_is_zero_and_gate(spark):
     rep2 = drift.data_drift(ev, shifted, ["value"], ["event_type"])
     assert drift.dataset_drift(rep2).first()["drifted_features"] == 1
     assert drift.top_drifted(rep2, 1).first()["column_name"] == "value"
+
+
+def test_slices_follow_the_values(spark):
+    """All values in a sixteenth of an octave, and one outlier: no slice holds more than twice the mean."""
+    rows = spark.range(20_000).select(F.lit("x").alias("column_name"), (1.0 + F.col("id") / 1e7).alias("value"))
+    rows = rows.union(spark.createDataFrame([("x", 1e300), ("x", -5.0)], rows.schema))
+    sizes = [r["count"] for r in drift.sliced(rows, 64).groupBy("s").count().collect()]
+    assert len(sizes) == 64 and max(sizes) <= 2 * 20_002 / 64
+    few = spark.createDataFrame([("y", float(v)) for v in (3, 1, 2)], "column_name string, value double")
+    got = {r["value"]: r["s"] for r in drift.sliced(few, 8).collect()}
+    assert got[1.0] < got[2.0] < got[3.0]
+
+
+def test_state_gives_the_scores_of_the_rows_without_them(spark, tmp_path):
+    import shutil
+
+    from immolytics.operators.drift_state import DriftState
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    days = sorted(r["day"] for r in ev.select("day").distinct().collect())
+    new = days[-1]
+    source = str(tmp_path / "old")
+    ev.where(F.col("day") < new).write.parquet(source)
+    old = spark.read.parquet(source)
+    want = {r["column_name"]: r for r in drift.data_drift(old, ev.where(F.col("day") == new), ["value", "user_id"], ["event_type"]).collect()}
+    state = DriftState(spark, str(tmp_path / "state"))
+    args = ("day", ["value", "user_id"], ["event_type"])
+    assert state.add("a", old.where("event_id % 2 = 0"), *args) and state.add("b", old.where("event_id % 2 = 1"), *args)
+    assert not state.add("b", old, *args)                                   # a repeated batch counts once
+    shutil.rmtree(source)                                                   # the reference rows are gone
+    assert state.add("c", ev.where(F.col("day") == new), *args)
+    report = state.drift(F.col("period") < new, F.col("period") == new)
+    got = {r["column_name"]: r for r in report.collect()}
+    assert set(got) == set(want)
+    for name, r in want.items():
+        for c in ("ks", "wasserstein", "wasserstein_norm", "jensen_shannon", "chi2", "score"):
+            assert got[name][c] == (None if r[c] is None else pytest.approx(r[c], rel=1e-9, abs=1e-12))
+    assert "state" in "".join(report.inputFiles()) and all("/state/" in f for f in report.inputFiles())

@@ -44,7 +44,7 @@ PARTITION_BYTES = 1 << 21
 LEAST_PARTITIONS, MOST_BITS = 32, 26
 # Words of a run, bits of a word's number in a key, and entries that a task keeps before it sends them.
 RUN_WORDS, ID_BITS = 1 << 19, 21
-TASK_ENTRIES = 3_000_000
+TASK_ENTRIES = 1_500_000
 # Parts into which a language's candidates are dealt before its first ones are taken.
 SALTS = 64
 

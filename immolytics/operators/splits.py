@@ -245,6 +245,30 @@ def group_folds(df: DataFrame, group_columns: list[str], k: int = N_SPLITS, colu
     return df.withColumn(column, F.pmod(F.xxhash64(*group_columns), F.lit(k)).cast("int"))
 
 
+def balanced_folds(df: DataFrame, group_columns: list[str], k: int = N_SPLITS, column: str = "fold") -> DataFrame:
+    """Folds 0..k-1 of whole groups whose sizes differ by the largest group at most.
+
+    Groups are dealt to the folds largest first, forth and back. A group's place in
+    that order (size, then md5 of the group) is its rank among the groups of its
+    size and md5 prefix plus a small table of offsets, so no task sorts all groups.
+    """
+    if k < 2:
+        raise ValueError(f"cannot make {k} folds")
+    md5 = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in group_columns]))
+    sizes = df.groupBy(*group_columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_md5", md5).withColumn("_prefix", F.substring("_md5", 1, 2))
+    before = Window.orderBy(F.col("_n").desc(), "_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (sizes.groupBy("_n", "_prefix").agg(F.count(F.lit(1)).alias("_groups"))            # 256 rows per size at most
+               .select("_n", "_prefix", F.coalesce(F.sum("_groups").over(before), F.lit(0)).alias("_from")))
+    own = F.row_number().over(Window.partitionBy("_n", "_prefix").orderBy("_md5", *group_columns)) - 1
+    place = F.col("_from") + F.col("_own")
+    turn = F.pmod(place, F.lit(k))
+    dealt = (sizes.withColumn("_own", own).join(offsets, ["_n", "_prefix"])
+             .select(*[F.col(c).alias(f"_g_{c}") for c in group_columns],
+                     F.when(F.floor(place / k) % 2 == 0, turn).otherwise(k - 1 - turn).cast("int").alias(column)))
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_columns]
+    return df.join(dealt, reduce(lambda a, b: a & b, same)).drop(*[f"_g_{c}" for c in group_columns])
+
+
 def fold(df: DataFrame, i: int, column: str = "block") -> tuple[DataFrame, DataFrame]:
     """(train, test) of expanding fold ``i`` (1-based)."""
     return df.where(F.col(column) < i), df.where(F.col(column) == i)

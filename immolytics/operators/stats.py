@@ -289,6 +289,25 @@ def grid_counts(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
              .groupBy("x_column", "y_column", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
 
 
+def pair_grid(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
+    """A17 for all pairs of columns: (x_column, y_column, x_bin, y_bin, n), x before y in ``columns``.
+
+    Every row is binned once, on the edges of each column's own values, and adds a
+    cell per pair; only counts are shuffled, p(p-1)/2 x bins^2 of them per task at
+    most. A pair counts the rows that have both values. ``df`` is read twice (for
+    the extents, then for the cells): write a dear one first.
+    """
+    if len(columns) < 2 or len(set(columns)) < len(columns):
+        raise ValueError("pairs need two different columns or more")
+    wide = clean_doubles(df, columns)
+    _, at = extents(wide, columns)
+    binned = wide.select(*[_bin(F.col(c), at[c]["lo"], at[c]["hi"], bins).alias(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(x).alias("x_column"), F.lit(y).alias("y_column"), F.col(x).alias("x_bin"), F.col(y).alias("y_bin"))
+                      for i, x in enumerate(columns) for y in columns[i + 1:]])
+    return (binned.select(F.inline(cells)).where("x_bin IS NOT NULL AND y_bin IS NOT NULL")
+            .groupBy("x_column", "y_column", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
+
+
 # ---------------------------------------------------------------- R1
 def top_values(df: DataFrame, order_col: str, k: int, tie: str) -> DataFrame:
     """The k first rows by ``order_col`` descending, ties broken by ``tie``."""

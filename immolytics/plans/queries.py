@@ -200,6 +200,16 @@ def q_grid_counts(spark, sf_dir):
     return stats.grid_counts(transactions(spark, sf_dir), "surface_habitable", "prix", 20)
 
 
+PAIR_COLUMNS = ["surface_habitable", "prix", "latitude", "longitude", "n_pieces"]
+
+
+@register("pair_grid", _wrap(sqlgen.pair_grid("gaps", PAIR_COLUMNS, 20)))
+def q_pair_grid(spark, sf_dir):
+    """A17 for all pairs: the narrow projection is written once, the sources are scanned once."""
+    rows = with_gaps(transactions(spark, sf_dir)).select(*PAIR_COLUMNS)
+    return stats.pair_grid(materialize(rows, "pairs"), PAIR_COLUMNS, 20)
+
+
 @register("distinct_values", TRANSACTIONS_SQL + "SELECT DISTINCT nom_region FROM transactions")
 def q_distinct_values(spark, sf_dir):
     return stats.distinct_values(transactions(spark, sf_dir), "nom_region")
@@ -302,6 +312,17 @@ def q_positional_halves(spark, sf_dir):
     return splits.positional_halves(ev, ["event_id"]).select("event_id", "dataset")
 
 
+@register("balanced_folds", TRANSACTIONS_SQL + """
+, g AS (SELECT id_ville, ville, count(*) AS n, md5(concat_ws('|', coalesce(id_ville::VARCHAR, ''), coalesce(ville, ''))) AS h
+        FROM transactions GROUP BY ALL)
+, p AS (SELECT id_ville, ville, row_number() OVER (ORDER BY n DESC, h) - 1 AS place FROM g)
+SELECT t.id_transaction, CAST(CASE WHEN (place // 5) % 2 = 0 THEN place % 5 ELSE 4 - place % 5 END AS INTEGER) AS fold
+FROM transactions t JOIN p ON t.id_ville IS NOT DISTINCT FROM p.id_ville AND t.ville IS NOT DISTINCT FROM p.ville""")
+def q_balanced_folds(spark, sf_dir):
+    """Whole cities dealt to five folds of about equal size."""
+    return splits.balanced_folds(transactions(spark, sf_dir), ["id_ville", "ville"], 5).select(ROW_KEY, "fold")
+
+
 # --------------------------------------------------------------------------
 # Encoding (E3-E6) and evaluation of a fixed scorer
 # --------------------------------------------------------------------------

@@ -120,6 +120,17 @@ def grid_counts(source: str, x: str, y: str, bins: int) -> str:
             f"{cell('y', 'ylo', 'yhi')} AS y_bin, count(*) AS n FROM d, e GROUP BY ALL")
 
 
+def pair_grid(source: str, columns: list[str], bins: int) -> str:
+    """Joint equal-width counts of all pairs of columns."""
+    cells = ", ".join(f"CAST(CASE WHEN {c} IS NULL THEN NULL WHEN hi_{c} = lo_{c} THEN 1 ELSE least(floor(({c} - lo_{c}) / (hi_{c} - lo_{c}) * {bins}) + 1, {bins}) END AS INTEGER) AS {c}"
+                      for c in columns)
+    pairs = " UNION ALL ".join(f"SELECT '{x}' AS x_column, '{y}' AS y_column, {x} AS x_bin, {y} AS y_bin, count(*) AS n FROM binned "
+                               f"WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY ALL" for i, x in enumerate(columns) for y in columns[i + 1:])
+    return (f"WITH d AS (SELECT {', '.join(f'CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}' for c in columns)} "
+            f"FROM {source}), e AS (SELECT {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in columns)} FROM d), "
+            f"binned AS (SELECT {cells} FROM d, e) {pairs}")
+
+
 def data_drift(source: str, flag: str, numeric: list[str], categorical: list[str], threshold: float) -> str:
     """Per-column KS / Wasserstein (numeric) and Jensen-Shannon / chi2 (categorical); ``flag`` marks reference rows."""
     nsel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in numeric)

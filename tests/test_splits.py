@@ -125,3 +125,24 @@ def test_split_plan_is_a_filter(spark, tmp_path):
     df = spark.read.parquet(path)
     plan = splits.with_split(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
+def test_balanced_folds_differ_by_the_largest_group_at_most(spark):
+    import random
+
+    import pytest
+
+    from immolytics.operators.splits import balanced_folds
+    rng = random.Random(5)
+    rows = [(g, i) for g in [None, *map(str, range(300))] for i in range(int(rng.paretovariate(0.8)) % 400 + 1)]
+    df = spark.createDataFrame(rows, "g string, i int")
+    got = balanced_folds(df, ["g"], 4).collect()
+    assert sorted((r.g or "", r.i) for r in got) == sorted((g or "", i) for g, i in rows)
+    of_group, sizes = {}, [0] * 4
+    for r in got:
+        of_group.setdefault(r.g, set()).add(r.fold)
+        sizes[r.fold] += 1
+    largest = max(sum(1 for g, _ in rows if g == name) for name in of_group)
+    assert all(len(f) == 1 for f in of_group.values()) and max(sizes) - min(sizes) <= largest
+    with pytest.raises(ValueError):
+        balanced_folds(df, ["g"], 1)

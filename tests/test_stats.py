@@ -107,3 +107,23 @@ def test_kde_of_a_long_tail(spark):
     for r in got:
         want = np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
         assert r["density"] == pytest.approx(want, rel=0.02, abs=0.05 * most)
+
+
+def test_pair_grid_equals_one_pair_at_a_time(spark):
+    import itertools
+
+    import pytest
+
+    from immolytics.operators import stats
+    rows = [(float(i % 7), i * 0.5, -float(i % 3), 4.0) for i in range(200)] + [(None, 3.0, float("nan"), 4.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double")
+    got = {}
+    for r in stats.pair_grid(df, ["a", "b", "c", "k"], 6).collect():
+        got.setdefault((r.x_column, r.y_column), {})[r.x_bin, r.y_bin] = r.n
+    assert set(got) == set(itertools.combinations("abck", 2))
+    complete = df.where("a IS NOT NULL AND NOT isnan(c)")
+    for x, y in (("a", "c"), ("b", "k")):
+        one = stats.grid_counts(complete if x == "a" else df, x, y, 6).collect()
+        assert got[x, y] == {(r.x_bin, r.y_bin): r.n for r in one}
+    with pytest.raises(ValueError):
+        stats.pair_grid(df, ["a", "a"])

@@ -9,9 +9,11 @@ distinct labelled documents (copies count once); each step is a Spark aggregatio
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0,
 as is everything if no labelled text was given; ties go to the language that
-sorts first; words longer than ``LONGEST`` letters are scored in consecutive
-spans, none is dropped; repeated rows get equal results; an empty table gives an
-empty result; input columns named like a result are replaced by the result.
+sorts first; runs of letters of any length are scored whole (in stretches that
+hand on the state of the forward algorithm, so no segmentation is lost); only the
+fit takes runs of more than ``LONGEST`` letters in consecutive spans; repeated
+rows get equal results; an empty table gives an empty result; input columns named
+like a result are replaced by the result.
 """
 
 from __future__ import annotations
@@ -35,9 +37,12 @@ UNDETERMINED = "und"
 # About so many distinct documents of each language are sampled to fit its model.
 FIT_DOCUMENTS = 1000
 STEPS = 3
+# Longer runs of letters teach in consecutive spans of so many; scoring takes them whole.
 LONGEST = 32
-LONGEST_PIECE = 10
 SMOOTHING = 0.05
+# Cells (positions x runs) of one forward pass, and letters of a stretch of a longer run.
+_CELLS = 1 << 17
+_STRETCH = 1 << 16
 _WORDS_KEPT = 300_000
 
 # Lower-case A-Z; other ASCII bytes but letters separate words.
@@ -59,7 +64,7 @@ def piece_ids(path: str) -> dict[str, int]:
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {sp.id_to_piece(i).lower() for i in range(sp.get_piece_size())}
-    fit = sorted(p for p in pieces if p.lstrip("▁").isalpha() and len(p) <= LONGEST_PIECE)
+    fit = sorted(p for p in pieces if p.lstrip("▁").isalpha())
     return {p: i for i, p in enumerate(["▁"] + fit)}
 
 
@@ -80,7 +85,7 @@ class PieceTable:
             for c in _codes(piece):
                 h = np.uint64((int(h) * int(self.BASE) + int(c) * 0xBF58476D1CE4E5B9) & (2 ** 64 - 1))
             by_length.setdefault(len(piece), []).append((int(h), i))
-        self.tables = {}
+        self.tables, self.longest = {}, max(by_length)
         for length, rows in by_length.items():
             rows.sort()
             hashes = np.array([h for h, _ in rows], np.uint64)
@@ -104,30 +109,38 @@ def piece_table(path: str) -> PieceTable:
     return PieceTable(piece_ids(path))
 
 
+def letter_runs(word: bytes) -> list[str]:
+    """Runs of letters of a word in lower case."""
+    if word.isalpha():                                     # ASCII letters alone
+        return [word.decode().lower()]
+    text = word.decode("utf-8", "replace").lower()
+    return [r for run in _LETTERS.findall(text) if (r := "".join(c for c in run if c.isalpha()))]
+
+
 def letter_spans(word: bytes) -> list[str]:
     """Letters of a word in lower case, cut into spans of at most ``LONGEST``."""
-    if word.isalpha():                                     # ASCII letters alone
-        runs = [word.decode().lower()]
-    else:
-        text = word.decode("utf-8", "replace").lower()
-        runs = ["".join(c for c in run if c.isalpha()) for run in _LETTERS.findall(text)]
-    return [run[i:i + LONGEST] for run in runs for i in range(0, len(run), LONGEST)]
+    return [run[i:i + LONGEST] for run in letter_runs(word) for i in range(0, len(run), LONGEST)]
 
 
 class Lattices:
-    """All segmentations of some spans into pieces, as edges (span, from, to, piece) sorted by ``to``."""
+    """All segmentations of some spans into pieces, as edges (span, from, to, piece) sorted by ``to``.
+
+    A span begins as a word does, with the mark, unless ``marked`` is false. Sums
+    are kept as logarithms, so spans may have any length.
+    """
 
-    def __init__(self, spans: list[str], table: PieceTable):
+    def __init__(self, spans: list[str], table: PieceTable, marked: bool = True):
         self.n = len(spans)
-        self.lengths = np.fromiter(map(len, spans), np.int64, self.n) + 1
-        codes = _codes("".join(["▁" + s for s in spans])) * np.uint64(0xBF58476D1CE4E5B9)
+        self.lengths = np.fromiter(map(len, spans), np.int64, self.n) + marked
+        codes = _codes("".join(["▁" + s for s in spans] if marked else spans)) * np.uint64(0xBF58476D1CE4E5B9)
         first = np.cumsum(self.lengths) - self.lengths
         span = np.repeat(np.arange(self.n), self.lengths)
         position = np.arange(len(codes)) - first[span]
         left = self.lengths[span] - position
+        self.longest = int(self.lengths.max()) if self.n else 0
         starts, sizes, pieces = [], [], []
         hashes = np.zeros(len(codes) + 1, np.uint64)
-        for length in range(1, min(LONGEST_PIECE, len(codes)) + 1):
+        for length in range(1, min(table.longest, self.longest) + 1):
             hashes = hashes[:-1] * PieceTable.BASE + codes[length - 1:]
             inside = np.flatnonzero(left[:len(hashes)] >= length)
             at, piece = table.look_up(length, hashes[inside])
@@ -140,44 +153,80 @@ class Lattices:
             pieces.append(piece)
         start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
         stop = position[start] + (np.concatenate(sizes) if sizes else start)
-        order = np.argsort(stop.astype(np.int16), kind="stable")
+        order = np.argsort(stop.astype(np.int16) if self.longest < 1 << 15 else stop, kind="stable")
         start = start[order]
         self.span, self.start, self.stop = span[start], position[start], stop[order]
         self.piece = (np.concatenate(pieces) if pieces else start)[order]
-        self.longest = int(self.lengths.max()) if self.n else 0
 
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """alpha[position, span, language]: summed probability of all segmentations up to a position."""
+    def _summed(self, logs: np.ndarray, to: int, near: int, ends: np.ndarray, e, p: np.ndarray) -> None:
+        """logs[to] from the edges ``e``, whose far ends are at ``ends``, relative to logs[near]."""
+        span = self.span[e]
+        made = np.exp(logs[ends[e], span] - logs[near, span]) * p[self.piece[e]]
+        for lang in range(p.shape[1]):
+            total = np.bincount(span, made[:, lang], self.n)
+            np.add(np.log(total, out=np.zeros(self.n), where=total > 0), logs[near, :, lang], out=logs[to, :, lang])
+
+    def forward(self, p: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+        """alpha[position, span, language]: log of the summed probability of all segmentations up to a position.
+
+        ``known`` holds the first positions' values where a stretch continues a longer run.
+        """
         alpha = np.zeros((self.longest + 1, self.n, p.shape[1]))
-        alpha[0] = 1
-        bounds = np.searchsorted(self.stop, np.arange(1, self.longest + 2))
-        for j in range(1, self.longest + 1):
-            e = slice(bounds[j - 1], bounds[j])
-            made = alpha[self.start[e], self.span[e]] * p[self.piece[e]]
-            for lang in range(p.shape[1]):
-                alpha[j, :, lang] = np.bincount(self.span[e], made[:, lang], self.n)
+        done = 1 if known is None else len(known)
+        alpha[:done] = 0 if known is None else known
+        bounds = np.searchsorted(self.stop, np.arange(self.longest + 2))
+        for j in range(done, self.longest + 1):
+            self._summed(alpha, j, j - 1, self.start, slice(bounds[j], bounds[j + 1]), p)
         return alpha
 
     def likelihood(self, p: np.ndarray) -> np.ndarray:
         """log likelihood of every span (rows) in every language."""
-        return np.log(self.forward(p)[self.lengths, np.arange(self.n)])
+        return self.forward(p)[self.lengths, np.arange(self.n)]
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece, given the spans' counts by language."""
         alpha, beta = self.forward(p), np.zeros((self.longest + 1, self.n, p.shape[1]))
         total = alpha[self.lengths, np.arange(self.n)]
-        beta[self.lengths, np.arange(self.n)] = counts / total
         by_start = np.argsort(self.start, kind="stable")
         bounds = np.searchsorted(self.start[by_start], np.arange(0, self.longest + 1))
         for i in range(self.longest - 1, -1, -1):
-            e = by_start[bounds[i]:bounds[i + 1]]
-            made = beta[self.stop[e], self.span[e]] * p[self.piece[e]]
-            for lang in range(p.shape[1]):
-                beta[i, :, lang] += np.bincount(self.span[e], made[:, lang], self.n)
-        uses = alpha[self.start, self.span] * p[self.piece] * beta[self.stop, self.span]
+            self._summed(beta, i, i + 1, self.stop, by_start[bounds[i]:bounds[i + 1]], p)
+        share = np.exp(alpha[self.start, self.span] + beta[self.stop, self.span] - total[self.span])
+        uses = share * p[self.piece] * counts[self.span]
         return np.stack([np.bincount(self.piece, uses[:, lang], len(p)) for lang in range(p.shape[1])], axis=1)
 
 
+def _long_likelihood(run: str, table: PieceTable, p: np.ndarray, stretch: int) -> np.ndarray:
+    """log likelihood of one run, stretch by stretch; each begins with the last positions of the one before."""
+    back = table.longest
+    stretch = max(stretch, back)
+    alpha = Lattices([run[:stretch]], table).forward(p)
+    for at in range(stretch, len(run), stretch):
+        alpha = Lattices([run[at - back:at + stretch]], table, marked=False).forward(p, alpha[-back - 1:])
+    return alpha[-1, 0]
+
+
+def run_likelihoods(runs: list[str], table: PieceTable, p: np.ndarray, stretch: int = _STRETCH) -> np.ndarray:
+    """log likelihood of every run (rows) in every language: runs of similar length share a pass."""
+    lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+    found, order = np.zeros((len(runs), p.shape[1])), np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        size = int(lengths[order[at]])
+        if size > stretch:
+            found[order[at]] = _long_likelihood(runs[order[at]], table, p, stretch)
+            at += 1
+            continue
+        # as many runs as fit at the length of the longest of them
+        most = lengths[order[at:at + max(1, _CELLS // (size + 2))]]
+        fit = np.flatnonzero((most + 2) * np.arange(1, len(most) + 1) <= _CELLS)
+        take = order[at:at + max(1, len(fit) and int(fit[-1]) + 1)]
+        take = take[lengths[take] <= stretch]
+        found[take] = Lattices([runs[i] for i in take], table).likelihood(p)
+        at += len(take)
+    return found
+
+
 def _sampled(labelled: DataFrame, documents: int) -> tuple[DataFrame, tuple[str, ...]]:
     """About ``documents`` hashed distinct documents of each language, and the languages in order."""
     distinct = F.count_distinct(F.xxhash64("text")).alias("n")
@@ -266,13 +315,13 @@ class Scorer:
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
-            spans = [letter_spans(w) for w in part]
+            spans = [letter_runs(w) for w in part]
             lengths = np.fromiter(map(len, spans), np.int64, len(part))
             flat = [s for x in spans for s in x]
             rows = slice(first + at, first + at + len(part))
             self.letters[rows] = lengths > 0
             if flat:
-                self.scores[rows] = segment_sums(Lattices(flat, self.table).likelihood(self.model.pieces),
+                self.scores[rows] = segment_sums(run_likelihoods(flat, self.table, self.model.pieces),
                                                  np.cumsum(lengths) - lengths, lengths)
         self.row.update(zip(words, range(first, first + len(words))))
 

@@ -3,7 +3,8 @@
 import numpy as np
 import public_tokenizers
 
-from immolytics.llm.lang_unigram import LONGEST, Lattices, PieceTable, _sampled, fit_languages, identify, letter_spans, piece_ids
+from immolytics.llm.lang_unigram import (LONGEST, LanguageModel, Lattices, PieceTable, Scorer, _sampled, fit_languages, identify,
+                                         letter_runs, letter_spans, piece_ids, piece_table, run_likelihoods)
 from immolytics.llm.queries import QUERIES
 from tests.conftest import SF
 from tests.llm.cases import CASES, case_frame
@@ -40,6 +41,46 @@ def test_forward_and_expectations_sum_all_segmentations():
     assert np.allclose(uses, want_uses)
 
 
+def uncut(run, ids, p):
+    """Plain forward algorithm over one whole run, rescaled at every letter."""
+    text, longest = "▁" + run, max(map(len, ids))
+    alpha, logs = [np.ones(p.shape[1])], [np.zeros(p.shape[1])]
+    for j in range(1, len(text) + 1):
+        total = 0
+        for i in range(max(0, j - longest), j):
+            piece = ids.get(text[i:j], len(ids) if j == i + 1 else None)
+            if piece is not None:
+                total = total + np.exp(logs[i] - logs[-1]) * alpha[i] * p[piece]
+        logs.append(logs[-1] + np.log(total))
+        alpha.append(np.ones(p.shape[1]))
+    return logs[-1]
+
+
+def test_long_runs_are_scored_whole():
+    ids, table = piece_ids(PATH), piece_table(PATH)
+    assert table.longest == max(map(len, ids)) > 11
+    rng = np.random.default_rng(5)
+    p = rng.random((len(ids) + 1, 3)) ** 8
+    p /= p.sum(axis=0)
+    pieces = sorted(q.lstrip("▁") for q in ids if len(q) > 4)
+    runs = ["".join(pieces[k] for k in rng.integers(0, len(pieces), n)) for n in (1, 2, 9, 25, 40, 40, 3, 300)]
+    runs += ["a" * 200, "语言模型" * 50, "internationalization" * 10, max(pieces, key=len)]
+    want = np.array([uncut(r, ids, p) for r in runs])
+    assert np.allclose(run_likelihoods(runs, table, p), want, rtol=1e-10)
+    assert np.allclose(run_likelihoods(runs, table, p, stretch=50), want, rtol=1e-10)
+    assert np.allclose(run_likelihoods(runs, table, p, stretch=1), want, rtol=1e-10)
+    assert run_likelihoods([], table, p).shape == (0, 3)
+
+
+def test_runs_of_many_letters_are_one_word():
+    ids = piece_ids(PATH)
+    p = np.full((len(ids) + 1, 2), 1e-5)
+    p[ids["a"], 1] = p[ids["aa"], 1] = 1e-3
+    names, scores = Scorer(LanguageModel(("xx", "yy"), p, PATH))([b"a" * 200_000, "語".encode() * 100_000])
+    assert names[0] == "yy" and scores[0] == 1 and names[1] == "xx" and scores[1] == 0.5
+    assert letter_runs("aB1c-dé²".encode()) == ["ab", "c", "dé"] and letter_runs("1²".encode()) == []
+
+
 def test_letter_spans_keep_every_letter():
     assert letter_spans("aB1c-dé²".encode()) == ["ab", "c", "dé"]
     assert "".join(letter_spans(b"q" * 100)) == "q" * 100

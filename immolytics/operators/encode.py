@@ -42,7 +42,7 @@ class OneHotModel:
         return cls(cats)
 
 
-# An indicator column is made per category: more than this many in all is taken for a mistake.
+# An indicator column is made per category: for more than this many in all, ``categories`` gives one sparse vector.
 MOST_CATEGORIES = 10_000
 
 
@@ -56,7 +56,7 @@ def fit_one_hot(df: DataFrame, columns: list[str], most: int = MOST_CATEGORIES)
     cats: dict[str, list[str]] = {c: [] for c in columns}
     found = lv.limit(most + 1).collect()
     if len(found) > most:
-        raise ValueError(f"more than {most} categories in {columns}")
+        raise ValueError(f"more than {most} categories in {columns}: use categories.fit_categories (sparse vectors)")
     for r in found:
         cats[r["column_name"]].append(r["value"])
     return OneHotModel({c: sorted(v) for c, v in cats.items()})

@@ -326,7 +326,7 @@ def q_balanced_folds(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Encoding (E3-E6) and evaluation of a fixed scorer
 # --------------------------------------------------------------------------
-from ..operators import encode, metrics  # noqa: E402
+from ..operators import categories, encode, metrics  # noqa: E402
 from ..settings import COLS_TO_ENCODE  # noqa: E402
 
 SPLIT_SQL = PREPARED_SQL + """
@@ -385,6 +385,71 @@ def q_inverse_one_hot(spark, sf_dir):
     return out.select(ROW_KEY, *COLS_TO_ENCODE)
 
 
+# The part of the sales that the categories are learned from, and the sales to encode.
+PARTS_SQL = """
+WITH sold AS (
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS id_transaction, l_linestatus = 'F' AS learned,
+         l_returnflag AS flag, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supplier
+  FROM lineitem
+), cells AS (
+  SELECT id_transaction, learned, 1 AS place, 'flag' AS column_name, flag AS category FROM sold
+  UNION ALL SELECT id_transaction, learned, 2, 'part', part FROM sold
+  UNION ALL SELECT id_transaction, learned, 3, 'supplier', supplier FROM sold
+), cats AS (
+  SELECT place, column_name, category, row_number() OVER (PARTITION BY column_name ORDER BY category) - 1 AS position
+  FROM (SELECT DISTINCT place, column_name, category FROM cells WHERE learned AND category IS NOT NULL)
+), numbered AS (
+  SELECT column_name, category, position,
+         CASE WHEN position > 0 THEN CAST(count_if(position > 0) OVER (ORDER BY place, category) - 1 AS INTEGER) END AS feature
+  FROM cats
+)
+"""
+
+
+def sold_parts(spark, sf_dir):
+    from ..sources.tables import table
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias(ROW_KEY),
+        F.col("l_linestatus").alias("status"), F.col("l_returnflag").alias("flag"),
+        F.col("l_partkey").cast("string").alias("part"), F.col("l_suppkey").cast("string").alias("supplier"))
+
+
+def part_categories(rows):
+    return categories.fit_categories(rows.where(F.col("status") == "F"), ["flag", "part", "supplier"])
+
+
+@register("category_table", PARTS_SQL + "SELECT column_name, category, CAST(position AS BIGINT) AS position, feature FROM numbered")
+def q_category_table(spark, sf_dir):
+    """E3 with any number of categories: a dictionary of flags, parts and suppliers."""
+    return part_categories(sold_parts(spark, sf_dir)).table
+
+
+@register("sparse_encoding", PARTS_SQL + """
+SELECT id_transaction, CAST(count(n.feature) AS INTEGER) AS n_active, CAST(coalesce(sum(n.feature), 0) AS BIGINT) AS feature_sum,
+       max(n.feature) AS last_feature
+FROM cells c LEFT JOIN numbered n USING (column_name, category) GROUP BY id_transaction""")
+def q_sparse_encoding(spark, sf_dir):
+    """E4 with any number of categories: the sparse indicators of every sale."""
+    rows = sold_parts(spark, sf_dir)
+    out = categories.transform_sparse(rows, part_categories(rows))
+    at = F.col("indicators.indices")
+    return out.select(ROW_KEY, F.size(at).alias("n_active"),
+                      F.aggregate(at, F.lit(0).cast("long"), lambda s, x: s + x).alias("feature_sum"),
+                      F.try_element_at(at, F.lit(-1)).alias("last_feature"))
+
+
+@register("sparse_inverse", PARTS_SQL + """
+SELECT c.id_transaction, coalesce(n.category, d.category) AS part
+FROM cells c LEFT JOIN (SELECT * FROM numbered WHERE feature IS NOT NULL) n USING (column_name, category)
+CROSS JOIN (SELECT category FROM numbered WHERE column_name = 'part' AND position = 0) d
+WHERE c.column_name = 'part'""")
+def q_sparse_inverse(spark, sf_dir):
+    """E6 through the category table: parts rebuilt from the sparse indicators."""
+    rows = sold_parts(spark, sf_dir)
+    known = part_categories(rows)
+    return categories.inverse_sparse(categories.transform_sparse(rows, known), known, "part").select(ROW_KEY, "part")
+
+
 _MSE = "avg((prix - prediction) * (prix - prediction))"
 _R2 = "1.0 - sum((prix - prediction) * (prix - prediction)) / (var_pop(prix) * count(*))"
 _METRICS_SQL = f"count(*) AS n, {_MSE} AS mse, sqrt({_MSE}) AS rmse, avg(abs(prix - prediction)) AS mae, {_R2} AS r2"

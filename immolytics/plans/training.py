@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import encode, model as pm, splits
+from ..operators import categories, encode, model as pm, splits
 from ..operators.columns import feature_columns, require_columns, require_not_empty, strip_column_names
 from ..operators.metrics import evaluate
 from ..settings import CLASSIFICATION_TARGET, COLS_TO_ENCODE, RANDOM_STATE, REGRESSION_TARGET, ROW_KEY, TEST_SIZE
@@ -17,17 +17,23 @@ EVALUATION_METRICS = {"{} RMSE": "rmse", "{} MAE": "mae", "{} R2": "r2", "{}_Err
 def split_and_encode(data: DataFrame, target_class: str = CLASSIFICATION_TARGET,
                      target_reg: str = REGRESSION_TARGET, cols_to_encode: list[str] | None = COLS_TO_ENCODE,
                      key_columns: list[str] = (ROW_KEY,), test_size: float = TEST_SIZE,
-                     seed: int = RANDOM_STATE) -> dict:
+                     seed: int = RANDOM_STATE, sparse: bool = False) -> dict:
     """E5: exact seeded split, encoders fitted on train only, applied to both.
 
     Targets stay in the frames as their own columns (no positional re-zip).
-    Returns ``{"train", "test", "encoders", "features"}``.
+    Returns ``{"train", "test", "encoders", "features"}``. ``sparse`` gives one vector
+    column ``indicators`` (any number of categories) in place of a column per category.
     """
     data = strip_column_names(data)
     require_columns(data, list(cols_to_encode or []))
     train, test = splits.train_test_split(data, list(key_columns), test_size, seed)
-    model = encode.fit_one_hot(train, list(cols_to_encode or []))
-    train, test = encode.transform_one_hot(train, model), encode.transform_one_hot(test, model)
+    if sparse:
+        model = categories.fit_categories(train, list(cols_to_encode or []))
+        vector = categories.as_vector("indicators", model.n_features)
+        train, test = (categories.transform_sparse(part, model).withColumn("indicators", vector) for part in (train, test))
+    else:
+        model = encode.fit_one_hot(train, list(cols_to_encode or []))
+        train, test = encode.transform_one_hot(train, model), encode.transform_one_hot(test, model)
     features = feature_columns(train, (target_class, target_reg), tuple(key_columns))
     return {"train": train, "test": test, "encoders": model, "features": features}
 

@@ -18,6 +18,7 @@ from ..session import materialize
 from ..settings import (CITY_KEYS, CITY_MONTH_KEYS, DEMAND_QUANTILE, DEPARTMENT_MONTH_KEYS,
                         DROPPED_AFTER_JOIN, JOIN_KEYS, LINE_KEY)
 from .columns import drop_existing, require_columns, require_not_empty, to_int, with_suffix
+from .halo import in_blocks
 
 
 def city_month(sales: DataFrame, keys: list[str] = CITY_MONTH_KEYS, decimals: int | None = 2) -> DataFrame:
@@ -79,33 +80,47 @@ def compute_city_features(rows: DataFrame, threshold: float = DEMAND_QUANTILE,
               .transform(demand_flag, threshold, exact_quantile))
 
 
+CITY_ORDER = ["annee_transaction", "mois_transaction", "nb_transactions_mois"]
+
+
 def city_window(keys: list[str] = CITY_KEYS):
     """Order of observations within a city; the volume breaks month ties deterministically."""
-    return Window.partitionBy(*keys).orderBy("annee_transaction", "mois_transaction",
-                                             "nb_transactions_mois")
+    return Window.partitionBy(*keys).orderBy(*CITY_ORDER)
+
 
+def _over_city(cm: DataFrame, keys: list[str], back: int, columns, block: int | None) -> DataFrame:
+    """``columns(window)`` over the whole city, or over blocks of ``block`` rows with the ``back`` rows before."""
+    if block is None:
+        return cm.withColumns(columns(city_window(keys)))
+    return in_blocks(cm, keys, CITY_ORDER, back, columns, block)
 
-def previous_month(cm: DataFrame, keys: list[str] = CITY_KEYS) -> DataFrame:
-    """W1+W2: previous *observed* row per city (a gap is not filled)."""
-    w = city_window(keys)
-    return (cm.withColumn("prix_m2_moyen_mois_precedent", F.lag("prix_m2_moyen").over(w))
-              .withColumn("nb_transactions_mois_precedent", F.lag("nb_transactions_mois").over(w)))
+
+def previous_month(cm: DataFrame, keys: list[str] = CITY_KEYS, block: int | None = None) -> DataFrame:
+    """W1+W2: previous *observed* row per city (a gap is not filled). ``block``: see ``rolling_means``."""
+    return _over_city(cm, keys, 1, lambda w: {
+        "prix_m2_moyen_mois_precedent": F.lag("prix_m2_moyen").over(w),
+        "nb_transactions_mois_precedent": F.lag("nb_transactions_mois").over(w)}, block)
 
 
 def rolling_means(cm: DataFrame, n: int = 6, keys: list[str] = CITY_KEYS,
-                  exclude_current: bool = False) -> DataFrame:
+                  exclude_current: bool = False, block: int | None = None) -> DataFrame:
     """W3+W4: mean of the last ``n`` rows per city, null until ``n`` rows exist.
 
     By default the window includes the current row (as the reference computes
-    it); ``exclude_current`` uses the ``n`` rows before it instead.
+    it); ``exclude_current`` uses the ``n`` rows before it instead. With ``block``
+    a city's rows are taken in blocks of so many, so that one very long city
+    does not end up in one task; the rows of a city must differ in ``CITY_ORDER``.
     """
-    w = city_window(keys)
     hi = -1 if exclude_current else 0
-    frame = w.rowsBetween(hi - n + 1, hi)
-    full = F.count(F.lit(1)).over(frame) == n
-    means = {"prix_m2_moyen_glissant": F.when(full, F.avg("prix_m2_moyen").over(frame)),
-             "nb_transaction_moyen_glissant": F.when(full, F.avg("nb_transactions_mois").over(frame))}
-    return with_suffix(cm.withColumns(means), list(means), n)
+
+    def means(w):
+        frame = w.rowsBetween(hi - n + 1, hi)
+        full = F.count(F.lit(1)).over(frame) == n
+        return {"prix_m2_moyen_glissant": F.when(full, F.avg("prix_m2_moyen").over(frame)),
+                "nb_transaction_moyen_glissant": F.when(full, F.avg("nb_transactions_mois").over(frame))}
+
+    return with_suffix(_over_city(cm, keys, n - 1 - hi, means, block),
+                       ["prix_m2_moyen_glissant", "nb_transaction_moyen_glissant"], n)
 
 
 def compute_features_price_per_m2(cm: DataFrame, keys: list[str] = CITY_KEYS) -> DataFrame:

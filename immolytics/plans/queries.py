@@ -326,7 +326,7 @@ def q_balanced_folds(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Encoding (E3-E6) and evaluation of a fixed scorer
 # --------------------------------------------------------------------------
-from ..operators import categories, encode, metrics  # noqa: E402
+from ..operators import categories, encode, halo, metrics  # noqa: E402
 from ..settings import COLS_TO_ENCODE  # noqa: E402
 
 SPLIT_SQL = PREPARED_SQL + """
@@ -684,6 +684,27 @@ def q_rolling_means(spark, sf_dir):
     return cols.drop_incomplete(feat.rolling_means(city_months(spark, sf_dir), 6))
 
 
+@register("region_last_sales", TRANSACTIONS_SQL + """
+SELECT id_transaction, lag(prix) OVER w AS prix_precedent,
+       CASE WHEN count(*) OVER w6 = 6 THEN avg(surface_habitable) OVER w6 END AS surface_moyenne_6
+FROM transactions
+WINDOW w AS (PARTITION BY nom_region ORDER BY annee_transaction, mois_transaction, id_transaction),
+       w6 AS (PARTITION BY nom_region ORDER BY annee_transaction, mois_transaction, id_transaction
+              ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""")
+def q_region_last_sales(spark, sf_dir):
+    """W1-W4 over few, very long groups: each region's sales in blocks with halos."""
+    order = ["annee_transaction", "mois_transaction", ROW_KEY]
+
+    def last_rows(w):
+        frame = w.rowsBetween(-5, 0)
+        return {"prix_precedent": F.lag("prix").over(w),
+                "surface_moyenne_6": F.when(F.count(F.lit(1)).over(frame) == 6, F.avg("surface_habitable").over(frame))}
+
+    sales = raw_transactions(spark, sf_dir).select("nom_region", *order, "prix", "surface_habitable")
+    out = halo.in_blocks(sales, ["nom_region"], order, 5, last_rows, block=4096)
+    return out.select(ROW_KEY, "prix_precedent", "surface_moyenne_6")
+
+
 @register("below_market_rows", TRANSACTIONS_SQL + """
 SELECT id_transaction, prix, prix_m2, prix_m2_moyen FROM transactions WHERE en_dessous_du_marche = 1""")
 def q_below_market_rows(spark, sf_dir):

@@ -8,7 +8,9 @@ model per fold and scores all folds in a single metrics job.
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -71,8 +73,27 @@ CV_METRICS = {"neg_root_mean_squared_error": ("rmse", -1.0),
               "r2": ("r2", 1.0)}
 
 
+def fold_metrics(df: DataFrame, fit: Callable[[DataFrame], Scorer], n_splits: int, kind: str = "expanding",
+                 block: str | None = None, label: str = REGRESSION_TARGET, parallelism: int = 1) -> DataFrame:
+    """Metrics per (fold, role) of ``cross_validate``; ``parallelism`` folds are fitted at a time."""
+    if kind not in ("expanding", "k"):
+        raise ValueError(f"unknown kind of folds: {kind}")
+    at = F.col(block or ("block" if kind == "expanding" else "fold"))
+    numbers = range(1, n_splits + 1) if kind == "expanding" else range(n_splits)
+    parts = [(at == i, at < i if kind == "expanding" else at != i) for i in numbers]
+    with ThreadPool(max(1, parallelism)) as pool:
+        scorers = pool.map(inheritable_thread_target(df.sparkSession)(lambda part: fit(df.where(part[1]))), parts)
+    scored, roles = df, []
+    for i, scorer, (is_test, is_train) in zip(numbers, scorers, parts):
+        scored = scorer(scored).withColumnRenamed("prediction", f"_p{i}")
+        role = F.when(is_test, "test").when(is_train, "train")
+        roles.append(F.struct(F.lit(i).alias("fold"), role.alias("role"), F.col(f"_p{i}").alias("prediction")))
+    long = scored.select(F.col(label).alias(label), F.inline(F.array(*roles))).where(F.col("role").isNotNull())
+    return regression_metrics(long, label, "prediction", ["fold", "role"])
+
+
 def cross_validate(df: DataFrame, fit: Callable[[DataFrame], Scorer], n_splits: int, kind: str = "expanding",
-                   block: str | None = None, label: str = REGRESSION_TARGET) -> DataFrame:
+                   block: str | None = None, label: str = REGRESSION_TARGET, parallelism: int = 1) -> DataFrame:
     """M2: per metric, mean and population std over folds, for train and test scores.
 
     ``kind`` "expanding": ``block`` holds expanding-window blocks
@@ -83,18 +104,7 @@ def cross_validate(df: DataFrame, fit: Callable[[DataFrame], Scorer], n_splits:
     all folds, and one aggregate gives all scores. One row per metric:
     ``moyenne_train, ecart_type_train, moyenne_test, ecart_type_test``.
     """
-    if kind not in ("expanding", "k"):
-        raise ValueError(f"unknown kind of folds: {kind}")
-    at = F.col(block or ("block" if kind == "expanding" else "fold"))
-    scored, roles = df, []
-    for i in range(1, n_splits + 1) if kind == "expanding" else range(n_splits):
-        is_test = at == i
-        is_train = at < i if kind == "expanding" else ~is_test
-        scored = fit(df.where(is_train))(scored).withColumnRenamed("prediction", f"_p{i}")
-        role = F.when(is_test, "test").when(is_train, "train")
-        roles.append(F.struct(F.lit(i).alias("fold"), role.alias("role"), F.col(f"_p{i}").alias("prediction")))
-    long = scored.select(F.col(label).alias(label), F.inline(F.array(*roles))).where(F.col("role").isNotNull())
-    m = regression_metrics(long, label, "prediction", ["fold", "role"])
+    m = fold_metrics(df, fit, n_splits, kind, block, label, parallelism)
     scores = m.select("fold", "role", *[(F.col(c) * sign).alias(k) for k, (c, sign) in CV_METRICS.items()]) \
               .unpivot(["fold", "role"], list(CV_METRICS), "metric", "score")
     agg = scores.groupBy("metric").agg(*[

@@ -25,6 +25,19 @@ def test_cross_validation_keys(spark):
     assert pm.score(model, df).where(F.col("prediction").isNull()).count() == 0
 
 
+def test_folds_fitted_in_parallel_give_the_same_scores(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.uniform(size=200), "t": range(200)})
+    pdf["prix"] = 3 * pdf.a + rng.normal(0, 0.1, 200)
+    blocks = splits.time_series_blocks(spark.createDataFrame(pdf), ["t"], 4).cache()
+    fit = pm.gbt_fitter(["a"], maxIter=3, maxDepth=2)
+    one, four = (sorted(map(tuple, pm.fold_metrics(blocks, fit, 4, parallelism=p).collect())) for p in (1, 4))
+    assert len(one) == 8 and np.allclose([r[2:] for r in one], [r[2:] for r in four])
+    assert [r[:2] for r in one] == [r[:2] for r in four]
+    mean = {r.fold: r.rmse for r in pm.fold_metrics(blocks, pm.mean_fitter(), 4).where("role = 'test'").collect()}
+    assert all(rmse < 0.5 * mean[fold] for fold, role, _, _, rmse, *_ in one if role == "test")
+
+
 def test_gbt_beats_mean_baseline(spark):
     rng = np.random.default_rng(7)
     n = 400

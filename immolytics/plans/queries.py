@@ -113,6 +113,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from . import sqlgen  # noqa: E402
 from ..operators import stats  # noqa: E402
+from ..operators.correlation import wide_correlation  # noqa: E402
 from .binding import (CATEGORICAL_COLUMNS, CONTINUOUS_COLUMNS, NUMERIC_COLUMNS,  # noqa: E402
                       TRANSACTION_TYPES, with_gaps)
 
@@ -158,6 +159,19 @@ def q_strong_pairs(spark, sf_dir):
     return stats.strong_pairs(stats.correlation_matrix(tx, NUMERIC_COLUMNS + ["surface_eclairee", "remise"]), 0.7)
 
 
+# A component per column: as many as the vectors have, in pairs of blocks.
+@register("embedding_correlation", """
+WITH cells AS (SELECT vec_id, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
+SELECT 'e' || a.pos AS col_a, 'e' || b.pos AS col_b,
+       covar_pop(a.value, b.value) / NULLIF(stddev_pop(a.value) * stddev_pop(b.value), 0) AS r
+FROM cells a JOIN cells b ON a.vec_id = b.vec_id AND a.pos < b.pos GROUP BY a.pos, b.pos""")
+def q_embedding_correlation(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("embedding")
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    components = vectors.select(*[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(width)])
+    return wide_correlation(components, block=32)
+
+
 @register("crosstab", TRANSACTIONS_SQL + """
 SELECT type_batiment, CAST(count_if(en_dessous_du_marche = 0) AS BIGINT) AS n_0,
        CAST(count_if(en_dessous_du_marche = 1) AS BIGINT) AS n_1

@@ -10,13 +10,18 @@ coalesced into byte ranges (neighbours at most ``GAP`` bytes apart, ranges of at
 most ``RANGE`` bytes or one record). A task reads a range at once and parses the
 records at their offsets.
 
+A response's block is an HTTP response: status line, headers, then the payload. A
+revisit's block holds the HTTP headers alone; it names the response it stands for
+by record id, URI and date, so standard readers can resolve it, and by page id.
+
 Of equal payloads of at least ``LEAST_REVISIT`` bytes the record of largest
 page_id is a response and the others are revisits of it; smaller payloads are
 all responses.
 
 Defined cases: a null html is an empty payload; a null url is an empty target; a
 null page_id sorts below all others; repeated rows with the largest page_id are
-all responses; an empty table gives an empty index; other columns are ignored.
+all responses (revisits name the one of greatest URL; equal rows have equal record
+ids); an empty table gives an empty index; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,23 +64,34 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def record_bytes(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None,
-                 revisit: bool, date: str) -> bytes:
+def _one_line(url: str | None) -> str:
+    return " ".join((url or "").split("\n")).replace("\r", " ")
+
+
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """The same id wherever it is computed: revisits name their response by it."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest} {_one_line(url)}')}>"
+
+
+def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None,
+                 refers_url: str | None, revisit: bool, date: str) -> bytes:
     """One WARC record. A revisit holds no payload, but its full length and digest."""
-    one_line = " ".join(url.split("\n")).replace("\r", " ")
-    headers = [("WARC-Type", "revisit" if revisit else "response"),
-               ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest} {one_line}')}>"),
-               ("WARC-Date", date), ("WARC-Target-URI", one_line), ("WARC-Payload-Digest", f"sha1:{digest}"),
+    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page_id, url, digest)),
+               ("WARC-Date", date), ("WARC-Target-URI", _one_line(url)), ("WARC-Payload-Digest", f"sha1:{digest}"),
                ("WARC-Payload-Length", str(len(payload)))]
     if page_id is not None:
         headers.append(("WARC-Page-ID", str(page_id)))
     if revisit:
         headers += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+                    ("WARC-Refers-To", record_id(refers_to, refers_url, digest)),
+                    ("WARC-Refers-To-Target-URI", _one_line(refers_url)), ("WARC-Refers-To-Date", date),
                     ("WARC-Refers-To-Page-ID", str(refers_to))]
-    body = b"" if revisit else payload
-    headers += [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(body)))]
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    if not revisit:
+        block += payload
+    headers += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     head = "".join(f"{k}: {v}\r\n" for k, v in headers).encode("utf-8", "replace")
-    return _VERSION + b"\r\n" + head + b"\r\n" + body + _END
+    return _VERSION + b"\r\n" + head + b"\r\n" + block + _END
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -99,14 +115,16 @@ def plan_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
-    large = rows.where(F.octet_length("payload") >= least).select("page_id", "digest")
-    winners = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    revisits = (large.distinct().join(winners.select("digest", "refers_to"), "digest")
+    large = rows.where(F.octet_length("payload") >= least).select("page_id", "url", "digest")
+    winners = (large.groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("last"), F.count("*").alias("n"))
+               .where("n > 1").select("digest", F.col("last.page_id").alias("refers_to"), F.col("last.url").alias("refers_url")))
+    revisits = (large.select("page_id", "digest").distinct().join(winners, "digest")
                 .where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
-                .select(F.col("page_id").alias("__page"), F.col("digest").alias("__digest"), "refers_to"))
+                .select(F.col("page_id").alias("__page"), F.col("digest").alias("__digest"), "refers_to", "refers_url"))
     return (rows.join(revisits, F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("digest") == F.col("__digest")),
                       "left")
-            .select("page_id", "url", "payload", "digest", F.col("__digest").isNotNull().alias("revisit"), "refers_to"))
+            .select("page_id", "url", "payload", "digest", F.col("__digest").isNotNull().alias("revisit"), "refers_to",
+                    "refers_url"))
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) -> DataFrame:
@@ -126,8 +144,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) ->
                     name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}.warc.gz"
                     out, at = files.open_output_stream(f"{base}/{name}", compression=None), 0
                 index: list[list] = [[] for _ in INDEX]
-                for page, url, payload, digest, revisit, refers in zip(*(c.to_pylist() for c in batch.columns)):
-                    member = gzip.compress(record_bytes(page, url or "", payload, digest, refers, revisit, date),
+                for page, url, payload, digest, revisit, refers, refers_url in zip(*(c.to_pylist() for c in batch.columns)):
+                    member = gzip.compress(record_bytes(page, url, payload, digest, refers, refers_url, revisit, date),
                                            compresslevel=3, mtime=0)
                     out.write(member)
                     for column, value in zip(index, (name, at, len(member), url, digest,
@@ -185,7 +203,8 @@ def read_records(index: DataFrame, folder: str, gap: int = GAP, most: int = RANG
                 rows: list[list] = [[] for _ in RECORD]
                 for offset, length in zip(offsets, lengths):
                     member = data[offset - first:offset - first + length]
-                    headers, body = parse_record(gzip.GzipFile(fileobj=io.BytesIO(member)).read())
+                    headers, block = parse_record(gzip.GzipFile(fileobj=io.BytesIO(member)).read())
+                    body = block.partition(b"\r\n\r\n")[2]                  # after the HTTP headers
                     kind, digest = headers["WARC-Type"], headers["WARC-Payload-Digest"].removeprefix("sha1:")
                     size, intact = int(headers["WARC-Payload-Length"]), True
                     if kind == "response":

@@ -80,3 +80,41 @@ def test_archives_are_standard_gzip_members(spark, odd, tmp_path):
         assert head.startswith(b"WARC/1.1\r\n") and rest[size:size + 4] == b"\r\n\r\n"
         data, seen = rest[size + 4:], seen + 1
     assert seen == 11
+
+
+def test_revisits_name_their_response_in_standard_headers(spark, odd, tmp_path):
+    import gzip
+    _, df = odd
+    W.write_archives(df.repartition(3), str(tmp_path))
+    records = {}
+    for path in tmp_path.glob("*.warc.gz"):
+        data = gzip.open(path).read()
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
+            size = int(fields["Content-Length"])
+            records[fields["WARC-Record-ID"]] = fields, rest[:size]
+            data = rest[size + 4:]
+    revisits = [f for f, _ in records.values() if f["WARC-Type"] == "revisit"]
+    assert len(records) == 11 and len(revisits) == 3                  # pages 1, 2 and the one without an id
+    for fields in revisits:
+        target, block = records[fields["WARC-Refers-To"]]
+        assert target["WARC-Type"] == "response" and target["WARC-Page-ID"] == fields["WARC-Refers-To-Page-ID"] == "7"
+        assert target["WARC-Target-URI"] == fields["WARC-Refers-To-Target-URI"]
+        assert target["WARC-Date"] == fields["WARC-Refers-To-Date"]
+        assert target["WARC-Payload-Digest"] == fields["WARC-Payload-Digest"]
+    for fields, block in records.values():
+        assert fields["Content-Type"] == "application/http; msgtype=response"
+        http, _, payload = block.partition(b"\r\n\r\n")
+        assert http.startswith(b"HTTP/1.1 200 OK\r\n")
+        assert f"Content-Length: {fields['WARC-Payload-Length']}".encode() in http
+        if fields["WARC-Type"] == "response":
+            assert "sha1:" + hashlib.sha1(payload).hexdigest() == fields["WARC-Payload-Digest"]
+        else:
+            assert payload == b""
+
+
+def test_equal_payloads_without_any_page_id_are_all_responses(spark):
+    df = spark.createDataFrame([(None, f"http://a/{i}", "q" * 2000) for i in range(4)], "page_id long, url string, html string")
+    assert got(W.round_trip(df)) == plain([(None, "q" * 2000)] * 4)
+    assert {r.record_type for r in W.round_trip(df).collect()} == {"response"}

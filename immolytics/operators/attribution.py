@@ -72,11 +72,13 @@ def numbered(df: DataFrame, key: str, seed: str) -> DataFrame:
 
 def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[str], key: str,
                         scorer: Scorer, n_pairs: int | None = 1, n_draws: int = 5, seed: int = RANDOM_STATE,
-                        background_key: str | None = None) -> DataFrame:
+                        background_key: str | None = None, errors: bool = False) -> DataFrame:
     """M9: (key, feature, phi); per row the phis add up to f(x) minus the mean of f over its draws.
 
     ``n_draws`` background rows are drawn per row and pair (with all orders: per
     row), uniformly from all of ``background``; ``background_key`` is its unique key.
+    ``errors`` adds ``error``, the standard error of phi over a row's draws (each pair's
+    mean with one background row counts as one; NULL for a single one).
     """
     p, groups = len(features), permutations(features, n_pairs, seed)
     ranks = [r for g in groups for r in g]
@@ -97,15 +99,20 @@ def shapley_attribution(rows: DataFrame, background: DataFrame, features: list[s
         return F.element_at(F.array(*[F.lit(value_of(rank, k)) for rank in ranks for k in range(steps)]),
                             F.col("_step") + 1)
 
-    mixed = hybrids.select(key, "_step", *[
+    mixed = hybrids.select(key, "_group", "_draw", "_step", *[
         F.when(by_step(lambda rank, k, i=i: rank[i] < k), F.col(f"x_{f}")).otherwise(F.col(f"z_{f}")).alias(f)
         for i, f in enumerate(features)])
     scored = scorer(mixed)
-    share = 1.0 / (n_draws * len(ranks))
-    sums = scored.groupBy(key).agg(*[
-        (F.sum(F.col("prediction") * by_step(lambda rank, k, i=i: float((k == rank[i] + 1) - (k == rank[i])))) * share)
-        .alias(f) for i, f in enumerate(features)])
-    return sums.unpivot([key], features, "feature", "phi")
+    gains = [F.sum(F.col("prediction") * by_step(lambda rank, k, i=i: float((k == rank[i] + 1) - (k == rank[i]))))
+             for i in range(p)]
+    if not errors:
+        share = 1.0 / (n_draws * len(ranks))
+        sums = scored.groupBy(key).agg(*[(gain * share).alias(f) for gain, f in zip(gains, features)])
+        return sums.unpivot([key], features, "feature", "phi")
+    draws = scored.groupBy(key, "_group", "_draw").agg(*[(gain / per_group).alias(f) for gain, f in zip(gains, features)])
+    cells = draws.groupBy(key).agg(*[F.struct(F.lit(f).alias("feature"), F.avg(f).alias("phi"),
+                                              (F.stddev_samp(f) / F.sqrt(F.count(f))).alias("error")).alias(f) for f in features])
+    return cells.select(key, F.inline(F.array(*[F.col(f) for f in features])))
 
 
 def global_importance(phi: DataFrame) -> DataFrame:

@@ -90,3 +90,29 @@ def test_draws_cover_the_whole_background(spark):
     phi = attribution.shapley_attribution(df, df, ["x"], "k", lambda d: d.withColumn("prediction", F.col("x")), n_draws=8)
     mean = phi.agg(F.avg("phi")).first()[0]
     assert abs(mean) < 15                                    # mean of f minus mean of draws: 500 x 8 x 2 / 2 draws
+
+
+def test_errors_of_drawn_attributions(spark):
+    """Exact values lie within a few standard errors, errors shrink with the root of the draws, phis stay as without."""
+    from immolytics.operators.tree_attribution import product_attribution
+    df = spark.range(400).select(F.col("id").cast("string").alias("k"), (F.col("id") % 17).cast("double").alias("a"),
+                                 (F.col("id") % 23).cast("double").alias("b"), (F.col("id") % 5).cast("double").alias("c"))
+    feats = ["a", "b", "c"]
+    scorer = lambda d: d.withColumn("prediction", F.col("a") * F.col("b"))
+    rows = df.where("k % 4 = 1")
+    exact = {(r["k"], r["feature"]): r["phi"]
+             for r in product_attribution(rows, df, [(1.0, ("a", "b"))], feats, "k").collect()}
+    means = {}
+    for n in (10, 40):
+        got = attribution.shapley_attribution(rows, df, feats, "k", scorer, n_pairs=2, n_draws=n, errors=True).collect()
+        assert len(got) == 300 and {r["error"] for r in got if r["feature"] == "c"} == {0.0}
+        live = [r for r in got if r["feature"] != "c"]
+        near = [abs(r["phi"] - exact[r["k"], r["feature"]]) <= 2.5 * r["error"] for r in live]
+        assert sum(near) / len(near) > 0.93
+        means[n] = sum(r["error"] for r in live) / len(live)
+    assert 1.7 < means[10] / means[40] < 2.3
+    plain = {(r["k"], r["feature"]): r["phi"] for r in attribution.shapley_attribution(
+        rows, df, feats, "k", scorer, n_pairs=2, n_draws=40).collect()}
+    assert all(r["phi"] == pytest.approx(plain[r["k"], r["feature"]], abs=1e-9) for r in got)
+    one = attribution.shapley_attribution(rows, df, feats, "k", scorer, n_pairs=1, n_draws=1, errors=True)
+    assert one.where("error IS NOT NULL").count() == 0

@@ -366,12 +366,16 @@ def market_prediction():
     return F.col("prix_m2_moyen_mois_precedent") * F.col("surface_habitable")
 
 
-def split_prepared(spark, sf_dir):
-    return splits.with_split(prepared_table(spark, sf_dir), [ROW_KEY])
+def split_prepared(spark, sf_dir, columns=None):
+    return splits.with_split(prepared_table(spark, sf_dir, columns), [ROW_KEY])
 
 
-def scored_market(spark, sf_dir):
-    return split_prepared(spark, sf_dir).withColumn("prediction", market_prediction())
+# What the fixed scorer and its errors need: the only columns that are written for them.
+SCORED = [ROW_KEY, "prix", "prix_m2_moyen_mois_precedent", "surface_habitable"]
+
+
+def scored_market(spark, sf_dir, columns=None):
+    return split_prepared(spark, sf_dir, columns).withColumn("prediction", market_prediction())
 
 
 @register("split_and_encode", SPLIT_SQL + """
@@ -380,7 +384,7 @@ SELECT s.id_transaction, s.split, k.col || '_' || k.cat AS feature,
             AS INTEGER) AS value
 FROM split s, ranked_cats k WHERE k.pos > 1""")
 def q_split_and_encode(spark, sf_dir):
-    s = split_prepared(spark, sf_dir)
+    s = split_prepared(spark, sf_dir, [ROW_KEY, *COLS_TO_ENCODE])
     model = encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE)
     enc = encode.transform_one_hot(s, model)
     return enc.unpivot([ROW_KEY, "split"], model.all_feature_names, "feature", "value")
@@ -394,7 +398,7 @@ SELECT id_transaction,
        ELSE (SELECT cat FROM ranked_cats WHERE col = 'nom_region' AND pos = 1) END AS nom_region
 FROM split""")
 def q_inverse_one_hot(spark, sf_dir):
-    s = split_prepared(spark, sf_dir)
+    s = split_prepared(spark, sf_dir, [ROW_KEY, *COLS_TO_ENCODE])
     model = encode.fit_one_hot(s.where(F.col("split") == "train"), COLS_TO_ENCODE)
     out = encode.transform_one_hot(s.select(ROW_KEY, *COLS_TO_ENCODE), model)
     for c in COLS_TO_ENCODE:
@@ -478,12 +482,12 @@ _ABS_SQL = ("count(*) AS count, avg(abs(prix - prediction)) AS mean, stddev_samp
 
 @register("regression_metrics", SPLIT_SQL + f"SELECT split, {_METRICS_SQL} FROM scored GROUP BY split")
 def q_regression_metrics(spark, sf_dir):
-    return metrics.regression_metrics(scored_market(spark, sf_dir), by=["split"])
+    return metrics.regression_metrics(scored_market(spark, sf_dir, SCORED), by=["split"])
 
 
 @register("abs_error_stats", SPLIT_SQL + f"SELECT split, {_ABS_SQL} FROM scored GROUP BY split")
 def q_abs_error_stats(spark, sf_dir):
-    return metrics.abs_error_stats(scored_market(spark, sf_dir), by=["split"])
+    return metrics.abs_error_stats(scored_market(spark, sf_dir, SCORED), by=["split"])
 
 
 @register("residual_range", SPLIT_SQL + """
@@ -492,7 +496,7 @@ SELECT avg(prix - prediction) AS mean, stddev_pop(prix - prediction) AS std,
        avg(prix - prediction) + 4 * stddev_pop(prix - prediction) AS high
 FROM test""")
 def q_residual_range(spark, sf_dir):
-    return metrics.residual_range(scored_market(spark, sf_dir).where(F.col("split") == "test"))
+    return metrics.residual_range(scored_market(spark, sf_dir, SCORED).where(F.col("split") == "test"))
 
 
 @register("extreme_errors", SPLIT_SQL + """
@@ -537,7 +541,7 @@ def q_mean_baseline(spark, sf_dir):
 SELECT split, {_METRICS_SQL}, avg(abs(prix - prediction)) AS error_mean, stddev_samp(abs(prix - prediction)) AS error_std
 FROM scored GROUP BY split""")
 def q_evaluate(spark, sf_dir):
-    return metrics.evaluate(scored_market(spark, sf_dir))
+    return metrics.evaluate(scored_market(spark, sf_dir, SCORED))
 
 
 MODEL_DRIFT_SQL = SPLIT_SQL + f"""
@@ -558,7 +562,7 @@ MODEL_DRIFT_SQL = SPLIT_SQL + f"""
 
 
 def model_drift_report(spark, sf_dir):
-    test = scored_market(spark, sf_dir).where(F.col("split") == "test")
+    test = scored_market(spark, sf_dir, SCORED).where(F.col("split") == "test")
     return metrics.model_drift(splits.positional_halves(test, [ROW_KEY]))
 
 

@@ -18,6 +18,8 @@ from ..operators.columns import keep_known_columns, nan_to_null, strip_column_na
 from ..settings import LOADED_COLUMNS
 
 EXCEL = (".xls", ".xlsx")
+# JSON repeats the names on every row: the writers pack it (one file per writing task, so one reading task per file).
+PACKED_JSON = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def extension(path: str) -> str:
@@ -101,10 +103,10 @@ def write_json_array(df: DataFrame, path: str) -> str:
             yield pd.DataFrame({"value": ["]"]})
 
     objects = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    objects.mapInPandas(bracketed, "value string").write.mode("overwrite").text(path)
+    objects.mapInPandas(bracketed, "value string").write.mode("overwrite").options(**PACKED_JSON).text(path)
     return path
 
 
 def write_json(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**PACKED_JSON).json(path)
     return path

@@ -7,6 +7,7 @@ model per fold and scores all folds in a single metrics job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
@@ -23,6 +24,8 @@ from .encode import OneHotModel, indicator
 from .metrics import regression_metrics
 
 Scorer = Callable[[DataFrame], DataFrame]
+# Training rows that a task of the booster holds.
+ROWS_IN_PART = 500_000
 
 
 def price_pipeline(features: list[str], label: str = REGRESSION_TARGET, **overrides) -> Pipeline:
@@ -34,9 +37,25 @@ def price_pipeline(features: list[str], label: str = REGRESSION_TARGET, **overri
     ])
 
 
+def in_even_parts(train: DataFrame, rows: int | None = None) -> DataFrame:
+    """``train`` dealt into parts of about ``rows`` rows (unchanged if it has no more than that in all).
+
+    The booster keeps its rows as objects, many times the size of their files: parts as large as
+    files allow would be too much for one task, and uneven.
+    """
+    rows = rows or ROWS_IN_PART
+    n = train.count()
+    if n <= rows:
+        return train
+    parts = max(math.ceil(n / rows), train.sparkSession.sparkContext.defaultParallelism)
+    return train.repartition(parts, *[F.col(f"`{c}`") for c in train.columns], F.spark_partition_id())     # equal rows are spread too
+
+
 def train_price_model(train: DataFrame, features: list[str], label: str = REGRESSION_TARGET,
                       **overrides) -> PipelineModel:
-    return price_pipeline(features, label, **overrides).fit(train)
+    named = [v for v in overrides.values() if isinstance(v, str) and v in train.columns]               # weightCol and the like
+    needed = train.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*features, label, *named])])
+    return price_pipeline(features, label, **overrides).fit(in_even_parts(needed))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

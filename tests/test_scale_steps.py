@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from immolytics.operators import attribution
+from immolytics.operators import attribution, model as pm
 from immolytics.plans import binding
 from immolytics.plans.queries import q_fanout_split, two_volumes
 from immolytics.sources import files
@@ -60,3 +60,15 @@ def test_top_of_wide_rows(spark):
         assert key(got) == key(want)
     text = plan(attribution.top_attributions(wide, "k", 2, wide=True))
     assert text.count("+- Sort") == text.count("Window ") and "WindowGroupLimit" not in text
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    df = spark.range(0, 4000, 1, 1).select((F.col("id") % 40).cast("double").alias("x.1"), (F.col("id") % 400).cast("double").alias("prix"))
+    assert pm.in_even_parts(df) is df
+    parts = pm.in_even_parts(df, 400).groupBy(F.spark_partition_id()).count().collect()
+    assert pm.in_even_parts(df, 400).count() == 4000 and len(parts) > 5 and max(r["count"] for r in parts) < 1200
+    seen = []
+    even = pm.in_even_parts
+    monkeypatch.setattr(pm, "in_even_parts", lambda train, *a: seen.append(train.columns) or even(train, 400))
+    fitted = pm.train_price_model(df.withColumnRenamed("x.1", "x"), ["x"], maxIter=2)
+    assert seen == [["x", "prix"]] and pm.score(fitted, df.withColumnRenamed("x.1", "x")).where("prediction IS NULL").count() == 0

@@ -1,6 +1,7 @@
 """Price model on Spark ML.
 
-``VectorAssembler`` + ``GBTRegressor`` in one ``Pipeline``; scoring is
+``VectorAssembler`` + ``GBTRegressor`` in one ``Pipeline`` (beyond 500,000 training
+rows its trees are fitted by ``boosting``); scoring is
 ``PipelineModel.transform`` for one row or a billion. Cross-validation fits one
 model per fold and scores all folds in a single metrics job.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import normalize_text
 from ..settings import GBT_PARAMS, REGRESSION_TARGET
+from . import boosting
 from .columns import align_columns
 from .encode import OneHotModel, indicator
 from .metrics import regression_metrics
@@ -55,7 +57,11 @@ def train_price_model(train: DataFrame, features: list[str], label: str = REGRES
                       **overrides) -> PipelineModel:
     named = [v for v in overrides.values() if isinstance(v, str) and v in train.columns]               # weightCol and the like
     needed = train.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*features, label, *named])])
-    return price_pipeline(features, label, **overrides).fit(in_even_parts(needed))
+    pipeline, even = price_pipeline(features, label, **overrides), in_even_parts(needed)
+    if even is needed or not boosting.supports(needed, features, {**GBT_PARAMS, **overrides}):
+        return pipeline.fit(even)
+    assembler, gbt = pipeline.getStages()
+    return PipelineModel([assembler, boosting.fit(gbt, needed, features)])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -18,10 +18,11 @@ import sys
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import RDD, StorageLevel, TaskContext, cloudpickle
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 ROWS = 65_536               # rows in a block
 PART_ROWS = 4_000_000       # most rows in a task, which holds one block at a time
@@ -310,3 +311,29 @@ def fit(gbt: GBTRegressor, train: DataFrame, features: list[str]) -> GBTRegressi
     finally:
         for rdd in {id(r): r for r in (first, now, held) if r is not None}.values():
             rdd.unpersist()
+
+
+# ------------------------------------------------------------------ scores
+def prediction(nodes: list[tuple], features: list[str]) -> Column:
+    """The sum of the trees ``nodes`` (``tree_attribution.tree_nodes``) as a column, a batch of rows at a time."""
+    trees = []
+    for tree in sorted({n[0] for n in nodes}):
+        own = sorted((n for n in nodes if n[0] == tree), key=lambda n: n[1])
+        at = {n[1]: i for i, n in enumerate(own)}
+        children = np.array([(at.get(n[4], i), at.get(n[5], i)) for i, n in enumerate(own)], np.intp).reshape(-1)       # a leaf leads to itself
+        trees.append((np.array([max(n[2], 0) for n in own]), np.array([n[3] for n in own]), children, np.array([n[6] for n in own])))
+
+    def total(*columns: pd.Series) -> pd.Series:
+        n = len(columns[0])
+        x, rows, out = np.concatenate([c.to_numpy("f8") for c in columns]), np.arange(n), np.zeros(n)
+        for feature, threshold, children, value in trees:
+            place = np.zeros(n, np.intp)
+            while True:                                                 # missing values go right, as in Spark ML
+                below = children.take(2 * place + ~(x.take(feature.take(place) * n + rows) <= threshold.take(place)))
+                if (below == place).all():
+                    break
+                place = below
+            out += value.take(place)
+        return pd.Series(out)
+
+    return F.pandas_udf(total, "double")(*[F.col(f"`{c}`").cast("double") for c in features])

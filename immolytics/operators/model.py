@@ -24,6 +24,7 @@ from . import boosting
 from .columns import align_columns
 from .encode import OneHotModel, indicator
 from .metrics import regression_metrics
+from .tree_attribution import tree_nodes
 
 Scorer = Callable[[DataFrame], DataFrame]
 # Training rows that a task of the booster holds.
@@ -55,13 +56,18 @@ def in_even_parts(train: DataFrame, rows: int | None = None) -> DataFrame:
 
 def train_price_model(train: DataFrame, features: list[str], label: str = REGRESSION_TARGET,
                       **overrides) -> PipelineModel:
+    return _fitted(train, features, label, overrides)[0]
+
+
+def _fitted(train: DataFrame, features: list[str], label: str, overrides: dict) -> tuple[PipelineModel, bool]:
+    """The model, and whether its trees are fitted by ``boosting``."""
     named = [v for v in overrides.values() if isinstance(v, str) and v in train.columns]               # weightCol and the like
     needed = train.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*features, label, *named])])
     pipeline, even = price_pipeline(features, label, **overrides), in_even_parts(needed)
     if even is needed or not boosting.supports(needed, features, {**GBT_PARAMS, **overrides}):
-        return pipeline.fit(even)
+        return pipeline.fit(even), False
     assembler, gbt = pipeline.getStages()
-    return PipelineModel([assembler, boosting.fit(gbt, needed, features)])
+    return PipelineModel([assembler, boosting.fit(gbt, needed, features)]), True
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -79,9 +85,13 @@ def load_model(path: str) -> PipelineModel:
 
 
 def gbt_fitter(features: list[str], label: str = REGRESSION_TARGET, **overrides) -> Callable[[DataFrame], Scorer]:
+    """``score`` after ``train_price_model``; trees over many rows also score a batch of rows at a time."""
     def fit(train: DataFrame) -> Scorer:
-        m = train_price_model(train, features, label, **overrides)
-        return lambda df: score(m, df)
+        m, many = _fitted(train, features, label, overrides)
+        if not many:
+            return lambda df: score(m, df)
+        total = boosting.prediction(tree_nodes(train.sparkSession, m), features)
+        return lambda df: df.withColumn("prediction", total)
     return fit
 
 

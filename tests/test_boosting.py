@@ -80,3 +80,17 @@ def test_quantiles_cover_all_rows(spark):
     assert tables[0][0] == x.min() and tables[0][-1] == x.max()
     cuts = boosting.bin_cuts(tables, 32)
     assert len(cuts[0]) == 31 and list(cuts[1]) == [0.5, 1.5, 2.5, 3.5, 4.5, 5.5]
+
+
+def test_folds_over_many_rows_score_in_batches(spark, sales, small_blocks, monkeypatch):
+    features = ["a", "b", "c d", "rare"]
+    model = pm.train_price_model(sales, features, maxIter=4)
+    holes = sales.withColumn("a", F.when(F.col("b") == 3, float("nan")).when(F.col("b") != 5, F.col("a")))
+    total = boosting.prediction(tree_attribution.tree_nodes(spark, model), features)
+    pairs = pm.score(model, holes).withColumn("total", total).select("prediction", "total").toPandas()
+    assert len(pairs) == 3000 and np.allclose(pairs.prediction, pairs.total, rtol=1e-12) and pairs.total.nunique() > 10
+    blocks = sales.withColumn("block", F.pmod(F.xxhash64("a", "prix"), F.lit(3)).cast("int"))
+    want = pm.fold_metrics(blocks, lambda train: lambda df: pm.score(pm.train_price_model(train, features, maxIter=2), df), 2).orderBy("fold", "role").toPandas()
+    monkeypatch.setattr(pm, "score", lambda *a: pytest.fail("a row at a time"))
+    got = pm.fold_metrics(blocks, pm.gbt_fitter(features, maxIter=2), 2).orderBy("fold", "role").toPandas()
+    pd.testing.assert_frame_equal(got, want)

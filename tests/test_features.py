@@ -118,3 +118,17 @@ def test_missing_column_raises(sales):
         feat.feature_engineering(sales.drop("nb_transactions_mois"))
     with pytest.raises(KeyError):
         drop_existing(sales, ["nope"])
+
+
+def test_prepared_set_of_written_columns_joins_once(spark):
+    from immolytics.plans.binding import prepared
+    from immolytics.settings import ROW_KEY
+    sf = "/root/testdata/sf0.001"
+    columns = [ROW_KEY, "prix", "vefa", "surface_habitable"]
+    got, want = prepared(spark, sf, columns), prepared(spark, sf)
+    assert set(got.columns) == set(want.columns) - {"type_batiment", "latitude", "longitude", "nom_region"}
+    assert not any("lineitem" in f or "orders" in f for f in got.inputFiles()) and any("lineitem" in f for f in want.inputFiles())
+    assert got.count() == want.count() > 0
+    names = [c for c in got.columns if c != "en_dessous_du_marche"]
+    floats = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in want.select(*names).dtypes]
+    assert got.select(*floats).exceptAll(want.select(*floats)).isEmpty()

@@ -146,3 +146,23 @@ def test_balanced_folds_differ_by_the_largest_group_at_most(spark):
     assert all(len(f) == 1 for f in of_group.values()) and max(sizes) - min(sizes) <= largest
     with pytest.raises(ValueError):
         balanced_folds(df, ["g"], 1)
+
+
+def test_only_rows_of_the_values_at_a_rank_are_ranked(spark, monkeypatch):
+    rows = [(2000 + i // 12 % 3, 1 + i * 7 % 12, None if i % 250 == 0 else f"k{i * 37 % 6000:05d}") for i in range(6000)] + [(None, 3, "x"), (2001, None, "y")]
+    df = spark.createDataFrame(rows, "annee int, mois int, key string").repartition(4)
+    ranked, cuts_at = [], splits.cuts_at
+    monkeypatch.setattr(splits, "cuts_at", lambda rows, *a: ranked.append(rows.count()) or cuts_at(rows, *a))
+
+    def both():
+        return [sorted(f.collect(), key=str) for f in (splits.time_series_blocks(df, ["annee", "mois", "key"], 5), splits.k_folds(df, ["annee", "mois", "key"], 4))]
+
+    got = both()
+    assert len(ranked) == 2 and max(ranked) < 2000
+    monkeypatch.setattr(splits, "LEADS", 3)                             # too many values of the leading columns: all rows are ranked
+    assert both() == got and ranked[2:] == [6002, 6002]
+    twice = df.unionByName(df)
+    for leads in (3, 100):
+        monkeypatch.setattr(splits, "LEADS", leads)
+        with pytest.raises(ValueError, match="not unique at rank"):
+            splits.time_series_blocks(twice.where("key = 'k00037' or key = 'k00001'"), ["annee", "mois", "key"], 3)

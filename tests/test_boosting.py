@@ -94,3 +94,16 @@ def test_folds_over_many_rows_score_in_batches(spark, sales, small_blocks, monke
     monkeypatch.setattr(pm, "score", lambda *a: pytest.fail("a row at a time"))
     got = pm.fold_metrics(blocks, pm.gbt_fitter(features, maxIter=2), 2).orderBy("fold", "role").toPandas()
     pd.testing.assert_frame_equal(got, want)
+
+
+def test_cross_validation_fits_every_tree_of_the_reference(spark, monkeypatch):
+    from immolytics.plans import queries
+    from immolytics.settings import GBT_PARAMS
+    pdf = pd.DataFrame({c: np.arange(60) % (3 + i) + 1.0 for i, c in enumerate(queries.BASE_FEATURES)})
+    pdf["annee_transaction"], pdf["mois_transaction"] = 2018 + np.arange(60) // 24, np.arange(60) % 12 + 1
+    pdf["id_transaction"], pdf["prix"] = [f"r{i:02d}" for i in range(60)], np.arange(60) + 1.0
+    monkeypatch.setattr(queries, "prepared", lambda *a: spark.createDataFrame(pdf))
+    monkeypatch.setattr(pm, "gbt_fitter", lambda features, label, **changed: asked.append(changed) or pm.mean_fitter(label))
+    asked = []
+    assert queries.QUERIES["cv_gbt"](spark, "").count() == 5
+    assert [{**GBT_PARAMS, **changed} for changed in asked] == [GBT_PARAMS] and GBT_PARAMS["maxIter"] == 150

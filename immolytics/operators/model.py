@@ -56,22 +56,22 @@ def in_even_parts(train: DataFrame, rows: int | None = None) -> DataFrame:
 
 def train_price_model(train: DataFrame, features: list[str], label: str = REGRESSION_TARGET,
                       **overrides) -> PipelineModel:
-    return _fitted(train, features, label, overrides)[0]
-
-
-def _fitted(train: DataFrame, features: list[str], label: str, overrides: dict) -> tuple[PipelineModel, bool]:
-    """The model, and whether its trees are fitted by ``boosting``."""
+    """The fitted pipeline; ``many_rows`` is set on it if its trees are fitted by ``boosting``."""
     named = [v for v in overrides.values() if isinstance(v, str) and v in train.columns]               # weightCol and the like
     needed = train.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*features, label, *named])])
     pipeline, even = price_pipeline(features, label, **overrides), in_even_parts(needed)
     if even is needed or not boosting.supports(needed, features, {**GBT_PARAMS, **overrides}):
-        return pipeline.fit(even), False
+        return pipeline.fit(even)
     assembler, gbt = pipeline.getStages()
-    return PipelineModel([assembler, boosting.fit(gbt, needed, features)]), True
+    model = PipelineModel([assembler, boosting.fit(gbt, needed, features)])
+    model.many_rows = True
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """M3: batch prediction (drops the assembled vector)."""
+    """M3: batch prediction (drops the assembled vector); a model just fitted to many rows scores a batch of rows at a time."""
+    if getattr(model, "many_rows", False):
+        return df.withColumn("prediction", boosting.prediction(tree_nodes(df.sparkSession, model), model.stages[0].getInputCols()))
     return model.transform(df).drop("features")
 
 
@@ -85,13 +85,10 @@ def load_model(path: str) -> PipelineModel:
 
 
 def gbt_fitter(features: list[str], label: str = REGRESSION_TARGET, **overrides) -> Callable[[DataFrame], Scorer]:
-    """``score`` after ``train_price_model``; trees over many rows also score a batch of rows at a time."""
+    """``score`` after ``train_price_model``."""
     def fit(train: DataFrame) -> Scorer:
-        m, many = _fitted(train, features, label, overrides)
-        if not many:
-            return lambda df: score(m, df)
-        total = boosting.prediction(tree_nodes(train.sparkSession, m), features)
-        return lambda df: df.withColumn("prediction", total)
+        m = train_price_model(train, features, label, **overrides)
+        return lambda df: score(m, df)
     return fit
 
 

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
@@ -96,6 +97,44 @@ def test_folds_over_many_rows_score_in_batches(spark, sales, small_blocks, monke
     pd.testing.assert_frame_equal(got, want)
 
 
+def test_nodes_keep_their_squares_and_many_rows_score_in_batches(sales, small_blocks, monkeypatch, tmp_path):
+    features, params = ["a", "b", "c d", "rare"], dict(maxIter=4, maxDepth=3, subsamplingRate=1.0)
+    want = pm.price_pipeline(features, "prix", **params).fit(sales)
+    got = pm.train_price_model(sales, features, **params)
+    saved = []
+    for name, model in (("got", got), ("want", want)):
+        model.stages[-1].save(str(tmp_path / name))
+        nodes = sales.sparkSession.read.parquet(f"{tmp_path / name}/data").select("treeID", "nodeData.*").collect()
+        saved.append(np.array(sorted((r.treeID, *r.impurityStats) for r in nodes)))
+    assert saved[0].shape == saved[1].shape and np.allclose(saved[0], saved[1])
+    scores = pm.score(want, sales).agg(F.sum("prediction")).first()[0]
+    monkeypatch.setattr(PipelineModel, "transform", lambda *a: pytest.fail("a row at a time"))
+    assert pm.score(got, sales).agg(F.sum("prediction")).first()[0] == pytest.approx(scores)
+
+
+def test_one_sibling_is_counted_the_other_is_the_rest():
+    rng = np.random.default_rng(2)
+    sizes = [5, 3]
+    code, step, cells = boosting.shared_codes(sizes)
+    bins = np.stack([rng.integers(0, b, 500) for b in sizes])
+    y = bins[0] * 2.0 + bins[1] ** 2 + rng.normal(0, .1, 500)
+    codes = np.zeros((len(cells), 500), "i2")
+    for f in range(2):
+        codes[code[f]] += (bins[f] * step[f]).astype("i2")
+    asked = []
+
+    def count(levels, chosen):
+        asked.append((len(levels), len(chosen)))
+        found = next(boosting.counter(levels, chosen, code, step, sizes, cells, 8)(iter([(0, codes, y, None, None)])))
+        return found[:-8].reshape(2, len(chosen), sum(sizes))
+
+    levels, nodes = boosting.grow(count, boosting.Params(1, 3, 1.0, 1.0, 2, 0.0, 1), code, step, sizes)
+    assert asked == [(0, 1), (1, 1), (2, 2)]
+    place = boosting.places(levels, cells)(codes)
+    leaves = {i: stats for (level, i), (stats, split) in nodes.items() if level == 3}
+    assert leaves and all(stats[0] == (place == i).sum() and stats[1] == pytest.approx(y[place == i].sum()) for i, stats in leaves.items())
+
+
 def test_cross_validation_fits_every_tree_of_the_reference(spark, monkeypatch):
     from immolytics.plans import queries
     from immolytics.settings import GBT_PARAMS

@@ -109,3 +109,23 @@ def test_products_equal_enumerated_values(spark, data):
     want = enumerated(lambda m: 2 * m[:, 0] * m[:, 1] * m[:, 2] - m[:, 0] + 0.5 * m[:, 2] * m[:, 3], xs, zs)
     phi = T.product_attribution(df.where(F.col("id").isin(ids)), df, terms, FEATURES, "id")
     assert as_table(phi, ids) == pytest.approx(want, abs=1e-9)
+
+
+def test_tables_and_joins_agree_on_repeated_and_missing_keys(spark, data, monkeypatch):
+    pdf, _ = data
+    odd = pdf.copy()
+    odd.loc[3:5, "id"], odd.loc[7:9, "id"], odd.loc[10:12, "a"] = "r0", None, None
+    df = spark.createDataFrame(odd)
+    nodes = T.tree_nodes(spark, GBTRegressor(maxIter=3, maxDepth=4, labelCol="y").fit(
+        VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data[1])))
+
+    def found():
+        phi = T.tree_attribution(df, df, nodes, FEATURES, "id")
+        start = spark.range(1).select(T.expected_value(df, nodes, FEATURES)).first()[0]
+        return phi, {(r["id"], r["feature"]): r["phi"] for r in phi.collect()}, start
+
+    phi, rows, start = found()
+    assert "Join" not in phi._jdf.queryExecution().optimizedPlan().toString()      # rows look up their patterns in place
+    monkeypatch.setattr(T, "MOST_CELLS", 0)
+    _, want, want_start = found()
+    assert len(rows) == 145 * 4 and rows == pytest.approx(want, abs=1e-9) and start == pytest.approx(want_start)

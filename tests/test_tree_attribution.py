@@ -129,3 +129,13 @@ def test_tables_and_joins_agree_on_repeated_and_missing_keys(spark, data, monkey
     monkeypatch.setattr(T, "MOST_CELLS", 0)
     _, want, want_start = found()
     assert len(rows) == 145 * 4 and rows == pytest.approx(want, abs=1e-9) and start == pytest.approx(want_start)
+
+
+def test_global_importance_is_over_all_rows_and_the_whole_background(spark, data):
+    from immolytics.operators.attribution import global_importance
+    pdf, df = data
+    xs = pdf[FEATURES].to_numpy()
+    want = np.abs(enumerated(lambda m: m[:, 0] * m[:, 1], xs, xs)).mean(axis=0)
+    phi = T.product_attribution(df, df, [(1.0, ("a", "b"))], FEATURES, "id")
+    got = {r["feature"]: r["mean_abs_phi"] for r in global_importance(phi).collect()}
+    assert [got[f] for f in FEATURES] == pytest.approx(want, abs=1e-9)

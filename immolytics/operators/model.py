@@ -85,10 +85,13 @@ def load_model(path: str) -> PipelineModel:
 
 
 def gbt_fitter(features: list[str], label: str = REGRESSION_TARGET, **overrides) -> Callable[[DataFrame], Scorer]:
-    """``score`` after ``train_price_model``."""
+    """``score`` after ``train_price_model``; trees over many rows also score a batch of rows at a time."""
     def fit(train: DataFrame) -> Scorer:
         m = train_price_model(train, features, label, **overrides)
-        return lambda df: score(m, df)
+        if not getattr(m, "many_rows", False):
+            return lambda df: score(m, df)
+        total = boosting.prediction(tree_nodes(train.sparkSession, m), features)
+        return lambda df: df.withColumn("prediction", total)
     return fit
 
 
